@@ -13,8 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starkpi.operators.filters import SalesFilter
-from starkpi.plans import dashboard, explorer, kpis, trends
-from starkpi.sources.star import Star
+from starkpi.plans import dashboard, explorer, kpis, lines, trends
+from starkpi.sources.star import Star, raw_lines
 
 # Fixed parameters of the registered queries.
 DASH_FILTER = SalesFilter("1996-01-01", "1998-12-31", ("ECONOMY", "PROMO"),
@@ -69,4 +69,25 @@ QUERIES: dict[str, Query] = {
     "distinct_countries": _on_star(explorer.distinct_countries),
     "pick_list_products": _on_star(explorer.pick_list_products),
     "pick_list_customers": _on_star(explorer.pick_list_customers),
+    # cleaning and quality
+    "clean_dedup": _on_star(lines.dedup_lines),
+    "recompute_sales_amount": _on_star(lines.recomputed_lines),
+    "clean_report": _on_star(lines.clean_lines_report),
+    "clean_fact": _on_star(lines.clean_lines),
+    "clean_dimension": _on_star(lines.clean_products),
+    "dq_not_null": _on_star(lines.star_null_counts),
+    "dq_duplicate_keys": _on_star(lines.star_duplicate_keys),
+    "dq_orphans": lambda spark, d: lines.star_orphans(
+        Star.from_testdata(spark, d), raw_lines(spark, d)),
+    # derived columns and housekeeping
+    "calendar": _on_star(lines.calendar_table),
+    "line_pricing": _on_star(lines.line_pricing),
+    "ship_lag": _on_star(lines.ship_lag),
+    "order_label": _on_star(lines.order_labels),
+    "manual_sale_pricing": _on_star(lines.manual_sale_pricing),
+    "monthly_series": _on_star(lines.monthly_series),
+    "kpi_cards": _on_star(lambda s: lines.kpi_cards(s, DASH_FILTER)),
+    "table_status": _on_star(lines.star_status),
+    "filtered_lines": _on_star(lambda s: lines.filtered_lines(s, DASH_FILTER)),
+    "star_join": _on_star(lines.star_join),
 }

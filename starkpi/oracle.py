@@ -244,3 +244,136 @@ SELECT CAST(unit_cost AS DOUBLE) AS unit_cost, category FROM product WHERE produ
     "pick_list_products": with_star("SELECT product_id, product_name FROM product ORDER BY product_name"),
     "pick_list_customers": with_star("SELECT customer_id, customer_name FROM cust ORDER BY customer_name"),
 })
+
+# ---- cleaning, quality and line-level queries ---------------------------
+
+_FACT_COLS = ["order_id", "line_number", "product_id", "supplier_id", "customer_id", "order_date",
+              "ship_date", "quantity", "unit_price", "discount", "sales_amount", "profit"]
+_MONEY = {"unit_price", "discount", "sales_amount", "profit", "unit_cost"}
+_LINE_FIRST = ["product_id", "supplier_id", "customer_id", "order_date", "ship_date", "quantity",
+               "unit_price", "discount", "sales_amount", "profit"]
+
+
+def _out_cols(cols, alias=""):
+    pre = f"{alias}." if alias else ""
+    return ", ".join(f"CAST({pre}{c} AS DOUBLE) AS {c}" if c in _MONEY else f"{pre}{c}" for c in cols)
+
+
+_DEDUP = ("dedup AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY order_id, line_number "
+          "ORDER BY " + ", ".join(f"{c} NULLS FIRST" for c in _LINE_FIRST) + ") AS rn FROM fact) WHERE rn = 1)")
+_NOT_NULL = ("req AS (SELECT * FROM dedup WHERE order_date IS NOT NULL AND customer_id IS NOT NULL "
+             "AND product_id IS NOT NULL AND quantity IS NOT NULL AND unit_price IS NOT NULL)")
+_VALID = "valid AS (SELECT * FROM req WHERE quantity > 0 AND unit_price > 0)"
+_RECOMPUTE = ("CAST(ROUND(CAST(quantity AS DECIMAL(10,0)) * unit_price * (1 - discount), 2) AS DECIMAL(18,2))")
+
+_TABLE_COLS = {
+    "fact_sales": ("fact", _FACT_COLS),
+    "dim_product": ("product", ["product_id", "product_name", "category", "sub_category", "unit_cost"]),
+    "dim_customer": ("cust", ["customer_id", "customer_name", "segment", "country", "region"]),
+    "dim_date": ("dim_date", ["date_id", "day", "month", "month_name", "quarter", "year", "is_weekend"]),
+}
+
+_NULL_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS null_count FROM {v}"
+    for t, (v, cols) in _TABLE_COLS.items() for c in cols)
+
+_DUP_KEYS = {"fact_sales": ["order_id", "line_number"], "dim_product": ["product_id"],
+             "dim_customer": ["customer_id"], "dim_date": ["date_id"]}
+_DUP_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, concat_ws('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in ks)}) AS key_value, "
+    f"COUNT(*) AS copies FROM {_TABLE_COLS[t][0]} GROUP BY 2 HAVING COUNT(*) > 1"
+    for t, ks in _DUP_KEYS.items())
+
+_ORPHAN_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS check_name, COUNT(*) AS orphan_rows FROM lines l "
+    f"WHERE NOT EXISTS (SELECT 1 FROM {parent} x WHERE x.{pk} = l.{fk})"
+    for name, parent, pk, fk in [
+        ("fact_sales.order_date -> dim_date", "dim_date", "date_id", "order_date"),
+        ("fact_sales.customer_id -> dim_customer", "cust", "customer_id", "customer_id"),
+        ("fact_sales.product_id -> dim_product", "product", "product_id", "product_id")])
+
+
+def _currency(x: str, d: int) -> str:
+    body = f"format('{{:,.{d}f}}', abs(CAST({x} AS DOUBLE)))"
+    return f"CASE WHEN {x} IS NULL THEN NULL WHEN {x} < 0 THEN '-$' || {body} ELSE '$' || {body} END"
+
+
+ORACLE.update({
+    "clean_dedup": with_star(_DEDUP + f"\nSELECT {_out_cols(_FACT_COLS)} FROM dedup"),
+
+    "recompute_sales_amount": with_star(f"""
+SELECT order_id, line_number, product_id, supplier_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+       CAST(discount AS DOUBLE) AS discount, CAST({_RECOMPUTE} AS DOUBLE) AS sales_amount FROM fact"""),
+
+    "clean_report": with_star(",\n".join([_DEDUP, _NOT_NULL, _VALID]) + """
+SELECT (SELECT COUNT(*) FROM fact) AS rows_before, (SELECT COUNT(*) FROM dedup) AS rows_after_dedup,
+       (SELECT COUNT(*) FROM req) AS rows_after_not_null, (SELECT COUNT(*) FROM valid) AS rows_after,
+       (SELECT COUNT(*) FROM fact) - (SELECT COUNT(*) FROM valid) AS rows_dropped"""),
+
+    "clean_fact": with_star(",\n".join([_DEDUP, _NOT_NULL, _VALID]) + f""",
+rec AS (SELECT * REPLACE ({_RECOMPUTE} AS sales_amount) FROM valid)
+SELECT {_out_cols(_FACT_COLS)} FROM rec"""),
+
+    "clean_dimension": with_star("""
+d AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY
+        product_name NULLS FIRST, category NULLS FIRST, sub_category NULLS FIRST, unit_cost NULLS FIRST) AS rn
+      FROM product) WHERE rn = 1 AND product_id IS NOT NULL)
+SELECT product_id, product_name, category, sub_category, CAST(unit_cost AS DOUBLE) AS unit_cost FROM d"""),
+
+    "dq_not_null": with_star(_NULL_SQL),
+    "dq_duplicate_keys": with_star(_DUP_SQL),
+    "dq_orphans": with_star(_ORPHAN_SQL),
+
+    "calendar": with_star("SELECT * FROM dim_date ORDER BY date_id"),
+
+    "line_pricing": with_star(f"""
+lp AS (SELECT f.*, p.unit_cost, {_RECOMPUTE.replace('quantity', 'f.quantity').replace('unit_price', 'f.unit_price')
+                                  .replace('discount', 'f.discount')} AS sa
+       FROM fact f JOIN product p ON f.product_id = p.product_id)
+SELECT order_id, line_number, product_id, supplier_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+       CAST(discount AS DOUBLE) AS discount, CAST(sa AS DOUBLE) AS sales_amount,
+       CAST(ROUND(sa - quantity * unit_cost, 2) AS DOUBLE) AS profit FROM lp"""),
+
+    "ship_lag": with_star("""
+SELECT CAST(date_diff('day', order_date, ship_date) AS INTEGER) AS lag_days, COUNT(*) AS lines
+FROM fact GROUP BY 1 ORDER BY 1"""),
+
+    "order_label": with_star("""
+SELECT order_id, printf('ORD-%06d', order_id) AS order_label FROM (SELECT DISTINCT order_id FROM fact)"""),
+
+    "manual_sale_pricing": with_star("""
+mp AS (SELECT product_id, CAST(ROUND(unit_cost * CAST(1.5 AS DECIMAL(2,1)), 2) AS DECIMAL(18,2)) AS up FROM product)
+SELECT product_id, CAST(up AS DOUBLE) AS unit_price, 1 AS quantity, CAST(up AS DOUBLE) AS revenue,
+       CAST(ROUND(up * 40 / 100, 2) AS DOUBLE) AS profit FROM mp"""),
+
+    "monthly_series": with_star(MONTHLY + f"""
+SELECT printf('%04d-%02d', year, month) AS month_label, year, month, {_m('rev')} AS total_revenue,
+       {_m('pro')} AS total_profit FROM monthly"""),
+
+    "kpi_cards": with_star(f"""
+k AS (SELECT SUM(f.sales_amount) AS rev, SUM(f.profit) AS pro, COUNT(DISTINCT f.order_id) AS total_orders,
+             COUNT(f.sales_amount) AS n
+      FROM {SALES} {DASH_WHERE}),
+v AS (SELECT {_m('rev')} AS total_revenue, {_m('pro')} AS total_profit, total_orders,
+             {_ratio('rev', 'n')} AS avg_order, {_pct('pro', 'rev')} AS avg_margin FROM k)
+SELECT {_currency('total_revenue', 0)} AS revenue_card, {_currency('total_profit', 0)} AS profit_card,
+       format('{{:,.0f}}', CAST(total_orders AS DOUBLE)) AS orders_card,
+       {_currency('avg_order', 2)} AS avg_order_card,
+       format('{{:,.1f}}', avg_margin) || '%' AS margin_card FROM v"""),
+
+    "table_status": with_star("""
+SELECT 'fact_sales' AS table_name, COUNT(*) AS row_count FROM fact
+UNION ALL SELECT 'dim_product', COUNT(*) FROM product
+UNION ALL SELECT 'dim_customer', COUNT(*) FROM cust
+UNION ALL SELECT 'dim_date', COUNT(*) FROM dim_date"""),
+
+    "filtered_lines": with_star(f"""
+SELECT f.order_id, f.line_number, f.order_date, p.product_name, p.category, c.customer_name, c.country,
+       f.quantity, CAST(f.sales_amount AS DOUBLE) AS sales_amount, CAST(f.profit AS DOUBLE) AS profit
+FROM {SALES} {DASH_WHERE}"""),
+
+    "star_join": with_star(f"""
+SELECT {_out_cols(_FACT_COLS, 'f')}, p.product_name, p.category, p.sub_category,
+       CAST(p.unit_cost AS DOUBLE) AS unit_cost, c.customer_name, c.segment, c.country, c.region
+FROM {SALES}"""),
+})
