@@ -50,17 +50,20 @@ def load_star(star: Star, root: str, layout: str = "by_month") -> dict:
 
 
 def _write_fact_observed(fact: DataFrame, path: str, layout: str) -> int:
+    """Write the fact and return its row count, observed on the written rows.
+    The observation sits after the range repartition: the sampling job that
+    computes the range bounds must not add to the count."""
     from pyspark.sql import Observation
     obs = Observation("fact_rows")
-    fact = fact.observe(obs, F.count(F.lit(1)).alias("rows"))
     if layout == "by_month":
         spark = fact.sparkSession
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        (with_order_month(fact).repartitionByRange(n, "order_month", "order_date", "product_id")
-         .sortWithinPartitions("order_month", "order_date", "product_id")
+        out = (with_order_month(fact).repartitionByRange(n, "order_month", "order_date", "product_id")
+               .sortWithinPartitions("order_month", "order_date", "product_id"))
+        (out.observe(obs, F.count(F.lit(1)).alias("rows"))
          .write.mode("overwrite").partitionBy("order_month").parquet(path))
     else:
-        fact.write.mode("overwrite").parquet(path)
+        fact.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
     return obs.get["rows"]
 
 

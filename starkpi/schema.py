@@ -81,13 +81,14 @@ def empty_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], TABLES[name])
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
+def conform(df: DataFrame, name: str, keep: list[str] | None = None) -> DataFrame:
     """Select a table's columns by name, cast to its types; missing columns
-    become NULL (as an INSERT that omits them)."""
+    become NULL (as an INSERT that omits them).  ``keep`` columns (e.g. a
+    partition column) are passed through as they are."""
     from pyspark.sql import functions as F
-    cols = []
+    cols = [F.col(k) for k in (keep or [])]
     have = set(df.columns)
     for f in TABLES[name].fields:
         c = F.col(f.name) if f.name in have else F.lit(None)
         cols.append(c.cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    return df.select(*cols[len(keep or []):], *cols[:len(keep or [])])

@@ -21,10 +21,15 @@ from starkpi.functions import formatting as fmt
 
 
 def read_csv(spark: SparkSession, path: str, struct: StructType) -> DataFrame:
-    """CSV with header, UTF-8, explicit schema (no inference pass).
-    Unparsable fields become NULL (PERMISSIVE), to be caught by cleaning."""
-    return (spark.read.schema(struct).option("header", True).option("encoding", "UTF-8")
-            .option("mode", "PERMISSIVE").option("dateFormat", "yyyy-MM-dd").csv(path))
+    """CSV with header, UTF-8.  Columns are matched to ``struct`` by header
+    name (not position) and converted with ``try_cast``: an unparsable value
+    becomes NULL, to be caught by cleaning.  Columns the file lacks are NULL.
+    No inference pass: every field is read as text first."""
+    raw = (spark.read.option("header", True).option("encoding", "UTF-8")
+           .option("inferSchema", False).csv(path))
+    have = set(raw.columns)
+    return raw.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in have
+                         else F.lit(None).cast(f.dataType)).alias(f.name) for f in struct.fields])
 
 
 def read_star_csv(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
@@ -53,9 +58,8 @@ def bulk_load(df: DataFrame, path: str, table: str, mode: str = "append",
     report rows and seconds.  The row count is an observed metric of the
     write itself, not a second pass."""
     obs = Observation(f"load_{table}")
-    out = S.conform(df, table) if table in S.TABLES else df
-    if partition_by:
-        out = out.withColumns({c: df[c] for c in partition_by if c not in out.columns})
+    keep = [c for c in (partition_by or []) if c not in S.TABLES.get(table, S.FACT_SALES).names]
+    out = S.conform(df, table, keep) if table in S.TABLES else df
     t0 = time.perf_counter()
     w = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if partition_by:
@@ -164,7 +168,7 @@ def write_benchmark_log(spark: SparkSession, path: str, before: dict, after: dic
 def parse_benchmark_log(spark: SparkSession, path: str) -> DataFrame:
     """One row (raw, without_avg_ms, with_avg_ms, speedup_pct) per
     log file.  Lines are matched by label, case-insensitively."""
-    whole = spark.read.option("wholetext", True).text(path).withColumn("__f", F.input_file_name())
+    whole = spark.read.text(path, wholetext=True).withColumn("__f", F.input_file_name())
     lines = whole.select("__f", F.col("value").alias("raw"),
                          F.explode(F.split("value", "\n")).alias("line"))
     low = F.lower("line")
