@@ -23,7 +23,7 @@ def test_month_layout_gives_same_answer(spark, star, tmp_out):
 
 
 def test_by_month_layout_prunes(spark, star, tmp_out):
-    layout.write_fact(star.fact, tmp_out + "/f", "by_month", n_ranges=4)
+    layout.write_fact(star.fact, tmp_out + "/f", "by_month")
     months = [d for d in os.listdir(tmp_out + "/f") if d.startswith("order_month=")]
     assert len(months) > 12
     q = benchmark.month_query(star.with_fact(spark.read.parquet(tmp_out + "/f")),
