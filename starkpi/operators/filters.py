@@ -91,3 +91,10 @@ def default_filter(countries: list[str], today: _dt.date | None = None,
     sorted pick list."""
     return SalesFilter(default_start, today or _dt.date.today(), (),
                        tuple(sorted(countries)[:n_countries]))
+
+
+def default_filter_for(countries_df, today: _dt.date | None = None, n_countries: int = 5) -> SalesFilter:
+    """P11 over a country domain DataFrame (e.g. ``explorer.distinct_countries``):
+    only the first ``n_countries`` sorted names reach the driver."""
+    first = [r[0] for r in countries_df.orderBy(countries_df.columns[0]).limit(n_countries).collect()]
+    return default_filter(first, today=today, n_countries=n_countries)

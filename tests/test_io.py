@@ -95,3 +95,26 @@ def test_pipeline_load_append_and_views(spark, tmp_out):
     loaded = Star.from_layout(spark, root)
     assert loaded.fact.count() == star.fact.count() + 1
     assert loaded.fact.filter("order_id = 999999 AND ship_date IS NULL").count() == 1
+
+
+def test_manual_sale_pricing_and_append(spark, star, tmp_out):
+    from starkpi.plans.manual import ENTRY_DDL, manual_sales
+    prod = star.product.filter("product_id = 42").first()
+    entries = spark.createDataFrame(
+        [(42, 1, 3, dt.date(1997, 2, 1), None, dt.datetime(2024, 5, 1, 12, 0, 0)),
+         (42, 2, 1, dt.date(1997, 2, 2), 10, dt.datetime(2024, 5, 1, 12, 0, 0))], ENTRY_DDL)
+    rows = {r["customer_id"]: r for r in manual_sales(entries, star.product).collect()}
+    up = (prod["unit_cost"] * D("1.5")).quantize(D("0.01"))
+    assert rows[1]["unit_price"] == up and rows[1]["sales_amount"] == up * 3
+    assert rows[1]["profit"] == (up * 3 * D("0.4")).quantize(D("0.01"))
+    assert rows[2]["profit"] == (up * D("0.1")).quantize(D("0.01"))
+    assert rows[1]["order_id"] == rows[2]["order_id"]  # same second, same id
+    assert rows[1]["order_label"].startswith("ORD")
+
+
+def test_default_filter_first_five_countries(star):
+    from starkpi.operators.filters import default_filter_for
+    from starkpi.plans.explorer import distinct_countries
+    f = default_filter_for(distinct_countries(star), today=dt.date(2024, 6, 1))
+    assert f.countries == ("NATION_0", "NATION_1", "NATION_10", "NATION_11", "NATION_12")
+    assert f.start == dt.date(2024, 1, 1) and f.categories == ()
