@@ -18,12 +18,12 @@ import os
 import re
 import statistics
 import sys
-import tempfile
+import uuid
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from starkpi.session import local_session  # noqa: E402
+from starkpi.session import local_session, scratch_path  # noqa: E402
 
 
 def main() -> None:
@@ -36,7 +36,8 @@ def main() -> None:
     from starkpi.plans import benchmark, dashboard, etl, explorer, kpis, layout
     from starkpi.sources.star import Star
 
-    work = tempfile.mkdtemp(prefix="starkpi-bench-")
+    # under the session's shared checkpoint root (a fresh local dir only when unset)
+    work = scratch_path(spark, f"bench-{uuid.uuid4().hex[:12]}")
     raw = Star.from_testdata(spark, sf_dir)
 
     # warm-up: JVM, codegen caches, file listing
