@@ -70,3 +70,14 @@ def layout_benchmark(spark: SparkSession, star: Star, root: str, start: str, end
     plan = explain_text(on(by_month, True)())
     return {"plain": before, "by_month": after, "gain_pct": gain_pct(before["avg"], after["avg"]),
             "plan": plan}
+
+
+def run_benchmark(spark: SparkSession, star: Star, root: str, start: str, end: str,
+                  log_path: str | None = None, runs: int = N_RUNS) -> dict:
+    """D13 + S12: the layout benchmark, optionally written as the text log
+    that ``sources.io.parse_benchmark_log`` reads back."""
+    from starkpi.sources.io import write_benchmark_log
+    res = layout_benchmark(spark, star, root, start, end, runs)
+    if log_path:
+        write_benchmark_log(spark, log_path, res["plain"], res["by_month"], res["gain_pct"])
+    return res

@@ -26,14 +26,24 @@ TESTDATA_LINE_KEY = ["order_id", "line_number", "product_id", "supplier_id", "sh
 
 
 def clean_star(star: Star, line_key: list[str]) -> Star:
-    """Cleaning of all four tables."""
-    fact_cols = [c for c in (["line_id"] + FACT_COLUMNS) if c in star.fact.columns]
-    order = [c for c in fact_cols if c not in line_key]
+    """Cleaning of all four tables (C6, C7).  "First copy" means first in
+    file order when the tables carry ``_input_order`` (CSV sources), else
+    first by the remaining columns."""
+    def order_of(df, key):
+        if "_input_order" in df.columns:
+            return ["_input_order"]
+        return [c for c in df.columns if c not in key]
+
+    def done(df):
+        return df.drop("_input_order")
+
+    fact_cols = [c for c in (["line_id"] + FACT_COLUMNS + ["_input_order"]) if c in star.fact.columns]
+    fact = star.fact.select(*fact_cols)
     return Star(
-        fact=clean_fact(star.fact.select(*fact_cols), line_key, order),
-        product=clean_dimension(star.product, "product_id"),
-        customer=clean_dimension(star.customer, "customer_id"),
-        date=clean_dimension(star.date, "date_id"))
+        fact=done(clean_fact(fact, line_key, order_of(fact, line_key))),
+        product=done(clean_dimension(star.product, "product_id", order_of(star.product, ["product_id"]))),
+        customer=done(clean_dimension(star.customer, "customer_id", order_of(star.customer, ["customer_id"]))),
+        date=done(clean_dimension(star.date, "date_id", order_of(star.date, ["date_id"]))))
 
 
 def load_star(star: Star, root: str, layout: str = "by_month") -> dict:

@@ -20,16 +20,23 @@ from starkpi.functions import formatting as fmt
 # ---- S1: CSV scan -------------------------------------------------------
 
 
-def read_csv(spark: SparkSession, path: str, struct: StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, struct: StructType, input_order: bool = False) -> DataFrame:
     """CSV with header, UTF-8.  Columns are matched to ``struct`` by header
     name (not position) and converted with ``try_cast``: an unparsable value
     becomes NULL, to be caught by cleaning.  Columns the file lacks are NULL.
-    No inference pass: every field is read as text first."""
+    No inference pass: every field is read as text first.  With
+    ``input_order`` an ``_input_order`` column records the file order, for
+    "keep the first copy" de-duplication."""
+    from starkpi.operators.clean import with_input_order
     raw = (spark.read.option("header", True).option("encoding", "UTF-8")
            .option("inferSchema", False).csv(path))
     have = set(raw.columns)
+    extra = []
+    if input_order:
+        raw = with_input_order(raw)
+        extra = [F.col("_input_order")]
     return raw.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in have
-                         else F.lit(None).cast(f.dataType)).alias(f.name) for f in struct.fields])
+                         else F.lit(None).cast(f.dataType)).alias(f.name) for f in struct.fields], *extra)
 
 
 def read_star_csv(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
@@ -38,7 +45,7 @@ def read_star_csv(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataF
     for name in S.LOAD_ORDER:
         struct = S.FACT_SALES_INPUT if name == "fact_sales" else S.TABLES[name]
         struct = StructType([f.__class__(f.name, f.dataType, True) for f in struct.fields])
-        out[name] = read_csv(spark, paths[name], struct)
+        out[name] = read_csv(spark, paths[name], struct, input_order=True)
     return out
 
 
@@ -145,6 +152,16 @@ def dashboard_datasets(star) -> dict[str, DataFrame]:
     }
 
 
+def export_dashboard(spark: SparkSession, star, path: str, bench_log: str | None = None) -> None:
+    """The six dashboard datasets plus the parsed benchmark figures (or
+    null when there is no log) as one JSON document."""
+    extra = {}
+    if bench_log is not None:
+        b = parse_benchmark_log(spark, bench_log)
+        extra["benchmark"] = b.select(F.to_json(F.struct(*b.columns)))
+    export_document(spark, dashboard_datasets(star), path, extra)
+
+
 # ---- S10/S11/S12: run log and benchmark log ---------------------------------
 
 

@@ -109,6 +109,16 @@ class Star:
         return cls(fact=fact, product=product, customer=customer_dim(spark, sf_dir),
                    date=calendar_covering(orders, "o_orderdate"))
 
+    @classmethod
+    def from_csv(cls, spark: SparkSession, paths: dict[str, str]) -> "Star":
+        """The star from its four CSV files (keys ``dim_product``,
+        ``dim_customer``, ``dim_date``, ``fact_sales``), columns matched by
+        header name, unparsable values NULL.  Not cleaned: see ``plans.etl``."""
+        from starkpi.sources.io import read_star_csv
+        t = read_star_csv(spark, paths)
+        return cls(fact=t["fact_sales"], product=t["dim_product"], customer=t["dim_customer"],
+                   date=t["dim_date"])
+
     @classmethod
     def from_layout(cls, spark: SparkSession, root: str) -> "Star":
         """Read a star written by ``plans.etl.build_star``."""

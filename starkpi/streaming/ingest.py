@@ -91,3 +91,13 @@ def run_available(spark: SparkSession, *args, **kwargs) -> None:
     """Process every file not yet seen, then return (a scheduled run)."""
     q = start_ingest(spark, *args, available_now=True, **kwargs)
     q.awaitTermination()
+
+
+def live_summary(spark: SparkSession, target: str, product: DataFrame, customer: DataFrame,
+                 date: DataFrame) -> DataFrame:
+    """The KPI row over everything ingested so far.  Distinct orders are
+    counted over the lines, never summed from the daily table."""
+    from starkpi.plans.kpis import kpi_summary
+    from starkpi.sources.star import Star
+    fact = spark.read.parquet(target).drop("order_month")
+    return kpi_summary(Star(fact=fact, product=product, customer=customer, date=date))
