@@ -11,6 +11,12 @@ itself then runs partitioned by bucket.
 
 Determinism: the bucket only decides *where* a row is ranked, never *what*
 its rank is, so the result is exact whatever the quantile estimate.
+
+Two passes: an exact distributed rank needs the input twice (bucket sizes,
+then the ranks), and Catalyst prunes the two copies differently, so exchange
+reuse cannot be relied on.  The input -- already aggregated, one row per
+group -- is therefore checkpointed once into the shared checkpoint folder
+(``spark.checkpoint.dir``); the facts behind it are scanned once.
 """
 
 from __future__ import annotations
@@ -33,8 +39,17 @@ def _bucketed(df: DataFrame, value_col: str, n_buckets: int) -> DataFrame:
     return df.withColumn(_BUCKET, F.coalesce(bucket, F.lit(0)).cast("int"))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and cut its lineage
+    (reliable ``checkpoint``, never ``localCheckpoint``)."""
+    from starkpi.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def rank_desc(df: DataFrame, value_col: str, tie_cols: list[str], rank_col: str,
-              running: dict[str, str] | None = None, n_buckets: int = 64) -> DataFrame:
+              running: dict[str, str] | None = None, n_buckets: int = 64,
+              materialized: bool = False) -> DataFrame:
     """Add ``rank_col`` = RANK() OVER (ORDER BY value_col DESC) and, for each
     ``out -> src`` in ``running``, the running sum of ``src`` in the order
     (value_col DESC, *tie_cols) with rows-frame semantics.
@@ -42,6 +57,8 @@ def rank_desc(df: DataFrame, value_col: str, tie_cols: list[str], rank_col: str,
     ``tie_cols`` must make the order total for running sums to be defined.
     """
     running = running or {}
+    if not materialized:
+        df = materialize(df)
     b = _bucketed(df, value_col, n_buckets)
     per_bucket = b.groupBy(_BUCKET).agg(
         F.count(F.lit(1)).alias("__n"), *[F.sum(src).alias(f"__s_{out}") for out, src in running.items()])

@@ -69,14 +69,11 @@ def explore_products(star: Star, flt: SalesFilter) -> DataFrame:
     """Products with or without sales by (name, category, unit cost),
     category filter only.  times_sold is COUNT(*) of the outer join, so an
     unsold product counts 1; avg_margin falls back to 0."""
-    per_id = star.fact.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("_lines"), F.sum("quantity").alias("_qty"),
-        F.sum("sales_amount").alias("_rev"), F.sum("profit").alias("_pro"))
     prod = star.product
     cp = flt.category_predicate()
     if cp is not None:
         prod = prod.filter(cp)
-    j = prod.join(per_id, "product_id", "left")
+    j = star.product_sums(how="left", product=prod)
     g = j.groupBy("product_name", "category", "unit_cost").agg(
         F.sum(F.coalesce(F.col("_lines"), F.lit(1))).cast("long").alias("times_sold"),
         F.sum("_qty").cast("long").alias("units_sold"),
@@ -92,8 +89,7 @@ def bench_month_product(star: Star, start: _dt.date | str, end: _dt.date | str)
     """Revenue, profit and line count per (product name, category) over
     an inclusive date range (one month in the benchmark), descending."""
     flt = SalesFilter(start, end)
-    f = star.fact.filter(flt.date_predicate())
-    return (f.join(star.product, "product_id")
+    return (star.fact_products().filter(flt.date_predicate())
             .groupBy("product_name", "category")
             .agg(money_out(F.sum("sales_amount")).alias("revenue"),
                  money_out(F.sum("profit")).alias("profit"),

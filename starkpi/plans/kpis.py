@@ -49,10 +49,7 @@ def monthly_revenue(star: Star) -> DataFrame:
 def _product_totals(star: Star) -> DataFrame:
     """Per (product_name, category, sub_category) exact sums, pre-aggregated
     by product_id before the product join."""
-    per_id = star.fact.groupBy("product_id").agg(
-        F.sum("sales_amount").alias("_rev"), F.sum("profit").alias("_pro"),
-        F.sum("quantity").alias("_qty"))
-    return (per_id.join(star.product, "product_id")
+    return (star.product_sums()
             .groupBy("product_name", "category", "sub_category")
             .agg(F.sum("_rev").alias("_rev"), F.sum("_pro").alias("_pro"),
                  F.sum("_qty").cast("long").alias("units_sold")))

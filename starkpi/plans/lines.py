@@ -106,7 +106,7 @@ def calendar_table(star: Star) -> DataFrame:
 def line_pricing(star: Star) -> DataFrame:
     """per line, sales amount and profit from quantity, unit price,
     discount and the product's unit cost."""
-    j = star.fact.join(star.product.select("product_id", "unit_cost"), "product_id")
+    j = star.fact_products()
     sa = sales_amount("quantity", "unit_price", "discount")
     return j.select(*LINE_KEY, "product_id", "supplier_id", "quantity",
                     money_out("unit_price").alias("unit_price"),

@@ -91,10 +91,19 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Star:
+    """Fact, product, customer and calendar DataFrames.
+
+    ``lines`` (optional) is the fact *without* profit, whose profit comes
+    from the product's unit cost.  When present, product-joined views join
+    the product table once and derive profit from that join, and
+    product-level sums derive it after aggregation (see ``product_sums``),
+    instead of joining the product table a second time for the cost.
+    """
     fact: DataFrame
     product: DataFrame
     customer: DataFrame
     date: DataFrame
+    lines: DataFrame | None = None
 
     # ---- constructors ---------------------------------------------------
     @classmethod
@@ -107,7 +116,7 @@ class Star:
             line_profit("sales_amount", "quantity", "unit_cost").alias("profit"))
         orders = read_table(spark, sf_dir, "orders").select("o_orderdate")
         return cls(fact=fact, product=product, customer=customer_dim(spark, sf_dir),
-                   date=calendar_covering(orders, "o_orderdate"))
+                   date=calendar_covering(orders, "o_orderdate"), lines=lines)
 
     @classmethod
     def from_csv(cls, spark: SparkSession, paths: dict[str, str]) -> "Star":
@@ -131,7 +140,7 @@ class Star:
                    date=rd("dim_date"))
 
     def with_fact(self, fact: DataFrame) -> "Star":
-        return replace(self, fact=fact)
+        return replace(self, fact=fact, lines=None)
 
     # ---- standard joins -------------------------------------------------
     def fact_calendar(self) -> DataFrame:
@@ -139,7 +148,11 @@ class Star:
         return self.fact.join(F.broadcast(self.date), F.col("order_date") == F.col("date_id"))
 
     def fact_products(self, fact: DataFrame | None = None) -> DataFrame:
-        """Facts inner-joined to products."""
+        """Facts inner-joined to products (one product join; profit from
+        its unit cost when the star holds profit-less lines)."""
+        if fact is None and self.lines is not None:
+            return self.lines.join(self.product, "product_id").withColumn(
+                "profit", line_profit("sales_amount", "quantity", "unit_cost"))
         return (fact if fact is not None else self.fact).join(self.product, "product_id")
 
     def fact_customers(self, fact: DataFrame | None = None) -> DataFrame:
@@ -148,4 +161,25 @@ class Star:
 
     def sales(self) -> DataFrame:
         """The three-way star join (fact, product, customer)."""
-        return self.fact.join(self.product, "product_id").join(self.customer, "customer_id")
+        return self.fact_products().join(self.customer, "customer_id")
+
+    def product_sums(self, how: str = "inner", product: DataFrame | None = None) -> DataFrame:
+        """Per product (all product columns): revenue ``_rev``, profit ``_pro``,
+        quantity ``_qty`` and line count ``_lines``, summed over the facts by
+        product_id *before* the product join (one row per product reaches
+        the join).  ``how='left'`` keeps products without sales (NULL sums).
+
+        With profit-less lines, profit is derived after the join:
+        sum(sales - quantity * cost) = sum(sales) - cost * sum(quantity),
+        exact in decimals since each line's profit is a whole-cent value."""
+        prod = product if product is not None else self.product
+        if self.lines is not None:
+            per = self.lines.groupBy("product_id").agg(
+                F.sum("sales_amount").alias("_rev"), F.sum("quantity").alias("_qty"),
+                F.count(F.lit(1)).alias("_lines"))
+            j = prod.join(per, "product_id", how)
+            return j.withColumn("_pro", F.col("_rev") - F.col("unit_cost") * F.col("_qty"))
+        per = self.fact.groupBy("product_id").agg(
+            F.sum("sales_amount").alias("_rev"), F.sum("profit").alias("_pro"),
+            F.sum("quantity").alias("_qty"), F.count(F.lit(1)).alias("_lines"))
+        return prod.join(per, "product_id", how)
