@@ -29,15 +29,19 @@ def with_input_order(df: DataFrame, col: str = "_input_order") -> DataFrame:
         F.monotonically_increasing_id().alias("i")))
 
 
-def dedup_first(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
+def dedup_first(df: DataFrame, keys: list[str], order_cols: list[str],
+                copies_col: str | None = None) -> DataFrame:
     """One row per ``keys``, the first in ``order_cols`` order (ascending,
-    NULLs first).  Columns keep their names and order."""
+    NULLs first).  Columns keep their names and order; with ``copies_col``
+    the number of input rows of each key is added."""
     cols = df.columns
     rest = [c for c in cols if c not in keys]
     order = [F.col(c).alias(f"__o{i}") for i, c in enumerate(order_cols)]
     best = F.min(F.struct(*order, F.struct(*[F.col(c) for c in rest]).alias("__row")))
-    picked = df.groupBy(*[F.col(k) for k in keys]).agg(best.alias("__best"))
-    return picked.select(*[F.col(k) if k in keys else F.col(f"__best.__row.{k}").alias(k) for k in cols])
+    aggs = [best.alias("__best")] + ([F.count(F.lit(1)).alias(copies_col)] if copies_col else [])
+    picked = df.groupBy(*[F.col(k) for k in keys]).agg(*aggs)
+    out = [F.col(k) if k in keys else F.col(f"__best.__row.{k}").alias(k) for k in cols]
+    return picked.select(*out, *([F.col(copies_col)] if copies_col else []))
 
 
 def drop_missing(df: DataFrame, cols: list[str] = FACT_REQUIRED) -> DataFrame:
@@ -66,19 +70,20 @@ def clean_fact(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFra
 def clean_report(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
     """Row counts before cleaning, after each rule, and dropped.
 
-    One pass over the de-duplicated rows with a flag per rule (the rules
-    after de-duplication are row-local), plus the input count."""
-    d = dedup_first(df, keys, order_cols)
+    One pass: the de-duplicating aggregate also counts the copies of each
+    key (their sum is the input count), and the rules after it are
+    row-local flags counted in the same final aggregate."""
+    d = dedup_first(df, keys, order_cols, copies_col="__copies")
     has_required = F.lit(True)
     for c in FACT_REQUIRED:
         has_required = has_required & F.col(c).isNotNull()
     valid = has_required & (F.col("quantity") > 0) & (F.col("unit_price") > 0)
-    before = df.select(F.count(F.lit(1))).scalar()
-    return d.agg(F.count(F.lit(1)).alias("rows_after_dedup"),
+    return d.agg(F.coalesce(F.sum("__copies"), F.lit(0)).cast("long").alias("rows_before"),
+                 F.count(F.lit(1)).alias("rows_after_dedup"),
                  F.count_if(has_required).alias("rows_after_not_null"),
                  F.count_if(valid).alias("rows_after")).select(
-        before.alias("rows_before"), "rows_after_dedup", "rows_after_not_null", "rows_after",
-        (before - F.col("rows_after")).alias("rows_dropped"))
+        "rows_before", "rows_after_dedup", "rows_after_not_null", "rows_after",
+        (F.col("rows_before") - F.col("rows_after")).alias("rows_dropped"))
 
 
 def clean_dimension(df: DataFrame, key: str, order_cols: list[str] | None = None) -> DataFrame:

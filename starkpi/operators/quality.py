@@ -42,6 +42,21 @@ def orphan_count(child: DataFrame, parent: DataFrame, child_key: str, parent_key
         F.count(F.lit(1)).alias("orphan_rows")).select(F.lit(check).alias("check_name"), "orphan_rows")
 
 
+def orphan_report(child: DataFrame, checks: list[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """C10 for several foreign keys in one pass over ``child``: each check
+    ``(name, parent, child_key, parent_key)`` left-joins the parent's
+    distinct keys (no row can multiply) and counts the rows without a match.
+    One row per check: (check_name, orphan_rows)."""
+    j = child.select(*sorted({ck for _, _, ck, _ in checks}))
+    for i, (_, parent, ck, pk) in enumerate(checks):
+        p = parent.select(F.col(pk).alias(f"__pk{i}")).distinct().withColumn(f"__hit{i}", F.lit(True))
+        j = j.join(p, j[ck] == p[f"__pk{i}"], "left")
+    wide = j.agg(*[F.count_if(F.col(f"__hit{i}").isNull()).alias(f"c{i}") for i in range(len(checks))])
+    names = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"c{i}").cast("long").alias("orphan_rows"))
+                      for i, (n, _, _, _) in enumerate(checks)])
+    return wide.select(F.explode(names).alias("r")).select("r.check_name", "r.orphan_rows")
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 

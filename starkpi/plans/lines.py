@@ -88,12 +88,10 @@ def star_orphans(star: Star, lines: DataFrame | None = None) -> DataFrame:
     fact rows *before* any inner join to a dimension (so orphans are still
     visible); by default the star's own fact."""
     f = lines if lines is not None else star.fact
-    return quality.union_all([
-        quality.orphan_count(f, star.date, "order_date", "date_id", "fact_sales.order_date -> dim_date"),
-        quality.orphan_count(f, star.customer, "customer_id", "customer_id",
-                             "fact_sales.customer_id -> dim_customer"),
-        quality.orphan_count(f, star.product, "product_id", "product_id",
-                             "fact_sales.product_id -> dim_product")])
+    return quality.orphan_report(f, [
+        ("fact_sales.order_date -> dim_date", star.date, "order_date", "date_id"),
+        ("fact_sales.customer_id -> dim_customer", star.customer, "customer_id", "customer_id"),
+        ("fact_sales.product_id -> dim_product", star.product, "product_id", "product_id")])
 
 
 # ---- derived columns ----------------------------------------------------
