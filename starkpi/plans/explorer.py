@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starkpi.functions.numeric import money_out, ratio
+
+MONEY_SUM = "decimal(28,2)"
 from starkpi.operators.filters import SalesFilter
 from starkpi.operators.ordered import top_k
 from starkpi.plans.dashboard import filtered_sales
@@ -46,7 +48,14 @@ def explore_sales_totals(star: Star, flt: SalesFilter, n: int = 100) -> DataFram
 def explore_customers(star: Star, flt: SalesFilter, n: int = 100) -> DataFrame:
     """Customers with or without sales by (name, segment, country),
     country filter only: distinct orders (0 without sales), total spent (NULL
-    without sales), average line value, last purchase; top ``n`` by spend."""
+    without sales), average line value, last purchase; top ``n`` by spend.
+
+    Same result as customer LEFT JOIN fact, planned for skew: facts are first
+    summed per (customer, order); those rows meet the customers in an *inner*
+    join, whose streamed side AQE can split when one customer holds a large
+    share of all orders (the non-preserved side of a left join cannot be
+    split); customers without sales are added back by an anti join against
+    the distinct customer ids, as rows with NULL measures."""
     per_order = star.fact.groupBy("customer_id", "order_id").agg(
         F.sum("sales_amount").alias("_rev"), F.count("sales_amount").alias("_n"),
         F.max("order_date").alias("_last"))
@@ -54,12 +63,15 @@ def explore_customers(star: Star, flt: SalesFilter, n: int = 100) -> DataFrame:
     cp = flt.country_predicate()
     if cp is not None:
         cust = cust.filter(cp)
-    j = cust.join(per_order, "customer_id", "left")
-    g = j.groupBy("customer_name", "segment", "country").agg(
+    keys = ["customer_name", "segment", "country"]
+    sold = per_order.join(cust, "customer_id").select(*keys, "order_id", "_rev", "_n", "_last")
+    unsold = cust.join(per_order.select("customer_id").distinct(), "customer_id", "left_anti").select(
+        *keys, F.lit(None).cast("long").alias("order_id"), F.lit(None).cast(MONEY_SUM).alias("_rev"),
+        F.lit(None).cast("long").alias("_n"), F.lit(None).cast("date").alias("_last"))
+    g = sold.unionByName(unsold).groupBy(*keys).agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.sum("_rev").alias("_rev"), F.sum("_n").alias("_n"), F.max("_last").alias("last_purchase"))
-    out = g.select("customer_name", "segment", "country", "total_orders",
-                   money_out("_rev").alias("total_spent"),
+    out = g.select(*keys, "total_orders", money_out("_rev").alias("total_spent"),
                    ratio("_rev", "_n").alias("avg_order"), "last_purchase")
     return top_k(out, n, [F.col("total_spent").desc_nulls_last(), F.col("customer_name"),
                           F.col("segment"), F.col("country")])
