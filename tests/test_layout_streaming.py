@@ -53,3 +53,10 @@ def test_stream_two_batches_with_repeat_equals_batch(spark, star, tmp_out):
     from pyspark.sql import functions as F
     k = spark.read.parquet(kpi).agg(F.sum("revenue")).first()[0]
     assert k == got.agg(F.sum("sales_amount")).first()[0]
+    # live KPI row equals the batch KPI row of the cleaned lines
+    from starkpi.plans import kpis
+    from starkpi.sources.star import Star
+    live = ingest.live_summary(spark, target, star.product, star.customer, star.date).first()
+    batch = kpis.kpi_summary(Star(fact=clean_lines(star), product=star.product, customer=star.customer,
+                                  date=star.date)).first()
+    assert live == batch
