@@ -1,19 +1,24 @@
 """Global rank and running totals without a single-partition window.
 
 ``Window.orderBy(...)`` with no ``partitionBy`` moves every row into one task.
-Here the rows are first cut into ``n_buckets`` value ranges whose bounds are
-approximate quantiles of the sort value (one aggregate, a bounded array of
-``n_buckets - 1`` numbers, planned as a scalar subquery, never collected).
-A bucket is a monotone function of the sort value, so equal values always
-share a bucket and ranks stay exact.  Per-bucket counts and sums (``n_buckets``
-rows) give each bucket the prefix of all buckets before it; the window
-itself then runs partitioned by bucket.
-
-Determinism: the bucket only decides *where* a row is ranked, never *what*
-its rank is, so the result is exact whatever the quantile estimate.
-
-Two passes: an exact distributed rank needs the input twice (bucket sizes,
-then the ranks), and Catalyst prunes the two copies differently, so exchange
+Here the rows are cut into about ``n_buckets`` ranges of the *full* order key
+(which must be unique, so no group of equal keys can pile up in one range).
+Range bounds come from a random sample of keys: a bounded array (about
+``oversample * n_buckets`` keys are sorted, every so many kept), planned as a
+scalar subquery and never collected.  A bucket is a monotone function of the
+key; per-bucket counts and sums (one row per bucket) give each bucket the
+prefix of all buckets before it, and the window itself runs partitioned by
+bucket.  The sample only decides *where* a row is processed, never its
+result, so results are exact whatever the sample.
+
+Rank (ties share a rank, the next one is skipped) is computed without
+ordering equal values at all: rank(v) = 1 + number of rows with a larger
+value.  Rows are counted per distinct value (partial aggregation collapses a
+value shared by millions of rows into one row), the running count runs over
+those unique values, and the ranks join back on the value.
+
+Two passes: an exact distributed rank needs its input twice (bucket sizes,
+then the ranks), and Catalyst prunes the copies differently, so exchange
 reuse cannot be relied on.  The input -- already aggregated, one row per
 group -- is therefore checkpointed once into the shared checkpoint folder
 (``spark.checkpoint.dir``); the facts behind it are scanned once.
@@ -25,18 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET = "__bucket"
-
-
-def _bucketed(df: DataFrame, value_col: str, n_buckets: int) -> DataFrame:
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    v = F.col(value_col).cast("double")
-    bounds = df.select(F.percentile_approx(v, probs, 10_000)).scalar()
-    # Descending order: bucket 0 holds the largest values.  The bucket is the
-    # number of bounds >= v; array_position(sort_array(bounds + [v]), v) - 1 is
-    # the number of bounds < v (subqueries cannot sit inside lambdas).
-    below = F.array_position(F.sort_array(F.concat(bounds, F.array(v))), v) - 1
-    bucket = F.lit(len(probs)) - below
-    return df.withColumn(_BUCKET, F.coalesce(bucket, F.lit(0)).cast("int"))
+_KEY = "__key"
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -47,6 +41,48 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _order_key(order: list[tuple[str, bool]]) -> Column:
+    """An ascending struct key for ``order`` = [(column, descending?), ...];
+    descending columns must be numeric (they are negated)."""
+    return F.struct(*[(-F.col(c) if desc else F.col(c)).alias(f"k{i}")
+                      for i, (c, desc) in enumerate(order)])
+
+
+def _bucketed(df: DataFrame, order: list[tuple[str, bool]], n_buckets: int,
+              oversample: int = 32, seed: int = 17) -> DataFrame:
+    keyed = df.withColumn(_KEY, _order_key(order))
+    n_rows = keyed.select(F.count(F.lit(1))).scalar()
+    sample = keyed.filter(F.rand(seed) * n_rows < F.lit(float(n_buckets * oversample)))
+    keys = sample.agg(F.sort_array(F.collect_list(_KEY)).alias("a"))
+    step = F.greatest(F.lit(1), (F.size("a") / F.lit(n_buckets)).cast("int"))
+    bounds = keys.select(F.filter("a", lambda x, i: (i + 1) % step == 0)).scalar()
+    # bucket = number of bounds strictly below the key (array_position of the
+    # key in the sorted bounds+key is its first occurrence).
+    below = F.array_position(F.sort_array(F.concat(bounds, F.array(F.col(_KEY)))), F.col(_KEY)) - 1
+    return keyed.withColumn(_BUCKET, F.coalesce(below, F.lit(0)).cast("int"))
+
+
+def running_sums(df: DataFrame, order: list[tuple[str, bool]], sums: dict[str, str],
+                 n_buckets: int = 64) -> DataFrame:
+    """For each ``out -> src`` in ``sums`` add the running (inclusive) sum of
+    ``src`` in ``order`` = [(column, descending?), ...], which must be a
+    total order (unique keys).  ``df`` should be materialised by the caller
+    when it is expensive to recompute."""
+    b = _bucketed(df, order, n_buckets)
+    per_bucket = b.groupBy(_BUCKET).agg(*[F.sum(src).alias(f"__s_{out}") for out, src in sums.items()])
+    # about n_buckets rows: the prefix over buckets is a bounded window.
+    before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    prefix = per_bucket.select(_BUCKET, *[F.sum(f"__s_{out}").over(before).alias(f"__p_{out}") for out in sums])
+    joined = b.join(F.broadcast(prefix), _BUCKET)
+    w = Window.partitionBy(_BUCKET).orderBy(_KEY).rowsBetween(Window.unboundedPreceding, 0)
+    out = joined
+    for name, src in sums.items():
+        local = F.sum(src).over(w)
+        prev = F.col(f"__p_{name}")
+        out = out.withColumn(name, F.when(prev.isNull(), local).otherwise(prev + local))
+    return out.drop(_BUCKET, _KEY, *[f"__p_{o}" for o in sums])
+
+
 def rank_desc(df: DataFrame, value_col: str, tie_cols: list[str], rank_col: str,
               running: dict[str, str] | None = None, n_buckets: int = 64,
               materialized: bool = False) -> DataFrame:
@@ -54,30 +90,17 @@ def rank_desc(df: DataFrame, value_col: str, tie_cols: list[str], rank_col: str,
     ``out -> src`` in ``running``, the running sum of ``src`` in the order
     (value_col DESC, *tie_cols) with rows-frame semantics.
 
-    ``tie_cols`` must make the order total for running sums to be defined.
-    """
-    running = running or {}
+    ``value_col`` must be numeric; ``tie_cols`` must make the order total
+    for running sums to be defined."""
     if not materialized:
         df = materialize(df)
-    b = _bucketed(df, value_col, n_buckets)
-    per_bucket = b.groupBy(_BUCKET).agg(
-        F.count(F.lit(1)).alias("__n"), *[F.sum(src).alias(f"__s_{out}") for out, src in running.items()])
-    # n_buckets rows at most: the prefix over buckets is a bounded window.
-    before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per_bucket.select(
-        _BUCKET,
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n_before"),
-        *[F.sum(f"__s_{out}").over(before).alias(f"__p_{out}") for out in running])
-    joined = b.join(F.broadcast(prefix), _BUCKET)
-    order = [F.col(value_col).desc()] + [F.col(c).asc() for c in tie_cols]
-    w_rank = Window.partitionBy(_BUCKET).orderBy(F.col(value_col).desc())
-    w_run = Window.partitionBy(_BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = joined.withColumn(rank_col, (F.col("__n_before") + F.rank().over(w_rank)).cast("int"))
-    for name, src in running.items():
-        local = F.sum(src).over(w_run)
-        prev = F.col(f"__p_{name}")
-        out = out.withColumn(name, F.when(prev.isNull(), local).otherwise(prev + local))
-    return out.drop(_BUCKET, "__n_before", *[f"__p_{o}" for o in running])
+    counts = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("__cnt"))
+    ranks = running_sums(counts, [(value_col, True)], {"__cum": "__cnt"}, n_buckets).select(
+        value_col, (F.col("__cum") - F.col("__cnt") + 1).cast("int").alias(rank_col))
+    out = df.join(ranks, value_col)
+    if running:
+        out = running_sums(out, [(value_col, True)] + [(c, False) for c in tie_cols], running, n_buckets)
+    return out
 
 
 def top_k(df: DataFrame, k: int, order: list[Column]) -> DataFrame:

@@ -57,3 +57,19 @@ def test_rank_desc_matches_window(spark, seed):
     wr = Window.orderBy(F.col("v").desc(), "k").rowsBetween(Window.unboundedPreceding, 0)
     want = df.select("k", "v", F.rank().over(w).cast("int").alias("r"), F.sum("v").over(wr).alias("run"))
     assert sorted(map(tuple, got.select("k", "v", "r", "run").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_hot_tie_group_is_split_and_exact(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from starkpi.operators.ordered import _bucketed, rank_desc
+    rnd = random.Random(7)
+    rows = [(i, 500 if i % 3 == 0 else rnd.randint(1, 2000)) for i in range(3000)]  # a third share one value
+    df = spark.createDataFrame(rows, "k long, v long").repartition(5)
+    sizes = [r[1] for r in _bucketed(df, [("v", True), ("k", False)], 8).groupBy("__bucket").count().collect()]
+    assert max(sizes) < 3000 / 3  # the hot value is spread over several buckets
+    got = rank_desc(df, "v", ["k"], "r", running={"run": "v"}, n_buckets=8)
+    w = Window.orderBy(F.col("v").desc())
+    wr = Window.orderBy(F.col("v").desc(), "k").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("k", "v", F.rank().over(w).cast("int").alias("r"), F.sum("v").over(wr).alias("run"))
+    assert sorted(map(tuple, got.select("k", "v", "r", "run").collect())) == sorted(map(tuple, want.collect()))
