@@ -18,7 +18,7 @@ from starkpi.sources.star import Star
 
 def filtered_sales(star: Star, flt: SalesFilter) -> DataFrame:
     """P6 + J4: star-joined lines passing every set filter."""
-    return star.sales().filter(flt.predicate())
+    return star.sales().filter(star.date_predicate(flt))
 
 
 def dash_kpis(star: Star, flt: SalesFilter) -> DataFrame:
@@ -57,7 +57,7 @@ def dash_top_products(star: Star, flt: SalesFilter, n: int = 10) -> DataFrame:
 
 def dash_countries(star: Star, flt: SalesFilter) -> DataFrame:
     """Revenue and line count by country (date and country filters only)."""
-    j = star.fact_customers().filter(flt.predicate(categories=False))
+    j = star.fact_customers().filter(star.date_predicate(flt, categories=False))
     return (j.groupBy("country").agg(money_out(F.sum("sales_amount")).alias("revenue"),
                                      F.count(F.lit(1)).alias("orders"))
             .orderBy(F.col("revenue").desc(), "country"))
@@ -66,7 +66,7 @@ def dash_countries(star: Star, flt: SalesFilter) -> DataFrame:
 def dash_top_customers(star: Star, flt: SalesFilter, n: int = 15) -> DataFrame:
     """Top customers by (name, segment): lifetime value, line count and
     last order (date and country filters only; homonyms merge)."""
-    j = star.fact_customers().filter(flt.predicate(categories=False))
+    j = star.fact_customers().filter(star.date_predicate(flt, categories=False))
     g = j.groupBy("customer_name", "segment").agg(
         money_out(F.sum("sales_amount")).alias("lifetime_value"),
         F.count(F.lit(1)).alias("order_count"), F.max("order_date").alias("last_order"))

@@ -101,7 +101,7 @@ def bench_month_product(star: Star, start: _dt.date | str, end: _dt.date | str)
     """Revenue, profit and line count per (product name, category) over
     an inclusive date range (one month in the benchmark), descending."""
     flt = SalesFilter(start, end)
-    return (star.fact_products().filter(flt.date_predicate())
+    return (star.fact_products().filter(star.date_predicate(flt))
             .groupBy("product_name", "category")
             .agg(money_out(F.sum("sales_amount")).alias("revenue"),
                  money_out(F.sum("profit")).alias("profit"),

@@ -147,7 +147,7 @@ def country_share(star: Star, flt=None) -> DataFrame:
     country filters only), from exact sums."""
     j = star.fact_customers()
     if flt is not None:
-        j = j.filter(flt.predicate(categories=False))
+        j = j.filter(star.date_predicate(flt, categories=False))
     c = j.groupBy("country").agg(F.sum("sales_amount").alias("_rev"))
     return share_of_total(c, "_rev").select(
         "country", money_out("_rev").alias("revenue"), "share_pct")

@@ -130,15 +130,21 @@ class Star:
 
     @classmethod
     def from_layout(cls, spark: SparkSession, root: str) -> "Star":
-        """Read a star written by ``plans.etl.build_star``."""
+        """Read a star written by ``plans.etl.run_pipeline``.  A month-partitioned
+        fact keeps its ``order_month`` column: date filters add the matching
+        month predicate, which prunes partition directories."""
         def rd(name):
             return spark.read.parquet(os.path.join(root, name))
-        fact = rd("fact_sales")
-        if "order_month" in fact.columns:
-            fact = fact.drop("order_month")
-        return cls(fact=fact, product=rd("dim_product"), customer=rd("dim_customer"),
+        return cls(fact=rd("fact_sales"), product=rd("dim_product"), customer=rd("dim_customer"),
                    date=rd("dim_date"))
 
+    def date_predicate(self, flt, categories: bool = True, countries: bool = True):
+        """The filter's predicate, plus the derived ``order_month`` range when
+        the fact is month-partitioned (partition pruning)."""
+        p = flt.predicate(categories=categories, countries=countries)
+        mp = flt.month_predicate() if "order_month" in self.fact.columns else None
+        return p & mp if mp is not None else p
+
     def with_fact(self, fact: DataFrame) -> "Star":
         return replace(self, fact=fact, lines=None)
 
