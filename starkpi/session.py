@@ -46,6 +46,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
+        # the context reads the setting at start-up only; a value set later on
+        # the session must be handed to it for DataFrame.checkpoint()
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(current)
         return current
     path = tempfile.mkdtemp(prefix="starkpi-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
