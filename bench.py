@@ -44,12 +44,17 @@ def main() -> None:
     # warm-up: JVM, codegen caches, file listing
     kpis.kpi_summary(raw).write.format("noop").mode("overwrite").save()
 
-    rep = etl.run_pipeline(spark, raw, f"{work}/star", layout="by_month")
-    load_s = rep["total_load_seconds"]
-    star = Star.from_layout(spark, f"{work}/star")
+    # the load runs three times into fresh folders; its figure is the median
+    loads, views = [], []
+    for i in range(3):
+        rep = etl.run_pipeline(spark, raw, f"{work}/star{i}", layout="by_month")
+        loads.append(rep["total_load_seconds"])
+        views.append(rep["views_seconds"])
+    load_s = statistics.median(loads)
+    star = Star.from_layout(spark, f"{work}/star2")
     layout.write_fact(star.fact, f"{work}/fact_plain", "plain")
     plain = star.with_fact(spark.read.parquet(f"{work}/fact_plain"))
-    by_month = star.with_fact(spark.read.parquet(f"{work}/star/fact_sales"))
+    by_month = star
 
     headline = {
         "q_kpi_summary": lambda: kpis.kpi_summary(star),
@@ -67,7 +72,7 @@ def main() -> None:
         # straight from the raw test tables (joins included)
         "q_raw_product_performance": lambda: kpis.product_performance(raw),
     }
-    out = {"etl_load": round(load_s, 4), "etl_views": round(rep["views_seconds"], 4)}
+    out = {"etl_load": round(load_s, 4), "etl_views": round(statistics.median(views), 4)}
     detail = {}
     for name, build in headline.items():
         build().write.format("noop").mode("overwrite").save()  # per-query warm-up
@@ -87,6 +92,7 @@ def main() -> None:
         "layout_gain_pct": round(benchmark.gain_pct(mp, mm), 1),
         "runs": runs,
         "detail": detail,
+        "etl_load_runs": [round(x, 3) for x in loads],
     }))
     spark.stop()
 

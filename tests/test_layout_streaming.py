@@ -60,3 +60,16 @@ def test_stream_two_batches_with_repeat_equals_batch(spark, star, tmp_out):
     batch = kpis.kpi_summary(Star(fact=clean_lines(star), product=star.product, customer=star.customer,
                                   date=star.date)).first()
     assert live == batch
+
+
+def test_loaded_star_prunes_months_in_dashboard_queries(spark, star, tmp_out):
+    from starkpi.catalog import DASH_FILTER
+    from starkpi.plans import dashboard, etl
+    from starkpi.sources.star import Star
+    etl.load_star(etl.clean_star(star, etl.TESTDATA_LINE_KEY), tmp_out + "/star")
+    loaded = Star.from_layout(spark, tmp_out + "/star")
+    q = dashboard.dash_kpis(loaded, DASH_FILTER)
+    plan = benchmark.explain_text(q)
+    assert "PartitionFilters: [isnotnull(order_month" in plan
+    lazy = dashboard.dash_kpis(etl.clean_star(star, etl.TESTDATA_LINE_KEY), DASH_FILTER).first()
+    assert q.first() == lazy
