@@ -104,3 +104,18 @@ def test_pareto_running_total_reaches_100(star):
 def test_share_sums_to_100(star):
     shares = [r["share_pct"] for r in kpis.category_share(star).collect()]
     assert abs(sum(shares) - 100.0) < 0.05
+
+
+def test_explorer_merges_homonyms_with_and_without_sales(spark):
+    from tests.fixtures import small_star as mk
+    customers = [(1, "Ivy Ito", "Consumer", "Japan", "Asia Pacific"),
+                 (2, "Ivy Ito", "Consumer", "Japan", "Asia Pacific"),   # same group, no sales
+                 (3, "Lone", "Consumer", "Japan", "Asia Pacific")]      # no sales at all
+    s = mk(spark, [line(1, 1, 1, 1, "2024-01-01", 1, 10, 0, 10, 1),
+                   line(1, 2, 2, 1, "2024-01-01", 1, 10, 0, 30, 1),
+                   line(2, 1, 1, 1, "2024-01-02", 1, 10, 0, 20, 1)], customers=customers)
+    got = {r["customer_name"]: r.asDict() for r in explorer.explore_customers(s, SalesFilter()).collect()}
+    assert got["Ivy Ito"]["total_orders"] == 2 and got["Ivy Ito"]["total_spent"] == 60.0
+    assert got["Ivy Ito"]["avg_order"] == 20.0
+    assert got["Lone"]["total_orders"] == 0 and got["Lone"]["total_spent"] is None
+    assert got["Lone"]["last_purchase"] is None
