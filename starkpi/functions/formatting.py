@@ -40,8 +40,3 @@ LOG_LABEL_SPEEDUP = "speedup:"
 LOG_AVG_PATTERN = r"avg=([-0-9.]+)ms"
 LOG_SPEEDUP_PATTERN = r":\s*([-0-9.]+)\s*%?\s*$"
 
-
-def parse_avg_ms(line) -> Column:
-    """The ``avg=<n>ms`` number of a log line, or NULL."""
-    return F.expr("try_cast(nullif(regexp_extract({0}, '{1}', 1), '') AS DOUBLE)".format(
-        _c(line)._jc.toString(), LOG_AVG_PATTERN.replace("\\", "\\\\")))
