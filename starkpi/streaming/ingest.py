@@ -20,7 +20,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from starkpi.operators.clean import dedup_first, drop_missing, keep_valid, recompute_sales_amount
 from starkpi.plans.layout import with_order_month
@@ -66,14 +66,22 @@ def start_ingest(spark: SparkSession, source_dir: str, schema: StructType, targe
                  checkpoint: str | None = None, available_now: bool = True,
                  path_glob: str | None = None, max_files_per_trigger: int | None = None):
     """Start the ingest stream; returns the StreamingQuery."""
-    reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("encoding", "UTF-8")
+        # every field as text under the expected names, checked against each
+        # file's header (a file with other columns fails instead of being
+        # mis-mapped by position), then converted with try_cast (bad -> NULL)
+        text = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
+        reader = (spark.readStream.schema(text).format("csv").option("header", True)
+                  .option("enforceSchema", False).option("encoding", "UTF-8"))
+    else:
+        reader = spark.readStream.schema(schema).format(fmt)
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(source_dir)
+    if fmt == "csv":
+        stream = stream.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         append_new_lines(batch, target, key, order_cols)

@@ -1,6 +1,7 @@
 """Layout benchmark and streaming ingest."""
 
 import os
+from decimal import Decimal as D
 
 from starkpi.plans import benchmark, layout
 from starkpi.plans.lines import LINE_FIRST, LINE_KEY
@@ -73,3 +74,25 @@ def test_loaded_star_prunes_months_in_dashboard_queries(spark, star, tmp_out):
     assert "PartitionFilters: [isnotnull(order_month" in plan
     lazy = dashboard.dash_kpis(etl.clean_star(star, etl.TESTDATA_LINE_KEY), DASH_FILTER).first()
     assert q.first() == lazy
+
+
+def test_stream_csv_files(spark, star, tmp_out):
+    from pyspark.sql import functions as F
+    from starkpi.schema import FACT_SALES
+    cols = [f.name for f in FACT_SALES.fields]
+    src = tmp_out + "/csv_in"
+    os.makedirs(src)
+    header = ",".join(cols)
+    rows = ["1,10,1,2024-01-05,2024-01-07,1,1,0,2,20.00,0.10,0,11.00",
+            "1,10,1,2024-01-05,2024-01-07,1,1,0,2,20.00,0.10,0,11.00",   # repeated line
+            "2,10,2,junk,,1,1,0,2,20.00,0.10,0,11.00",                   # bad date -> dropped
+            "3,11,1,2024-02-06,,2,2,0,5,3.00,0.00,0,5.00"]
+    with open(src + "/a.csv", "w", encoding="utf-8") as f:
+        f.write(header + "\n" + "\n".join(rows) + "\n")
+    target = tmp_out + "/csv_target"
+    ingest.run_available(spark, src, FACT_SALES, target, key=["line_id"],
+                         order_cols=[c for c in cols if c != "line_id"], fmt="csv",
+                         checkpoint=tmp_out + "/csv_ckpt")
+    got = spark.read.parquet(target)
+    assert sorted(r["line_id"] for r in got.collect()) == [1, 3]
+    assert got.agg(F.sum("sales_amount")).first()[0] == D("51.00")  # 36.00 + 15.00 recomputed
