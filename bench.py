@@ -20,7 +20,6 @@ import re
 import statistics
 import sys
 import uuid
-import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 

@@ -12,7 +12,6 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from starkpi.plans.explorer import bench_month_product
 from starkpi.plans.layout import write_fact

@@ -15,13 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starkpi.functions.numeric import money_out, ratio
-
-MONEY_SUM = "decimal(28,2)"
 from starkpi.operators.filters import SalesFilter
 from starkpi.operators.ordered import top_k
 from starkpi.plans.dashboard import filtered_sales
 from starkpi.sources.star import LINE_ORDER, Star
 
+# type of a sum of money values (decimal(18,2) summed)
+MONEY_SUM = "decimal(28,2)"
+
 
 def explore_sales(star: Star, flt: SalesFilter, n: int = 100) -> DataFrame:
     """The latest ``n`` filtered lines with names and per-line margin

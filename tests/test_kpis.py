@@ -3,7 +3,6 @@
 import math
 from decimal import Decimal as D
 
-from pyspark.sql import functions as F
 
 from starkpi.operators.filters import SalesFilter
 from starkpi.plans import dashboard, explorer, kpis, trends
