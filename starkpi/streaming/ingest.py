@@ -2,10 +2,11 @@
 
 T1  New sale files are read as a stream with a fixed schema, cleaned with the
     row-local rules (C2-C4), de-duplicated inside the micro-batch (C1) and
-    against the target (anti join on the line key), then appended.  The
-    anti join includes ``order_month``, the target's partition column, so
-    dynamic partition pruning reads only the months the batch touches.
-    Replaying a batch after a failure appends nothing twice.
+    against the target (anti join on order_month + line key), then appended.
+    The target is read only in the months the batch touches: that set is
+    bounded by the calendar, so it is collected and applied as a static
+    partition filter (dynamic pruning does not apply to the right side of an
+    anti join).  Replaying a batch after a failure appends nothing twice.
 T2  After each append, the daily and category KPIs of the touched months are
     recomputed exactly from the target (distinct order counts included) and
     written with dynamic partition overwrite: work per batch is proportional
@@ -35,23 +36,34 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def touched_months(batch: DataFrame) -> list:
+    """Distinct order months of a micro-batch (bounded by the calendar)."""
+    return [r[0] for r in with_order_month(batch.select("order_date")).select("order_month")
+            .distinct().collect() if r[0] is not None]
+
+
+def _target_months(spark: SparkSession, target: str, months: list) -> DataFrame:
+    return spark.read.parquet(target).filter(F.col("order_month").isin(months))
+
+
 def append_new_lines(batch: DataFrame, target: str, key: list[str], order_cols: list[str],
-                     product: DataFrame | None = None) -> None:
+                     months: list | None = None) -> None:
     """Clean one micro-batch and append the lines the target does not hold."""
     spark = batch.sparkSession
     rows = recompute_sales_amount(keep_valid(drop_missing(dedup_first(batch, key, order_cols))))
     rows = with_order_month(rows)
     if _exists(spark, target):
-        have = spark.read.parquet(target).select("order_month", *key)
+        months = months if months is not None else touched_months(rows)
+        have = _target_months(spark, target, months).select("order_month", *key)
         rows = rows.join(have, ["order_month", *key], "left_anti")
     rows.write.mode("append").partitionBy("order_month").parquet(target)
 
 
-def refresh_daily_kpis(spark: SparkSession, target: str, kpi_path: str, months: DataFrame,
+def refresh_daily_kpis(spark: SparkSession, target: str, kpi_path: str, months: list,
                        product: DataFrame) -> None:
     """Exact daily revenue/profit/distinct orders per category for the
-    months in ``months``; overwrites just those month partitions."""
-    facts = spark.read.parquet(target).join(F.broadcast(months), "order_month", "left_semi")
+    given months; overwrites just those month partitions."""
+    facts = _target_months(spark, target, months)
     daily = (facts.join(product.select("product_id", "category"), "product_id")
              .groupBy("order_month", "order_date", "category")
              .agg(F.sum("sales_amount").alias("revenue"), F.sum("profit").alias("profit"),
@@ -84,10 +96,14 @@ def start_ingest(spark: SparkSession, source_dir: str, schema: StructType, targe
         stream = stream.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        append_new_lines(batch, target, key, order_cols)
-        if kpi_path is not None and product is not None:
-            months = with_order_month(batch.select("order_date")).select("order_month").distinct()
-            refresh_daily_kpis(batch.sparkSession, target, kpi_path, months, product)
+        batch = batch.persist()  # read twice below; recomputable from the source files
+        try:
+            months = touched_months(batch)
+            append_new_lines(batch, target, key, order_cols, months)
+            if kpi_path is not None and product is not None and months:
+                refresh_daily_kpis(batch.sparkSession, target, kpi_path, months, product)
+        finally:
+            batch.unpersist()
 
     ckpt = checkpoint or scratch_path(spark, os.path.join("ingest", os.path.basename(target.rstrip("/"))))
     w = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", ckpt)
