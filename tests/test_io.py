@@ -157,3 +157,33 @@ def test_star_from_csv_end_to_end(spark, tmp_out):
     text = "".join(open(os.path.join(tmp_out, "doc", f), encoding="utf-8").read()
                    for f in os.listdir(tmp_out + "/doc") if f.startswith("part-"))
     assert json.loads(text)["kpi"][0]["total_orders"] == 2
+
+
+def test_views_answer_sql_like_the_functions(spark, star):
+    from starkpi.plans import kpis
+    io.register_views(spark, star)
+    df, secs = io.run_query(spark, "SELECT * FROM vw_product_performance "
+                                   "ORDER BY total_revenue DESC, product_name, category, sub_category LIMIT 10")
+    assert secs >= 0 and [tuple(r) for r in df.collect()] == [tuple(r) for r in kpis.top_products(star, 10).collect()]
+    rows, _ = io.run_query(spark, "SELECT COUNT(*) AS n FROM vw_customer_rfm WHERE frequency >= :f", args={"f": 1})
+    assert rows.first()["n"] == kpis.customer_rfm(star).count()
+
+
+def test_kpi_report_shapes(star):
+    from starkpi.plans import kpis
+    rep = kpis.kpi_report(star)
+    assert list(rep) == ["summary", "last_months", "top_products", "categories", "regions", "top_customers"]
+    assert rep["summary"].count() == 1 and rep["last_months"].count() == 6
+    assert rep["top_products"].count() == 10 and rep["top_customers"].count() == 10
+    months = [(r["year"], r["month"]) for r in rep["last_months"].collect()]
+    assert months == sorted(months)
+
+
+def test_layout_benchmark_log_round_trip(spark, star, tmp_out):
+    from starkpi.plans import benchmark
+    res = benchmark.run_benchmark(spark, star, tmp_out + "/b", "1996-06-01", "1996-06-30",
+                                  log_path=tmp_out + "/log", runs=2)
+    parsed = io.parse_benchmark_log(spark, tmp_out + "/log").first()
+    assert parsed["without_avg_ms"] == round(res["plain"]["avg"] * 1000, 1)
+    assert parsed["with_avg_ms"] == round(res["by_month"]["avg"] * 1000, 1)
+    assert parsed["speedup_pct"] == round(res["gain_pct"], 1)
