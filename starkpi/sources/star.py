@@ -26,7 +26,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkpi.functions.calendar import calendar_covering
+from starkpi.functions.calendar import calendar_covering, calendar_fields
 from starkpi.functions.numeric import MONEY, RATE, UNIT_COST
 from starkpi.functions.pricing import line_profit
 
@@ -93,6 +93,10 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 class Star:
     """Fact, product, customer and calendar DataFrames.
 
+    ``calendar_spans_fact`` marks a calendar generated from the fact's own
+    date span: every dated fact is inside it, so J1 needs no join (and no
+    scan for the bounds) and calendar attributes come from the order date.
+
     ``lines`` (optional) is the fact *without* profit, whose profit comes
     from the product's unit cost.  When present, product-joined views join
     the product table once and derive profit from that join, and
@@ -104,6 +108,7 @@ class Star:
     customer: DataFrame
     date: DataFrame
     lines: DataFrame | None = None
+    calendar_spans_fact: bool = False
 
     # ---- constructors ---------------------------------------------------
     @classmethod
@@ -116,7 +121,8 @@ class Star:
             line_profit("sales_amount", "quantity", "unit_cost").alias("profit"))
         orders = read_table(spark, sf_dir, "orders").select("o_orderdate")
         return cls(fact=fact, product=product, customer=customer_dim(spark, sf_dir),
-                   date=calendar_covering(orders, "o_orderdate"), lines=lines)
+                   date=calendar_covering(orders, "o_orderdate"), lines=lines,
+                   calendar_spans_fact=True)
 
     @classmethod
     def from_csv(cls, spark: SparkSession, paths: dict[str, str]) -> "Star":
@@ -146,11 +152,16 @@ class Star:
         return p & mp if mp is not None else p
 
     def with_fact(self, fact: DataFrame) -> "Star":
-        return replace(self, fact=fact, lines=None)
+        return replace(self, fact=fact, lines=None, calendar_spans_fact=False)
 
     # ---- standard joins -------------------------------------------------
     def fact_calendar(self) -> DataFrame:
-        """Facts inner-joined to the calendar (facts outside it drop)."""
+        """Facts inner-joined to the calendar (facts outside it drop).
+        With a calendar spanning the facts the join reduces to deriving the
+        calendar attributes from the order date (NULL dates still drop)."""
+        if self.calendar_spans_fact:
+            return self.fact.filter(F.col("order_date").isNotNull()).select(
+                "*", *calendar_fields("order_date"))
         return self.fact.join(F.broadcast(self.date), F.col("order_date") == F.col("date_id"))
 
     def fact_products(self, fact: DataFrame | None = None) -> DataFrame:
