@@ -1,10 +1,13 @@
 """Data-explorer queries (D7-D10), pick lists and lookups (P7-P10), and the
 selective benchmark query (D11).
 
-D9 and D10 keep dimension rows without sales (LEFT JOIN from the dimension).
-The facts are pre-aggregated by key before that join: the dimension is the
-preserved side, so Spark cannot broadcast it for a left join, and joining
-one row per key instead of one per line keeps the shuffle small.
+D9 and D10 keep dimension rows without sales (the source system's LEFT JOIN
+from the dimension).  In both, facts are pre-aggregated by key first, so one
+row per key (or per customer and order) meets the dimension instead of one
+per line.  D10 then left-joins the per-product sums (one row per product, no
+skew possible); D9 uses an inner join plus NULL-measure rows for every
+customer (see ``explore_customers``), because a customer with a large share
+of all orders would otherwise sit on the unsplittable side of a left join.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ For repeated querying at scale the materialised form is the one to use: the
 large lineitem/orders join is then paid once, at load time.
 
 Join policy: nation, region and the calendar have a proven size bound (25,
-5 and 366-per-year rows) and are broadcast explicitly.  Product and customer
+5 and 366-per-year rows) and are broadcast explicitly (a calendar generated
+from the facts' own span is not joined at all, see ``fact_calendar``).  Product and customer
 grow with the data, so they get no hint: Catalyst broadcasts them only below
 ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans from runtime sizes;
 otherwise the joins stay shuffle joins.
