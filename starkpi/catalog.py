@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from starkpi.operators.filters import SalesFilter
 from starkpi.plans import dashboard, explorer, kpis, lines, trends
@@ -25,6 +27,20 @@ LOOKUP_PRODUCT_ID = 42
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def iso_dates(df: DataFrame) -> DataFrame:
+    """Date columns as ``yyyy-MM-dd`` text, the source system's own date
+    representation (its dates are ISO text); the library keeps DateType."""
+    return df.select(*[F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, DateType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+def _registered(q: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return iso_dates(q(spark, sf_dir))
+    run.__name__ = getattr(q, "__name__", "query")
+    return run
+
+
 def _on_star(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Star.from_testdata(spark, sf_dir))
@@ -91,3 +107,5 @@ QUERIES: dict[str, Query] = {
     "filtered_lines": _on_star(lambda s: lines.filtered_lines(s, DASH_FILTER)),
     "star_join": _on_star(lines.star_join),
 }
+
+QUERIES = {name: _registered(q) for name, q in QUERIES.items()}

@@ -377,3 +377,18 @@ SELECT {_out_cols(_FACT_COLS, 'f')}, p.product_name, p.category, p.sub_category,
        CAST(p.unit_cost AS DOUBLE) AS unit_cost, c.customer_name, c.segment, c.country, c.region
 FROM {SALES}"""),
 })
+
+
+# Date columns leave as ISO text (yyyy-MM-dd) in both engines, the source
+# system's own representation of dates.
+DATE_COLUMNS = {
+    "customer_rfm": ["last_order_date"], "top_customers_rfm": ["last_order_date"],
+    "dash_daily_trend": ["date"], "dash_top_customers": ["last_order"],
+    "explore_sales": ["order_date"], "explore_customers": ["last_purchase"],
+    "clean_dedup": ["order_date", "ship_date"], "clean_fact": ["order_date", "ship_date"],
+    "calendar": ["date_id"], "filtered_lines": ["order_date"],
+    "star_join": ["order_date", "ship_date"],
+}
+for _name, _cols in DATE_COLUMNS.items():
+    _repl = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _cols)
+    ORACLE[_name] = f"SELECT * REPLACE ({_repl}) FROM (\n{ORACLE[_name]}\n) AS q"

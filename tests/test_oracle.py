@@ -73,3 +73,12 @@ def test_hot_tie_group_is_split_and_exact(spark):
     wr = Window.orderBy(F.col("v").desc(), "k").rowsBetween(Window.unboundedPreceding, 0)
     want = df.select("k", "v", F.rank().over(w).cast("int").alias("r"), F.sum("v").over(wr).alias("run"))
     assert sorted(map(tuple, got.select("k", "v", "r", "run").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_no_date_typed_outputs(spark, con):
+    from pyspark.sql.types import DateType
+    for name, q in entry.queries().items():
+        df = q(spark, SF_SMALL)
+        assert not any(isinstance(f.dataType, DateType) for f in df.schema.fields), name
+        types = [r[1] for r in con.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()]
+        assert "DATE" not in types, name
