@@ -16,6 +16,7 @@ from pyspark.sql.types import DateType
 
 from starkpi.operators.filters import SalesFilter
 from starkpi.plans import dashboard, explorer, kpis, lines, trends
+from starkpi.sources import io
 from starkpi.sources.star import Star, raw_lines
 
 # Fixed parameters of the registered queries.
@@ -106,6 +107,9 @@ QUERIES: dict[str, Query] = {
     "table_status": _on_star(lines.star_status),
     "filtered_lines": _on_star(lambda s: lines.filtered_lines(s, DASH_FILTER)),
     "star_join": _on_star(lines.star_join),
+    # static page slices of the export
+    "page_products": _on_star(lambda s: io.page_slices(io.dashboard_datasets(s))["products"]),
+    "page_customers": _on_star(lambda s: io.page_slices(io.dashboard_datasets(s))["customers"]),
 }
 
 QUERIES = {name: _registered(q) for name, q in QUERIES.items()}

@@ -379,6 +379,14 @@ FROM {SALES}"""),
 })
 
 
+ORACLE.update({
+    "page_products": with_star(PRODUCT_PERF + """
+SELECT product_name, category, sub_category, total_revenue, total_profit, units_sold FROM pperf
+ORDER BY total_revenue DESC, product_name, category, sub_category LIMIT 10"""),
+    "page_customers": with_star(RFM + """
+SELECT * FROM rfm ORDER BY monetary_value DESC, customer_id LIMIT 100"""),
+})
+
 # Date columns leave as ISO text (yyyy-MM-dd) in both engines, the source
 # system's own representation of dates.
 DATE_COLUMNS = {
@@ -387,7 +395,7 @@ DATE_COLUMNS = {
     "explore_sales": ["order_date"], "explore_customers": ["last_purchase"],
     "clean_dedup": ["order_date", "ship_date"], "clean_fact": ["order_date", "ship_date"],
     "calendar": ["date_id"], "filtered_lines": ["order_date"],
-    "star_join": ["order_date", "ship_date"],
+    "star_join": ["order_date", "ship_date"], "page_customers": ["last_order_date"],
 }
 for _name, _cols in DATE_COLUMNS.items():
     _repl = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _cols)

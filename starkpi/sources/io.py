@@ -162,6 +162,17 @@ def export_dashboard(spark: SparkSession, star, path: str, bench_log: str | None
     export_document(spark, dashboard_datasets(star), path, extra)
 
 
+def page_slices(datasets: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """What the static page shows of the exported datasets: the first 10
+    products and the first 100 customers, in the export's order."""
+    return {
+        "products": datasets["products"].orderBy(
+            F.col("total_revenue").desc(), "product_name", "category", "sub_category").limit(10),
+        "customers": datasets["customers"].orderBy(
+            F.col("monetary_value").desc(), "customer_id").limit(100),
+    }
+
+
 # ---- S10/S11/S12: run log and benchmark log ---------------------------------
 
 
