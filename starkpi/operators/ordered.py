@@ -5,7 +5,8 @@ Here the rows are cut into about ``n_buckets`` ranges of the *full* order key
 (which must be unique, so no group of equal keys can pile up in one range).
 Range bounds come from a random sample of keys: a bounded array (about
 ``oversample * n_buckets`` keys are sorted, every so many kept), planned as a
-scalar subquery and never collected.  A bucket is a monotone function of the
+scalar subquery and never collected; for a single numeric key they are its
+approximate quantiles (one aggregate).  A bucket is a monotone function of the
 key; per-bucket counts and sums (one row per bucket) give each bucket the
 prefix of all buckets before it, and the window itself runs partitioned by
 bucket.  The sample only decides *where* a row is processed, never its
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 _BUCKET = "__bucket"
 _KEY = "__key"
@@ -51,6 +53,13 @@ def _order_key(order: list[tuple[str, bool]]) -> Column:
 def _bucketed(df: DataFrame, order: list[tuple[str, bool]], n_buckets: int,
               oversample: int = 32, seed: int = 17) -> DataFrame:
     keyed = df.withColumn(_KEY, _order_key(order))
+    if len(order) == 1 and isinstance(df.schema[order[0][0]].dataType, NumericType):
+        # one numeric key: its approximate quantiles (one aggregate) are the bounds
+        k = F.col(f"{_KEY}.k0").cast("double")
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        bounds = keyed.select(F.percentile_approx(k, probs, 10_000)).scalar()
+        below = F.array_position(F.sort_array(F.concat(bounds, F.array(k))), k) - 1
+        return keyed.withColumn(_BUCKET, F.coalesce(below, F.lit(0)).cast("int"))
     n_rows = keyed.select(F.count(F.lit(1))).scalar()
     sample = keyed.filter(F.rand(seed) * n_rows < F.lit(float(n_buckets * oversample)))
     keys = sample.agg(F.sort_array(F.collect_list(_KEY)).alias("a"))
