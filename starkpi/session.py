@@ -30,7 +30,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """A local[N] session configured like the tests and bench expect."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName("starkpi")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", driver_memory))
+               .config("spark.driver.memory", driver_memory)
+               # local runs only: managed tables go to a scratch warehouse
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="starkpi-warehouse-")))
     for k, v in {**_LOCAL_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -145,6 +145,12 @@ class Star:
         return cls(fact=rd("fact_sales"), product=rd("dim_product"), customer=rd("dim_customer"),
                    date=rd("dim_date"))
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, prefix: str = "") -> "Star":
+        """Read a star saved as catalog tables (``plans.etl.load_star_tables``)."""
+        return cls(fact=spark.table(prefix + "fact_sales"), product=spark.table(prefix + "dim_product"),
+                   customer=spark.table(prefix + "dim_customer"), date=spark.table(prefix + "dim_date"))
+
     def date_predicate(self, flt, categories: bool = True, countries: bool = True):
         """The filter's predicate, plus the derived ``order_month`` range when
         the fact is month-partitioned (partition pruning)."""

@@ -187,3 +187,16 @@ def test_layout_benchmark_log_round_trip(spark, star, tmp_out):
     assert parsed["without_avg_ms"] == round(res["plain"]["avg"] * 1000, 1)
     assert parsed["with_avg_ms"] == round(res["by_month"]["avg"] * 1000, 1)
     assert parsed["speedup_pct"] == round(res["gain_pct"], 1)
+
+
+def test_star_as_catalog_tables(spark, star):
+    from starkpi.catalog import DASH_FILTER
+    from starkpi.plans import dashboard, kpis
+    cleaned = etl.clean_star(star, etl.TESTDATA_LINE_KEY)
+    rep = etl.load_star_tables(cleaned, prefix="t_")
+    status = {r["table_name"]: r["row_count"] for r in io.catalog_status(
+        spark, ["t_dim_product", "t_dim_customer", "t_dim_date", "t_fact_sales"]).collect()}
+    assert status["t_fact_sales"] == rep["fact_sales"] == star.fact.count()
+    loaded = Star.from_catalog(spark, "t_")
+    assert kpis.kpi_summary(loaded).first() == kpis.kpi_summary(cleaned).first()
+    assert dashboard.dash_kpis(loaded, DASH_FILTER).first() == dashboard.dash_kpis(cleaned, DASH_FILTER).first()
