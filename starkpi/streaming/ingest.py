@@ -11,6 +11,9 @@ T2  After each append, the daily and category KPIs of the touched months are
     recomputed exactly from the target (distinct order counts included) and
     written with dynamic partition overwrite: work per batch is proportional
     to the months it touches, not to the table.
+    (``dropDuplicatesWithinWatermark`` is not used: it keeps whichever copy of
+    a key arrives first, not the first in the declared order, so the stream
+    would not equal the batch cleaning; tried and rejected by test.)
 T3  ``trigger(availableNow=True)``: a scheduled run processes everything new
     and stops; progress lives in the checkpoint under the shared root.
 """
