@@ -200,3 +200,10 @@ def test_star_as_catalog_tables(spark, star):
     loaded = Star.from_catalog(spark, "t_")
     assert kpis.kpi_summary(loaded).first() == kpis.kpi_summary(cleaned).first()
     assert dashboard.dash_kpis(loaded, DASH_FILTER).first() == dashboard.dash_kpis(cleaned, DASH_FILTER).first()
+
+
+def test_create_empty_star_has_full_schemas(spark, tmp_out):
+    io.create_empty_star(spark, tmp_out + "/empty")
+    for name, struct in S.TABLES.items():
+        df = spark.read.parquet(f"{tmp_out}/empty/{name}")
+        assert df.count() == 0 and df.columns == struct.names
