@@ -64,3 +64,29 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the shared checkpoint root, e.g. for a streaming query."""
     return os.path.join(checkpoint_root(spark), name)
+
+
+def recommended_conf(input_bytes: int, total_cores: int,
+                     advisory_bytes: int = 256 << 20, split_bytes: int = 512 << 20) -> dict[str, str]:
+    """Session settings for a cluster run, derived from the input size.
+
+    - scan splits of ``split_bytes`` (Parquet is columnar: a 512 MB split
+      reads far less after column pruning);
+    - the initial shuffle width covers the input at ``advisory_bytes`` per
+      partition and at least 3 waves of the cluster's cores; AQE then
+      coalesces small partitions to ``advisory_bytes`` and splits skewed ones;
+    - broadcast joins stay at Spark's default threshold: only dimensions that
+      are actually small at run time are broadcast.
+    """
+    initial = max(3 * total_cores, -(-input_bytes // advisory_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }

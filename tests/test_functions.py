@@ -59,3 +59,11 @@ def test_ratio_rules(spark):
     r = df.select(ratio("a", "b").alias("r"), ratio("a", "z").alias("rz"), pct("b", "a", 4).alias("p"),
                   gain_pct(F.lit(56.5), F.lit(74.4)).alias("g")).first()
     assert r["r"] == 54344.25 and r["rz"] is None and r["g"] == -31.7
+
+
+def test_recommended_conf_scales_with_input():
+    from starkpi.session import recommended_conf
+    big = recommended_conf(100 * 2**40, 8000)          # 100 TB on 8,000 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
+    small = recommended_conf(10 * 2**20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
