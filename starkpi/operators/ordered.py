@@ -44,10 +44,16 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def _order_key(order: list[tuple[str, bool]]) -> Column:
-    """An ascending struct key for ``order`` = [(column, descending?), ...];
-    descending columns must be numeric (they are negated)."""
-    return F.struct(*[(-F.col(c) if desc else F.col(c)).alias(f"k{i}")
-                      for i, (c, desc) in enumerate(order)])
+    """An ascending struct key for ``order`` = [(column, descending?), ...]
+    with SQL's default NULL placement (first ascending, last descending);
+    descending columns must be numeric (they are negated behind a NULL flag)."""
+    fields = []
+    for i, (c, desc) in enumerate(order):
+        if desc:
+            fields += [F.col(c).isNull().alias(f"n{i}"), (-F.col(c)).alias(f"k{i}")]
+        else:
+            fields.append(F.col(c).alias(f"k{i}"))
+    return F.struct(*fields)
 
 
 def _bucketed(df: DataFrame, order: list[tuple[str, bool]], n_buckets: int,
@@ -59,7 +65,9 @@ def _bucketed(df: DataFrame, order: list[tuple[str, bool]], n_buckets: int,
         probs = [i / n_buckets for i in range(1, n_buckets)]
         bounds = keyed.select(F.percentile_approx(k, probs, 10_000)).scalar()
         below = F.array_position(F.sort_array(F.concat(bounds, F.array(k))), k) - 1
-        return keyed.withColumn(_BUCKET, F.coalesce(below, F.lit(0)).cast("int"))
+        # NULL keys sort after every value: last bucket
+        bucket = F.when(k.isNull(), F.lit(len(probs))).otherwise(F.coalesce(below, F.lit(0)))
+        return keyed.withColumn(_BUCKET, bucket.cast("int"))
     n_rows = keyed.select(F.count(F.lit(1))).scalar()
     sample = keyed.filter(F.rand(seed) * n_rows < F.lit(float(n_buckets * oversample)))
     keys = sample.agg(F.sort_array(F.collect_list(_KEY)).alias("a"))
@@ -106,7 +114,8 @@ def rank_desc(df: DataFrame, value_col: str, tie_cols: list[str], rank_col: str,
     counts = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("__cnt"))
     ranks = running_sums(counts, [(value_col, True)], {"__cum": "__cnt"}, n_buckets).select(
         value_col, (F.col("__cum") - F.col("__cnt") + 1).cast("int").alias(rank_col))
-    out = df.join(ranks, value_col)
+    ranks = ranks.withColumnRenamed(value_col, "__rank_value")
+    out = df.join(ranks, df[value_col].eqNullSafe(ranks["__rank_value"])).drop("__rank_value")
     if running:
         out = running_sums(out, [(value_col, True)] + [(c, False) for c in tie_cols], running, n_buckets)
     return out

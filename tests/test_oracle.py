@@ -82,3 +82,18 @@ def test_no_date_typed_outputs(spark, con):
         assert not any(isinstance(f.dataType, DateType) for f in df.schema.fields), name
         types = [r[1] for r in con.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()]
         assert "DATE" not in types, name
+
+
+def test_rank_desc_with_null_values(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from starkpi.operators.ordered import rank_desc
+    rows = [(i, None if i % 7 == 0 else (i * 13) % 50) for i in range(200)]
+    df = spark.createDataFrame(rows, "k long, v long")
+    got = rank_desc(df, "v", ["k"], "r", running={"run": "k"}, n_buckets=5)
+    w = Window.orderBy(F.col("v").desc())
+    wr = Window.orderBy(F.col("v").desc(), "k").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("k", "v", F.rank().over(w).cast("int").alias("r"), F.sum("k").over(wr).alias("run"))
+    key = lambda t: tuple((x is None, x) for x in t)
+    assert sorted(map(tuple, got.select("k", "v", "r", "run").collect()), key=key) == \
+        sorted(map(tuple, want.collect()), key=key)
