@@ -158,6 +158,21 @@ class Star:
         mp = flt.month_predicate() if "order_month" in self.fact.columns else None
         return p & mp if mp is not None else p
 
+    def persist(self, level=None) -> "Star":
+        """Keep the four tables (and profit-less lines) cached for a session
+        that runs many queries (a dashboard).  MEMORY_AND_DISK by default: a
+        lost block is recomputed from the sources, so executor loss is safe."""
+        from pyspark import StorageLevel
+        lvl = level or StorageLevel.MEMORY_AND_DISK
+        return replace(self, fact=self.fact.persist(lvl), product=self.product.persist(lvl),
+                       customer=self.customer.persist(lvl), date=self.date.persist(lvl),
+                       lines=self.lines.persist(lvl) if self.lines is not None else None)
+
+    def unpersist(self) -> None:
+        for df in (self.fact, self.product, self.customer, self.date, self.lines):
+            if df is not None:
+                df.unpersist()
+
     def with_fact(self, fact: DataFrame) -> "Star":
         return replace(self, fact=fact, lines=None, calendar_spans_fact=False)
 

@@ -118,3 +118,14 @@ def test_explorer_merges_homonyms_with_and_without_sales(spark):
     assert got["Ivy Ito"]["avg_order"] == 20.0
     assert got["Lone"]["total_orders"] == 0 and got["Lone"]["total_spent"] is None
     assert got["Lone"]["last_purchase"] is None
+
+
+def test_persisted_star_gives_same_answers(star):
+    from starkpi.catalog import DASH_FILTER
+    cached = star.persist()
+    try:
+        assert kpis.kpi_summary(cached).first() == kpis.kpi_summary(star).first()
+        assert dashboard.dash_kpis(cached, DASH_FILTER).first() == dashboard.dash_kpis(star, DASH_FILTER).first()
+        assert cached.calendar_spans_fact and cached.fact.storageLevel.useDisk
+    finally:
+        cached.unpersist()
