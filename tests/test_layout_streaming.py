@@ -96,3 +96,19 @@ def test_stream_csv_files(spark, star, tmp_out):
     got = spark.read.parquet(target)
     assert sorted(r["line_id"] for r in got.collect()) == [1, 3]
     assert got.agg(F.sum("sales_amount")).first()[0] == D("51.00")  # 36.00 + 15.00 recomputed
+
+
+def test_hot_month_is_written_by_several_tasks(spark, star, tmp_out):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    fact = star.fact.withColumn("order_date", F.when(F.col("order_id") % 3 == 0, F.lit(dt.date(1997, 5, 15)))
+                                .otherwise(F.col("order_date"))).repartition(8)  # several map tasks, as on a cluster
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4096")
+        layout.write_fact(fact, tmp_out + "/hot", "by_month")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = [f for f in os.listdir(tmp_out + "/hot/order_month=1997-05-01") if f.endswith(".parquet")]
+    assert len(files) > 1  # the hot month was split over several write tasks
+    assert spark.read.parquet(tmp_out + "/hot").count() == fact.count()
