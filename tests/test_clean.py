@@ -86,3 +86,15 @@ def test_clean_report_counts(spark):
     r = clean.clean_report(df, ["line_id"], ORDER).first().asDict()
     assert r == {"rows_before": 5, "rows_after_dedup": 4, "rows_after_not_null": 3,
                  "rows_after": 2, "rows_dropped": 3}
+
+
+def test_dedup_is_combined_before_the_shuffle(spark):
+    import contextlib
+    import io
+    df = _raw(spark, [(1, "2024-01-01", 1, 1, 2, 10.0, 0.0)] * 50 + [(2, "2024-01-02", 2, 2, 3, 20.0, 0.1)])
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        clean.dedup_first(df, ["line_id"], ORDER).explain()
+    plan = buf.getvalue()
+    # a partial (map-side) aggregate sits below the exchange: a hot key moves one row per map task
+    assert plan.index("Exchange hashpartitioning(line_id") < plan.index("partial_min(")
