@@ -7,9 +7,9 @@ Range bounds come from a random sample of keys: a bounded array (about
 ``oversample * n_buckets`` keys are sorted, every so many kept), planned as a
 scalar subquery and never collected; for a single numeric key they are its
 approximate quantiles (one aggregate).  A bucket is a monotone function of the
-key; per-bucket counts and sums (one row per bucket) give each bucket the
-prefix of all buckets before it, and the window itself runs partitioned by
-bucket.  The sample only decides *where* a row is processed, never its
+key; per-bucket counts and sums (one row per bucket, gathered by one
+aggregate into a small bucket -> prefix map) give each bucket the prefix of
+all buckets before it, and the window itself runs partitioned by bucket.  The sample only decides *where* a row is processed, never its
 result, so results are exact whatever the sample.
 
 Rank (ties share a rank, the next one is skipped) is computed without
@@ -84,20 +84,36 @@ def running_sums(df: DataFrame, order: list[tuple[str, bool]], sums: dict[str, s
     """For each ``out -> src`` in ``sums`` add the running (inclusive) sum of
     ``src`` in ``order`` = [(column, descending?), ...], which must be a
     total order (unique keys).  ``df`` should be materialised by the caller
-    when it is expensive to recompute."""
+    when it is expensive to recompute.  NULL values are skipped, as by SQL's
+    running SUM."""
     b = _bucketed(df, order, n_buckets)
-    per_bucket = b.groupBy(_BUCKET).agg(*[F.sum(src).alias(f"__s_{out}") for out, src in sums.items()])
-    # about n_buckets rows: the prefix over buckets is a bounded window.
-    before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per_bucket.select(_BUCKET, *[F.sum(f"__s_{out}").over(before).alias(f"__p_{out}") for out in sums])
-    joined = b.join(F.broadcast(prefix), _BUCKET)
+    per_bucket = b.groupBy(_BUCKET).agg(*[F.sum(src).alias(f"s_{out}") for out, src in sums.items()])
+    types = {out: per_bucket.schema[f"s_{out}"].dataType for out in sums}
+    # One row per bucket (bounded): collect them in one aggregate, derive each
+    # bucket's exclusive prefix with array functions, and hand the rows a
+    # bucket -> prefix map as a scalar subquery (no window, no join).
+    rows = F.sort_array(F.collect_list(F.struct(F.col(_BUCKET).alias("b"),
+                                                *[F.col(f"s_{o}") for o in sums]))).alias("a")
+
+    def prefix(out):
+        t = types[out]
+
+        def add(acc, y):
+            v = y[f"s_{out}"]
+            return F.when(v.isNull(), acc).when(acc.isNull(), v).otherwise((acc + v).cast(t))
+        return lambda x, i: F.aggregate(F.slice("a", 1, i), F.lit(None).cast(t), add).alias(out)
+
+    entries = F.transform("a", lambda x, i: F.struct(
+        x["b"].alias("key"), F.struct(*[prefix(o)(x, i) for o in sums]).alias("value")))
+    prefixes = per_bucket.agg(rows).select(F.map_from_entries(entries)).scalar()
     w = Window.partitionBy(_BUCKET).orderBy(_KEY).rowsBetween(Window.unboundedPreceding, 0)
-    out = joined
+    out = b
     for name, src in sums.items():
         local = F.sum(src).over(w)
-        prev = F.col(f"__p_{name}")
-        out = out.withColumn(name, F.when(prev.isNull(), local).otherwise(prev + local))
-    return out.drop(_BUCKET, _KEY, *[f"__p_{o}" for o in sums])
+        prev = F.try_element_at(prefixes, F.col(_BUCKET))[name]
+        out = out.withColumn(name, F.when(prev.isNull(), local).when(local.isNull(), prev)
+                             .otherwise(prev + local))
+    return out.drop(_BUCKET, _KEY)
 
 
 def rank_desc(df: DataFrame, value_col: str, tie_cols: list[str], rank_col: str,

@@ -97,3 +97,16 @@ def test_rank_desc_with_null_values(spark):
     key = lambda t: tuple((x is None, x) for x in t)
     assert sorted(map(tuple, got.select("k", "v", "r", "run").collect()), key=key) == \
         sorted(map(tuple, want.collect()), key=key)
+
+
+def test_running_sums_skip_nulls(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from starkpi.operators.ordered import running_sums
+    rows = [(i, None if i % 4 == 0 or i < 3 else i * 10) for i in range(120)]
+    df = spark.createDataFrame(rows, "k long, x long")
+    got = running_sums(df, [("k", False)], {"run": "x"}, n_buckets=6)
+    w = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("k", "x", F.sum("x").over(w).alias("run"))
+    assert sorted(map(tuple, got.select("k", "x", "run").collect()), key=lambda t: t[0]) == \
+        sorted(map(tuple, want.collect()), key=lambda t: t[0])
