@@ -65,8 +65,9 @@ def _bucketed(df: DataFrame, order: list[tuple[str, bool]], n_buckets: int,
         probs = [i / n_buckets for i in range(1, n_buckets)]
         bounds = keyed.select(F.percentile_approx(k, probs, 10_000)).scalar()
         below = F.array_position(F.sort_array(F.concat(bounds, F.array(k))), k) - 1
-        # NULL keys sort after every value: last bucket
-        bucket = F.when(k.isNull(), F.lit(len(probs))).otherwise(F.coalesce(below, F.lit(0)))
+        # NULL keys sort last when descending, first when ascending
+        null_bucket = len(probs) if order[0][1] else 0
+        bucket = F.when(k.isNull(), F.lit(null_bucket)).otherwise(F.coalesce(below, F.lit(0)))
         return keyed.withColumn(_BUCKET, bucket.cast("int"))
     n_rows = keyed.select(F.count(F.lit(1))).scalar()
     sample = keyed.filter(F.rand(seed) * n_rows < F.lit(float(n_buckets * oversample)))

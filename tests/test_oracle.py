@@ -110,3 +110,17 @@ def test_running_sums_skip_nulls(spark):
     want = df.select("k", "x", F.sum("x").over(w).alias("run"))
     assert sorted(map(tuple, got.select("k", "x", "run").collect()), key=lambda t: t[0]) == \
         sorted(map(tuple, want.collect()), key=lambda t: t[0])
+
+
+def test_running_sums_ascending_with_null_keys(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from starkpi.operators.ordered import running_sums
+    rows = [(None if i % 9 == 0 else i, i) for i in range(1, 91)]  # NULL keys carry distinct x
+    df = spark.createDataFrame(rows, "k long, x long").dropDuplicates(["k"])  # keys unique (one NULL)
+    got = running_sums(df, [("k", False)], {"run": "x"}, n_buckets=5)
+    w = Window.orderBy(F.col("k").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("k", "x", F.sum("x").over(w).alias("run"))
+    key = lambda t: tuple((v is not None, v) for v in t)
+    assert sorted(map(tuple, got.select("k", "x", "run").collect()), key=key) == \
+        sorted(map(tuple, want.collect()), key=key)
