@@ -24,8 +24,9 @@ def number(x, decimals: int = 0) -> Column:
 
 
 def percent(x, decimals: int = 1) -> Column:
-    """``41.7%``."""
-    return F.concat(F.format_number(_c(x).cast("double"), decimals), F.lit("%"))
+    """``41.7%`` (no thousands separator; half-even rounding like the
+    source system's number formatting)."""
+    return F.concat(F.regexp_replace(F.format_number(_c(x).cast("double"), decimals), ",", ""), F.lit("%"))
 
 
 def day_stamp(ts) -> Column:

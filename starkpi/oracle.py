@@ -359,7 +359,7 @@ v AS (SELECT {_m('rev')} AS total_revenue, {_m('pro')} AS total_profit, total_or
 SELECT {_currency('total_revenue', 0)} AS revenue_card, {_currency('total_profit', 0)} AS profit_card,
        format('{{:,.0f}}', CAST(total_orders AS DOUBLE)) AS orders_card,
        {_currency('avg_order', 2)} AS avg_order_card,
-       format('{{:,.1f}}', avg_margin) || '%' AS margin_card FROM v"""),
+       format('{{:.1f}}', avg_margin) || '%' AS margin_card FROM v"""),
 
     "table_status": with_star("""
 SELECT 'fact_sales' AS table_name, COUNT(*) AS row_count FROM fact

@@ -67,3 +67,8 @@ def test_recommended_conf_scales_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
     small = recommended_conf(10 * 2**20, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_percent_has_no_thousands_separator(spark):
+    df = spark.createDataFrame([(1234.56,), (0.25,)], "m double")
+    assert [r[0] for r in df.select(fmt.percent("m", 1)).collect()] == ["1234.6%", "0.2%"]  # half-even on 0.25
