@@ -40,9 +40,13 @@ def ship_lag_days(order_date, ship) -> Column:
     return F.datediff(_c(ship), _c(order_date)).cast("int")
 
 
+# Fixed value: order id text format (prefix and zero padding).
+ORDER_LABEL_FORMAT = "ORD-%06d"
+
+
 def order_label(order_number) -> Column:
     """Order id text ``ORD-`` + number zero-padded to six digits."""
-    return F.format_string("ORD-%06d", _c(order_number).cast("long"))
+    return F.format_string(ORDER_LABEL_FORMAT, _c(order_number).cast("long"))
 
 
 def manual_order_id(ts) -> Column:

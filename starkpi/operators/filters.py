@@ -84,8 +84,13 @@ class SalesFilter:
         return SalesFilter(start, end, self.categories, self.countries)
 
 
+# Fixed values of the dashboard's initial filter: start date, number of countries.
+DEFAULT_START = _dt.date(2024, 1, 1)
+DEFAULT_N_COUNTRIES = 5
+
+
 def default_filter(countries: list[str], today: _dt.date | None = None,
-                   default_start: _dt.date = _dt.date(2024, 1, 1), n_countries: int = 5) -> SalesFilter:
+                   default_start: _dt.date = DEFAULT_START, n_countries: int = DEFAULT_N_COUNTRIES) -> SalesFilter:
     """The dashboard's initial filter: from ``default_start`` to today,
     all categories (empty list), the first ``n_countries`` countries of the
     sorted pick list."""
@@ -93,7 +98,8 @@ def default_filter(countries: list[str], today: _dt.date | None = None,
                        tuple(sorted(countries)[:n_countries]))
 
 
-def default_filter_for(countries_df, today: _dt.date | None = None, n_countries: int = 5) -> SalesFilter:
+def default_filter_for(countries_df, today: _dt.date | None = None,
+                       n_countries: int = DEFAULT_N_COUNTRIES) -> SalesFilter:
     """P11 over a country domain DataFrame (e.g. ``explorer.distinct_countries``):
     only the first ``n_countries`` sorted names reach the driver."""
     first = [r[0] for r in countries_df.orderBy(countries_df.columns[0]).limit(n_countries).collect()]
