@@ -207,3 +207,32 @@ def test_create_empty_star_has_full_schemas(spark, tmp_out):
     for name, struct in S.TABLES.items():
         df = spark.read.parquet(f"{tmp_out}/empty/{name}")
         assert df.count() == 0 and df.columns == struct.names
+
+
+def test_pipeline_enforces_constraints(spark, tmp_out):
+    import pytest
+    good = {
+        "dim_product": "product_id,product_name,category,sub_category,unit_cost\n1,Lamp,Furniture,Lighting,12.50\n",
+        "dim_customer": "customer_id,customer_name,segment,country,region\n1,Ivy Ito,Consumer,Japan,Asia Pacific\n",
+        "dim_date": "date_id,day,month,month_name,quarter,year,is_weekend\n2024-01-05,5,1,January,1,2024,0\n",
+        "fact_sales": "line_id,order_id,order_date,customer_id,product_id,quantity,unit_price,discount,profit\n"
+                      "1,10,2024-01-05,1,1,2,20.00,0.10,11.00\n",
+    }
+
+    def write(files, sub):
+        paths = {}
+        for name, text in files.items():
+            paths[name] = f"{tmp_out}/{sub}_{name}.csv"
+            with open(paths[name], "w", encoding="utf-8") as f:
+                f.write(text)
+        return Star.from_csv(spark, paths)
+
+    rep = etl.run_pipeline(spark, write(good, "ok"), tmp_out + "/ok", line_key=["line_id"], enforce=True)
+    assert rep["tables"]["fact_sales"]["rows"] == 1
+    bad_fk = dict(good, fact_sales=good["fact_sales"] + "2,11,2024-01-05,1,99,1,5.00,0,1.00\n")
+    with pytest.raises(ValueError, match="dim_product"):
+        etl.run_pipeline(spark, write(bad_fk, "fk"), tmp_out + "/fk", line_key=["line_id"], enforce=True)
+    null_discount = dict(good, fact_sales=good["fact_sales"] + "3,12,2024-01-05,1,1,1,5.00,,1.00\n")
+    with pytest.raises(ValueError, match="sales_amount"):
+        etl.run_pipeline(spark, write(null_discount, "nn"), tmp_out + "/nn", line_key=["line_id"], enforce=True)
+    assert not os.path.exists(tmp_out + "/nn/fact_sales")  # nothing written on a breach
