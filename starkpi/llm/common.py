@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+import tempfile
+import zipfile
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starkpi.session import checkpoint_root
 
@@ -12,6 +17,30 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the driver found it: its source goes
+    to the executors once per application, as with ``--py-files``."""
+    context = spark.sparkContext
+    if getattr(context, "_starkpi_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="starkpi-"), "starkpi.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
+    context._starkpi_shipped = True
+
+
+def map_arrow(df: DataFrame, function, schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once under ``spark.checkpoint.dir`` and cut its lineage, so that a lost
     executor costs a reread of shared files and expensive input is not computed twice."""

@@ -7,7 +7,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkpi.llm import simhash
+from starkpi.llm import bpe, licenses, mixing, order_minhash, secret_scan, simhash, toxicity, url_reputation
+from starkpi.llm.common import WORD
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,8 +25,128 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.decide(_documents(spark, sf_dir), [3, 1, 2], budget=1.5, max_repeat=2.0, keep=["doc_id"])
+    return out.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
+                      F.col("__target").alias("target"), (F.col("__copies") * F.col("__size")).alias("taken"))
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.scan(_documents(spark, sf_dir))
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.roundtrip(_documents(spark, sf_dir), vocabulary("byte_bpe_50k.tiktoken")))
+
+
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = order_minhash.compare_edited(_documents(spark, sf_dir))
+    return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                      order_minhash.as_string(F.col("fingerprint")).alias("fingerprint"),
+                      order_minhash.as_string(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+                      "near_edited", "near_next")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", toxicity.in_fold(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_documents(spark, sf_dir))
+
+
+RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+         ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcome of a page is the label that carries its id: bad where it is toxic or of
+    low quality.  (The given tables label no pages by anything else.)"""
+    pages, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("pages", "labels"))
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), (
+        (F.coalesce("toxic", F.lit(0)) == 1) | (F.coalesce("quality", F.lit(1)) == 0)).alias("bad"))
+    return url_reputation.judge(pages, outcomes, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
+    "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
+    "op4_secrets": op4_secrets,
+    "op5_bpe": op5_bpe,
+    "op6_order_minhash": op6_order_minhash,
+    "op8_toxicity": op8_toxicity,
+    "op9_licenses": op9_licenses,
+    "op10_url_reputation": op10_url_reputation,
 }
 
-ORACLE: dict[str, str] = {}
+_MIXING = f"""
+with d as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::bigint as size,
+         ('0x' || substr(md5('42:' || coalesce(doc_id::varchar, text, '')), 1, 13))::bigint / 4503599627370496.0::double as draw
+  from documents),
+s as (
+  select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) - 1 as place
+  from d group by source),
+w as (
+  select *, [3.0::double, 1.0, 2.0][place % 3 + 1] as weight, 2.0::double * source_size as cap,
+         1.5::double * sum(source_size) over () as total from s),
+f as (
+  select *, cap / weight as full_at,
+         (total - coalesce(sum(cap) over (order by cap / weight, place rows between unbounded preceding and 1 preceding), 0))
+         / sum(weight) over (order by cap / weight, place rows between current row and unbounded following) as level from w),
+water as (select arg_min(level, place_by_full) as water from (
+  select level, full_at, row_number() over (order by full_at, place) as place_by_full from f) where full_at >= level),
+p as (
+  select source, source_size, case when water is null then cap else least(cap, water * weight) end as target
+  from f cross join water),
+r as (select *, case when source_size > 0 then least(target / source_size, 2.0::double) else 0 end as rate from p)
+select doc_id, size, source_size, target,
+       (floor(rate)::bigint + case when draw < rate - floor(rate) then 1 else 0 end) * size as taken
+from d join r on d.source is not distinct from r.source
+"""
+
+
+def _secrets_sql(reach: int = 200) -> str:
+    kinds, base = secret_scan.KINDS, len(secret_scan.BASE)
+    found = " union all ".join(
+        f"""select k, {i} as rank, unnest(string_split_regex(text, $${p}$$)) as gap,
+            unnest(regexp_extract_all(text, $${p}$$)) as hit,
+            {f"unnest(regexp_extract_all(text, $${p}$$, 2))" if kind == "assign" else "''"} as value,
+            unnest(range(1, 1 + len(regexp_extract_all(text, $${p}$$)))) as number
+            from t where regexp_matches(text, $${p}$$)"""
+        for i, (kind, p) in enumerate(secret_scan.PATTERNS.items()))
+    secrets = ", ".join(str(kinds.index(k)) for k in secret_scan.SECRETS)
+    listed = "string_agg({}[rank + 1] || ':' || start || ':' || stop, ',' order by start, rank, stop)".format(
+        "[" + ", ".join(f"'{k}'" for k in kinds) + "]")
+    return f"""
+with t as (select doc_id, row_number() over () as k, coalesce(text, '') as text from documents),
+found as ({found}),
+placed as (select k, rank, number, hit, value, sum(length(gap) + length(hit)) over (partition by k, rank order by number)::bigint as stop
+           from found where number is not null),
+parts as (select k, rank, stop - length(hit) as start, stop from placed
+          where (rank <> 0 or length(value) >= 6)
+            and (rank <> 4 or (regexp_matches(hit, '[a-z]') and regexp_matches(hit, '[A-Z]') and regexp_matches(hit, '[0-9]')))),
+linked as (select s.k, s.rank as r1, s.start as a1, s.stop as b1, c.rank as r2, c.start as a2, c.stop as b2
+           from parts s join parts c on s.k = c.k and s.rank in ({secrets}) and c.rank not in ({secrets})
+            and greatest(c.start - s.stop, s.start - c.stop) between 0 and {reach}),
+weak as (select k, r1 as rank, a1 as start, b1 as stop from linked union select k, r2, a2, b2 from linked),
+spans as (select * from parts where rank < {base} union all
+          select * from weak w where rank >= {base} and not exists (
+            select 1 from parts p where p.rank < {base} and p.k = w.k and p.start <= w.start and p.stop >= w.stop)),
+per as (select k, count(*) filter (rank = 0) as a, count(*) filter (rank = 1) as b, count(*) filter (rank = 2) as c,
+               {listed.replace("string_agg(", "coalesce(string_agg(").replace(" order by start, rank, stop)", " order by start, rank, stop) filter (rank < " + str(base) + "), '')")} as base,
+               {listed} as spans from spans group by k)
+select doc_id, coalesce(a, 0)::bigint as n_assign, coalesce(b, 0)::bigint as n_access, coalesce(c, 0)::bigint as n_hex,
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from t left join per using (k)
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op2_mixing": _MIXING,
+    "op4_secrets": _secrets_sql(),
+}

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from starkpi.llm.common import components, materialize
+from starkpi.llm.common import components, map_arrow, materialize
 
 _BATCH_ROWS = 1 << 17
 
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=[id_col, "fp"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, f"`{id_col}` {id_type}, fp long")
+    return map_arrow(docs.select(id_col, F.col(text_col).cast("string")), run, f"`{id_col}` {id_type}, fp long")
 
 
 def hex_fingerprint(fp: Column) -> Column:
@@ -256,7 +256,7 @@ def link_fingerprints(fps: DataFrame, radius: int = 3, tree_limit: int = 2048) -
         dealt = cut.join(crowded, "key", "left_anti").select(
             F.col("key").alias("shard"), "fp", F.lit(True).alias("node")).unionByName(big)
     dealt = dealt.repartition("shard").sortWithinPartitions("shard")
-    return dealt.mapInArrow(_search(radius), "a long, b long")
+    return map_arrow(dealt, _search(radius), "a long, b long")
 
 
 def _labels(fp: DataFrame, id_col: str, radius: int) -> DataFrame:
@@ -312,4 +312,4 @@ def _with_fingerprint(docs: DataFrame, text_col: str, shingle: int) -> DataFrame
         for b in batches:
             fp = np.array([text_fingerprint(t.as_py(), shingle) for t in b.column(at)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp.view(np.int64))], names=[*b.schema.names, "__fp"])
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__fp", LongType())]))
+    return map_arrow(docs, run, StructType([*docs.schema.fields, StructField("__fp", LongType())]))
