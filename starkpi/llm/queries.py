@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkpi.llm import bpe, licenses, mixing, order_minhash, secret_scan, simhash, toxicity, url_reputation
+from starkpi.llm import bpe, licenses, mixing, order_minhash, secret_scan, simhash, simple8b, toxicity, url_reputation
 from starkpi.llm.common import WORD
 
 
@@ -48,6 +48,12 @@ def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "near_edited", "near_next")
 
 
+def op7_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = simple8b.scratch(spark)
+    simple8b.write(_documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), path, end_id=1)
+    return simple8b.read_checksums(spark, path)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = toxicity.score(docs, toxicity.fit(docs, labels))
@@ -78,6 +84,7 @@ QUERIES = {
     "op4_secrets": op4_secrets,
     "op5_bpe": op5_bpe,
     "op6_order_minhash": op6_order_minhash,
+    "op7_simple8b": op7_simple8b,
     "op8_toxicity": op8_toxicity,
     "op9_licenses": op9_licenses,
     "op10_url_reputation": op10_url_reputation,
