@@ -231,9 +231,9 @@ def roundtrip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col
     return _mapped(docs, id_col, text_col, run, "ids array<int>, decoded binary")
 
 
-def digests(coded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(``id_col``, n_tokens, ids_sha256, decoded_sha256) of what ``roundtrip`` returns."""
-    return coded.select(id_col, F.size("ids").cast("long").alias("n_tokens"),
+def digests(coded: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` and (n_tokens, ids_sha256, decoded_sha256) of what ``roundtrip`` returns."""
+    return coded.select(*columns, F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkpi.llm import bpe, licenses, mixing, order_minhash, secret_scan, simhash, simple8b, toxicity, url_reputation
+from starkpi.llm import bpe, embedding_dedup, licenses, mixing, order_minhash, secret_scan, simhash, simple8b, toxicity, url_reputation
 from starkpi.llm.common import WORD
 
 
@@ -25,6 +25,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return embedding_dedup.near_duplicates(vectors, threshold=0.9)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.decide(_documents(spark, sf_dir), [3, 1, 2], budget=1.5, max_repeat=2.0, keep=["doc_id"])
     return out.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
@@ -37,7 +42,7 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(bpe.roundtrip(_documents(spark, sf_dir), vocabulary("byte_bpe_50k.tiktoken")))
+    return bpe.digests(bpe.roundtrip(_documents(spark, sf_dir), vocabulary("byte_bpe_50k.tiktoken")), "doc_id")
 
 
 def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +84,7 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
     "op4_secrets": op4_secrets,
