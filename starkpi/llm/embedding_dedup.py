@@ -227,13 +227,13 @@ def link_counts(members: DataFrame, threshold: float, block: int = 1024) -> Data
         return dense.groupBy("node").agg(F.sum("linked").alias("linked"))
     # the fringe against all members, dealt out as blocks of bounded size
     some = placed.join(sizes, F.col("root") == F.col("__r"))
-    member_blocks, fringe_blocks = F.ceil(F.col("n") / block).cast("int"), F.ceil(F.col("fringe") / block).cast("int")
+    member_blocks, fringe_blocks = F.ceil(F.col("n") / block), F.ceil(F.col("fringe") / block)
     columns = ["root", "node", "vec", "copies", "core"]
     left = some.where("not core").select(*columns, F.lit(True).alias("asks"),
                                          F.pmod(F.xxhash64("node"), fringe_blocks).alias("i"),
-                                         F.explode(F.sequence(F.lit(0), member_blocks - 1)).cast("long").alias("j"))
+                                         F.explode(F.sequence(F.lit(0).cast("long"), member_blocks - 1)).alias("j"))
     right = some.select(*columns, F.lit(False).alias("asks"),
-                        F.explode(F.sequence(F.lit(0), fringe_blocks - 1)).cast("long").alias("i"),
+                        F.explode(F.sequence(F.lit(0).cast("long"), fringe_blocks - 1)).alias("i"),
                         F.pmod(F.xxhash64("node"), member_blocks).alias("j"))
 
     def compare(table: pa.Table) -> pa.Table:

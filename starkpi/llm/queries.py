@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starkpi.llm import bpe, embedding_dedup, licenses, mixing, order_minhash, secret_scan, simhash, simple8b, toxicity, url_reputation
 from starkpi.llm.common import WORD
+from starkpi.llm.license_texts import NAMES, PHRASES, SPELLINGS, TEXTS
 
 
 def vocabulary(name: str) -> str:
@@ -159,7 +160,80 @@ from t left join per using (k)
 """
 
 
+def _licenses_sql() -> str:
+    def lines(text: str) -> str:
+        words = "' ' || regexp_replace(lower(x), $$" + licenses.NOT_WORD + "$$, '  ', 'g') || ' '"
+        for other, usual in SPELLINGS.items():
+            words = f"replace({words}, ' {other.replace(' ', '  ')} ', ' {usual.replace(' ', '  ')} ')"
+        line = (f"case when regexp_matches(lower(x), $${licenses.COPYRIGHT_LINE}$$) then '' "
+                f"else trim(replace({words}, '  ', ' ')) end")
+        return (f"list_filter(list_transform(string_split_regex(coalesce({text}, ''), $$\r?\n|\r$$), lambda x: {line}), "
+                "lambda x: x <> '')")
+
+    texts = ", ".join(f"('{name}', $${text}$$)" for name, text in TEXTS.items())
+    names = ", ".join(f"('{name}', '{alias}')" for name, aliases in NAMES.items() for alias in aliases)
+    phrases = ", ".join(f"('{p}')" for p in PHRASES)
+    return f"""
+with known as (
+  select 'text' as kind, name, text from (values {texts}) v(name, text) union all
+  select 'notice', name, phrase || ' ' || art || alias
+  from (values {names}) n(name, alias), (values {phrases}) p(phrase), (values (''), ('the ')) a(art)),
+digests as (select kind, sha256(array_to_string({lines("text")}, ' ')) as digest, min(name) as license from known group by all),
+d as (select doc_id, row_number() over () as k, {lines("text")} as lines from documents),
+notices as (
+  select k, count(*) as n, string_agg(distinct license, ',' order by license) as names
+  from (select k, unnest(lines) as line from d) join digests on kind = 'notice' and digest = sha256(line) group by k),
+w as (select doc_id, k, sha256(array_to_string(lines, ' ')) as digest from d)
+select doc_id, w.digest, t.license, coalesce(n, 0)::bigint as n_notices, coalesce(names, '') as notices
+from w left join digests t on t.kind = 'text' and t.digest = w.digest left join notices using (k)
+"""
+
+
+def _reputation_sql(max_bad: float = 0.35, z: float = 1.645) -> str:
+    two_label = ", ".join(f"'{x}'" for x in url_reputation.TWO_LABEL_SUFFIXES)
+    rules = ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in RULES)
+
+    def level(name: str, key: str, source: str) -> str:
+        return f"""
+{name}_r as (select (sum(n * (bad / n - m) ^ 2 / (m * (1 - m))) - count(*)) / nullif(sum(n) - count(*), 0) as r
+  from {source} where n > 0 and m > 0 and m < 1),
+{name}_s as (select case when r > 0 then greatest(1.0, least(1e6, 1 / r - 1)) else 1e6 end as s from {name}_r),
+{name} as (select {key}, n, bad, bad + least(s, w) * m as a, n - bad + least(s, w) * (1 - m) as b from {source}, {name}_s)"""
+
+    return f"""
+with p as (
+  select page_id, translate(regexp_extract(coalesce(url, ''), $${url_reputation.URL}$$, 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(coalesce(url, ''), $${url_reputation.URL}$$, 2) as path from pages),
+lab as (
+  select doc_id, max((coalesce(toxic, 0) = 1 or coalesce(quality, 1) = 0)::int) as bad from labels
+  where doc_id is not null group by doc_id),
+hosts0 as (select host, count(lab.bad)::double as n, coalesce(sum(lab.bad), 0)::double as bad
+           from p left join lab on page_id = doc_id group by host),
+cut as (select *, string_split(host, '.') as l, array_to_string(string_split(host, '.')[-2:], '.') as two from hosts0),
+hosts as (select host, n, bad,
+                 case when two in ({two_label}) then array_to_string(l[-3:], '.') else two end as domain,
+                 case when two in ({two_label}) then two else l[-1] end as suffix from cut),
+suffix0 as (select suffix, sum(n) as n, sum(bad) as bad, (select (sum(bad) + 0.5) / (sum(n) + 1.0) from hosts) as m,
+                   (select sum(n) + 1.0 from hosts) as w from hosts group by suffix),
+{level("suffixes", "suffix", "suffix0")},
+domain0 as (select domain, d.n, d.bad, a / (a + b) as m, a + b as w from (
+  select domain, sum(n) as n, sum(bad) as bad, any_value(suffix) as suffix from hosts group by domain) d join suffixes using (suffix)),
+{level("domains", "domain", "domain0")},
+host0 as (select host, h.n, h.bad, a / (a + b) as m, a + b as w from hosts h join domains using (domain)),
+{level("judged", "host", "host0")},
+reputation as (select host, greatest(0.0, a / (a + b) - {z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))) as low from judged),
+rules(verdict, rule, rule_host, rule_path) as (values {rules}),
+fits as (select page_id, arg_max(rule, length(rule)) as rule, arg_max(verdict, length(rule)) as verdict
+         from p join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path) group by page_id)
+select page_id, host, path, rule, coalesce(verdict, case when low > {max_bad} then 'block' else 'allow' end) as verdict
+from p left join fits using (page_id) join reputation using (host)
+"""
+
+
 ORACLE: dict[str, str] = {
     "op2_mixing": _MIXING,
     "op4_secrets": _secrets_sql(),
+    "op9_licenses": _licenses_sql(),
+    "op10_url_reputation": _reputation_sql(),
 }

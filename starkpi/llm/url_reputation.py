@@ -68,34 +68,36 @@ def rules_by_host(hosts: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     return chain.groupBy("host").agg(F.array_sort(F.collect_list(item)).alias("rules"))
 
 
-def shrunk(groups: DataFrame, level: str, prior: str, smallest: float = 1.0, largest: float = 1e6) -> DataFrame:
-    """``groups`` (level, n, bad, prior mean) plus strength, a, b: the beta posterior of each
-    group's bad rate under a prior of that mean and a strength estimated from all groups.
-
-    With within-group correlation r the expected sum of n (p - m)^2 / (m (1 - m)) over the
-    groups is their number + r (all n - their number); strength is 1 / r - 1."""
-    m = F.col(prior)
+def shrunk(groups: DataFrame, smallest: float = 1.0, largest: float = 1e6) -> DataFrame:
+    """``groups`` (n, bad, mean, weight: the prior's mean and the evidence behind it) plus
+    a, b: the beta posterior of each group's bad rate.
+
+    The prior's strength is estimated from how much all groups differ: with within-group
+    correlation r the expected sum of n (p - m)^2 / (m (1 - m)) is their number + r (all n -
+    their number), and strength is 1 / r - 1.  It never passes the evidence behind the
+    prior's mean: groups without outcomes are no surer than what they are judged by."""
+    m = F.col("mean")
     spread = F.col("n") * F.pow(F.col("bad") / F.col("n") - m, F.lit(2.0)) / (m * (1 - m))
     seen = groups.where((F.col("n") > 0) & (m > 0) & (m < 1))
     r = seen.agg((F.sum(spread) - F.count(F.lit(1))) / F.nullif(F.sum("n") - F.count(F.lit(1)), F.lit(0))).scalar()
     strength = F.when(r > 0, F.greatest(F.lit(smallest), F.least(F.lit(largest), 1 / r - 1))).otherwise(F.lit(largest))
-    return groups.withColumn("strength", strength).withColumn(f"{level}_a", F.col("bad") + F.col("strength") * m) \
-        .withColumn(f"{level}_b", F.col("n") - F.col("bad") + F.col("strength") * (1 - m)) \
-        .withColumn(f"{level}_mean", F.col(f"{level}_a") / (F.col(f"{level}_a") + F.col(f"{level}_b")))
+    strength = F.least(strength, F.col("weight"))
+    return groups.withColumn("a", F.col("bad") + strength * m).withColumn("b", F.col("n") - F.col("bad") + strength * (1 - m))
 
 
 def reputation(counts: DataFrame) -> DataFrame:
-    """(host, n, bad, host_a, host_b, host_mean) from (host, n, bad), one row per host,
-    labelled or not."""
+    """(host, n, bad, a, b) from (host, n, bad), one row per host, labelled or not: the beta
+    posterior of every host's bad rate."""
     hosts = materialize(counts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))))
-    total = hosts.agg(((F.sum("bad") + 0.5) / (F.sum("n") + 1.0)).alias("m")).scalar()
+    prior = [(F.col("a") / (F.col("a") + F.col("b"))).alias("mean"), (F.col("a") + F.col("b")).alias("weight")]
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
-    suffixes = materialize(shrunk(materialize(hosts.groupBy("suffix").agg(*sums).withColumn("all_mean", total)),
-                                  "suffix", "all_mean").select("suffix", "suffix_mean"))
-    domains = materialize(hosts.groupBy("domain").agg(*sums, F.first("suffix").alias("suffix")).join(suffixes, "suffix"))
-    domains = materialize(shrunk(domains, "domain", "suffix_mean").select("domain", "domain_mean"))
-    return shrunk(materialize(hosts.join(domains, "domain")), "host", "domain_mean").select(
-        "host", "n", "bad", "host_a", "host_b", "host_mean")
+    all_mean = hosts.agg(((F.sum("bad") + 0.5) / (F.sum("n") + 1.0))).scalar()
+    all_weight = hosts.agg(F.sum("n") + 1.0).scalar()
+    suffixes = materialize(hosts.groupBy("suffix").agg(*sums).withColumn("mean", all_mean).withColumn("weight", all_weight))
+    suffixes = materialize(shrunk(suffixes).select("suffix", *prior))
+    domains = hosts.groupBy("domain").agg(*sums, F.first("suffix").alias("suffix")).join(suffixes, "suffix")
+    domains = materialize(shrunk(materialize(domains)).select("domain", *prior))
+    return shrunk(materialize(hosts.join(domains, "domain"))).select("host", "n", "bad", "a", "b")
 
 
 def lower_bound(a: Column, b: Column, z: float = 1.645) -> Column:
@@ -118,7 +120,7 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str]], m
     every = parsed.select("host").distinct().join(labelled, F.col("host") == F.col("__host"), "left").select(
         "host", F.coalesce("n", F.lit(0)).cast("double").alias("n"), F.coalesce("bad", F.lit(0)).cast("double").alias("bad"))
     every = materialize(every)
-    rep = reputation(every).select(F.col("host").alias("__host"), lower_bound(F.col("host_a"), F.col("host_b")).alias("reputation"))
+    rep = reputation(every).select(F.col("host").alias("__host"), lower_bound(F.col("a"), F.col("b")).alias("reputation"))
     rep = rep.join(rules_by_host(every.select("host"), rules).withColumnRenamed("host", "__h"),
                    F.col("__host") == F.col("__h"), "left").drop("__h")
     rep = materialize(rep)
