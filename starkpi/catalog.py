@@ -16,6 +16,7 @@ from pyspark.sql.types import DateType
 
 from starkpi.operators.filters import SalesFilter
 from starkpi.plans import dashboard, explorer, kpis, lines, trends
+from starkpi.plans.dirty import TEXT_COLUMNS, dirty_star
 from starkpi.sources import io
 from starkpi.sources.star import Star, raw_lines
 
@@ -108,8 +109,32 @@ QUERIES: dict[str, Query] = {
     "filtered_lines": _on_star(lambda s: lines.filtered_lines(s, DASH_FILTER)),
     "star_join": _on_star(lines.star_join),
     # static page slices of the export
-    "page_products": _on_star(lambda s: io.page_slices(io.dashboard_datasets(s))["products"]),
-    "page_customers": _on_star(lambda s: io.page_slices(io.dashboard_datasets(s))["customers"]),
+    "page_products": _on_star(io.page_products),
+    "page_customers": _on_star(io.page_customers),
 }
 
+# The same queries over the dirtied star, where their checks have something to find.
+_DIRTY = {
+    "monthly_revenue": kpis.monthly_revenue,
+    "clean_dedup": lines.dedup_lines,
+    "clean_report": lines.clean_lines_report,
+    "clean_fact": lines.clean_lines,
+    "clean_dimension": lines.clean_products,
+    "dq_not_null": lines.star_null_counts,
+    "dq_duplicate_keys": lines.star_duplicate_keys,
+    "dq_orphans": lines.star_orphans,
+    "explore_customers": lambda s: explorer.explore_customers(s, DASH_FILTER),
+    "explore_products": lambda s: explorer.explore_products(s, DASH_FILTER),
+}
+
+def _on_dirty_star(name: str, fn) -> Query:
+    def run(star: Star) -> DataFrame:
+        df = fn(dirty_star(star))
+        return df.select(*[F.col(c).cast("string").alias(c) if c in TEXT_COLUMNS.get(name, []) else F.col(c)
+                           for c in df.columns])
+    return _on_star(run)
+
+
+QUERIES.update({f"dirty_{name}": _on_dirty_star(name, fn) for name, fn in _DIRTY.items()})
+
 QUERIES = {name: _registered(q) for name, q in QUERIES.items()}

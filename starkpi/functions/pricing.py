@@ -29,10 +29,10 @@ def line_profit(sales, quantity, unit_cost) -> Column:
 
 
 def ship_date(order_date, lag_days) -> Column:
-    """Order date plus a lag in days; an unparsable order date gives NULL
-    here and the caller keeps the order date (``coalesce``)."""
-    d = F.try_to_date(_c(order_date).cast("string"))
-    return F.coalesce(F.date_add(d, _c(lag_days).cast("int")), d)
+    """Order date plus a lag in days, as ISO text; the order date as it is where
+    it cannot be read as a date or the lag is NULL."""
+    text = _c(order_date).cast("string")
+    return F.coalesce(F.date_add(F.try_to_date(text), _c(lag_days).cast("int")).cast("string"), text)
 
 
 def ship_lag_days(order_date, ship) -> Column:

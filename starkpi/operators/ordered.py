@@ -18,11 +18,12 @@ value.  Rows are counted per distinct value (partial aggregation collapses a
 value shared by millions of rows into one row), the running count runs over
 those unique values, and the ranks join back on the value.
 
-Two passes: an exact distributed rank needs its input twice (bucket sizes,
-then the ranks), and Catalyst prunes the copies differently, so exchange
-reuse cannot be relied on.  The input -- already aggregated, one row per
-group -- is therefore checkpointed once into the shared checkpoint folder
-(``spark.checkpoint.dir``); the facts behind it are scanned once.
+An exact distributed rank needs its input several times (bounds, bucket
+sizes, the ranks).  ``shared`` gives it one shuffle that all uses read: the
+columns travel as one value, so Catalyst cannot prune the copies differently
+and reuses the exchange; the facts behind it are scanned once.  Everything is
+lazy -- no job runs while a plan is built -- so a view over a rank follows its
+tables.
 """
 
 from __future__ import annotations
@@ -35,12 +36,17 @@ _BUCKET = "__bucket"
 _KEY = "__key"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and cut its lineage
-    (reliable ``checkpoint``, never ``localCheckpoint``)."""
-    from starkpi.session import checkpoint_root
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def shared(df: DataFrame) -> DataFrame:
+    """``df`` behind a shuffle that every later use of it reads again.  The rows
+    are dealt evenly, as one array column that no optimizer rule looks into."""
+    packed = df.select(F.array(F.struct(*df.columns)).alias("__row")).repartition(F.col("__row"))
+    return packed.select(*[F.col("__row")[0][c].alias(c) for c in df.columns])
+
+
+def range_count(df: DataFrame) -> int:
+    """Ranges of a running total: as many as the session's shuffles have
+    partitions, which a deployment sizes by its data (``recommended_conf``)."""
+    return max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _order_key(order: list[tuple[str, bool]]) -> Column:
@@ -58,12 +64,13 @@ def _order_key(order: list[tuple[str, bool]]) -> Column:
 
 def _bucketed(df: DataFrame, order: list[tuple[str, bool]], n_buckets: int,
               oversample: int = 32, seed: int = 17) -> DataFrame:
+    """``df`` with its order key and range number."""
     keyed = df.withColumn(_KEY, _order_key(order))
     if len(order) == 1 and isinstance(df.schema[order[0][0]].dataType, NumericType):
         # one numeric key: its approximate quantiles (one aggregate) are the bounds
         k = F.col(f"{_KEY}.k0").cast("double")
         probs = [i / n_buckets for i in range(1, n_buckets)]
-        bounds = keyed.select(F.percentile_approx(k, probs, 10_000)).scalar()
+        bounds = keyed.select(F.percentile_approx(k, probs, max(10_000, 20 * n_buckets))).scalar()
         below = F.array_position(F.sort_array(F.concat(bounds, F.array(k))), k) - 1
         # NULL keys sort last when descending, first when ascending
         null_bucket = len(probs) if order[0][1] else 0
@@ -81,13 +88,13 @@ def _bucketed(df: DataFrame, order: list[tuple[str, bool]], n_buckets: int,
 
 
 def running_sums(df: DataFrame, order: list[tuple[str, bool]], sums: dict[str, str],
-                 n_buckets: int = 64) -> DataFrame:
+                 n_buckets: int | None = None) -> DataFrame:
     """For each ``out -> src`` in ``sums`` add the running (inclusive) sum of
     ``src`` in ``order`` = [(column, descending?), ...], which must be a
-    total order (unique keys).  ``df`` should be materialised by the caller
+    total order (unique keys).  ``df`` should be ``shared`` by the caller
     when it is expensive to recompute.  NULL values are skipped, as by SQL's
     running SUM."""
-    b = _bucketed(df, order, n_buckets)
+    b = _bucketed(df, order, n_buckets or range_count(df))
     per_bucket = b.groupBy(_BUCKET).agg(*[F.sum(src).alias(f"s_{out}") for out, src in sums.items()])
     types = {out: per_bucket.schema[f"s_{out}"].dataType for out in sums}
     # One row per bucket (bounded): collect them in one aggregate, derive each
@@ -118,16 +125,16 @@ def running_sums(df: DataFrame, order: list[tuple[str, bool]], sums: dict[str, s
 
 
 def rank_desc(df: DataFrame, value_col: str, tie_cols: list[str], rank_col: str,
-              running: dict[str, str] | None = None, n_buckets: int = 64,
-              materialized: bool = False) -> DataFrame:
+              running: dict[str, str] | None = None, n_buckets: int | None = None,
+              already_shared: bool = False) -> DataFrame:
     """Add ``rank_col`` = RANK() OVER (ORDER BY value_col DESC) and, for each
     ``out -> src`` in ``running``, the running sum of ``src`` in the order
     (value_col DESC, *tie_cols) with rows-frame semantics.
 
     ``value_col`` must be numeric; ``tie_cols`` must make the order total
     for running sums to be defined."""
-    if not materialized:
-        df = materialize(df)
+    if not already_shared:
+        df = shared(df)
     counts = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("__cnt"))
     ranks = running_sums(counts, [(value_col, True)], {"__cum": "__cnt"}, n_buckets).select(
         value_col, (F.col("__cum") - F.col("__cnt") + 1).cast("int").alias(rank_col))
@@ -138,6 +145,20 @@ def rank_desc(df: DataFrame, value_col: str, tie_cols: list[str], rank_col: str,
     return out
 
 
+def rank_of(df: DataFrame, value_col: str, some: DataFrame, rank_col: str) -> DataFrame:
+    """``some`` (a bounded number of rows of ``df``) with RANK() OVER (ORDER BY
+    value_col DESC) among all rows of ``df``: every row adds one to the ranks
+    of the smaller values among ``some``, in one aggregate over ``df``."""
+    values = some.agg(F.collect_set(value_col)).scalar()
+    beside = df.select(F.col(value_col), values.alias("__values"))
+    larger = beside.select(F.explode(F.filter("__values", lambda v: F.col(value_col) > v)).alias("__v")) \
+        .groupBy("__v").agg(F.count(F.lit(1)).alias("__larger"))
+    out = some.join(larger, some[value_col].eqNullSafe(larger["__v"]), "left")
+    n_values = df.agg(F.count(value_col)).scalar()
+    larger_than = F.when(F.col(value_col).isNull(), n_values).otherwise(F.coalesce("__larger", F.lit(0)))
+    return out.withColumn(rank_col, (larger_than + 1).cast("int")).drop("__v", "__larger")
+
+
 def top_k(df: DataFrame, k: int, order: list[Column]) -> DataFrame:
     """First ``k`` rows in ``order`` (planned as TakeOrderedAndProject: each
     partition keeps its own top k, only k rows per partition move)."""

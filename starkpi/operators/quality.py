@@ -22,11 +22,12 @@ def null_counts(df: DataFrame, table: str, cols: list[str] | None = None) -> Dat
 
 
 def duplicate_keys(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
-    """Keys that occur more than once, with their number of copies.  The
-    key is rendered as text (``a|b``) so tables with different keys union."""
-    key_text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    return (df.groupBy(key_text.alias("key_value")).agg(F.count(F.lit(1)).alias("copies"))
-            .filter(F.col("copies") > 1).select(F.lit(table).alias("table_name"), "key_value", "copies"))
+    """Keys that occur more than once, with their number of copies.  Keys are
+    compared as they are (NULLs are equal) and only then rendered as text
+    (``a|b``, NULL as such), so that tables with different keys union."""
+    key_text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
+            .select(F.lit(table).alias("table_name"), key_text.alias("key_value"), "copies"))
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
@@ -62,8 +63,9 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
 
 
 def assert_clean(report: DataFrame, count_col: str) -> None:
-    """Raise if any row of a report has a positive count (one small
-    aggregate is collected: the number of breaching rows)."""
-    breaches = report.filter(F.col(count_col) > 0).limit(20).collect()
-    if breaches:
-        raise ValueError(f"data-quality breach: {[r.asDict() for r in breaches]}")
+    """Raise if any row of a report has a positive count; the text gives the number
+    of such rows and, as examples, up to 20 of them."""
+    bad = report.filter(F.col(count_col) > 0)
+    examples = bad.limit(20).collect()
+    if examples:
+        raise ValueError(f"data-quality breach in {bad.count()} rows, such as {[r.asDict() for r in examples]}")

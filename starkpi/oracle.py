@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from starkpi.functions.numeric import sql_pct as _pct
 from starkpi.functions.numeric import sql_ratio as _ratio
+from starkpi.plans import dirty
 
 STAR_CTES = """
 product AS (
@@ -280,8 +281,9 @@ _NULL_SQL = "\nUNION ALL\n".join(
 _DUP_KEYS = {"fact_sales": ["order_id", "line_number"], "dim_product": ["product_id"],
              "dim_customer": ["customer_id"], "dim_date": ["date_id"]}
 _DUP_SQL = "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, concat_ws('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in ks)}) AS key_value, "
-    f"COUNT(*) AS copies FROM {_TABLE_COLS[t][0]} GROUP BY 2 HAVING COUNT(*) > 1"
+    f"SELECT '{t}' AS table_name, "
+    f"concat_ws('|', {', '.join(f"COALESCE(CAST({k} AS VARCHAR), 'NULL')" for k in ks)}) AS key_value, "
+    f"COUNT(*) AS copies FROM {_TABLE_COLS[t][0]} GROUP BY {', '.join(ks)} HAVING COUNT(*) > 1"
     for t, ks in _DUP_KEYS.items())
 
 _ORPHAN_SQL = "\nUNION ALL\n".join(
@@ -399,3 +401,52 @@ DATE_COLUMNS = {
 for _name, _cols in DATE_COLUMNS.items():
     _repl = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _cols)
     ORACLE[_name] = f"SELECT * REPLACE ({_repl}) FROM (\n{ORACLE[_name]}\n) AS q"
+
+# ---- the same queries over the dirtied star (plans.dirty) -------------------
+
+_RAW = STAR_CTES.strip()
+
+def _dirty_ctes() -> str:
+    raw = _RAW
+    for name in ("product", "cust", "fact", "dim_date"):
+        raw = raw.replace(f"{name} AS (", f"{name}_raw AS (", 1)
+    raw = raw.replace("JOIN product p", "JOIN product_raw p")
+
+    def hit(col, rule):
+        return f"{col} % {rule[0]} = {rule[1]}"
+
+    def dim(name, key, label, rest):
+        parts = [f"SELECT {key}, {label}, {rest} FROM {name}_raw"]
+        for rule, new_key, prefix in ((dirty.UNSOLD, f"{key} + {dirty.UNSOLD_SHIFT}", "IDLE "), (dirty.TWICE, key, "COPY "),
+                                      (dirty.NO_KEY, "NULL", "LOST ")):
+            parts.append(f"SELECT CAST({new_key} AS BIGINT), '{prefix}' || {label}, {rest} FROM {name}_raw WHERE {hit(key, rule)}")
+        return f"{name} AS (" + " UNION ALL ".join(parts) + ")"
+
+    def null_if(col, rule, value=None):
+        return f"CASE WHEN {hit('order_id', rule)} THEN NULL ELSE {value or col} END AS {col}"
+
+    def shifted(col, rule):
+        return f"CASE WHEN {hit('order_id', rule)} THEN {col} + {dirty.ORPHAN_SHIFT} ELSE {col} END"
+
+    return raw + f""",
+{dim("product", "product_id", "product_name", "category, sub_category, unit_cost")},
+{dim("cust", "customer_id", "customer_name", "segment, country, region")},
+dim_date AS (SELECT * FROM dim_date_raw WHERE date_id < DATE '{dirty.CALENDAR_END}'),
+fact_changed AS (SELECT * REPLACE (
+  {null_if("line_number", dirty.NULL_LINE_NUMBER)},
+  {null_if("product_id", dirty.NULL_PRODUCT, shifted("product_id", dirty.ORPHAN_PRODUCT))},
+  {null_if("customer_id", dirty.NULL_CUSTOMER, shifted("customer_id", dirty.ORPHAN_CUSTOMER))},
+  CASE WHEN {hit("order_id", dirty.ZERO_QUANTITY)} THEN 0 ELSE quantity END AS quantity,
+  {null_if("unit_price", dirty.NULL_PRICE)},
+  {null_if("discount", dirty.NULL_DISCOUNT)}) FROM fact_raw),
+fact AS (SELECT * FROM fact_changed UNION ALL
+         SELECT * REPLACE (quantity + 1 AS quantity) FROM fact_changed WHERE {hit("order_id", dirty.SECOND_COPY)})"""
+
+
+for _name in ("monthly_revenue", "clean_dedup", "clean_report", "clean_fact", "clean_dimension", "dq_not_null",
+              "dq_duplicate_keys", "dq_orphans", "explore_customers", "explore_products"):
+    # orphans are looked for among the facts themselves
+    ORACLE[f"dirty_{_name}"] = ORACLE[_name].replace(_RAW, _dirty_ctes()).replace("FROM lines l WHERE", "FROM fact l WHERE")
+    if _name in dirty.TEXT_COLUMNS:
+        _repl = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in dirty.TEXT_COLUMNS[_name])
+        ORACLE[f"dirty_{_name}"] = f"SELECT * REPLACE ({_repl}) FROM (\n{ORACLE[f'dirty_{_name}']}\n) AS q"

@@ -11,18 +11,26 @@ import datetime as _dt
 import time
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starkpi.operators.clean import clean_dimension, clean_fact
-from starkpi.plans.layout import month_sorted
+from starkpi.plans.layout import fact_writer
 from starkpi.sources import io
-from starkpi.sources.star import FACT_COLUMNS, Star
+from starkpi.sources.star import FACT_COLUMNS, LINE_ORDER, Star
 
-# Line identity of test-data facts (unique there); a CSV source with a
-# surrogate key uses ["line_id"].
-TESTDATA_LINE_KEY = ["order_id", "line_number", "product_id", "supplier_id", "ship_date",
-                     "quantity", "sales_amount"]
+# Line identity of test-data facts, which have no surrogate key (unique there).
+TESTDATA_LINE_KEY = list(LINE_ORDER)
+
+
+def line_key_of(star: Star, line_key: list[str] | None = None) -> list[str]:
+    """The columns that identify a fact line: those given, the star's own, or the
+    source's surrogate key.  There is no other default: de-duplicating by a key
+    that is not one would delete valid lines."""
+    key = list(line_key or star.line_key or (["line_id"] if "line_id" in star.fact.columns else []))
+    if not key:
+        raise ValueError("the fact has no line_id: name the columns that identify a line (line_key)")
+    return key
 
 
 def clean_star(star: Star, line_key: list[str]) -> Star:
@@ -92,22 +100,10 @@ def load_star(star: Star, root: str, layout: str = "by_month") -> dict:
         for name, fut in futures.items():
             report[name] = fut.result()
     t0 = time.perf_counter()
-    obs_rows = _write_fact_observed(star.fact, f"{root}/fact_sales", layout)
-    report["fact_sales"] = {"table": "fact_sales", "rows": obs_rows, "seconds": time.perf_counter() - t0}
-    return report
-
-
-def _write_fact_observed(fact: DataFrame, path: str, layout: str) -> int:
-    """Write the fact and return its row count, observed on the written rows
-    (no second pass)."""
-    from pyspark.sql import Observation
     obs = Observation("fact_rows")
-    if layout == "by_month":
-        (month_sorted(fact).observe(obs, F.count(F.lit(1)).alias("rows"))
-         .write.mode("overwrite").partitionBy("order_month").parquet(path))
-    else:
-        fact.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return obs.get["rows"]
+    fact_writer(star.fact, layout, observation=obs).parquet(f"{root}/fact_sales")
+    report["fact_sales"] = {"table": "fact_sales", "rows": obs.get["rows"], "seconds": time.perf_counter() - t0}
+    return report
 
 
 def run_pipeline(spark: SparkSession, star: Star, root: str, layout: str = "by_month",
@@ -120,13 +116,18 @@ def run_pipeline(spark: SparkSession, star: Star, root: str, layout: str = "by_m
     and the view names (the star is re-read from ``root``).  With
     ``enforce`` the source system's constraints (required columns, primary
     keys, foreign keys) are checked on the cleaned star first and a breach
-    raises before anything is written; it costs extra passes over the facts.  The product
-    performance view is materialised when registered (its distributed rank
-    checkpoints the per-product totals); the other views stay lazy."""
+    raises before anything is written; it costs extra passes over the facts.  Values of
+    CSV sources that cannot be read as their column's type are reported under
+    ``cast_failures`` (at most a row per column), with ``enforce`` they raise too.  Lines
+    are identified by ``line_key_of``.  All views are lazy."""
     t0 = time.perf_counter()
-    cleaned = clean_star(star, line_key or TESTDATA_LINE_KEY)
+    key = line_key_of(star, line_key)
+    failures = [r.asDict() for r in star.cast_failures.collect()] if star.cast_failures is not None else []
+    if enforce and failures:
+        raise ValueError(f"values that cannot be read as their column's type: {failures}")
+    cleaned = clean_star(star, key)
     if enforce:  # the source system's NOT NULL / PK / FK constraints, checked before any write
-        enforce_constraints(cleaned, line_key or TESTDATA_LINE_KEY)
+        enforce_constraints(cleaned, key)
     report = load_star(cleaned, root, layout)
     total = time.perf_counter() - t0
     t1 = time.perf_counter()
@@ -135,7 +136,8 @@ def run_pipeline(spark: SparkSession, star: Star, root: str, layout: str = "by_m
     views_s = time.perf_counter() - t1
     if log_path:
         io.append_run_log(spark, log_path, _dt.datetime.now(), report["fact_sales"]["rows"], total)
-    return {"tables": report, "total_load_seconds": total, "views_seconds": views_s, "views": views}
+    return {"tables": report, "total_load_seconds": total, "views_seconds": views_s, "views": views,
+            "cast_failures": failures}
 
 
 def load_star_tables(star: Star, prefix: str = "", layout: str = "by_month") -> dict:
@@ -143,17 +145,12 @@ def load_star_tables(star: Star, prefix: str = "", layout: str = "by_month") ->
     ``<prefix>dim_customer``, ``<prefix>dim_date``, ``<prefix>fact_sales``
     (dims first; the fact rebalanced, sorted and partitioned by month).
     Returns rows per table, observed during the writes."""
-    from pyspark.sql import Observation
     report = {}
     for name, df in [("dim_product", star.product), ("dim_customer", star.customer), ("dim_date", star.date)]:
         obs = Observation(f"rows_{name}")
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").saveAsTable(prefix + name)
         report[name] = obs.get["rows"]
     obs = Observation("rows_fact_sales")
-    fact = month_sorted(star.fact) if layout == "by_month" else star.fact
-    w = fact.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    if layout == "by_month":
-        w = w.partitionBy("order_month")
-    w.saveAsTable(prefix + "fact_sales")
+    fact_writer(star.fact, layout, observation=obs).saveAsTable(prefix + "fact_sales")
     report["fact_sales"] = obs.get["rows"]
     return report

@@ -62,18 +62,19 @@ def explore_customers(star: Star, flt: SalesFilter, n: int = 100) -> DataFrame:
     one row of NULL measures: COUNT(DISTINCT), SUM and MAX ignore them where
     a group has sales, and they make a group without sales appear with 0
     orders and NULL amounts, exactly as the left join does."""
-    per_order = star.fact.groupBy("customer_id", "order_id").agg(
-        F.sum("sales_amount").alias("_rev"), F.count("sales_amount").alias("_n"),
-        F.max("order_date").alias("_last"))
-    cust = star.customer
+    fact, cust = star.fact, star.customer
     cp = flt.country_predicate()
-    if cp is not None:
+    if cp is not None:  # facts of other customers need not be summed
         cust = cust.filter(cp)
+        fact = fact.join(cust.select("customer_id"), "customer_id", "left_semi")
+    per_order = fact.groupBy("customer_id", "order_id").agg(
+        F.sum("sales_amount").alias("_rev"), F.count("sales_amount").alias("_n"),
+        F.max("order_date").alias("_last"))
     keys = ["customer_name", "segment", "country"]
     sold = per_order.join(cust, "customer_id").select(*keys, "order_id", "_rev", "_n", "_last")
     everyone = cust.select(
-        *keys, F.lit(None).cast("long").alias("order_id"), F.lit(None).cast(MONEY_SUM).alias("_rev"),
-        F.lit(None).cast("long").alias("_n"), F.lit(None).cast("date").alias("_last"))
+        *keys, F.lit(None).cast(star.fact.schema["order_id"].dataType).alias("order_id"), F.lit(None).cast(MONEY_SUM).alias("_rev"),
+        F.lit(None).cast("long").alias("_n"), F.lit(None).cast(star.fact.schema["order_date"].dataType).alias("_last"))
     g = sold.unionByName(everyone).groupBy(*keys).agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.sum("_rev").alias("_rev"), F.sum("_n").alias("_n"), F.max("_last").alias("last_purchase"))

@@ -14,9 +14,11 @@ sorted by (order_date, product_id) inside files, so
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
+from starkpi.schema import FACT_SALES
+
 LAYOUTS = ("plain", "by_month")
 
 
@@ -24,16 +26,25 @@ def with_order_month(df: DataFrame) -> DataFrame:
     return df.withColumn("order_month", F.trunc("order_date", "month"))
 
 
-def write_fact(df: DataFrame, path: str, layout: str = "by_month",
-               max_records_per_file: int = 5_000_000) -> None:
-    """L1-L3: write the fact in the requested layout (overwrite)."""
+def fact_writer(df: DataFrame, layout: str = "by_month", max_records_per_file: int = 5_000_000,
+                observation: Observation | None = None) -> DataFrameWriter:
+    """L1-L3: the one writer of facts, in the requested layout and the fact table's
+    types (overwrite); ``observation`` counts the rows written as ``rows``."""
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
-    w_opts = {"maxRecordsPerFile": str(max_records_per_file)}
-    if layout == "plain":
-        df.write.mode("overwrite").options(**w_opts).parquet(path)
-        return
-    month_sorted(df).write.mode("overwrite").options(**w_opts).partitionBy("order_month").parquet(path)
+    types = {f.name: f.dataType for f in FACT_SALES.fields}
+    out = df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+    if layout == "by_month":
+        out = month_sorted(out)
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
+    writer = out.write.mode("overwrite").option("maxRecordsPerFile", str(max_records_per_file))
+    return writer.partitionBy("order_month") if layout == "by_month" else writer
+
+
+def write_fact(df: DataFrame, path: str, layout: str = "by_month", **options) -> None:
+    """L1-L3: write the fact below ``path``."""
+    fact_writer(df, layout, **options).parquet(path)
 
 
 def month_sorted(df: DataFrame) -> DataFrame:

@@ -3,9 +3,8 @@
 An entry carries (product_id, customer_id, quantity, sale_date, margin_pct,
 entered_at).  Pricing follows the entry form: unit price = unit cost x 1.5,
 revenue = quantity x unit price, profit = revenue x margin / 100, discount 0.
-The order id is the entry's epoch second (``ORD`` + that number is its label,
-see ``functions.pricing.manual_order_id``); line_id and ship_date are left
-empty, as the form leaves them.
+The order id is ``ORD`` + the entry's epoch second (``functions.pricing.
+manual_order_id``); line_id and ship_date are left empty, as the form leaves them.
 """
 
 from __future__ import annotations
@@ -29,8 +28,7 @@ def manual_sales(entries: DataFrame, product: DataFrame) -> DataFrame:
     rev = manual_revenue("quantity", up)
     margin = F.coalesce(F.col("margin_pct"), F.lit(MANUAL_DEFAULT_MARGIN))
     return j.select(
-        F.unix_timestamp("entered_at").alias("order_id"),
-        manual_order_id("entered_at").alias("order_label"),
+        manual_order_id("entered_at").alias("order_id"),
         F.col("sale_date").alias("order_date"), "customer_id", "product_id",
         F.col("quantity").cast("int").alias("quantity"), up.alias("unit_price"),
         F.lit(0).cast(RATE).alias("discount"), rev.alias("sales_amount"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from starkpi.functions.calendar import month_index
 from starkpi.functions.numeric import money_out, pct
-from starkpi.operators.ordered import materialize, rank_desc
+from starkpi.operators.ordered import rank_desc, shared
 from starkpi.plans.kpis import _PRODUCT_KEYS, _product_totals
 from starkpi.sources.star import Star
 
@@ -27,10 +27,10 @@ def _monthly_exact(star: Star) -> DataFrame:
 def product_pareto(star: Star) -> DataFrame:
     """Products by descending revenue with running revenue and the
     cumulative share of total revenue (ties ordered by name keys)."""
-    totals = materialize(_product_totals(star))
+    totals = shared(_product_totals(star))
     total = totals.select(F.sum("_rev")).scalar()
     ranked = rank_desc(totals, "_rev", _PRODUCT_KEYS, "revenue_rank", running={"_run": "_rev"},
-                       materialized=True)
+                       already_shared=True)
     return ranked.select(*_PRODUCT_KEYS, money_out("_rev").alias("total_revenue"),
                          "revenue_rank", money_out("_run").alias("running_revenue"),
                          pct(F.col("_run"), total).alias("cumulative_pct"))

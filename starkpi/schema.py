@@ -38,7 +38,8 @@ DIM_DATE = StructType([
 
 FACT_SALES = StructType([
     StructField("line_id", LongType(), True),
-    StructField("order_id", LongType(), False),
+    # text, as the source's ids are (ORD-000123, ORD<epoch seconds>)
+    StructField("order_id", StringType(), False),
     StructField("line_number", IntegerType(), True),
     StructField("order_date", DateType(), False),
     StructField("ship_date", DateType(), True),

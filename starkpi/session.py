@@ -45,8 +45,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and streaming state.
 
     On a cluster this is the directory the deployment names in
-    ``spark.checkpoint.dir`` (a shared file system).  Only when it is unset,
-    as in local tests, a fresh scratch directory is created and registered.
+    ``spark.checkpoint.dir`` (a shared file system).  Where it is unset, a
+    session on one machine (``local[...]``) gets a fresh scratch directory;
+    on a cluster, whose machines would not see it, an unset directory raises.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
@@ -55,6 +56,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="starkpi-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -66,19 +69,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), name)
 
 
-def recommended_conf(input_bytes: int, total_cores: int,
-                     advisory_bytes: int = 256 << 20, split_bytes: int = 512 << 20) -> dict[str, str]:
-    """Session settings for a cluster run, derived from the input size.
+def recommended_conf(shuffled_bytes: int, total_cores: int, advisory_bytes: int = 256 << 20,
+                     split_bytes: int = 512 << 20, most_partitions: int = 32_768) -> dict[str, str]:
+    """Session settings for a cluster run, derived from the bytes that its widest
+    shuffle moves (after pruning and partial aggregation, not the input's size).
 
     - scan splits of ``split_bytes`` (Parquet is columnar: a 512 MB split
       reads far less after column pruning);
-    - the initial shuffle width covers the input at ``advisory_bytes`` per
-      partition and at least 3 waves of the cluster's cores; AQE then
-      coalesces small partitions to ``advisory_bytes`` and splits skewed ones;
+    - the initial shuffle width covers those bytes at ``advisory_bytes`` per
+      partition, in whole waves of the cluster's cores (one at least), up to
+      ``most_partitions``: the driver's map status grows with map tasks times
+      partitions.  AQE then coalesces small partitions to ``advisory_bytes`` and
+      splits skewed ones;
     - broadcast joins stay at Spark's default threshold: only dimensions that
       are actually small at run time are broadcast.
     """
-    initial = max(3 * total_cores, -(-input_bytes // advisory_bytes))
+    waves = max(1, -(-shuffled_bytes // (advisory_bytes * total_cores)))
+    initial = min(waves * total_cores, max(most_partitions, total_cores))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -10,9 +10,10 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from starkpi import schema as S
 from starkpi.functions import formatting as fmt
@@ -23,13 +24,13 @@ from starkpi.functions import formatting as fmt
 def read_csv(spark: SparkSession, path: str, struct: StructType, input_order: bool = False) -> DataFrame:
     """CSV with header, UTF-8.  Columns are matched to ``struct`` by header
     name (not position) and converted with ``try_cast``: an unparsable value
-    becomes NULL, to be caught by cleaning.  Columns the file lacks are NULL.
-    No inference pass: every field is read as text first.  With
+    becomes NULL, to be caught by cleaning and counted by ``cast_failures``.
+    Columns the file lacks are NULL.  No inference pass: every field is read as
+    text first.  With
     ``input_order`` an ``_input_order`` column records the file order, for
     "keep the first copy" de-duplication."""
     from starkpi.operators.clean import with_input_order
-    raw = (spark.read.option("header", True).option("encoding", "UTF-8")
-           .option("inferSchema", False).csv(path))
+    raw = _csv_text(spark, path)
     have = set(raw.columns)
     extra = []
     if input_order:
@@ -39,6 +40,42 @@ def read_csv(spark: SparkSession, path: str, struct: StructType, input_order: bo
                          else F.lit(None).cast(f.dataType)).alias(f.name) for f in struct.fields], *extra)
 
 
+def _csv_text(spark: SparkSession, path: str) -> DataFrame:
+    """Every field as text under the first file's header.  Each file's own header is
+    checked against it: a file with other columns or another order fails instead
+    of being mapped by position."""
+    reader = spark.read.option("header", True).option("encoding", "UTF-8")
+    names = reader.option("inferSchema", False).csv(path).columns
+    text = StructType([StructField(c, StringType(), True) for c in names])
+    return reader.option("enforceSchema", False).schema(text).csv(path)
+
+
+def cast_failures(spark: SparkSession, path: str, struct: StructType, table: str = "") -> DataFrame:
+    """(table_name, column_name, failed, example): non-empty values that cannot be
+    read as their column's type, one row per column that has any."""
+    raw = _csv_text(spark, path)
+    typed = [f for f in struct.fields if f.name in raw.columns and not isinstance(f.dataType, StringType)]
+    if not typed:
+        return spark.createDataFrame([], "table_name string, column_name string, failed long, example string")
+
+    def bad(f):
+        return F.when((F.trim(f.name) != "") & F.col(f.name).try_cast(f.dataType).isNull(), F.col(f.name))
+
+    wide = raw.agg(*[F.struct(F.count(bad(f)).alias("failed"), F.min(bad(f)).alias("example")).alias(f.name) for f in typed])
+    each = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.col(f"`{f.name}`").alias("r")) for f in typed])
+    return wide.select(F.explode(each).alias("c")).select(
+        F.lit(table).alias("table_name"), "c.column_name", "c.r.failed", "c.r.example").filter("failed > 0")
+
+
+def star_cast_failures(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """``cast_failures`` of the four source files."""
+    parts = [cast_failures(spark, paths[n], S.FACT_SALES_INPUT if n == "fact_sales" else S.TABLES[n], n) for n in S.LOAD_ORDER]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def read_star_csv(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
     """The four source files of the star, fact read with nullable columns."""
     out = {}
@@ -113,25 +150,30 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.option("header", True).mode("overwrite").csv(path)
 
 
-def _json_array(df: DataFrame):
+def _json_array(df: DataFrame, max_rows: int):
     """A bounded, ordered result as one JSON array string (scalar subquery).
-    Rows are numbered on one partition (the result is bounded), collected
-    with their number and sorted by it, so the array keeps the query order."""
-    one = df.coalesce(1).withColumn("__i", F.monotonically_increasing_id())
+    Rows are numbered on one partition, collected with their number and sorted
+    by it, so the array keeps the query order.  A result beyond ``max_rows`` is
+    an error: one row more than that is all that ever reaches the partition."""
+    one = df.limit(max_rows + 1).coalesce(1).withColumn("__i", F.monotonically_increasing_id())
     arr = F.sort_array(F.collect_list(F.struct("__i", F.struct(*df.columns).alias("r"))))
-    return one.select(F.to_json(arr.getField("r"))).scalar()
+    too_many = F.raise_error(F.lit(f"a dataset of the document has more than {max_rows} rows"))
+    return one.select(F.when(F.size(arr) > max_rows, too_many.cast("string"))
+                      .otherwise(F.to_json(arr.getField("r")))).scalar()
 
 
 def export_document(spark: SparkSession, datasets: dict[str, DataFrame], path: str,
-                    extra_json: dict[str, DataFrame] | None = None) -> None:
-    """One JSON document ``{"name": [rows...], ...}`` written by Spark.
+                    extra_json: dict[str, DataFrame | None] | None = None, max_rows: int = 10_000) -> None:
+    """One JSON document ``{"name": [rows...], ...}`` written by Spark; a
+    dataset of more than ``max_rows`` rows raises (export it as CSV instead).
     ``extra_json`` values are one-row DataFrames whose first column already
-    holds JSON text (e.g. the parsed benchmark object)."""
+    holds JSON text (e.g. the parsed benchmark object), or None for null."""
     parts = []
     for i, (name, df) in enumerate(datasets.items()):
-        parts += [F.lit(("{" if i == 0 else ",") + f'"{name}":'), _json_array(df)]
+        parts += [F.lit(("{" if i == 0 else ",") + f'"{name}":'), _json_array(df, max_rows)]
     for name, df in (extra_json or {}).items():
-        parts += [F.lit(f',"{name}":'), F.coalesce(df.select(df.columns[0]).scalar(), F.lit("null"))]
+        parts += [F.lit(f',"{name}":'), F.lit("null") if df is None
+                  else F.coalesce(df.select(df.columns[0]).scalar(), F.lit("null"))]
     parts.append(F.lit("}"))
     spark.range(1).select(F.concat(*parts).alias("value")).coalesce(1) \
         .write.mode("overwrite").text(path)
@@ -144,33 +186,46 @@ def dashboard_datasets(star) -> dict[str, DataFrame]:
     return {
         "kpi": kpis.kpi_summary(star),
         "monthly": kpis.monthly_revenue(star).orderBy("year", "month"),
-        "products": kpis.product_performance(star).drop("revenue_rank")
-        .orderBy(F.col("total_revenue").desc(), "product_name", "category", "sub_category").limit(50),
+        "products": exported_products(star),
         "categories": kpis.category_performance(star).orderBy(F.col("total_revenue").desc(), "category"),
         "regional": kpis.regional_performance(star).orderBy(F.col("total_revenue").desc(), "country"),
-        "customers": kpis.customer_rfm(star).orderBy(F.col("monetary_value").desc(), "customer_id").limit(200),
+        "customers": exported_customers(star),
     }
 
 
+_PRODUCT_ORDER = ["product_name", "category", "sub_category"]
+
+
+def exported_products(star, n: int = 50) -> DataFrame:
+    """The export's products by revenue, without their rank."""
+    from starkpi.plans import kpis
+    return kpis.product_list(star).orderBy(F.col("total_revenue").desc(), *_PRODUCT_ORDER).limit(n)
+
+
+def exported_customers(star, n: int = 200) -> DataFrame:
+    """The export's customers by revenue."""
+    from starkpi.plans import kpis
+    return kpis.top_customers_rfm(star, n)
+
+
 def export_dashboard(spark: SparkSession, star, path: str, bench_log: str | None = None) -> None:
     """The six dashboard datasets plus the parsed benchmark figures (or
-    null when there is no log) as one JSON document."""
-    extra = {}
+    null when there is no log, or none at its path) as one JSON document."""
+    benchmark = None
     if bench_log is not None:
         b = parse_benchmark_log(spark, bench_log)
-        extra["benchmark"] = b.select(F.to_json(F.struct(*b.columns)))
-    export_document(spark, dashboard_datasets(star), path, extra)
+        benchmark = b.select(F.to_json(F.struct(*b.columns)))
+    export_document(spark, dashboard_datasets(star), path, {"benchmark": benchmark})
 
 
-def page_slices(datasets: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """What the static page shows of the exported datasets: the first 10
-    products and the first 100 customers, in the export's order."""
-    return {
-        "products": datasets["products"].orderBy(
-            F.col("total_revenue").desc(), "product_name", "category", "sub_category").limit(10),
-        "customers": datasets["customers"].orderBy(
-            F.col("monetary_value").desc(), "customer_id").limit(100),
-    }
+def page_products(star) -> DataFrame:
+    """The products that the static page shows of the export."""
+    return exported_products(star, 10)
+
+
+def page_customers(star) -> DataFrame:
+    """The customers that the static page shows of the export."""
+    return exported_customers(star, 100)
 
 
 # ---- S10/S11/S12: run log and benchmark log ---------------------------------
@@ -195,8 +250,15 @@ def write_benchmark_log(spark: SparkSession, path: str, before: dict, after: dic
 
 def parse_benchmark_log(spark: SparkSession, path: str) -> DataFrame:
     """One row (raw, without_avg_ms, with_avg_ms, speedup_pct) per
-    log file.  Lines are matched by label, case-insensitively."""
-    whole = spark.read.text(path, wholetext=True).withColumn("__f", F.input_file_name())
+    log file, no row when there is none.  Lines are matched by label,
+    case-insensitively."""
+    try:
+        text = spark.read.text(path, wholetext=True)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "raw string, without_avg_ms double, with_avg_ms double, speedup_pct double")
+    whole = text.withColumn("__f", F.input_file_name())
     lines = whole.select("__f", F.col("value").alias("raw"),
                          F.explode(F.split("value", "\n")).alias("line"))
     low = F.lower("line")

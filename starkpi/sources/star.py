@@ -11,12 +11,11 @@
 For repeated querying at scale the materialised form is the one to use: the
 large lineitem/orders join is then paid once, at load time.
 
-Join policy: nation, region and the calendar have a proven size bound (25,
-5 and 366-per-year rows) and are broadcast explicitly (a calendar generated
-from the facts' own span is not joined at all, see ``fact_calendar``).  Product and customer
-grow with the data, so they get no hint: Catalyst broadcasts them only below
-``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans from runtime sizes;
-otherwise the joins stay shuffle joins.
+Join policy: no broadcast hints.  Catalyst and AQE broadcast a dimension when
+its known or measured size is below ``spark.sql.autoBroadcastJoinThreshold``
+(nation, region, a calendar); otherwise the joins stay shuffle joins.  A
+calendar generated from the facts' own span is not joined at all, see
+``fact_calendar``.
 """
 
 from __future__ import annotations
@@ -57,8 +56,7 @@ def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = F.broadcast(nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-                      .select("n_nationkey", "n_name", "r_name"))
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name")
     cust = read_table(spark, sf_dir, "customer")
     return cust.join(geo, cust.c_nationkey == geo.n_nationkey).select(
         F.col("c_custkey").cast("long").alias("customer_id"),
@@ -110,6 +108,10 @@ class Star:
     date: DataFrame
     lines: DataFrame | None = None
     calendar_spans_fact: bool = False
+    # columns that identify a fact line; None: line_id, the source's surrogate key
+    line_key: tuple[str, ...] | None = None
+    # values that could not be read as their column's type (CSV sources)
+    cast_failures: DataFrame | None = None
 
     # ---- constructors ---------------------------------------------------
     @classmethod
@@ -123,17 +125,18 @@ class Star:
         orders = read_table(spark, sf_dir, "orders").select("o_orderdate")
         return cls(fact=fact, product=product, customer=customer_dim(spark, sf_dir),
                    date=calendar_covering(orders, "o_orderdate"), lines=lines,
-                   calendar_spans_fact=True)
+                   calendar_spans_fact=True, line_key=tuple(LINE_ORDER))
 
     @classmethod
     def from_csv(cls, spark: SparkSession, paths: dict[str, str]) -> "Star":
         """The star from its four CSV files (keys ``dim_product``,
         ``dim_customer``, ``dim_date``, ``fact_sales``), columns matched by
-        header name, unparsable values NULL.  Not cleaned: see ``plans.etl``."""
-        from starkpi.sources.io import read_star_csv
+        header name, unparsable values NULL and listed in ``cast_failures``.  Not
+        cleaned: see ``plans.etl``."""
+        from starkpi.sources.io import read_star_csv, star_cast_failures
         t = read_star_csv(spark, paths)
         return cls(fact=t["fact_sales"], product=t["dim_product"], customer=t["dim_customer"],
-                   date=t["dim_date"])
+                   date=t["dim_date"], cast_failures=star_cast_failures(spark, paths))
 
     @classmethod
     def from_layout(cls, spark: SparkSession, root: str) -> "Star":
@@ -184,7 +187,7 @@ class Star:
         if self.calendar_spans_fact:
             return self.fact.filter(F.col("order_date").isNotNull()).select(
                 "*", *calendar_fields("order_date"))
-        return self.fact.join(F.broadcast(self.date), F.col("order_date") == F.col("date_id"))
+        return self.fact.join(self.date, F.col("order_date") == F.col("date_id"))
 
     def fact_products(self, fact: DataFrame | None = None) -> DataFrame:
         """Facts inner-joined to products (one product join; profit from
@@ -212,13 +215,18 @@ class Star:
         sum(sales - quantity * cost) = sum(sales) - cost * sum(quantity),
         exact in decimals since each line's profit is a whole-cent value."""
         prod = product if product is not None else self.product
+
+        def wanted(lines):
+            # a restricted product list: lines of other products are not summed
+            return lines if product is None else lines.join(product.select("product_id"), "product_id", "left_semi")
+
         if self.lines is not None:
-            per = self.lines.groupBy("product_id").agg(
+            per = wanted(self.lines).groupBy("product_id").agg(
                 F.sum("sales_amount").alias("_rev"), F.sum("quantity").alias("_qty"),
                 F.count(F.lit(1)).alias("_lines"))
             j = prod.join(per, "product_id", how)
             return j.withColumn("_pro", F.col("_rev") - F.col("unit_cost") * F.col("_qty"))
-        per = self.fact.groupBy("product_id").agg(
+        per = wanted(self.fact).groupBy("product_id").agg(
             F.sum("sales_amount").alias("_rev"), F.sum("profit").alias("_pro"),
             F.sum("quantity").alias("_qty"), F.count(F.lit(1)).alias("_lines"))
         return prod.join(per, "product_id", how)

@@ -2,11 +2,10 @@
 
 T1  New sale files are read as a stream with a fixed schema, cleaned with the
     row-local rules (C2-C4), de-duplicated inside the micro-batch (C1) and
-    against the target (anti join on order_month + line key), then appended.
-    The target is read only in the months the batch touches: that set is
-    bounded by the calendar, so it is collected and applied as a static
-    partition filter (dynamic pruning does not apply to the right side of an
-    anti join).  Replaying a batch after a failure appends nothing twice.
+    against the target, then appended.  A line is new if no line of the target,
+    in whatever month, has its key; NULL keys are equal, as in the batch
+    cleaning.  Only the target's key columns are read for that.  Replaying a
+    batch after a failure appends nothing twice.
 T2  After each append, the daily and category KPIs of the touched months are
     recomputed exactly from the target (distinct order counts included) and
     written with dynamic partition overwrite: work per batch is proportional
@@ -21,7 +20,9 @@ T3  ``trigger(availableNow=True)``: a scheduled run processes everything new
 from __future__ import annotations
 
 import os
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -31,12 +32,14 @@ from starkpi.plans.layout import with_order_month
 from starkpi.session import scratch_path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _target(spark: SparkSession, path: str) -> DataFrame | None:
+    """The target, or None before the first append; any other trouble raises."""
     try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - path not there yet
-        return False
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def touched_months(batch: DataFrame) -> list:
@@ -49,16 +52,15 @@ def _target_months(spark: SparkSession, target: str, months: list) -> DataFrame:
     return spark.read.parquet(target).filter(F.col("order_month").isin(months))
 
 
-def append_new_lines(batch: DataFrame, target: str, key: list[str], order_cols: list[str],
-                     months: list | None = None) -> None:
+def append_new_lines(batch: DataFrame, target: str, key: list[str], order_cols: list[str]) -> None:
     """Clean one micro-batch and append the lines the target does not hold."""
-    spark = batch.sparkSession
     rows = recompute_sales_amount(keep_valid(drop_missing(dedup_first(batch, key, order_cols))))
     rows = with_order_month(rows)
-    if _exists(spark, target):
-        months = months if months is not None else touched_months(rows)
-        have = _target_months(spark, target, months).select("order_month", *key)
-        rows = rows.join(have, ["order_month", *key], "left_anti")
+    held = _target(batch.sparkSession, target)
+    if held is not None:
+        held = held.select(*[F.col(k).alias(f"__{k}") for k in key])
+        same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(held[f"__{k}"]) for k in key])
+        rows = rows.join(held, same, "left_anti")
     rows.write.mode("append").partitionBy("order_month").parquet(target)
 
 
@@ -102,7 +104,7 @@ def start_ingest(spark: SparkSession, source_dir: str, schema: StructType, targe
         batch = batch.persist()  # read twice below; recomputable from the source files
         try:
             months = touched_months(batch)
-            append_new_lines(batch, target, key, order_cols, months)
+            append_new_lines(batch, target, key, order_cols)
             if kpi_path is not None and product is not None and months:
                 refresh_daily_kpis(batch.sparkSession, target, kpi_path, months, product)
         finally:

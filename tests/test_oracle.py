@@ -11,10 +11,11 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 
 import __spark_entry__ as entry  # noqa: E402
+from starkpi.catalog import QUERIES  # noqa: E402
 from compare_oracle import TABLES, _norm  # noqa: E402
 from tests.conftest import SF_SMALL  # noqa: E402
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +29,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

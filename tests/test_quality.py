@@ -36,6 +36,19 @@ def test_null_counts_and_duplicates(spark):
     quality.assert_clean(quality.null_counts(df.dropna(), "t"), "null_count")
 
 
+def test_duplicate_keys_compare_real_values(spark):
+    df = spark.createDataFrame([(5, None, "x|y", "z"), (None, 5, "x", "y|z"), (None, 5, "q", "q")],
+                               "a long, b long, c string, d string")
+    assert [(r["key_value"], r["copies"]) for r in quality.duplicate_keys(df, "t", ["a", "b"]).collect()] == [("NULL|5", 2)]
+    assert quality.duplicate_keys(df, "t", ["c", "d"]).collect() == []
+
+
+def test_breaches_are_counted(spark):
+    report = spark.range(30).selectExpr("id", "1 AS copies")
+    with pytest.raises(ValueError, match="30 rows"):
+        quality.assert_clean(report, "copies")
+
+
 def test_duplicate_fact_keys_in_star(spark):
     s = small_star(spark, [line(1, 1, 1, 1, "2024-01-05", 1, 10, 0, 10, 1),
                            line(1, 1, 2, 1, "2024-01-05", 1, 10, 0, 10, 1),
