@@ -3,13 +3,12 @@
 Encoding: a text is cut into pieces by the vocabulary's pattern; every piece not met lately
 becomes a word of token-position rows.  One recursive query per batch joins neighbouring
 tokens with the merge table, contracts each word's leftmost pair of minimum rank, and goes
-on until no pair of any word is left in the table.  Decoding: ids are cut before tokens
-that begin with white space; each unseen segment's token-position rows join the vocabulary
-and an ordered aggregation puts their bytes together.
+on until no pair of any word is left in the table.  Decoding: token-position rows join the
+vocabulary and an ordered aggregation per text puts their bytes together.
 
 Everything happens inside map tasks, without a shuffle: a task holds one Arrow batch, a
-slice of it being cut into pieces, and two caches bounded by ``cache_entries`` that only
-save work (a dropped entry is computed again).  The vocabulary file is read once on the
+slice of it being cut into pieces, and a cache of pieces bounded by ``cache_entries`` that
+only saves work (a dropped entry is computed again).  The vocabulary file is read once on the
 driver and broadcast; it has a fixed size (under 1 MB).
 
 NULL and empty texts have no ids and decode to no bytes; NULL id arrays decode like empty
@@ -41,6 +40,7 @@ _LATIN_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\
 _CUT = re.compile(r"(?<=[^\s]) (?=[^\s])")
 _SLICE = 1 << 20
 _TOGETHER = 1 << 23
+_CHUNK = 1 << 18  # bytes of ids decoded as one group, at most
 
 _ENCODE = """
 with recursive words(w, l) as (
@@ -100,8 +100,8 @@ def pieces(text: str, pattern: str = PATTERN) -> Iterator[list[str]]:
 
 
 class Codec:
-    """Encoder and decoder of one worker: a DuckDB connection with the merge table and
-    the vocabulary, and the two caches."""
+    """Encoder and decoder of one worker: a DuckDB connection with the merge table and the
+    vocabulary, and a cache of encoded pieces."""
 
     _held: dict[int, Codec] = {}
 
@@ -109,7 +109,6 @@ class Codec:
         import duckdb
         self.ranks, self.pattern, self.limit = ranks, pattern, cache_entries
         self.encoded: dict[str, bytes] = {}
-        self.decoded: dict[bytes, bytes] = {}
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         pair, rank = [], []
         for token, r in ranks.items():
@@ -126,9 +125,6 @@ class Codec:
             self.con.execute(f"create table {name} as select * from given")
             self.con.unregister("given")
         self.byte_id = np.array([ranks.get(bytes([i]), -1) for i in range(256)], dtype=np.int32)
-        self.opens = np.zeros(max(ranks.values()) + 1, dtype=bool)
-        for token, r in ranks.items():
-            self.opens[r] = token[:1].isspace()
 
     @classmethod
     def of(cls, data: bytes, pattern: str = PATTERN, cache_entries: int = 300_000) -> Codec:
@@ -139,8 +135,8 @@ class Codec:
             cls._held[key] = cls(read_ranks(data), pattern, cache_entries)
         return cls._held[key]
 
-    def _query(self, sql: str, column: str, buffers: list[bytes]) -> pa.ChunkedArray:
-        fresh = pa.table({column: pa.array(np.arange(len(buffers), dtype=np.int32)), "l": _lists(buffers)})
+    def _query(self, sql: str, column: str, lists: pa.Array) -> pa.ChunkedArray:
+        fresh = pa.table({column: pa.array(np.arange(len(lists), dtype=np.int32)), "l": lists})
         self.con.register("fresh", fresh)
         try:
             return self.con.sql(sql).to_arrow_table().column(1)
@@ -149,17 +145,20 @@ class Codec:
 
     def _learn(self, fresh: list[str]) -> None:
         """Encode the pieces ``fresh`` into the cache."""
-        unmerged = []
+        unmerged, raws = [], []
         for p in fresh:
             raw = p.encode()
             if (r := self.ranks.get(raw)) is not None:
                 self.encoded[p] = r.to_bytes(4, "little")
             else:
-                unmerged.append((p, raw))
-        for at in range(0, len(unmerged), 100_000):
-            some = unmerged[at:at + 100_000]
-            start = [self.byte_id[np.frombuffer(raw, dtype=np.uint8)].astype("<i4").tobytes() for _, raw in some]
-            self.encoded.update(zip((p for p, _ in some), _flat(self._query(_ENCODE, "w", start))))
+                unmerged.append(p)
+                raws.append(raw)
+        for at in range(0, len(raws), 100_000):
+            some = raws[at:at + 100_000]
+            ends = np.zeros(len(some) + 1, dtype=np.int32)
+            np.cumsum([len(r) for r in some], out=ends[1:])
+            start = pa.ListArray.from_arrays(pa.array(ends), pa.array(self.byte_id[np.frombuffer(b"".join(some), np.uint8)]))
+            self.encoded.update(zip(unmerged[at:at + 100_000], _flat(self._query(_ENCODE, "w", start))))
 
     def _ids(self, parts: list[list[str]]) -> list[bytes]:
         met = set().union(*parts)
@@ -180,21 +179,22 @@ class Codec:
         return [b"".join(next(ids) for _ in parts) for parts in cut]
 
     def decode(self, rows: list[bytes]) -> list[bytes]:
-        """The bytes of each row of ids (little-endian int32)."""
-        cut = []
-        for ids in rows:
-            opens = np.flatnonzero(self.opens[np.frombuffer(ids, dtype="<i4")]) * 4
-            edges = [0, *opens.tolist(), len(ids)]
-            cut.append([ids[a:b] for a, b in zip(edges, edges[1:]) if a < b])
-        fresh = list({s: None for segments in cut for s in segments if s not in self.decoded})
-        if fresh:
-            if len(self.decoded) + len(fresh) > self.limit:
-                self.decoded.clear()
-                fresh = list({s: None for segments in cut for s in segments})
-            for at in range(0, len(fresh), 100_000):
-                some = fresh[at:at + 100_000]
-                self.decoded.update(zip(some, self._query(_DECODE, "s", some).to_pylist()))
-        return [b"".join(map(self.decoded.__getitem__, segments)) for segments in cut]
+        """The bytes of each row of ids (little-endian int32); long rows go chunk by chunk."""
+        chunks, owner = [], []
+        for i, ids in enumerate(rows):
+            for at in range(0, len(ids), _CHUNK):
+                chunks.append(ids[at:at + _CHUNK])
+                owner.append(i)
+        out: list[list[bytes]] = [[] for _ in rows]
+        sizes = np.cumsum([0, *map(len, chunks)])
+        at = 0
+        while at < len(chunks):  # as many chunks at once as hold a bounded number of ids
+            stop = max(at + 1, int(np.searchsorted(sizes, sizes[at] + 8 * _CHUNK, "right")) - 1)
+            found = self._query(_DECODE, "s", _lists(chunks[at:stop])).to_pylist()
+            for i, part in zip(owner[at:stop], found, strict=True):
+                out[i].append(part)
+            at = stop
+        return [b"".join(parts) for parts in out]
 
 
 def _slices(column: pa.Array, limit: int = 1 << 22) -> Iterator[tuple[int, list]]:
@@ -253,13 +253,12 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     return _mapped(docs, id_col, text_col, run, "ids array<int>")
 
 
-def decode(coded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids",
-           cache_entries: int = 300_000) -> DataFrame:
+def decode(coded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(``id_col``, decoded binary) per row of ids."""
     data = _vocabulary(coded, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec.of(data.value, PATTERN, cache_entries)
+        codec = Codec.of(data.value)
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 some = b.slice(at, 256)
