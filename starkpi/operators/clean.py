@@ -3,17 +3,19 @@
 Order matters and is kept: de-duplication runs first, so a bad first copy
 of a line hides a good second copy (both disappear).
 
-De-duplication keeps the *first* row per key.  It is an aggregate, not a
-window: ``min(struct(order..., row))`` per key is computed partially on
-every map partition before the shuffle, so a key holding a third of all
-rows costs one row per partition downstream instead of one giant sorted
-window partition.  NULL keys form one group (they compare equal, as in the
-source system).
+De-duplication keeps the *first* row per key: ``row_number() = 1`` in a window
+per key, which Spark limits to one row per key on every map partition before
+the shuffle (WindowGroupLimit), so a key holding a third of all rows costs
+one row per partition downstream.  Both sides sort their rows by the key.
+Measured at sf0.1 against ``min(struct(order..., row))``, which can only be a
+sort aggregate, the window takes 2.4-2.6 s where the aggregate takes 3.0-3.8 s;
+the aggregate remains where the copies are counted too.  NULL keys form one
+group (they compare equal, as in the source system).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starkpi.functions.pricing import sales_amount
@@ -36,12 +38,14 @@ def dedup_first(df: DataFrame, keys: list[str], order_cols: list[str],
     the number of input rows of each key is added."""
     cols = df.columns
     rest = [c for c in cols if c not in keys]
+    if copies_col is None:
+        first = Window.partitionBy(*keys).orderBy(*order_cols, *[c for c in rest if c not in order_cols])
+        return df.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
     order = [F.col(c).alias(f"__o{i}") for i, c in enumerate(order_cols)]
     best = F.min(F.struct(*order, F.struct(*[F.col(c) for c in rest]).alias("__row")))
-    aggs = [best.alias("__best")] + ([F.count(F.lit(1)).alias(copies_col)] if copies_col else [])
-    picked = df.groupBy(*[F.col(k) for k in keys]).agg(*aggs)
+    picked = df.groupBy(*keys).agg(best.alias("__best"), F.count(F.lit(1)).alias(copies_col))
     out = [F.col(k) if k in keys else F.col(f"__best.__row.{k}").alias(k) for k in cols]
-    return picked.select(*out, *([F.col(copies_col)] if copies_col else []))
+    return picked.select(*out, copies_col)
 
 
 def drop_missing(df: DataFrame, cols: list[str] = FACT_REQUIRED) -> DataFrame:
