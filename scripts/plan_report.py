@@ -70,8 +70,9 @@ def main():
             df.explain()
         s = summarise(final_sections(buf.getvalue()))
         print(f"| {name} | " + " | ".join(str(s[c]) for c in cols) + " |", flush=True)
-    print("\nReading notes: unique plan lines are counted. A query that reads the raw facts scans them once; the "
-          "distributed rank reads its aggregate several times through reused exchanges. Broadcasts are sides that "
+    print("\nReading notes: unique plan lines are counted. A query that reads the raw facts scans them once (0: "
+          "below an exchange that the final plan shows only as reused; 2: the dirtied star's union, one side pruned "
+          "to its copies); the distributed rank reads its aggregate several times through reused exchanges. Broadcasts are sides that "
           "Catalyst or AQE measured as small, none is hinted. windows counts partitioned windows (by line key, rank "
           "bucket, month) and bounded ones (one row per month, category or country, the first n rows).")
 
