@@ -6,6 +6,7 @@ import os
 import tempfile
 import zipfile
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -91,3 +92,21 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
 def _digest(e: DataFrame) -> tuple:
     row = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return row[0], row[1]
+
+
+def smallest_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Within a task: the smallest point connected to each of n points by links a-b."""
+    root = np.arange(n)
+    while len(a):
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        while not np.array_equal(new, step := new[new]):
+            new = step
+        if np.array_equal(new, root):
+            break
+        root = new[root]
+        keep = root[a] != root[b]
+        a, b = a[keep], b[keep]
+    return root

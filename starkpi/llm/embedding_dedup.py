@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starkpi.llm.common import components, map_arrow, materialize
+from starkpi.llm.common import components, map_arrow, materialize, smallest_of
 
 # Above this cosine of half the threshold's angle a pair counts as inside the core; the
 # margin keeps rounding from calling a pair a link that direct comparison would not.
@@ -106,7 +106,8 @@ def _neighbours(x: np.ndarray, group: np.ndarray, window: int, threshold: float)
 
 
 def window_links(sorted_rows: DataFrame, window: int, threshold: float) -> DataFrame:
-    """(a, b) links and, with NULL ``b``, the rows at the ends of each partition.
+    """(a, b) links that connect what the pairs found connect and, with NULL ``b``, the
+    rows at the ends of each partition.
 
     A partition compares its own neighbours; its first and last ``window`` rows go on to be
     compared across the border with those of the next partition."""
@@ -135,9 +136,12 @@ def window_links(sorted_rows: DataFrame, window: int, threshold: float) -> DataF
                     continue
                 i, j = (np.concatenate(z) for z in zip(*found))
                 i, j = i[j >= fresh_from], j[j >= fresh_from]
+                # a spanning star connects what the pairs connect, with a row per vector at most
+                root = smallest_of(len(node), i, j)
+                i = np.flatnonzero(root != np.arange(len(node)))
                 n = len(i)
                 none = [pa.nulls(n, t) for t in (pa.int32(),) * 5]
-                yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j]), *none, pa.nulls(n, pa.list_(pa.float64()))],
+                yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[root[i]]), *none, pa.nulls(n, pa.list_(pa.float64()))],
                                                  names=[c.split()[0] for c in schema.split(", ")])
 
         opening: list[pa.RecordBatch] = []
@@ -183,7 +187,7 @@ def _across(window: int, threshold: float):
 
 
 def pass_links(nodes: DataFrame, threshold: float, window: int, passes: int, seed: int) -> DataFrame:
-    """Distinct links (a, b) between nodes that meet in some pass."""
+    """Distinct links (a, b) that connect all nodes that meet in some pass."""
     spark = nodes.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["dim", "pass", "key", "node"]

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from starkpi.llm.common import components, map_arrow, materialize
+from starkpi.llm.common import components, map_arrow, materialize, smallest_of
 
 _BATCH_ROWS = 1 << 17
 
@@ -154,24 +154,6 @@ def search_forest(fp: np.ndarray, forest: tuple, query: np.ndarray, tree: np.nda
             node = kids[np.arange(len(q)) - np.repeat(np.cumsum(count) - count - start, count)]
 
 
-def _smallest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Connected components of n points under links a-b: the smallest point of each."""
-    root = np.arange(n)
-    while len(a):
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, root[a], low)
-        np.minimum.at(new, root[b], low)
-        while not np.array_equal(new, step := new[new]):
-            new = step
-        if np.array_equal(new, root):
-            break
-        root = new[root]
-        keep = root[a] != root[b]
-        a, b = a[keep], b[keep]
-    return root
-
-
 def _link_shards(shard: np.ndarray, fp: np.ndarray, is_node: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links (fp, fp) of the trees in a batch of whole shards."""
     _, tree = np.unique(shard, return_inverse=True)
@@ -188,7 +170,7 @@ def _link_shards(shard: np.ndarray, fp: np.ndarray, is_node: np.ndarray, radius:
     def fold():
         nonlocal root, held
         a, b = np.concatenate(pend_a), np.concatenate(pend_b)
-        root = _smallest(len(fp), np.concatenate([a, np.arange(len(fp))]), np.concatenate([b, root]))
+        root = smallest_of(len(fp), np.concatenate([a, np.arange(len(fp))]), np.concatenate([b, root]))
         pend_a.clear()
         pend_b.clear()
         held = 0
