@@ -58,6 +58,12 @@ _PAD = int(COUNTS.max())
 # ---- coding -----------------------------------------------------------------
 
 
+def _bit_lengths(x: np.ndarray) -> np.ndarray:
+    if len(x) and x.max() < 1 << 53:  # exact as floating point
+        return np.frexp(x.astype(np.float64))[1].astype(np.uint8)
+    return np.searchsorted(np.uint64(1) << np.arange(64, dtype=np.uint64), x, "right").astype(np.uint8)
+
+
 def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     """(words u64, word offset of each block and the end) of ids (u64).  Every word takes the
     selector that packs the most ids; all blocks advance together, one word at a time."""
@@ -68,22 +74,34 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     x = np.zeros(n_blocks * block, np.uint64)
     x[:len(ids)] = ids
     x = np.pad(x.reshape(n_blocks, block), ((0, 0), (0, _PAD)))
+    # widest[n]: the bits of the widest of the n ids from each position on; powers of two
+    # by doubling, others as the wider of two overlapping windows
+    bits = _bit_lengths(x.ravel())
+    widest = {1: bits}
+    while 2 * (n := max(widest)) <= COUNTS.max():
+        widest[2 * n] = np.maximum(widest[n], np.append(widest[n][n:], np.zeros(n, np.uint8)))
     # the selector at every position: the first, from the most ids on, whose next ids all fit
-    place = np.arange(x.shape[1])
-    selector = np.full(x.shape, ESCAPE, np.uint8)
+    selector = np.full(len(bits), ESCAPE, np.uint8)
     for s in reversed(range(len(COUNTS))):
-        too_wide = np.where(x >> np.uint64(WIDTHS[s]) != 0, place, x.shape[1] + _PAD)
-        first = np.minimum.accumulate(too_wide[:, ::-1], axis=1)[:, ::-1]
-        selector[first - place >= COUNTS[s]] = s
-    step = np.append(COUNTS, [0] * (ESCAPE - len(COUNTS)) + [1])
-    length = np.full(n_blocks, block)
-    length[-1] = len(ids) - block * (n_blocks - 1)
-    starts = np.zeros(x.shape, bool)
-    at, live = np.zeros(n_blocks, np.int64), np.arange(n_blocks)
-    while len(live):
-        starts[live, at[live]] = True
-        at[live] += step[selector[live, at[live]]]
-        live = live[at[live] < length[live]]
+        n = 1 << (int(COUNTS[s]).bit_length() - 1)
+        over = int(COUNTS[s]) - n
+        fits = widest[n] <= WIDTHS[s]
+        if over:
+            fits[:-over] &= widest[n][over:] <= WIDTHS[s]
+        selector[fits] = s
+    step = np.append(COUNTS, [0] * (ESCAPE - len(COUNTS)) + [1])[selector]
+    width = x.shape[1]
+    starts = np.zeros(len(bits), bool)
+    at = np.arange(n_blocks) * width
+    end = at + block
+    end[-1] += len(ids) - block * n_blocks
+    while len(at):
+        starts[at] = True
+        at = at + step[at]
+        live = at < end
+        if not live.all():
+            at, end = at[live], end[live]
+    starts, selector = starts.reshape(x.shape), selector.reshape(x.shape)
     row, col = np.nonzero(starts)
     chosen = selector[row, col]
     size = np.where(chosen == ESCAPE, 2, 1)
@@ -184,16 +202,18 @@ class Words:
     marks word ends, letters are encoded many words at a time and cut behind the marks."""
 
     _held: dict[int, Words] = {}
+    # ASCII marks, all but the apostrophe.
+    _MARKS = b"""!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"""
     _PARTS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
-    def __init__(self, data: bytes, entries: int = 300_000):
+    def __init__(self, data: bytes, entries: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(data.decode())
         self.entries = entries
         self.known: dict[bytes, bytes] = {}
-        self.letters: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {"": b""}
+        self.letters: dict[bytes, bytes] = {}
+        self.marks: dict[bytes, bytes] = {b"": b""}
         mark = json.loads(data)["model"].get("end_of_word_suffix")
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -212,37 +232,43 @@ class Words:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(c.ids, "<u4").tobytes() for c in found]
 
-    def _learn_letters(self, words: list[str], together: int = 100) -> None:
-        if len(self.letters) + len(words) > self.entries:
-            self.letters.clear()
+    def _learn_letters(self, words: list[bytes], together: int = 100) -> None:
         groups = [words[i:i + together] for i in range(0, len(words), together)]
         for at in range(0, len(groups), 100):
             some = groups[at:at + 100]
-            for group, ids in zip(some, self._coded([" ".join(g) for g in some])):
+            for group, ids in zip(some, self._coded([b" ".join(g).decode() for g in some])):
                 cut = 4 * (np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 1)
                 if len(cut) == len(group):
                     self.letters.update((w, ids[a:b]) for w, a, b in zip(group, [0, *cut[:-1].tolist()], cut.tolist()))
                 else:
-                    self.letters.update(zip(group, self._coded(group)))
+                    self.letters.update(zip(group, self._coded([w.decode() for w in group])))
 
     def _learn(self, words: list[bytes]) -> None:
-        parts, rest = [], []
+        whole, letters, marks, rest = [], [], [], []
         for w in words:
-            m = self._PARTS.fullmatch(w.decode())
-            if m:
-                parts.append((w, m[1].lower(), m[2]))
+            core = w.rstrip(self._MARKS)
+            if core.isalpha():  # ASCII letters only
+                whole.append(w)
+                letters.append(core.lower())
+                marks.append(w[len(core):])
+            elif m := self._PARTS.fullmatch(w.decode()):
+                whole.append(w)
+                letters.append(m[1].lower().encode())
+                marks.append(m[2].encode())
             else:
                 rest.append(w)
-        self._learn_letters(list({p for _, p, _ in parts if p not in self.letters}))
-        marks = list({m for _, _, m in parts if m not in self.marks})
-        if len(self.marks) > self.entries:
-            self.marks = {"": b""}
-            marks = list({m for _, _, m in parts if m})
-        self.marks.update(zip(marks, self._coded(marks)))
-        lost = list({p for _, p, _ in parts if p not in self.letters})  # to a cleared cache
-        if lost:
-            self._learn_letters(lost)
-        self.known.update((w, self.letters[p] + self.marks[m]) for w, p, m in parts)
+        if fresh := [x for x in dict.fromkeys(letters) if x not in self.letters]:
+            if len(self.letters) + len(fresh) > self.entries:
+                self.letters.clear()
+                fresh = list(dict.fromkeys(letters))
+            self._learn_letters(fresh)
+        if fresh := [x for x in dict.fromkeys(marks) if x not in self.marks]:
+            if len(self.marks) + len(fresh) > self.entries:
+                self.marks = {b"": b""}
+                fresh = [x for x in dict.fromkeys(marks) if x]
+            self.marks.update(zip(fresh, self._coded([x.decode() for x in fresh])))
+        first, last = self.letters, self.marks
+        self.known.update((w, first[x] + last[m]) for w, x, m in zip(whole, letters, marks))
         self.known.update(zip(rest, self._coded([w.decode() for w in rest])))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
