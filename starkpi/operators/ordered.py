@@ -46,7 +46,7 @@ def shared(df: DataFrame) -> DataFrame:
 def range_count(df: DataFrame) -> int:
     """Ranges of a running total: as many as the session's shuffles have
     partitions, which a deployment sizes by its data (``recommended_conf``)."""
-    return max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _order_key(order: list[tuple[str, bool]]) -> Column:
