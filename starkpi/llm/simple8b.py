@@ -64,13 +64,20 @@ def _bit_lengths(x: np.ndarray) -> np.ndarray:
     return np.searchsorted(np.uint64(1) << np.arange(64, dtype=np.uint64), x, "right").astype(np.uint8)
 
 
-def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
-    """(words u64, word offset of each block and the end) of ids (u64).  Every word takes the
-    selector that packs the most ids; all blocks advance together, one word at a time."""
-    ids = ids.astype(np.uint64)
+def pack(ids: np.ndarray, block: int = BLOCK, together: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+    """(words u64, word offset of each block and the end) of ids, ``together`` blocks at a time."""
+    words, sizes = [np.zeros(0, np.uint64)], [np.zeros(1, np.uint64)]
+    for at in range(0, len(ids), together * block):
+        some, per_block = _pack_blocks(ids[at:at + together * block].astype(np.uint64), block)
+        words.append(some)
+        sizes.append(per_block)
+    return np.concatenate(words), np.cumsum(np.concatenate(sizes)).astype(np.uint64)
+
+
+def _pack_blocks(ids: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """(words, words of each block).  Every word takes the selector that packs the most ids;
+    all blocks advance together, one word at a time."""
     n_blocks = -(-len(ids) // block)
-    if not n_blocks:
-        return np.zeros(0, np.uint64), np.zeros(1, np.uint64)
     x = np.zeros(n_blocks * block, np.uint64)
     x[:len(ids)] = ids
     x = np.pad(x.reshape(n_blocks, block), ((0, 0), (0, _PAD)))
@@ -89,7 +96,7 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
         if over:
             fits[:-over] &= widest[n][over:] <= WIDTHS[s]
         selector[fits] = s
-    step = np.append(COUNTS, [0] * (ESCAPE - len(COUNTS)) + [1])[selector]
+    step = np.append(COUNTS, [0] * (ESCAPE - len(COUNTS)) + [1]).astype(np.uint8)[selector]
     width = x.shape[1]
     starts = np.zeros(len(bits), bool)
     at = np.arange(n_blocks) * width
@@ -115,8 +122,7 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     own = np.flatnonzero(chosen == ESCAPE)
     words[offset[own]] = np.uint64(ESCAPE << 60)
     words[offset[own] + 1] = x[row[own], col[own]]
-    per_block = np.bincount(row, weights=size, minlength=n_blocks).astype(np.uint64)
-    return words, np.concatenate([[np.uint64(0)], np.cumsum(per_block)]).astype(np.uint64)
+    return words, np.bincount(row, weights=size, minlength=n_blocks).astype(np.uint64)
 
 
 def unpack(words: np.ndarray, offsets: np.ndarray, n_ids: int, block: int = BLOCK) -> np.ndarray:
@@ -155,7 +161,7 @@ def unpack(words: np.ndarray, offsets: np.ndarray, n_ids: int, block: int = BLOC
 
 def to_file(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
     """One file's bytes (without the line feed at its end)."""
-    flat = np.concatenate([np.zeros(0, np.uint64), *ids])
+    flat = np.concatenate(ids) if ids else np.zeros(0, np.uint64)
     words, offsets = pack(flat)
     flags = np.array([d is not None for d in doc_ids], np.uint8).tobytes()
     return b"".join([
@@ -206,7 +212,7 @@ class Words:
     _MARKS = b"""!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"""
     _PARTS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
-    def __init__(self, data: bytes, entries: int = 600_000):
+    def __init__(self, data: bytes, entries: int = 450_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(data.decode())
