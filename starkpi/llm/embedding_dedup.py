@@ -3,9 +3,16 @@
 Every pass hashes each vector to the signs of 64 random projections, joined to one key, and
 orders the vectors by it; each is compared with its ``window`` neighbours in that order.
 Pairs whose cosine (double precision) reaches the threshold are links; the links of all
-passes are united to components.  A pair stays unseen only if every pass sets it apart, so
-the number of passes follows from the number of vectors (``pass_count``): a pair right at
-the threshold is missed with a probability below 1 - ``recall``, closer pairs far less often.
+passes are united to components.  A pair stays unseen only if every pass sets it apart.
+How likely that is depends on how crowded a vector's surroundings are, and is measured: a
+window reaches all vectors that share more leading signs with a vector than those a window
+away do, and a pair at the threshold shares them with a known probability.  A vector is
+settled when its passes together miss such a pair with a probability below 1 - ``recall``
+(closer pairs far less often).  The vectors that are not go on by themselves, in further
+passes or, where that is less work, compared with each other block by block, which misses
+none.  ``pass_count`` plans the first round for evenly spread vectors.  A pair with one
+settled end has its probability already, so settled vectors need not go on.  A crowd of m
+vectors that never settles costs m * m / 2 comparisons, made by matrix products.
 
 The windows are bounded; what they leave out within a component is made up for exactly, so
 that link counts are whole.  Vectors within half the threshold's angle of a component's
@@ -46,6 +53,19 @@ def pass_count(rows: int, threshold: float, window: int, recall: float = 0.98, m
     return max(4, min(most, math.ceil(math.log(1 - recall) / math.log1p(-meet))))
 
 
+# Comparisons of a matrix product in the time of one between shifted rows.
+_PRODUCT_GAIN = 8
+# A certain meeting, as -log of the chance to miss.
+_CERTAIN = 1e3
+
+
+def _leading(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many leading bits two arrays of 64-bit keys share."""
+    x = (a ^ b).view(np.uint64)
+    high, low = (x >> np.uint64(32)).astype(np.float64), (x & np.uint64(0xFFFFFFFF)).astype(np.float64)
+    return 64 - np.where(high > 0, 32 + np.frexp(high)[1], np.frexp(low)[1])
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     """Vectors of one length as rows, in double precision."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -105,25 +125,50 @@ def _neighbours(x: np.ndarray, group: np.ndarray, window: int, threshold: float)
         yield at, at + step
 
 
-def window_links(sorted_rows: DataFrame, window: int, threshold: float) -> DataFrame:
-    """(a, b) links that connect what the pairs found connect and, with NULL ``b``, the
-    rows at the ends of each partition.
+def window_links(sorted_rows: DataFrame, window: int, threshold: float, parts: int) -> DataFrame:
+    """(a, b) links that connect what the pairs found connect; with ``border`` the rows at
+    the ends of each of the ``parts`` partitions; with ``seen`` nodes and what a pass is worth
+    to each: -log of the chance that it misses a partner right at the threshold.
 
     A partition compares its own neighbours; its first and last ``window`` rows go on to be
     compared across the border with those of the next partition."""
-    schema = "a long, b long, border int, side int, place int, dim int, pass int, vec array<double>"
+    schema = ("a long, b long, border int, side int, place int, dim int, pass int, vec array<double>, "
+              "seen array<long>, worth array<double>")
+    agree = 1 - math.acos(threshold) / math.pi
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         held: pa.RecordBatch | None = None
-        first = True
+        valued = 0  # rows held whose worth is out already
 
         def ends(rows: pa.RecordBatch, border: int, side: int) -> pa.RecordBatch:
             n = rows.num_rows
             return pa.RecordBatch.from_arrays(
                 [rows.column(3), pa.nulls(n, pa.int64()), pa.array(np.full(n, border, np.int32)),
                  pa.array(np.full(n, side, np.int32)), pa.array(np.arange(n, dtype=np.int32)),
-                 rows.column(0), rows.column(1), rows.column(4)], names=[c.split()[0] for c in schema.split(", ")])
+                 rows.column(0), rows.column(1), rows.column(4), pa.nulls(n, pa.list_(pa.int64())),
+                 pa.nulls(n, pa.list_(pa.float64()))], names=names)
+
+        def worth(rows: pa.RecordBatch, start: int, stop: int) -> Iterator[pa.RecordBatch]:
+            """Of rows start to stop; where the row a window away lies beyond the partition
+            the pass is worth nothing, where the group ends before it, it is certain."""
+            at = np.arange(start, stop)
+            if not len(at):
+                return
+            key, n = rows.column(2).to_numpy(), rows.num_rows
+            group = rows.column(0).to_numpy().astype(np.int64) << 32 | rows.column(1).to_numpy()
+            shared = np.full(len(at), -1)
+            for away, last in ((at - window, part == 0), (at + window, part == parts - 1)):
+                there = np.clip(away, 0, n - 1)
+                inner = np.where(there == away, _leading(key[at], key[there]), -1 if last else 64)
+                shared = np.maximum(shared, np.where(group[at] == group[there], inner, -1))
+            miss = 1 - agree ** (shared + 1.0)
+            value = np.where(shared >= 64, 0.0, -np.log(np.maximum(miss, math.exp(-_CERTAIN))))
+            node = rows.column(3).to_numpy()[at]
+            none = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), *(pa.int32(),) * 5, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*none, pa.array([node], pa.list_(pa.int64())), pa.array([value], pa.list_(pa.float64()))],
+                                             names=names)
 
         def pairs(rows: pa.RecordBatch, fresh_from: int) -> Iterator[pa.RecordBatch]:
             dims, node = rows.column(0).to_numpy(), rows.column(3).to_numpy()
@@ -140,9 +185,8 @@ def window_links(sorted_rows: DataFrame, window: int, threshold: float) -> DataF
                 root = smallest_of(len(node), i, j)
                 i = np.flatnonzero(root != np.arange(len(node)))
                 n = len(i)
-                none = [pa.nulls(n, t) for t in (pa.int32(),) * 5]
-                yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[root[i]]), *none, pa.nulls(n, pa.list_(pa.float64()))],
-                                                 names=[c.split()[0] for c in schema.split(", ")])
+                none = [pa.nulls(n, t) for t in (*(pa.int32(),) * 5, *map(pa.list_, (pa.float64(), pa.int64(), pa.float64())))]
+                yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[root[i]]), *none], names=names)
 
         opening: list[pa.RecordBatch] = []
         for batch in batches:
@@ -154,11 +198,15 @@ def window_links(sorted_rows: DataFrame, window: int, threshold: float) -> DataF
                 if old:
                     rows = pa.Table.from_batches([held, rows]).combine_chunks().to_batches()[0]
                 yield from pairs(rows, old)
-                held = rows.slice(max(0, rows.num_rows - window))
+                whole = max(valued, rows.num_rows - window)
+                yield from worth(rows, valued, whole)
+                held = rows.slice(max(0, rows.num_rows - 2 * window))
+                valued = whole - (rows.num_rows - held.num_rows)
         for o in opening:
             yield ends(o, part, 1)
         if held is not None:
-            yield ends(held, part + 1, 0)
+            yield from worth(held, valued, held.num_rows)
+            yield ends(held.slice(max(0, held.num_rows - window)), part + 1, 0)
 
     return map_arrow(sorted_rows, run, schema)
 
@@ -186,18 +234,79 @@ def _across(window: int, threshold: float):
     return run
 
 
-def pass_links(nodes: DataFrame, threshold: float, window: int, passes: int, seed: int) -> DataFrame:
-    """Distinct links (a, b) that connect all nodes that meet in some pass."""
+def pass_links(nodes: DataFrame, threshold: float, window: int, passes: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct links (a, b) that connect all nodes that meet in some pass, and (node, gained):
+    what all passes together are worth to each node."""
     spark = nodes.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["dim", "pass", "key", "node"]
     rows = keyed(nodes, passes, seed).repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    found = materialize(window_links(rows, window, threshold))
+    found = materialize(window_links(rows, window, threshold, parts))
     inner = found.where(F.col("b").isNotNull()).select("a", "b")
-    borders = found.where(F.col("b").isNull())
+    borders = found.where(F.col("border").isNotNull()).drop("seen", "worth")
     across = borders.groupBy("border").applyInArrow(_across(window, threshold), "a long, b long")
     both = inner.unionByName(across)
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    links = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    seen = found.where(F.col("seen").isNotNull()).select(F.inline(F.arrays_zip("seen", "worth")).alias("node", "worth"))
+    return links, seen.groupBy("node").agg(F.sum("worth").alias("gained"))
+
+
+def block_links(nodes: DataFrame, rows: int, threshold: float, block: int = 8192) -> DataFrame:
+    """Links (a, b) that connect all pairs of ``nodes`` at the threshold: every block of them
+    against every other."""
+    blocks = -(-rows // block)
+    own = F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int")
+    dealt = nodes.select("node", "dim", "vec", own.alias("own"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other"))
+    dealt = dealt.select("node", "dim", "vec", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        own, node = table["own"].to_numpy(), table["node"].to_numpy()
+        left, right = (np.flatnonzero(own == table[c][0].as_py()) for c in ("i", "j"))
+        x = _unit(_matrix(table["vec"].combine_chunks()))
+        y = x[right]
+        stars = []
+        for at in range(0, len(left), 1024):
+            some = left[at:at + 1024]
+            a, b = np.nonzero(x[some] @ y.T >= threshold)
+            root = smallest_of(len(node), some[a], right[b])
+            hung = np.flatnonzero(root != np.arange(len(node)))
+            stars.append((hung, root[hung]))
+        a, b = (np.concatenate([np.zeros(0, np.int64), *z]) for z in (zip(*stars) if stars else ((), ())))
+        root = smallest_of(len(node), a, b)
+        hung = np.flatnonzero(root != np.arange(len(node)))
+        return pa.table({"a": node[hung], "b": node[root[hung]]})
+
+    return dealt.groupBy("dim", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def all_links(nodes: DataFrame, rows: int, threshold: float, window: int, passes: int | None, seed: int,
+              recall: float = 0.98) -> DataFrame:
+    """Links (a, b) that connect ``nodes``, in rounds until each is settled; with ``passes`` in
+    one round of as many, whatever they reach."""
+    rest, need = nodes.select("vec", "dim", "node", F.lit(0.0).alias("worth")), -math.log(1 - recall)
+    n, rounds = passes or pass_count(rows, threshold, window), []
+    while True:
+        links, gains = pass_links(rest, threshold, window, n, seed + len(rounds))
+        rounds.append(materialize(links))
+        if passes:
+            break
+        left = rest.join(gains.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"), "left").select(
+            "vec", "dim", "node", (F.col("worth") + F.coalesce("gained", F.lit(0.0))).alias("worth"),
+            F.greatest(F.coalesce("gained", F.lit(0.0)) / n, F.lit(1e-9)).alias("rate"))
+        rest = materialize(left.where(F.col("worth") < need))
+        m, wanted = rest.agg(F.count(F.lit(1)), F.sum((F.lit(need) - F.col("worth")) / F.col("rate"))).first()
+        if not m:
+            break
+        if m / 2 <= wanted / m * window * _PRODUCT_GAIN:
+            rounds.append(materialize(block_links(rest, m, threshold)))
+            break
+        n = max(1, min(64, math.ceil(wanted / m)))
+        rest = rest.drop("rate")
+    out = rounds[0]
+    for more in rounds[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 # ---- whole link counts ------------------------------------------------------
@@ -265,8 +374,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, window: int = 64
     own.  The vectors that stay are those kept."""
     nodes = materialize(classes(vectors, id_col, vector_col))
     rows = nodes.count()
-    n = passes or pass_count(rows, threshold, window)
-    found = components(materialize(pass_links(nodes, threshold, window, n, seed)))
+    found = components(all_links(nodes, rows, threshold, window, passes, seed))
     found = materialize(found)
     members = nodes.join(found.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n")).drop("__n")
     # the pivot is the member that the component is named after; its vector goes to all members

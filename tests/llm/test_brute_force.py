@@ -62,6 +62,28 @@ def test_embeddings_chains_groups_and_odd_vectors(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_embeddings_in_a_crowd_of_no_duplicates(spark):
+    """Half of all vectors stand around one centre without being duplicates; of the pairs just
+    above the threshold among them no more are missed than anywhere."""
+    rng = np.random.default_rng(5)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    off = unit(rng.normal(size=(1500, 63)))  # where a vector stands beside the centre
+    side = rng.normal(size=(150, 63))
+    side = unit(side - (side * off[:150]).sum(1, keepdims=True) * off[:150])
+    off = np.concatenate([off, 0.62 * off[:150] + np.sqrt(1 - 0.62 ** 2) * side])  # pairs of cosine 0.905
+    crowd = np.hstack([np.full((len(off), 1), np.sqrt(0.75)), 0.5 * off])
+    vectors = np.concatenate([crowd, rng.normal(size=(1500, 64))]).tolist()
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(df).collect()}
+    links, low = _cosine_truth(vectors, 0.9)
+    assert sum(links) >= 300
+    assert sum(got[i].n_links for i in range(len(vectors))) >= 0.98 * sum(links)
+    assert sum(got[i].component_id == low[i] for i in range(1500, 1650)) >= 0.98 * 150
+
+
 # ---- op3 --------------------------------------------------------------------
 
 
