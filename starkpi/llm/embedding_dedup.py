@@ -10,7 +10,8 @@ away do, and a pair at the threshold shares them with a known probability.  A ve
 settled when its passes together miss such a pair with a probability below 1 - ``recall``
 (closer pairs far less often).  The vectors that are not go on by themselves, in further
 passes or, where that is less work, compared with each other block by block, which misses
-none.  ``pass_count`` plans the first round for evenly spread vectors.  A pair with one
+none.  ``pass_count`` plans the passes for evenly spread vectors; a round makes at most
+``PASSES_AT_A_TIME`` of them, which bounds its shuffled copies, not their number.  A pair with one
 settled end has its probability already, so settled vectors need not go on.  A crowd of m
 vectors that never settles costs m * m / 2 comparisons, made by matrix products.
 
@@ -44,15 +45,17 @@ from starkpi.llm.common import components, map_arrow, materialize, smallest_of
 _MARGIN = 1e-9
 
 
-def pass_count(rows: int, threshold: float, window: int, recall: float = 0.98, most: int = 64) -> int:
+def pass_count(rows: int, threshold: float, window: int, recall: float = 0.98) -> int:
     """Passes after which a pair right at the threshold has met with probability ``recall``:
     neighbours within the window share about log2(rows / window) leading signs, and one
     sign agrees with probability 1 - angle / pi."""
     agree = 1 - math.acos(threshold) / math.pi
     meet = agree ** max(1.0, math.log2(max(rows, 2) / window))
-    return max(4, min(most, math.ceil(math.log(1 - recall) / math.log1p(-meet))))
+    return max(4, math.ceil(math.log(1 - recall) / math.log1p(-meet)))
 
 
+# Copies of the vectors that one round shuffles; rounds follow until the recall holds.
+PASSES_AT_A_TIME = 64
 # Comparisons of a matrix product in the time of one between shifted rows.
 _PRODUCT_GAIN = 8
 # A certain meeting, as -log of the chance to miss.
@@ -285,7 +288,7 @@ def all_links(nodes: DataFrame, rows: int, threshold: float, window: int, passes
     """Links (a, b) that connect ``nodes``, in rounds until each is settled; with ``passes`` in
     one round of as many, whatever they reach."""
     rest, need = nodes.select("vec", "dim", "node", F.lit(0.0).alias("worth")), -math.log(1 - recall)
-    n, rounds = passes or pass_count(rows, threshold, window), []
+    n, rounds = passes or min(PASSES_AT_A_TIME, pass_count(rows, threshold, window)), []
     while True:
         links, gains = pass_links(rest, threshold, window, n, seed + len(rounds))
         rounds.append(materialize(links))
@@ -295,13 +298,15 @@ def all_links(nodes: DataFrame, rows: int, threshold: float, window: int, passes
             "vec", "dim", "node", (F.col("worth") + F.coalesce("gained", F.lit(0.0))).alias("worth"),
             F.greatest(F.coalesce("gained", F.lit(0.0)) / n, F.lit(1e-9)).alias("rate"))
         rest = materialize(left.where(F.col("worth") < need))
-        m, wanted = rest.agg(F.count(F.lit(1)), F.sum((F.lit(need) - F.col("worth")) / F.col("rate"))).first()
+        m = rest.count()
         if not m:
             break
+        # a vector that no pass helps counts as many as there are vectors left
+        wanted = rest.agg(F.sum(F.least((F.lit(need) - F.col("worth")) / F.col("rate"), F.lit(float(m))))).first()[0]
         if m / 2 <= wanted / m * window * _PRODUCT_GAIN:
             rounds.append(materialize(block_links(rest, m, threshold)))
             break
-        n = max(1, min(64, math.ceil(wanted / m)))
+        n = max(1, min(PASSES_AT_A_TIME, math.ceil(wanted / m)))
         rest = rest.drop("rate")
     out = rounds[0]
     for more in rounds[1:]:

@@ -84,6 +84,29 @@ def test_embeddings_in_a_crowd_of_no_duplicates(spark):
     assert sum(got[i].component_id == low[i] for i in range(1500, 1650)) >= 0.98 * 150
 
 
+def test_passes_of_many_vectors_follow_the_recall():
+    agree = 1 - np.arccos(0.9) / np.pi
+    for rows in (10 ** 5, 3 * 10 ** 7, 10 ** 8, 10 ** 9):
+        n = embedding_dedup.pass_count(rows, 0.9, 64)
+        assert 1 - (1 - agree ** np.log2(rows / 64)) ** n >= 0.98
+
+
+def test_recall_holds_over_rounds_of_few_passes(spark, monkeypatch):
+    """Passes that one round cannot hold go on in the next, the last few vectors block by block."""
+    monkeypatch.setattr(embedding_dedup, "PASSES_AT_A_TIME", 3)
+    monkeypatch.setattr(embedding_dedup, "_PRODUCT_GAIN", 0.5)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(600, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.normal(size=x.shape)
+    side -= (side * x).sum(1, keepdims=True) * x
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    vectors = np.concatenate([x, 0.905 * x + np.sqrt(1 - 0.905 ** 2) * side]).tolist()
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = sum(r.n_links for r in embedding_dedup.near_duplicates(df, window=16).collect())
+    assert got >= 0.98 * sum(_cosine_truth(vectors, 0.9)[0])
+
+
 # ---- op3 --------------------------------------------------------------------
 
 
