@@ -237,11 +237,12 @@ def _across(window: int, threshold: float):
     return run
 
 
-def pass_links(nodes: DataFrame, threshold: float, window: int, passes: int, seed: int) -> tuple[DataFrame, DataFrame]:
+def pass_links(nodes: DataFrame, count: int, threshold: float, window: int, passes: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """Distinct links (a, b) that connect all nodes that meet in some pass, and (node, gained):
-    what all passes together are worth to each node."""
+    what all passes together are worth to each of the ``count`` nodes.  Windows reach into
+    the next partition, not beyond: a partition holds several of them."""
     spark = nodes.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), count * passes // (8 * window)))
     order = ["dim", "pass", "key", "node"]
     rows = keyed(nodes, passes, seed).repartitionByRange(parts, *order).sortWithinPartitions(*order)
     found = materialize(window_links(rows, window, threshold, parts))
@@ -288,9 +289,10 @@ def all_links(nodes: DataFrame, rows: int, threshold: float, window: int, passes
     """Links (a, b) that connect ``nodes``, in rounds until each is settled; with ``passes`` in
     one round of as many, whatever they reach."""
     rest, need = nodes.select("vec", "dim", "node", F.lit(0.0).alias("worth")), -math.log(1 - recall)
+    m = rows
     n, rounds = passes or min(PASSES_AT_A_TIME, pass_count(rows, threshold, window)), []
     while True:
-        links, gains = pass_links(rest, threshold, window, n, seed + len(rounds))
+        links, gains = pass_links(rest, m, threshold, window, n, seed + len(rounds))
         rounds.append(materialize(links))
         if passes:
             break

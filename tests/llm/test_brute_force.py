@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import xxhash
+from pyspark.sql import functions as F
 
 from starkpi.llm import bpe, embedding_dedup, order_minhash, simhash, simple8b
 from starkpi.llm.queries import QUERIES
@@ -107,6 +108,29 @@ def test_recall_holds_over_rounds_of_few_passes(spark, monkeypatch):
     assert got >= 0.98 * sum(_cosine_truth(vectors, 0.9)[0])
 
 
+def test_windows_reach_over_more_partitions_than_rows(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(60, 16))
+    nodes = [(v.tolist(), 16, i) for i, v in enumerate(x)]
+    df = spark.createDataFrame(nodes, "vec array<double>, dim int, node long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "150")
+        # 120 sorted rows, windows of 64: one pass compares every vector with every other
+        links, worth = embedding_dedup.pass_links(df, 60, 0.1, 64, 2, 42)
+        linked = [(r.a, r.b) for r in links.collect()]
+        certain = [r.gained for r in worth.collect()]
+        got = {r.vec_id: r for r in embedding_dedup.near_duplicates(df.select(
+            F.col("node").alias("vec_id"), F.col("vec").alias("embedding")), threshold=0.5).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    _, low = _cosine_truth(x, 0.1)
+    low_of = _components(60, lambda i: [b if a == i else a for a, b in linked if i in (a, b)])
+    assert low_of == low and min(certain) > 100
+    links, low = _cosine_truth(x, 0.5)
+    assert [(got[i].n_links, got[i].component_id) for i in range(60)] == list(zip(links, low))
+
+
 # ---- op3 --------------------------------------------------------------------
 
 
