@@ -102,3 +102,26 @@ use this software in a product, an acknowledgment in the product documentation w
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution.""",
 }
+
+# Digests of the canonical form of longer licence texts; where a text ends with
+# advice on how to apply it, also the digest without that.
+DIGESTS = {
+    "Apache-2.0": ["ff7be961361eda3cd2a76927dd0d9482cf45defafde2045befedf77400d98100",
+                   "e9dbf930ca0f1e090ec68da9a37b657d11bc9e43b30643455d6a96dbf73116ca"],
+    "GPL-2.0": ["a24277283a85103425ca3e0a199eb567d6a43f0b47a8b6517909d1728931aa0e",
+                "f5f7366fa92c064f40a8764aa5f1f204517c9b89017902027f8a908c734a27df"],
+    "GPL-3.0": ["e7ba4d5448decfbec8b0b0782cc7be186a5f5f4432591049c47ed687a622b3cb",
+                "85f430d7c1f833cd30f590494cca4d2a909b3c95e16e8cb5265670e6af401ef9"],
+    "LGPL-3.0": ["af4f466bab5554afad60c219ff8bf29eddb00df6ef0f1fcf73fa05ad4b3289f5"],
+    "MPL-2.0": ["ac578c9b84ea3fc2b1a8c9767cc5d78ae6c8ee01b16b295b93251c03f7f454a3"],
+    "CC0-1.0": ["8ad9eb1c16457f53d804f0a521fcaa7957418d41d3c10aabb2f434cbb19e56a8"],
+}
+
+# Lines of standard headers that name their licence.
+HEADERS = {
+    "Apache-2.0": ['Licensed under the Apache License, Version 2.0 (the "License");',
+                   'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except',
+                   'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
+                   'compliance with the License.'],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+}

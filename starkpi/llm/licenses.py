@@ -3,11 +3,13 @@
 A text is brought to a canonical form: lines of copyright notices go, case and punctuation
 go, equivalent spellings become one.  The SHA-256 of the whole canonical text is looked up
 among the digests of known licence texts by a hash join; so is every single line, among
-the digests of known one-line notices ("Released under the MIT License.").  Nothing is
-searched inside a text: a digest either is a known one or not.
+the digests of known one-line notices ("Released under the MIT License.") and of lines of
+standard headers.  Of a copyright line that goes on with a notice, the notice is looked up.
+Nothing else is searched inside a text: a digest either is a known one or not.
 
-The known digests come from fixed texts and from a rule (phrases times names): a table of
-a few hundred rows that never grows with the corpus, hence broadcast.  Only lines that
+The known digests come from fixed texts, from stored digests of longer ones and from a rule
+(phrases times names): a table of a few hundred rows that never grows with the corpus, hence
+broadcast.  A caller may add digests of further texts.  Only lines that
 match are shuffled.  NULL and empty texts have the empty canonical text and match nothing;
 rows that repeat id and text share one result, each its own row.
 """
@@ -18,10 +20,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starkpi.llm.common import materialize
-from starkpi.llm.license_texts import NAMES, PHRASES, SPELLINGS, TEXTS
+from starkpi.llm.license_texts import DIGESTS, HEADERS, NAMES, PHRASES, SPELLINGS, TEXTS
 
 COPYRIGHT_LINE = r"^[^\p{L}\p{N}©]*(copyright\b|\(c\)|©|all rights reserved)"
 NOT_WORD = r"[^\p{L}\p{N}]+"
+_OPENERS = "|".join(["this source code form is subject to", *(p.lower() for p in PHRASES)])
+# a copyright line that goes on with a notice, which is the second group
+COPYRIGHT_AND_NOTICE = rf"(?i){COPYRIGHT_LINE}.*?[^\p{{L}}\p{{N}}](({_OPENERS})[^\p{{L}}\p{{N}}].*?)([^\p{{L}}\p{{N}}]+all rights reserved[^\p{{L}}\p{{N}}]*)?$"
 
 
 def canonical_line(line: Column) -> Column:
@@ -34,8 +39,18 @@ def canonical_line(line: Column) -> Column:
     return F.when(low.rlike(COPYRIGHT_LINE), F.lit("")).otherwise(F.trim(F.replace(words, F.lit("  "), F.lit(" "))))
 
 
+def _lines(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), r"\r?\n|\r", -1)
+
+
 def canonical_lines(text: Column) -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\r?\n|\r", -1), canonical_line), lambda x: x != "")
+    return F.filter(F.transform(_lines(text), canonical_line), lambda x: x != "")
+
+
+def after_copyright(text: Column) -> Column:
+    """The canonical notices that follow a copyright on its line."""
+    both = F.filter(_lines(text), lambda x: x.rlike(COPYRIGHT_AND_NOTICE))
+    return F.transform(both, lambda x: canonical_line(F.regexp_extract(x, COPYRIGHT_AND_NOTICE, 2)))
 
 
 def canonical(lines: Column) -> Column:
@@ -47,31 +62,41 @@ def known(spark: SparkSession) -> DataFrame:
     rows = [(name, "text", text) for name, text in TEXTS.items()]
     rows += [(name, "notice", f"{phrase} {the}{alias}") for name, aliases in NAMES.items() for alias in aliases
              for phrase in PHRASES for the in ("", "the ")]
+    rows += [(name, "notice", line) for name, lines in HEADERS.items() for line in lines]
     table = spark.createDataFrame(rows, "license string, kind string, text string")
     whole = canonical(canonical_lines(F.col("text")))
-    return table.select("license", "kind", whole.alias("c")).groupBy(F.sha2("c", 256).alias("digest"), "kind").agg(
-        F.min("license").alias("license"), F.max(F.length("c")).alias("width"))
+    stored = spark.createDataFrame([(d, name, 0) for name, digests in DIGESTS.items() for d in digests],
+                                   "digest string, license string, width int")
+    table = table.select("license", "kind", whole.alias("c"))
+    table = table.select(F.sha2("c", 256).alias("digest"), "kind", "license", F.length("c").alias("width"))
+    table = table.unionByName(stored.withColumn("kind", F.lit("text")))
+    return table.groupBy("digest", "kind").agg(F.min("license").alias("license"), F.max("width").alias("width"))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: DataFrame | None = None) -> DataFrame:
     """Per row of ``docs``: (id, digest, license, n_notices, notices).  digest is that of the
     whole canonical text, license the known licence it is (else NULL), n_notices counts
     the lines that are known notices, notices lists their licences, distinct, by name,
-    comma-joined ('' where none)."""
+    comma-joined ('' where none).  ``texts``: (digest, license) of further licence texts by the
+    SHA-256 of their canonical form; a text known here keeps its name."""
     spark = docs.sparkSession
     table = materialize(known(spark))
     widest = table.where("kind = 'notice'").agg(F.max("width")).first()[0]
     key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.coalesce(F.col(text_col), F.lit(""))))
-    rows = docs.select(F.col(id_col), key.alias("__row"), canonical_lines(F.col(text_col)).alias("__lines"))
+    rows = docs.select(F.col(id_col), key.alias("__row"), canonical_lines(F.col(text_col)).alias("__lines"),
+                       after_copyright(F.col(text_col)).alias("__after"))
     # lines longer than every known notice have no digest to look up
-    notices = rows.select("__row", F.posexplode(F.filter("__lines", lambda x: F.length(x) <= widest)).alias("__at", "__line"))
+    notices = rows.select("__row", F.posexplode(F.filter(F.concat("__lines", "__after"), lambda x: F.length(x) <= widest)).alias("__at", "__line"))
     one = table.where("kind = 'notice'").select("digest", "license")
     hits = notices.join(F.broadcast(one), F.sha2("__line", 256) == F.col("digest")).dropDuplicates(["__row", "__at"])
     per = materialize(hits.groupBy(F.col("__row").alias("__key")).agg(
         F.count(F.lit(1)).alias("n_notices"), F.array_join(F.array_sort(F.collect_set("license")), ",").alias("notices")))
     full = table.where("kind = 'text'").select(F.col("digest").alias("__digest"), "license")
+    if texts is not None:
+        more = texts.groupBy(F.col("digest").alias("__digest")).agg(F.min("license").alias("license"))
+        full = full.unionByName(more.join(full.select("__digest"), "__digest", "left_anti"))
     out = rows.select(F.col(id_col), "__row", F.sha2(canonical(F.col("__lines")), 256).alias("digest"))
-    out = out.join(F.broadcast(full), F.col("digest") == F.col("__digest"), "left")
+    out = out.join(F.broadcast(full) if texts is None else full, F.col("digest") == F.col("__digest"), "left")
     return out.join(per, F.col("__row") == F.col("__key"), "left").select(
         id_col, "digest", "license", F.coalesce("n_notices", F.lit(0)).cast("long").alias("n_notices"),
         F.coalesce("notices", F.lit("")).alias("notices"))

@@ -186,3 +186,26 @@ def test_url_reputation(spark):
         ("1", "a.com", "block"), ("1", "a.com", "block"), ("2", "", "allow"), ("None", "", "allow")]
     assert rows(url_reputation.judge(df.limit(0), seen, [("block", "com/")])) == []
     assert len(rows(url_reputation.judge(df, seen.limit(0), []))) == 4
+
+
+def test_longer_licenses_headers_and_notices_behind_a_copyright(spark):
+    folder = "/usr/share/common-licenses"
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    texts = {name: open(f"{folder}/{f}", encoding="utf-8").read() for f, name in files.items()}
+    own = "A licence of our own.\nDo as you like."
+    docs = [(n, t) for n, t in texts.items()] + [(n + " bare", t[:t.index("END OF TERMS AND CONDITIONS") + 27])
+                                                 for n, t in texts.items() if "END OF TERMS AND CONDITIONS" in t]
+    lines = {'Licensed under the Apache License, Version 2.0 (the "License");': "Apache-2.0",
+             "Copyright (c) 2020 X. Released under the MIT License.": "MIT",
+             "(C) J. Smith, Inc. All rights reserved. Licensed under the Apache License, Version 2.0": "Apache-2.0",
+             "Copyright 2020 X. Released under the MIT License. All rights reserved.": "MIT",
+             "Copyright 2020 X. Released under the MIT License or another.": "", "Copyright 2020 Released": ""}
+    docs += [(line, f"code\n{line}\nmore") for line in lines] + [("own", own)]
+    df = spark.createDataFrame(docs, "doc_id string, text string")
+    digest = hashlib.sha256(b"a license of our own do as you like").hexdigest()
+    more = spark.createDataFrame([(digest, "Own"), (digest, "Own")], "digest string, license string")
+    got = {r.doc_id: r for r in licenses.scan(df, texts=more).collect()}
+    assert len(got) == len(docs) and got["own"].license == "Own"
+    assert {i: got[i].license for i, _ in docs[:len(docs) - len(lines) - 1]} == {i: i.split(" ")[0] for i, _ in docs[:len(docs) - len(lines) - 1]}
+    assert {line: got[line].notices for line in lines} == lines
+    assert all(got[line].n_notices == bool(n) for line, n in lines.items())
