@@ -7,7 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkpi.llm import bpe, embedding_dedup, licenses, mixing, order_minhash, secret_scan, simhash, simple8b, toxicity, url_reputation
+from starkpi.llm import (
+    bpe, embedding_dedup, importance, lexical, licenses, mixing, order_minhash, packing, secret_scan, simhash, simple8b,
+    toxicity, url_reputation)
 from starkpi.llm.common import WORD
 from starkpi.llm.license_texts import NAMES, PHRASES, SPELLINGS, TEXTS
 
@@ -84,6 +86,22 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge(pages, outcomes, RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance.resample(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
+                              percent=10, least_words=20, longest=1, n_buckets=10_000, seed=2024, keep=["doc_id"])
+    return out.select("doc.doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(_documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), capacity=4096, end_id=2)
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = lexical.build(_documents(spark, sf_dir))
+    return lexical.search(spark, path, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), top=20)
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_mixing": op2_mixing,
@@ -95,6 +113,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_licenses": op9_licenses,
     "op10_url_reputation": op10_url_reputation,
+    "op11_importance": op11_importance,
+    "op12_packing": op12_packing,
+    "op13_lexical": op13_lexical,
 }
 
 _MIXING = f"""

@@ -1,8 +1,9 @@
 """Token ids as binary files in Simple-8b word-aligned coding.
 
 Documents are put in order of their ids by range partitions; a task encodes its documents,
-appends the end id to each, packs all ids and writes one file.  Files are read back with
-Spark's binary reader and decoded block by block with numpy.
+appends the end id to each, packs all ids and writes files of a bounded number of ids (and
+at least one document) in order.  Files are read back with Spark's binary reader and decoded
+block by block with numpy.
 
 A file (its row is the only one in its folder ``shard=N``; shards follow the id order):
 
@@ -12,24 +13,21 @@ A file (its row is the only one in its folder ``shard=N``; shards follow the id
                document ends u64 (ids up to and including the document's last),
                block offsets u64 (words before each block, and all words),
                words u64 (all little-endian)
-  last byte    a line feed, which Spark's text writer adds
+  last byte    a line feed, which Spark's text writer adds (it writes a string's bytes
+               unchecked, so that a file's bytes travel as a string)
 
 Each word has a 4-bit selector and 60 payload bits: selector s holds COUNTS[s] ids of
 WIDTHS[s] bits, lowest bits first.  Selector 15 escapes an id of over 60 bits, which follows
 as a word of its own.  Words never cross blocks; a block's last word may be filled up with
 zeros, which the block's number of ids cuts off.
 
-Texts are tokenized by whole words between ASCII white space, which the tokenizer drops and
-never joins over, with a bounded cache of words (a dropped entry is computed again).
 NULL and empty texts hold the end id alone.  Ties of an id follow the hash of their texts;
-NULL ids come first.  An empty table writes no file and reads back no row.
+rows with the same id and text follow their place in the input.  NULL ids come first.  An
+empty table writes no file and reads back no row.
 """
 
 from __future__ import annotations
 
-import json
-import os
-import re
 import struct
 import uuid
 import zlib
@@ -37,12 +35,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starkpi.llm.common import map_arrow
+from starkpi.llm.word_ids import Words, runs, with_end
 from starkpi.session import scratch_path
 
 MAGIC = b"S8B1"
@@ -52,6 +50,7 @@ BLOCK = 512
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 ESCAPE = 15
+MOST_FILES = 1 << 20  # of one task
 _PAD = int(COUNTS.max())
 
 
@@ -159,15 +158,15 @@ def unpack(words: np.ndarray, offsets: np.ndarray, n_ids: int, block: int = BLOC
     return out
 
 
-def to_file(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
-    """One file's bytes (without the line feed at its end)."""
-    flat = np.concatenate(ids) if ids else np.zeros(0, np.uint64)
+def to_file(doc_ids: list[int | None], flat: np.ndarray, lengths: np.ndarray) -> bytes:
+    """One file's bytes (without the line feed at its end): documents of ``lengths`` ids each,
+    ``flat`` all of them one after the other."""
     words, offsets = pack(flat)
     flags = np.array([d is not None for d in doc_ids], np.uint8).tobytes()
     return b"".join([
         HEADER.pack(MAGIC, BLOCK, len(flat), len(doc_ids), len(offsets) - 1, len(words)),
         np.array([d or 0 for d in doc_ids], "<i8").tobytes(), flags + bytes(-len(flags) % 8),
-        np.cumsum([len(x) for x in ids]).astype("<u8").tobytes(),
+        np.cumsum(lengths).astype("<u8").tobytes(),
         offsets.astype("<u8").tobytes(), words.astype("<u8").tobytes()])
 
 
@@ -196,135 +195,56 @@ def from_file(data: bytes) -> Iterator[tuple[list[int | None], np.ndarray, np.nd
         done = stop
 
 
-# ---- tokenizing ---------------------------------------------------------------
-
-
-class Words:
-    """A tokenizer with bounded caches of words, one per worker.
-
-    Words of Latin letters with ASCII marks behind them are learnt as two parts, letters in
-    lower case and marks, which the tokenizer's own pattern cuts in the same place (the
-    apostrophe, which may begin a contraction, is no such mark).  Where the vocabulary
-    marks word ends, letters are encoded many words at a time and cut behind the marks."""
-
-    _held: dict[int, Words] = {}
-    # ASCII marks, all but the apostrophe.
-    _MARKS = b"""!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"""
-    _PARTS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-
-    def __init__(self, data: bytes, entries: int = 450_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_str(data.decode())
-        self.entries = entries
-        self.known: dict[bytes, bytes] = {}
-        self.letters: dict[bytes, bytes] = {}
-        self.marks: dict[bytes, bytes] = {b"": b""}
-        mark = json.loads(data)["model"].get("end_of_word_suffix")
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        for token, i in vocabulary.items():
-            self.ends[i] = bool(mark) and token.endswith(mark)
-
-    @classmethod
-    def of(cls, data: bytes) -> Words:
-        key = hash(data)
-        if key not in cls._held:
-            cls._held.clear()
-            cls._held[key] = cls(data)
-        return cls._held[key]
-
-    def _coded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(c.ids, "<u4").tobytes() for c in found]
-
-    def _learn_letters(self, words: list[bytes], together: int = 100) -> None:
-        groups = [words[i:i + together] for i in range(0, len(words), together)]
-        for at in range(0, len(groups), 100):
-            some = groups[at:at + 100]
-            for group, ids in zip(some, self._coded([b" ".join(g).decode() for g in some])):
-                cut = 4 * (np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 1)
-                if len(cut) == len(group):
-                    self.letters.update((w, ids[a:b]) for w, a, b in zip(group, [0, *cut[:-1].tolist()], cut.tolist()))
-                else:
-                    self.letters.update(zip(group, self._coded([w.decode() for w in group])))
-
-    def _learn(self, words: list[bytes]) -> None:
-        whole, letters, marks, rest = [], [], [], []
-        for w in words:
-            core = w.rstrip(self._MARKS)
-            if core.isalpha():  # ASCII letters only
-                whole.append(w)
-                letters.append(core.lower())
-                marks.append(w[len(core):])
-            elif m := self._PARTS.fullmatch(w.decode()):
-                whole.append(w)
-                letters.append(m[1].lower().encode())
-                marks.append(m[2].encode())
-            else:
-                rest.append(w)
-        if fresh := [x for x in dict.fromkeys(letters) if x not in self.letters]:
-            if len(self.letters) + len(fresh) > self.entries:
-                self.letters.clear()
-                fresh = list(dict.fromkeys(letters))
-            self._learn_letters(fresh)
-        if fresh := [x for x in dict.fromkeys(marks) if x not in self.marks]:
-            if len(self.marks) + len(fresh) > self.entries:
-                self.marks = {b"": b""}
-                fresh = [x for x in dict.fromkeys(marks) if x]
-            self.marks.update(zip(fresh, self._coded([x.decode() for x in fresh])))
-        first, last = self.letters, self.marks
-        self.known.update((w, first[x] + last[m]) for w, x, m in zip(whole, letters, marks))
-        self.known.update(zip(rest, self._coded([w.decode() for w in rest])))
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [(t or "").encode().split() for t in texts]
-        met = set().union(*split)
-        fresh = [w for w in met if w not in self.known]
-        if len(self.known) + len(fresh) > self.entries:
-            self.known.clear()
-            fresh = list(met)
-        for at in range(0, len(fresh), 50_000):
-            self._learn(fresh[at:at + 50_000])
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4") for words in split]
-
-
-def _runs(column: pa.Array, limit: int = 1 << 22) -> Iterator[tuple[int, list]]:
-    """Values in runs of about ``limit`` bytes: (first row, values)."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
-    at = 0
-    while at < len(column):
-        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
-        yield at, column.slice(at, stop - at).to_pylist()
-        at = stop
-
-
 # ---- on Spark -----------------------------------------------------------------
 
 
 def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text",
-          docs_per_file: int = 50_000) -> None:
-    """Write the ids of all texts below ``path``, in ascending order of ``id_col`` (an integer)."""
+          docs_per_range: int = 50_000, ids_per_file: int = 1 << 23) -> None:
+    """Write the ids of all texts below ``path``, in ascending order of ``id_col`` (an integer).
+
+    Ranges are cut by id, hash of the text and the row's place in the input, so that rows
+    that share an id, or lack one, spread over ranges as well.  A task closes a file as soon
+    as it holds ``ids_per_file`` ids, so that what it holds never grows with its range."""
     spark = docs.sparkSession
     with open(tokenizer, "rb") as f:
         data = spark.sparkContext.broadcast(f.read())  # the tokenizer's fixed size, some MB
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // docs_per_file))
-    dealt = rows.repartitionByRange(files, F.col("id").asc_nulls_first()).sortWithinPartitions(
-        F.col("id").asc_nulls_first(), F.xxhash64("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
+                       F.xxhash64(F.col(text_col).cast("string")).alias("hash"),
+                       F.monotonically_increasing_id().alias("row"))
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // docs_per_range))
+    order = [F.col("id").asc_nulls_first(), F.col("hash"), F.col("row")]
+    dealt = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, doc_ids, ids = Words.of(data.value), [], []
-        end = np.array([end_id], "<u4")
+        words, number = Words.of(data.value), TaskContext.get().partitionId() * MOST_FILES
+        doc_ids: list[int | None] = []
+        parts: list[np.ndarray] = []
+        lengths: list[np.ndarray] = []
+        held = 0
+
+        def close() -> pa.RecordBatch:
+            nonlocal number, held
+            out = pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array(
+                [to_file(doc_ids, np.concatenate(parts), np.concatenate(lengths))], pa.binary())], names=["shard", "data"])
+            number, held = number + 1, 0
+            doc_ids.clear(), parts.clear(), lengths.clear()
+            return out
+
         for b in batches:
-            doc_ids += b.column(0).to_pylist()
-            for _, texts in _runs(b.column(1)):
-                ids += [np.concatenate([x, end]) for x in words.encode(texts)]
+            at = 0
+            for texts in runs(b.column(1), min(6 << 20, ids_per_file)):
+                flat, ends = with_end(*words.encode(texts), end_id)
+                doc_ids += b.column(0).slice(at, len(texts)).to_pylist()
+                at += len(texts)
+                parts.append(flat)
+                lengths.append(np.diff(ends, prepend=0))
+                held += len(flat)
+                if held >= ids_per_file:
+                    yield close()
         if doc_ids:
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()),
-                                              pa.array([to_file(doc_ids, ids)], pa.binary())], names=["shard", "data"])
+            yield close()
 
-    out = map_arrow(dealt, run, "shard int, data binary")
+    out = map_arrow(dealt, run, "shard long, data binary")
     # Spark's text writer writes a string's bytes as they are, wherever the path leads
     out.select("shard", F.col("data").cast("string").alias("value")).write.partitionBy("shard").text(path)
 
@@ -356,17 +276,17 @@ def _read(spark: SparkSession, path: str, schema: str, columns) -> DataFrame:
     # One row per file: how many ids all files before it hold.
     n_ids = F.conv(F.hex(F.substring("content", 9, 8)), 16, 10).cast("long")
     before = F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    base = found.select("shard", n_ids.alias("n")).select(
+    base = found.select(F.col("shard").cast("long").alias("shard"), n_ids.alias("n")).select(
         F.col("shard").alias("__shard"), F.coalesce(before, F.lit(0)).alias("__before"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for shard, data in zip(b.column(0).to_pylist(), b.column(1)):
                 for part in from_file(data.as_buffer().to_pybytes()):
-                    yield pa.RecordBatch.from_arrays([pa.array([shard] * len(part[0]), pa.int32()), *columns(*part)],
+                    yield pa.RecordBatch.from_arrays([pa.array([shard] * len(part[0]), pa.int64()), *columns(*part)],
                                                      names=["shard", *names])
 
-    coded = map_arrow(found.select(F.col("shard").cast("int"), "content"), run, f"shard int, {schema}")
+    coded = map_arrow(found.select(F.col("shard").cast("long"), "content"), run, f"shard long, {schema}")
     return coded.join(base, F.col("shard") == F.col("__shard")).select(
         *[(F.col("start") + F.col("__before")).alias("start") if n == "start" else F.col(n) for n in names])
 

@@ -323,13 +323,3 @@ def test_simple8b_words():
         words, offsets = simple8b.pack(ids)
         assert (simple8b.unpack(words, offsets, len(ids)) == ids).all()
     assert len(simple8b.pack(np.zeros(512, np.uint64))[0]) == 9
-
-
-def test_words_cut_like_whole_texts():
-    with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as f:
-        words = simple8b.Words(f.read(), entries=40)
-    texts = ["It's DON'T we'll x's's \"quoted,\" (a) b!! C# ÉCOLE straße STRASSE Ǆ ﬁ", "a\u0301 \u0301b e\u0301e <|endoftext|> <|startoftext|>x y<|endoftext|>",
-             "12 3a b4c\x1c\x1dq\x85z\u2003k  \n\t", "", None, "漢字 😀ok ½² İI ΑΣ ΣΑΣ", " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300))]
-    want = [words.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
-    assert [x.tolist() for x in words.encode(texts)] == want
-    assert [x.tolist() for x in words.encode(texts[::-1])] == want[::-1]
