@@ -7,10 +7,12 @@ Range bounds come from a random sample of keys: a bounded array (about
 ``oversample * n_buckets`` keys are sorted, every so many kept), planned as a
 scalar subquery and never collected; for a single numeric key they are its
 approximate quantiles (one aggregate).  A bucket is a monotone function of the
-key; per-bucket counts and sums (one row per bucket, gathered by one
-aggregate into a small bucket -> prefix map) give each bucket the prefix of
-all buckets before it, and the window itself runs partitioned by bucket.  The sample only decides *where* a row is processed, never its
-result, so results are exact whatever the sample.
+key, found by a two-level search of the bounds; per-bucket sums (one row per
+bucket, gathered by one aggregate into a small array of prefixes) give each
+bucket the sums of all buckets before it, and the window itself runs
+partitioned by bucket.  Work per row grows with the square root of the number
+of ranges (some hundred bounds at tens of thousands), work per range is constant.  The sample only decides *where* a row
+is processed, never its result, so results are exact whatever the sample.
 
 Rank (ties share a rank, the next one is skipped) is computed without
 ordering equal values at all: rank(v) = 1 + number of rows with a larger
@@ -28,6 +30,8 @@ tables.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -70,21 +74,46 @@ def _bucketed(df: DataFrame, order: list[tuple[str, bool]], n_buckets: int,
         # one numeric key: its approximate quantiles (one aggregate) are the bounds
         k = F.col(f"{_KEY}.k0").cast("double")
         probs = [i / n_buckets for i in range(1, n_buckets)]
-        bounds = keyed.select(F.percentile_approx(k, probs, max(10_000, 20 * n_buckets))).scalar()
-        below = F.array_position(F.sort_array(F.concat(bounds, F.array(k))), k) - 1
+        bounds = _in_two_levels(keyed.select(F.percentile_approx(k, probs, max(10_000, 4 * n_buckets)).alias("a")), n_buckets)
         # NULL keys sort last when descending, first when ascending
-        null_bucket = len(probs) if order[0][1] else 0
-        bucket = F.when(k.isNull(), F.lit(null_bucket)).otherwise(F.coalesce(below, F.lit(0)))
-        return keyed.withColumn(_BUCKET, bucket.cast("int"))
+        null_bucket = _most_ranges(n_buckets) - 1 if order[0][1] else 0
+        return keyed.withColumn(_BUCKET, F.when(k.isNull(), F.lit(null_bucket)).otherwise(_bounds_below(bounds, k, n_buckets)))
     n_rows = keyed.select(F.count(F.lit(1))).scalar()
     sample = keyed.filter(F.rand(seed) * n_rows < F.lit(float(n_buckets * oversample)))
     keys = sample.agg(F.sort_array(F.collect_list(_KEY)).alias("a"))
-    step = F.greatest(F.lit(1), (F.size("a") / F.lit(n_buckets)).cast("int"))
-    bounds = keys.select(F.filter("a", lambda x, i: (i + 1) % step == 0)).scalar()
-    # bucket = number of bounds strictly below the key (array_position of the
-    # key in the sorted bounds+key is its first occurrence).
-    below = F.array_position(F.sort_array(F.concat(bounds, F.array(F.col(_KEY)))), F.col(_KEY)) - 1
-    return keyed.withColumn(_BUCKET, F.coalesce(below, F.lit(0)).cast("int"))
+    # every so many-th key, so that there are n_buckets - 1 bounds at most
+    step = F.greatest(F.lit(1), F.ceil(F.size("a") / F.lit(n_buckets)).cast("int"))
+    bounds = _in_two_levels(keys.select(F.filter("a", lambda x, i: ((i + 1) % step == 0) & (i + 1 < F.size("a"))).alias("a")), n_buckets)
+    return keyed.withColumn(_BUCKET, _bounds_below(bounds, F.col(_KEY), n_buckets))
+
+
+def _in_two_levels(keys: DataFrame, n_buckets: int) -> Column:
+    """The sorted bounds ``a`` of a one-row query as (last bound of each chunk, chunks of about
+    the square root of their number): what a row searches is two short arrays."""
+    width = _chunk(n_buckets)
+    places = F.sequence(F.lit(0), F.ceil(F.size("a") / F.lit(width)).cast("int") - 1)
+    chunks = F.transform(places, lambda j: F.slice("a", j * width + 1, width))
+    return keys.select(F.when(F.size("a") > 0, F.struct(
+        F.transform(chunks, lambda c: F.element_at(c, -1)).alias("last"), chunks.alias("chunks")))).scalar()
+
+
+def _most_ranges(n_buckets: int) -> int:
+    """Range numbers are below this: a key above all bounds follows the last whole chunk."""
+    return n_buckets + 2 * _chunk(n_buckets)
+
+
+def _chunk(n_buckets: int) -> int:
+    return math.isqrt(n_buckets) + 1
+
+
+def _bounds_below(bounds: Column, key: Column, n_buckets: int) -> Column:
+    """How many bounds are below ``key`` (none: 0): the first place of the key, sorted into
+    the chunks' last bounds, names the chunk, and its first place there the bound."""
+    def place(a):
+        return F.array_position(F.sort_array(F.concat(a, F.array(key))), key) - 1
+
+    chunk = F.coalesce(place(bounds["last"]), F.lit(0)).cast("int")
+    return (chunk * _chunk(n_buckets) + F.coalesce(place(F.get(bounds["chunks"], chunk)), F.lit(0))).cast("int")
 
 
 def running_sums(df: DataFrame, order: list[tuple[str, bool]], sums: dict[str, str],
@@ -94,31 +123,22 @@ def running_sums(df: DataFrame, order: list[tuple[str, bool]], sums: dict[str, s
     total order (unique keys).  ``df`` should be ``shared`` by the caller
     when it is expensive to recompute.  NULL values are skipped, as by SQL's
     running SUM."""
-    b = _bucketed(df, order, n_buckets or range_count(df))
+    n_buckets = n_buckets or range_count(df)
+    b = _bucketed(df, order, n_buckets)
     per_bucket = b.groupBy(_BUCKET).agg(*[F.sum(src).alias(f"s_{out}") for out, src in sums.items()])
-    types = {out: per_bucket.schema[f"s_{out}"].dataType for out in sums}
-    # One row per bucket (bounded): collect them in one aggregate, derive each
-    # bucket's exclusive prefix with array functions, and hand the rows a
-    # bucket -> prefix map as a scalar subquery (no window, no join).
-    rows = F.sort_array(F.collect_list(F.struct(F.col(_BUCKET).alias("b"),
-                                                *[F.col(f"s_{o}") for o in sums]))).alias("a")
-
-    def prefix(out):
-        t = types[out]
-
-        def add(acc, y):
-            v = y[f"s_{out}"]
-            return F.when(v.isNull(), acc).when(acc.isNull(), v).otherwise((acc + v).cast(t))
-        return lambda x, i: F.aggregate(F.slice("a", 1, i), F.lit(None).cast(t), add).alias(out)
-
-    entries = F.transform("a", lambda x, i: F.struct(
-        x["b"].alias("key"), F.struct(*[prefix(o)(x, i) for o in sums]).alias("value")))
-    prefixes = per_bucket.agg(rows).select(F.map_from_entries(entries)).scalar()
+    # One row per range: a running sum over all of them, empty ones included, gives every
+    # range the sums before it.  The rows read them from an array, by their range's number
+    # (a scalar subquery: no join).
+    ranges = df.sparkSession.range(_most_ranges(n_buckets)).select(F.col("id").cast("int").alias("__range"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sums_before = ranges.join(per_bucket, F.col("__range") == F.col(_BUCKET), "left").select(
+        "__range", *[F.sum(f"s_{out}").over(before).alias(out) for out in sums])
+    prefixes = sums_before.agg(F.sort_array(F.collect_list(F.struct("__range", *sums)))).scalar()
     w = Window.partitionBy(_BUCKET).orderBy(_KEY).rowsBetween(Window.unboundedPreceding, 0)
     out = b
     for name, src in sums.items():
         local = F.sum(src).over(w)
-        prev = F.try_element_at(prefixes, F.col(_BUCKET))[name]
+        prev = F.get(prefixes, F.col(_BUCKET))[name]
         out = out.withColumn(name, F.when(prev.isNull(), local).when(local.isNull(), prev)
                              .otherwise(prev + local))
     return out.drop(_BUCKET, _KEY)

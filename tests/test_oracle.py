@@ -81,10 +81,34 @@ def test_no_date_typed_outputs(spark, con):
     for name, q in entry.queries().items():
         df = q(spark, SF_SMALL)
         assert not any(isinstance(f.dataType, DateType) for f in df.schema.fields), name
-        types = [r[1] for r in con.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()]
+    for name, sql in entry.oracle_sql().items():
+        types = [r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()]
         assert "DATE" not in types, name
 
 
+def test_running_sums_over_many_ranges(spark):
+    import time
+    from pyspark.sql import functions as F
+    from starkpi.operators.ordered import running_sums
+    df = spark.range(0, 100_000, 1, 8).select(F.col("id").alias("k"), (F.hash("id") % 1000).cast("long").alias("v"))
+    df = df.cache()
+    df.count()
+
+    def run(n):
+        best = float("inf")
+        for _ in range(3):
+            t = time.perf_counter()
+            total = running_sums(df, [("v", True), ("k", False)], {"run": "v"}, n_buckets=n).agg(
+                F.sum(F.xxhash64("k", "run").cast("decimal(38,0)"))).first()[0]
+            best = min(best, time.perf_counter() - t)
+        return best, total
+
+    few, many = run(8), run(4000)
+    df.unpersist()
+    assert few[1] == many[1]
+    assert many[0] < 2 * few[0] + 0.5, (few, many)
+
+
 def test_rank_desc_with_null_values(spark):
     from pyspark.sql import Window
     from pyspark.sql import functions as F
