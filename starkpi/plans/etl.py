@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from starkpi.operators.clean import clean_dimension, clean_fact
 from starkpi.plans.layout import fact_writer
-from starkpi.sources import io
+from starkpi.sources import io, snapshots
 from starkpi.sources.star import FACT_COLUMNS, LINE_ORDER, Star
 
 # Line identity of test-data facts, which have no surrogate key (unique there).
@@ -106,10 +106,20 @@ def load_star(star: Star, root: str, layout: str = "by_month") -> dict:
     return report
 
 
+def publish_star(spark: SparkSession, star: Star, root: str, layout: str = "by_month") -> dict:
+    """``load_star`` into a version folder of its own below ``root``, which readers see as soon
+    as all four tables are written, and not before: a load that dies leaves the star that was
+    there."""
+    version, folder = snapshots.new_folder(spark, root)
+    report = load_star(star, f"{root}/{folder}", layout)
+    snapshots.publish(spark, root, version, folder, fact_rows=report["fact_sales"]["rows"])
+    return report
+
+
 def run_pipeline(spark: SparkSession, star: Star, root: str, layout: str = "by_month",
                  line_key: list[str] | None = None, log_path: str | None = None,
                  enforce: bool = False) -> dict:
-    """Full refresh of the star under ``root``.
+    """Full refresh of the star under ``root``, published in one commit.
 
     Returns per-table rows/seconds, the load seconds (cleaning + writes, the
     figure the run log records), the seconds spent registering the views,
@@ -128,7 +138,7 @@ def run_pipeline(spark: SparkSession, star: Star, root: str, layout: str = "by_m
     cleaned = clean_star(star, key)
     if enforce:  # the source system's NOT NULL / PK / FK constraints, checked before any write
         enforce_constraints(cleaned, key)
-    report = load_star(cleaned, root, layout)
+    report = publish_star(spark, cleaned, root, layout)
     total = time.perf_counter() - t0
     t1 = time.perf_counter()
     loaded = Star.from_layout(spark, root)

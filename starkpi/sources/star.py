@@ -140,11 +140,15 @@ class Star:
 
     @classmethod
     def from_layout(cls, spark: SparkSession, root: str) -> "Star":
-        """Read a star written by ``plans.etl.run_pipeline``.  A month-partitioned
+        """Read a star written by ``plans.etl.run_pipeline``: the version published
+        last, or tables that lie under ``root`` itself.  A month-partitioned
         fact keeps its ``order_month`` column: date filters add the matching
         month predicate, which prunes partition directories."""
+        from starkpi.sources.snapshots import resolve
+        folder = resolve(spark, root)
+
         def rd(name):
-            return spark.read.parquet(os.path.join(root, name))
+            return spark.read.parquet(os.path.join(folder, name))
         return cls(fact=rd("fact_sales"), product=rd("dim_product"), customer=rd("dim_customer"),
                    date=rd("dim_date"))
 

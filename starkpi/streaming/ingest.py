@@ -4,8 +4,10 @@ T1  New sale files are read as a stream with a fixed schema, cleaned with the
     row-local rules (C2-C4), de-duplicated inside the micro-batch (C1) and
     against the target, then appended.  A line is new if no line of the target,
     in whatever month, has its key; NULL keys are equal, as in the batch
-    cleaning.  Only the target's key columns are read for that.  Replaying a
-    batch after a failure appends nothing twice.
+    cleaning.  An index of the target's keys answers that (``key_index``): a
+    batch reads the files appended since the last one and the index buckets its
+    own keys fall into, not the target.  Replaying a batch after a failure
+    appends nothing twice.
 T2  After each append, the daily and category KPIs of the touched months are
     recomputed exactly from the target (distinct order counts included) and
     written with dynamic partition overwrite: work per batch is proportional
@@ -20,9 +22,7 @@ T3  ``trigger(availableNow=True)``: a scheduled run processes everything new
 from __future__ import annotations
 
 import os
-from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -30,16 +30,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from starkpi.operators.clean import dedup_first, drop_missing, keep_valid, recompute_sales_amount
 from starkpi.plans.layout import with_order_month
 from starkpi.session import scratch_path
-
-
-def _target(spark: SparkSession, path: str) -> DataFrame | None:
-    """The target, or None before the first append; any other trouble raises."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+from starkpi.streaming.key_index import KeyIndex
 
 
 def touched_months(batch: DataFrame) -> list:
@@ -52,16 +43,14 @@ def _target_months(spark: SparkSession, target: str, months: list) -> DataFrame:
     return spark.read.parquet(target).filter(F.col("order_month").isin(months))
 
 
-def append_new_lines(batch: DataFrame, target: str, key: list[str], order_cols: list[str]) -> None:
-    """Clean one micro-batch and append the lines the target does not hold."""
+def append_new_lines(batch: DataFrame, target: str, key: list[str], order_cols: list[str],
+                     index_path: str | None = None) -> None:
+    """Clean one micro-batch and append the lines the target does not hold.  The index of the
+    target's keys is a folder of its own (``<target>_keys``)."""
     rows = recompute_sales_amount(keep_valid(drop_missing(dedup_first(batch, key, order_cols))))
-    rows = with_order_month(rows)
-    held = _target(batch.sparkSession, target)
-    if held is not None:
-        held = held.select(*[F.col(k).alias(f"__{k}") for k in key])
-        same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(held[f"__{k}"]) for k in key])
-        rows = rows.join(held, same, "left_anti")
-    rows.write.mode("append").partitionBy("order_month").parquet(target)
+    index = KeyIndex(batch.sparkSession, target, index_path or target.rstrip("/") + "_keys", key)
+    index.catch_up()
+    index.unseen(with_order_month(rows), asked=batch).write.mode("append").partitionBy("order_month").parquet(target)
 
 
 def refresh_daily_kpis(spark: SparkSession, target: str, kpi_path: str, months: list,

@@ -3,10 +3,13 @@
 import datetime as dt
 import json
 import os
+from dataclasses import replace
 from decimal import Decimal as D
 
+import pytest
+
 from starkpi import schema as S
-from starkpi.sources import io
+from starkpi.sources import io, snapshots
 from starkpi.plans import etl
 from starkpi.sources.star import Star
 from tests.conftest import SF_SMALL
@@ -91,12 +94,42 @@ def test_pipeline_load_append_and_views(spark, tmp_out):
         "order_id long, order_date date, customer_id long, product_id long, quantity int, "
         "unit_price decimal(18,2), discount decimal(4,2), sales_amount decimal(18,2), "
         "profit decimal(18,2), line_number int")
-    io.append_sales(sale, root + "/fact_sales", partition_by=["order_month"])
+    io.append_sales(sale, snapshots.resolve(spark, root) + "/fact_sales", partition_by=["order_month"])
     loaded = Star.from_layout(spark, root)
     assert loaded.fact.count() == star.fact.count() + 1
     assert loaded.fact.filter("order_id = 999999 AND ship_date IS NULL").count() == 1
 
 
+def test_killed_load_leaves_the_star_that_was_there(spark, star, tmp_out, monkeypatch):
+    from starkpi.plans import kpis
+    root = tmp_out + "/star"
+
+    def dies(*args, **kwargs):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(etl, "fact_writer", dies)  # after the dimensions, before the fact
+        with pytest.raises(RuntimeError):
+            etl.run_pipeline(spark, star, root)
+    with pytest.raises(Exception):
+        Star.from_layout(spark, root)  # nothing was published
+    etl.run_pipeline(spark, star, root)
+    held = kpis.kpi_summary(Star.from_layout(spark, root))
+    before = held.first()
+    smaller = star.with_fact(star.fact.limit(10))
+    smaller = replace(smaller, product=star.product.limit(3))
+    with monkeypatch.context() as m:
+        m.setattr(etl, "fact_writer", dies)
+        with pytest.raises(RuntimeError):
+            etl.run_pipeline(spark, smaller, root)
+    again = Star.from_layout(spark, root)
+    assert kpis.kpi_summary(again).first() == before and again.product.count() == star.product.count()
+    etl.run_pipeline(spark, smaller, root)
+    assert Star.from_layout(spark, root).fact.count() == 10
+    assert held.first() == before  # a reader keeps the version it has resolved
+    assert snapshots.current(spark, root).version == 2
+
+
 def test_manual_sale_pricing_and_append(spark, star, tmp_out):
     from starkpi.plans.manual import ENTRY_DDL, manual_sales
     prod = star.product.filter("product_id = 42").first()
@@ -305,7 +338,7 @@ def test_views_follow_appends(spark, star, tmp_out):
         [("ORD1", dt.date(1996, 6, 15), 1, 1, 1, D("1000000.00"), D("0.00"), D("1000000.00"), D("12.00"))],
         "order_id string, order_date date, customer_id long, product_id long, quantity int, "
         "unit_price decimal(18,2), discount decimal(4,2), sales_amount decimal(18,2), profit decimal(18,2)")
-    io.append_sales(sale, root + "/fact_sales", partition_by=["order_month"])
+    io.append_sales(sale, snapshots.resolve(spark, root) + "/fact_sales", partition_by=["order_month"])
     for v in views:
         spark.catalog.refreshTable(v)
     assert [round(read(v) - b) for v, b in zip(views, before)] == [1_000_000, 1_000_000]

@@ -4,6 +4,8 @@ import datetime as dt
 import os
 from decimal import Decimal as D
 
+from pyspark.sql import functions as F
+
 from starkpi.plans import benchmark, layout
 from starkpi.plans.lines import LINE_FIRST, LINE_KEY
 from starkpi.sources.star import FACT_COLUMNS
@@ -144,3 +146,105 @@ def test_unreadable_target_raises(spark, tmp_out):
     batch = spark.createDataFrame([_line(1, "2024-01-05")], FACT_SALES_INPUT)
     with pytest.raises(Exception):
         ingest.append_new_lines(batch, tmp_out + "/broken", ["line_id"], ["order_date"])
+
+
+def _bytes_read(df):
+    """Bytes of the files that a plan of one scan read."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("filesSize").value() for i in range(leaves.size()))
+
+
+def test_key_index_reads_its_buckets_only(spark, tmp_out):
+    from starkpi.streaming.key_index import KeyIndex
+    table = tmp_out + "/table"
+
+    def rows(low, high):
+        return spark.range(low, high).select(F.concat(F.lit("ORD-"), "id").alias("order_id"), (F.col("id") % 5).cast("int").alias("n"),
+                                             F.lit("x" * 20).alias("payload"))
+
+    index = KeyIndex(spark, table, tmp_out + "/keys", ["order_id", "n"], keys_per_bucket=2000)
+    batch = rows(997, 1003)
+    assert index.catch_up() == 0 and index.unseen(batch).count() == 6
+    rows(0, 20_000).coalesce(2).write.mode("append").parquet(table)
+    assert index.catch_up() == 2 and index.catch_up() == 0
+    assert index.unseen(batch).count() == 0
+    small = _bytes_read(index.candidates(batch))
+    for low in range(20_000, 200_000, 60_000):  # ten times the keys
+        rows(low, low + 60_000).coalesce(2).write.mode("append").parquet(table)
+        index.catch_up()
+    assert index.unseen(batch.unionByName(rows(199_990, 200_010))).count() == 10
+    whole = _bytes_read(spark.read.parquet(index._state()[0] + "/keys"))
+    large = _bytes_read(index.candidates(batch))
+    assert large < 1.5 * small and large < whole / 4, (small, large, whole)
+    assert index.unseen(rows(0, 200_005)).count() == 5  # more keys than are pushed down
+
+
+def test_key_index_survives_a_run_that_dies(spark, tmp_out, monkeypatch):
+    """Lines appended, but not their keys; keys added, but not noted: no line twice, none lost."""
+    from starkpi.schema import FACT_SALES_INPUT
+    from starkpi.streaming.key_index import KeyIndex
+    target = tmp_out + "/target"
+
+    def append(*ids):
+        batch = spark.createDataFrame([_line(i, "2024-01-05") for i in ids], FACT_SALES_INPUT)
+        ingest.append_new_lines(batch, target, ["line_id"], ["order_date"])
+        return sorted(r["line_id"] for r in spark.read.parquet(target).collect())
+
+    def dies(*args):
+        raise RuntimeError("killed")
+
+    assert append(1, 2) == [1, 2]  # its keys are added by the next batch
+    with monkeypatch.context() as m:
+        m.setattr(KeyIndex, "_note", dies)
+        try:
+            append(2, 3)
+            raise AssertionError("must die")
+        except RuntimeError:
+            pass
+    assert append(2, 3) == [1, 2, 3]
+    assert append(1, 2, 3) == [1, 2, 3]
+
+
+def test_live_kpis_follow_batches_without_the_target(spark, star, tmp_out):
+    from starkpi.plans.kpis import kpi_summary
+    from starkpi.plans.layout import with_order_month
+    from starkpi.streaming import live
+    target, path, ckpt = tmp_out + "/target", tmp_out + "/live", tmp_out + "/live_ckpt"
+    # orders span batches, days and categories; one product is unknown
+    product = star.product.where("product_id <> 1")
+    # lines of each batch: an order's lines lie in different ones
+    parts = [star.fact.filter(f"product_id % 3 = {i}") for i in range(3)]
+    taken = []
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        for n, part in enumerate(parts, 1):
+            ingest_rows = with_order_month(part)
+            ingest_rows.coalesce(1).write.mode("append").partitionBy("order_month").parquet(target)
+            # every run is a restart from the checkpoint
+            query = live.start(spark, live.appended_lines(spark, target, max_files_per_trigger=50), product, path, ckpt, compact_every=2)
+            query.awaitTermination()
+            taken.append(sum(p["numInputRows"] for p in query.recentProgress))
+            held = spark.read.parquet(target)
+            want = live.running_kpis(held, product)
+            for grain in ("day", "category", "total"):
+                got = live.kpis(spark, path, grain).withColumnRenamed(grain, "member")
+                assert _rows(got) == _rows(want.where(F.col("grain") == grain).drop("grain")), (n, grain)
+            assert live.summary(spark, path).first() == kpi_summary(star.with_fact(held)).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    lines = [p.count() for p in parts]
+    assert taken == [2 * n for n in lines]  # each line once for the sums, once for the orders
+    days = star.fact.groupBy("order_date").agg(F.count_distinct("order_id").alias("n")).collect()
+    got = {r["day"]: r["orders"] for r in live.kpis(spark, path, "day").collect()}
+    assert got == {str(r["order_date"]): r["n"] for r in days}
+
+
+def test_live_kpis_of_nothing(spark, star, tmp_out):
+    import pytest
+    from starkpi.streaming import live
+    with pytest.raises(ValueError):
+        live.kpis(spark, tmp_out + "/nothing", "total")
+    empty = live.running_kpis(star.fact.limit(0), star.product)
+    assert empty.count() == 0
