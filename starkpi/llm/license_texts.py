@@ -1,5 +1,5 @@
-"""Fixed values of the licence scan: short public licence texts, names and phrases of
-one-line notices, equivalent spellings."""
+"""Fixed values of the licence scan: short public licence texts, their titles, names and
+phrases of one-line notices, equivalent spellings, digests of longer texts."""
 
 # Spellings taken as one, other form first.
 SPELLINGS = {
@@ -52,11 +52,9 @@ LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON A
 CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
 SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
 
-# Licence texts, without their copyright lines.
+# Licence texts, without their titles and copyright lines.
 TEXTS = {
-    "MIT": """MIT License
-
-Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
 files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy,
 modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the
 Software is furnished to do so, subject to the following conditions:
@@ -68,9 +66,7 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
 COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
 OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
-    "ISC": """ISC License
-
-Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
 provided that the above copyright notice and this permission notice appear in all copies.
 
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
@@ -78,9 +74,7 @@ WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABL
 CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF
 CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS
 SOFTWARE.""",
-    "0BSD": """Zero-Clause BSD
-
-Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
+    "0BSD": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
 
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
 WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
@@ -103,18 +97,29 @@ use this software in a product, an acknowledgment in the product documentation w
 3. This notice may not be removed or altered from any source distribution.""",
 }
 
+# Titles that may stand above the texts.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "0BSD": ["Zero-Clause BSD", "BSD Zero Clause License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License"],
+    "Zlib": ["zlib License", "The zlib License", "The zlib/libpng License"],
+}
+
 # Digests of the canonical form of longer licence texts; where a text ends with
 # advice on how to apply it, also the digest without that.
 DIGESTS = {
-    "Apache-2.0": ["ff7be961361eda3cd2a76927dd0d9482cf45defafde2045befedf77400d98100",
-                   "e9dbf930ca0f1e090ec68da9a37b657d11bc9e43b30643455d6a96dbf73116ca"],
-    "GPL-2.0": ["a24277283a85103425ca3e0a199eb567d6a43f0b47a8b6517909d1728931aa0e",
-                "f5f7366fa92c064f40a8764aa5f1f204517c9b89017902027f8a908c734a27df"],
-    "GPL-3.0": ["e7ba4d5448decfbec8b0b0782cc7be186a5f5f4432591049c47ed687a622b3cb",
-                "85f430d7c1f833cd30f590494cca4d2a909b3c95e16e8cb5265670e6af401ef9"],
+    "Apache-2.0": ["e87dea5078ce2faaea46d3475af18d30a5c0ac0f09425b60b3e0c6569f72f8d2",
+                   "f45538b138cf9aea39fa205de037a0bede8305e68281650e7ab809a8b3ebb2f0"],
+    "GPL-2.0": ["72b4215107895cc5d84fa72777e9663242c462bbf98ca94191cb3717b79fcbd8",
+                "c802f4144a5611206e1040fee65faa6e3f3eb8d890b58a6c2fbe32e204b91acc"],
+    "GPL-3.0": ["c81796d45bdf662f6744225ecfed2c317b1db3ef01e19f3abdd4fb01b8e6d425",
+                "3826cf4e8fa63f01ed9000e1f267117fc976d8e63a682a8f570e24fa0432f860"],
     "LGPL-3.0": ["af4f466bab5554afad60c219ff8bf29eddb00df6ef0f1fcf73fa05ad4b3289f5"],
-    "MPL-2.0": ["ac578c9b84ea3fc2b1a8c9767cc5d78ae6c8ee01b16b295b93251c03f7f454a3"],
+    "MPL-2.0": ["4b2a8d7c7a2aa71545835298cfb85f8e7b2b7c8e4fa7ead922e269f9b2bf1920"],
     "CC0-1.0": ["8ad9eb1c16457f53d804f0a521fcaa7957418d41d3c10aabb2f434cbb19e56a8"],
+    "BSD-3-Clause": ["3cffcba4fceb117a1a736cb6c30b91e6b22de9afec2e1123b0c8c7a756f915f4"],
 }
 
 # Lines of standard headers that name their licence.

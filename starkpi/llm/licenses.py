@@ -1,7 +1,8 @@
 """License scans: canonical digest lookup.
 
-A text is brought to a canonical form: lines of copyright notices go, case and punctuation
-go, equivalent spellings become one.  The SHA-256 of the whole canonical text is looked up
+A text is brought to a canonical form: lines of copyright notices go (not lines of a licence
+that happen to begin with the word), case, punctuation and line ends go, equivalent spellings
+become one.  The SHA-256 of the whole canonical text is looked up
 among the digests of known licence texts by a hash join; so is every single line, among
 the digests of known one-line notices ("Released under the MIT License.") and of lines of
 standard headers.  Of a copyright line that goes on with a notice, the notice is looked up.
@@ -20,13 +21,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starkpi.llm.common import materialize
-from starkpi.llm.license_texts import DIGESTS, HEADERS, NAMES, PHRASES, SPELLINGS, TEXTS
+from starkpi.llm.license_texts import DIGESTS, HEADERS, NAMES, PHRASES, SPELLINGS, TEXTS, TITLES
 
-COPYRIGHT_LINE = r"^[^\p{L}\p{N}©]*(copyright\b|\(c\)|©|all rights reserved)"
 NOT_WORD = r"[^\p{L}\p{N}]+"
+_START = r"^[^\p{L}\p{N}©]*"
+# a copyright notice: the word or sign with a year, a placeholder, (c) or "by", or the rights alone
+NOTICE_LINE = (_START + r"(?:©|\([Cc]\)\s*(?:[Cc][Oo][Pp][Yy][Rr][Ii][Gg][Hh][Tt]|\d{4})"
+               r"|[Cc][Oo][Pp][Yy][Rr][Ii][Gg][Hh][Tt]\s*(?:\([Cc]\)|©|&copy;|[:,]?\s*(?:\d{4}|[\[<{])|\s[Bb][Yy]\s)"
+               r"|(?i:all rights reserved)[^\p{L}\p{N}]*$)")
+# or with a name, unless the word after it belongs to a licence's own text
+NAMED_LINE = _START + r"Copyright\s+\p{Lu}"
+OWN_WORDS = _START + r"Copyright\s+(?:Licen[cs]e|Notice|Holder|Owner|Law|Act|Statement|Interest|Right|Treat|And|Or)"
+_LOOSE = _START + r"(copyright\b|\(c\)|©|all rights reserved)"
 _OPENERS = "|".join(["this source code form is subject to", *(p.lower() for p in PHRASES)])
 # a copyright line that goes on with a notice, which is the second group
-COPYRIGHT_AND_NOTICE = rf"(?i){COPYRIGHT_LINE}.*?[^\p{{L}}\p{{N}}](({_OPENERS})[^\p{{L}}\p{{N}}].*?)([^\p{{L}}\p{{N}}]+all rights reserved[^\p{{L}}\p{{N}}]*)?$"
+COPYRIGHT_AND_NOTICE = rf"(?i){_LOOSE}.*?[^\p{{L}}\p{{N}}](({_OPENERS})[^\p{{L}}\p{{N}}].*?)([^\p{{L}}\p{{N}}]+all rights reserved[^\p{{L}}\p{{N}}]*)?$"
+# spellings of several words, which a line's end may part
+_ACROSS = {other: usual for other, usual in SPELLINGS.items() if " " in other}
+
+
+def is_notice(line: Column) -> Column:
+    """Whether a line is a copyright notice and no part of a licence's own text."""
+    return line.rlike(NOTICE_LINE) | (line.rlike(NAMED_LINE) & ~line.rlike(OWN_WORDS))
 
 
 def canonical_line(line: Column) -> Column:
@@ -36,7 +52,7 @@ def canonical_line(line: Column) -> Column:
     words = F.concat(F.lit(" "), F.regexp_replace(low, NOT_WORD, "  "), F.lit(" "))
     for other, usual in SPELLINGS.items():
         words = F.replace(words, F.lit(f" {other.replace(' ', '  ')} "), F.lit(f" {usual.replace(' ', '  ')} "))
-    return F.when(low.rlike(COPYRIGHT_LINE), F.lit("")).otherwise(F.trim(F.replace(words, F.lit("  "), F.lit(" "))))
+    return F.when(is_notice(line), F.lit("")).otherwise(F.trim(F.replace(words, F.lit("  "), F.lit(" "))))
 
 
 def _lines(text: Column) -> Column:
@@ -54,12 +70,16 @@ def after_copyright(text: Column) -> Column:
 
 
 def canonical(lines: Column) -> Column:
-    return F.array_join(lines, " ")
+    """The canonical text, the same however its lines are wrapped."""
+    out = F.concat(F.lit(" "), F.array_join(lines, " "), F.lit(" "))
+    for other, usual in _ACROSS.items():
+        out = F.replace(out, F.lit(f" {other} "), F.lit(f" {usual} "))
+    return F.trim(out)
 
 
 def known(spark: SparkSession) -> DataFrame:
     """(digest, license, kind, width): kind is text or notice."""
-    rows = [(name, "text", text) for name, text in TEXTS.items()]
+    rows = [(name, "text", f"{title}\n{text}") for name, text in TEXTS.items() for title in ("", *TITLES[name])]
     rows += [(name, "notice", f"{phrase} {the}{alias}") for name, aliases in NAMES.items() for alias in aliases
              for phrase in PHRASES for the in ("", "the ")]
     rows += [(name, "notice", line) for name, lines in HEADERS.items() for line in lines]

@@ -11,7 +11,7 @@ from starkpi.llm import (
     bpe, embedding_dedup, importance, lexical, licenses, mixing, order_minhash, packing, secret_scan, simhash, simple8b,
     toxicity, url_reputation)
 from starkpi.llm.common import WORD
-from starkpi.llm.license_texts import NAMES, PHRASES, SPELLINGS, TEXTS
+from starkpi.llm.license_texts import DIGESTS, HEADERS, NAMES, PHRASES, SPELLINGS, TEXTS, TITLES
 
 
 def vocabulary(name: str) -> str:
@@ -77,12 +77,19 @@ RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org
          ("allow", "com/fr/"), ("block", "com/de/")]
 
 
+# Fixed value: a page's url names its document by a number below the language.
+DOCUMENT_OF_PATH = r"^/[^/]+/([0-9]{1,18})([^0-9]|$)"
+
+
 def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The outcome of a page is the label that carries its id: bad where it is toxic or of
-    low quality.  (The given tables label no pages by anything else.)"""
+    """The outcome of a page is the label of the document that its url names: bad where that
+    is toxic or of low quality."""
     pages, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("pages", "labels"))
-    outcomes = labels.select(F.col("doc_id").alias("page_id"), (
-        (F.coalesce("toxic", F.lit(0)) == 1) | (F.coalesce("quality", F.lit(1)) == 0)).alias("bad"))
+    number = F.regexp_extract(url_reputation.path_of(F.col("url")), DOCUMENT_OF_PATH, 1)
+    named = pages.select("page_id", F.nullif(number, F.lit("")).cast("long").alias("doc_id"))
+    bad = labels.groupBy("doc_id").agg(F.max(F.greatest(
+        F.coalesce("toxic", F.lit(0)), 1 - F.coalesce("quality", F.lit(1)))).alias("bad"))
+    outcomes = named.join(bad, "doc_id").select("page_id", (F.col("bad") == 1).alias("bad"))
     return url_reputation.judge(pages, outcomes, RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
@@ -182,29 +189,49 @@ from t left join per using (k)
 
 
 def _licenses_sql() -> str:
-    def lines(text: str) -> str:
-        words = "' ' || regexp_replace(lower(x), $$" + licenses.NOT_WORD + "$$, '  ', 'g') || ' '"
+    def line(x: str) -> str:
+        words = f"' ' || regexp_replace(lower({x}), $${licenses.NOT_WORD}$$, '  ', 'g') || ' '"
         for other, usual in SPELLINGS.items():
             words = f"replace({words}, ' {other.replace(' ', '  ')} ', ' {usual.replace(' ', '  ')} ')"
-        line = (f"case when regexp_matches(lower(x), $${licenses.COPYRIGHT_LINE}$$) then '' "
-                f"else trim(replace({words}, '  ', ' ')) end")
-        return (f"list_filter(list_transform(string_split_regex(coalesce({text}, ''), $$\r?\n|\r$$), lambda x: {line}), "
-                "lambda x: x <> '')")
+        notice = (f"regexp_matches({x}, $r${licenses.NOTICE_LINE}$r$) or (regexp_matches({x}, $r${licenses.NAMED_LINE}$r$) "
+                  f"and not regexp_matches({x}, $r${licenses.OWN_WORDS}$r$))")
+        return f"case when {notice} then '' else trim(replace({words}, '  ', ' ')) end"
+
+    def split(text: str) -> str:
+        return f"string_split_regex(coalesce({text}, ''), $$\r?\n|\r$$)"
+
+    def lines(text: str) -> str:
+        return f"list_filter(list_transform({split(text)}, lambda x: {line('x')}), lambda x: x <> '')"
 
-    texts = ", ".join(f"('{name}', $${text}$$)" for name, text in TEXTS.items())
+    def whole(rows: str) -> str:
+        out = f"' ' || array_to_string({rows}, ' ') || ' '"
+        for other, usual in SPELLINGS.items():
+            if " " in other:
+                out = f"replace({out}, ' {other} ', ' {usual} ')"
+        return f"trim({out})"
+
+    both = f"$r${licenses.COPYRIGHT_AND_NOTICE}$r$"
+    texts = ", ".join(f"('{name}', $${title}\n{text}$$)" for name, text in TEXTS.items() for title in ("", *TITLES[name]))
+    stored = ", ".join(f"('{name}', '{d}')" for name, digests in DIGESTS.items() for d in digests)
+    headers = ", ".join(f"('{name}', $${h}$$)" for name, rows in HEADERS.items() for h in rows)
     names = ", ".join(f"('{name}', '{alias}')" for name, aliases in NAMES.items() for alias in aliases)
     phrases = ", ".join(f"('{p}')" for p in PHRASES)
     return f"""
 with known as (
   select 'text' as kind, name, text from (values {texts}) v(name, text) union all
+  select 'notice', name, text from (values {headers}) v(name, text) union all
   select 'notice', name, phrase || ' ' || art || alias
   from (values {names}) n(name, alias), (values {phrases}) p(phrase), (values (''), ('the ')) a(art)),
-digests as (select kind, sha256(array_to_string({lines("text")}, ' ')) as digest, min(name) as license from known group by all),
-d as (select doc_id, row_number() over () as k, {lines("text")} as lines from documents),
+digests as (select kind, digest, min(name) as license from (
+  select kind, name, sha256({whole(lines("text"))}) as digest from known union all
+  select 'text', name, digest from (values {stored}) v(name, digest)) group by all),
+d as (select doc_id, row_number() over () as k, {lines("text")} as lines,
+             list_transform(list_filter({split("text")}, lambda x: regexp_matches(x, {both})),
+                            lambda y: {line(f"regexp_extract(y, {both}, 2)")}) as after from documents),
 notices as (
   select k, count(*) as n, string_agg(distinct license, ',' order by license) as names
-  from (select k, unnest(lines) as line from d) join digests on kind = 'notice' and digest = sha256(line) group by k),
-w as (select doc_id, k, sha256(array_to_string(lines, ' ')) as digest from d)
+  from (select k, unnest(list_concat(lines, after)) as line from d) join digests on kind = 'notice' and digest = sha256(line) group by k),
+w as (select doc_id, k, sha256({whole("lines")}) as digest from d)
 select doc_id, w.digest, t.license, coalesce(n, 0)::bigint as n_notices, coalesce(names, '') as notices
 from w left join digests t on t.kind = 'text' and t.digest = w.digest left join notices using (k)
 """
@@ -227,10 +254,11 @@ with p as (
                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
          regexp_extract(coalesce(url, ''), $${url_reputation.URL}$$, 2) as path from pages),
 lab as (
-  select doc_id, max((coalesce(toxic, 0) = 1 or coalesce(quality, 1) = 0)::int) as bad from labels
-  where doc_id is not null group by doc_id),
+  select page_id as labelled, max((coalesce(toxic, 0) = 1 or coalesce(quality, 1) = 0)::int) as bad
+  from p join labels on doc_id = try_cast(regexp_extract(path, $${DOCUMENT_OF_PATH}$$, 1) as bigint)
+  where page_id is not null group by page_id),
 hosts0 as (select host, count(lab.bad)::double as n, coalesce(sum(lab.bad), 0)::double as bad
-           from p left join lab on page_id = doc_id group by host),
+           from p left join lab on page_id = labelled group by host),
 cut as (select *, string_split(host, '.') as l, array_to_string(string_split(host, '.')[-2:], '.') as two from hosts0),
 hosts as (select host, n, bad,
                  case when two in ({two_label}) then array_to_string(l[-3:], '.') else two end as domain,
@@ -252,9 +280,32 @@ from p left join fits using (page_id) join reputation using (host)
 """
 
 
+def _lexical_sql(top: int = 20) -> str:
+    terms = ("unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             r"$$[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+$$)) as term")
+    return f"""
+with docs as (select row_number() over () as k, doc_id, text from documents),
+words as (select k, {terms} from docs),
+tf as (select k, term, count(*) as tf from words group by k, term),
+size as (select k, sum(tf)::bigint as n from tf group by k),
+total as (select count(*) as n_docs, sum(n)::bigint as n_terms from size),
+weight as (select term, floor(1000 * ln((2.0::double * n_docs + 2) / (2.0::double * count(*) + 1)))::bigint as w
+           from tf, total group by term, n_docs),
+items as (select row_number() over () as item, item_id, text from benchmark),
+asked as (select item, term, count(*) as q from (select item, {terms} from items) group by item, term),
+scores as (
+  select item, tf.k, sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::bigint as score
+  from asked join tf using (term) join weight using (term) join size on size.k = tf.k, total group by item, tf.k),
+ranked as (select item, doc_id, score, row_number() over (partition by item order by score desc, doc_id nulls last) as rank
+           from scores join docs on docs.k = scores.k where score > 0)
+select item_id, rank::int as rank, doc_id, score from ranked join items using (item) where rank <= {top}
+"""
+
+
 ORACLE: dict[str, str] = {
     "op2_mixing": _MIXING,
     "op4_secrets": _secrets_sql(),
     "op9_licenses": _licenses_sql(),
     "op10_url_reputation": _reputation_sql(),
+    "op13_lexical": _lexical_sql(),
 }

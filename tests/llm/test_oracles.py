@@ -43,7 +43,7 @@ def same(spark, name, folder, tables):
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_small_tables(spark, name):
-    rows = same(spark, name, SF_SMALL, ["documents", "pages", "labels"])
+    rows = same(spark, name, SF_SMALL, ["documents", "pages", "labels", "benchmark"])
     assert rows
 
 
@@ -72,20 +72,84 @@ def test_licenses(spark, tmp_path):
     assert got[6]["notices"] == "Apache-2.0,CC-BY-NC-4.0" and got[4]["n_notices"] == 0
 
 
-def test_license_texts_are_found_in_other_dress(spark):
-    from starkpi.llm import licenses
-    from starkpi.llm.license_texts import TEXTS
-    rows = [(n, "Copyright (c) 2024, Some Body\n\n" + t.upper().replace(",", " ;").replace("SUBLICENSE", "SUBLICENCE"))
-            for n, t in TEXTS.items()]
-    rows.append(("none", "Permission is hereby granted"))
-    got = {r.doc_id: r.license for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
-    assert got == {**{n: n for n in TEXTS}, "none": None}
+# The usual MIT licence as its template gives it, wrapped by hand: not the stored text.
+MIT = """MIT License
+
+Copyright (c) 2019 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+COMMON = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0",
+          "CC0-1.0": "CC0-1.0", "BSD": "BSD-3-Clause"}
+
+
+def test_licenses_in_any_wrapping(spark, tmp_path):
+    """Every licence in three wrappings, under a title or none, with and without notices; the
+    container's own licence files, as they are and wrapped anew.  Query and SQL agree."""
+    import os
+    import textwrap
+    from starkpi.llm.license_texts import TEXTS, TITLES
+    texts = [("MIT", MIT)]
+    for file, name in COMMON.items():
+        if os.path.exists(f"/usr/share/common-licenses/{file}"):
+            with open(f"/usr/share/common-licenses/{file}", encoding="utf-8") as f:
+                texts.append((name, f.read()))
+    for i, (name, text) in enumerate(TEXTS.items()):
+        for head in ("Copyright (c) 2024, Some Body\nAll rights reserved.", "Copyright Joe Doe and others", "(C) 1999 x", "", "\u00a9 x"):
+            texts.append((name, f"{['', *TITLES[name]][i % 3]}\n\n{head}\n\n{text.replace('sublicense', 'sublicence')}"))
+    rows = [(None, "Permission is hereby granted"), (None, "COPYRIGHT HOLDERS BE LIABLE"), (None, MIT + "x")]
+    for name, text in texts:
+        for width in (None, 60, 78, 4000):
+            paragraphs = text.split("\n\n")
+            wrapped = [p if width is None or len(p) < 60 else textwrap.fill(p, width) for p in paragraphs]
+            if "Some Body\nAll rights" in text or name in ("GPL-2.0", "GPL-3.0", "LGPL-3.0") or "Regents" in text:
+                wrapped = paragraphs  # notices share a paragraph with other lines, which they keep
+            rows.append((name, "\n\n".join(wrapped)))
+            rows.append((name, "\r\n\r\n".join(w.upper() if name == "MIT" and "Copyright" not in w else w for w in wrapped)))
+    docs = [(i, text) for i, (_, text) in enumerate(rows)]
+    folder = _folder(spark, tmp_path, documents=(docs, "doc_id long, text string"))
+    got = {r["doc_id"]: r["license"] for r in same(spark, "op9_licenses", folder, ["documents"])}
+    assert [(i, got[i], rows[i][1][:60]) for i in got if got[i] != rows[i][0]] == []
+
+
+def test_notices_behind_a_copyright_and_in_headers(spark, tmp_path):
+    rows = [(1, "Copyright (c) 2020 X. Released under the MIT License."), (2, "/* Copyright 2020 Y; licensed under the Apache 2.0 All rights reserved. */"),
+            (3, 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file'),
+            (4, "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."), (5, "Copyright 2020 nobody")]
+    folder = _folder(spark, tmp_path, documents=(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: r["notices"] for r in same(spark, "op9_licenses", folder, ["documents"])}
+    assert got == {1: "MIT", 2: "Apache-2.0", 3: "Apache-2.0", 4: "MPL-2.0", 5: ""}
+
+
+def test_lexical_sql(spark, tmp_path):
+    docs = [(1, "a b a"), (2, "A-B c"), (2, "a b a"), (None, "b b é"), (3, None), (4, ""), (5, "é1 2x " * 30)]
+    items = [(7, "a b"), (8, None), (None, "é1 b b"), (7, "zz")]
+    folder = _folder(spark, tmp_path, documents=(docs, "doc_id long, text string"), benchmark=(items, "item_id int, text string"))
+    assert len(same(spark, "op13_lexical", folder, ["documents", "benchmark"])) == 9
 
 
 def test_urls(spark, tmp_path):
-    pages = [(i, u, "<html>") for i, u in URLS] + [(i, f"https://bad.net/{i}", "") for i in range(100, 160)] \
-        + [(i, f"https://good{i % 7}.net/{i}", "") for i in range(200, 400)]
-    labels = [(i, 1, 1) for i in range(100, 160)] + [(i, 1, 0) for i in range(200, 400)] + [(11, 1, 0), (11, 0, None), (None, 0, 1)]
+    # outcomes come from the label of the document that a path's number names, not of the page's own id
+    pages = [(i, u, "<html>") for i, u in URLS] + [(i, f"https://bad.net/en/{i + 1000}.html?x=1", "") for i in range(100, 160)] \
+        + [(i, f"https://good{i % 7}.net/fr/{i + 1000}", "") for i in range(200, 400)]
+    labels = [(i, 1, 1) for i in range(1100, 1160)] + [(i, 1, 0) for i in range(1200, 1400)] + [(1300, 1, 0), (1300, 0, None), (None, 0, 1)]
+    labels += [(i, 0, 1) for i in range(200, 400)]
     folder = _folder(spark, tmp_path, pages=(pages, "page_id long, url string, html string"),
                      labels=(labels, "doc_id long, quality int, toxic int"))
     got = {r["page_id"]: r for r in same(spark, "op10_url_reputation", folder, ["pages", "labels"])}
