@@ -74,6 +74,9 @@ def draw(id_col: Column, text: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+_ADDED = {"__size", "__copies", "__source_size", "__target", "__rate", "__own_source", "__source", "__draw"}
+
+
 def decide(docs: DataFrame, weights: list[float] | DataFrame, budget: float = 1.5, max_repeat: float = 2.0,
            seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
            keep: list[str] | None = None) -> DataFrame:
@@ -91,6 +94,8 @@ def decide(docs: DataFrame, weights: list[float] | DataFrame, budget: float = 1.
     if per_source.count() <= BROADCAST_SOURCES:
         per_source = F.broadcast(per_source)
     names = docs.columns if keep is None else keep
+    if clash := _ADDED & {c.lower() for c in names}:
+        raise ValueError(f"decide adds columns of these names, keep others: {sorted(clash)}")
     fraction = F.col("__rate") - F.floor("__rate")
     own = docs.select(*[F.col(f"`{c}`") for c in names],
                       F.col(source_col).alias("__own_source"),
@@ -103,7 +108,11 @@ def decide(docs: DataFrame, weights: list[float] | DataFrame, budget: float = 1.
 
 def mix(docs: DataFrame, weights: list[float] | DataFrame, budget: float = 1.5, max_repeat: float = 2.0,
         seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mixed corpus: the rows of ``docs``, each as many times as it is taken."""
-    taken = decide(docs, weights, budget, max_repeat, seed, id_col, text_col, source_col).where("__copies > 0")
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    """The mixed corpus: the rows of ``docs``, each as many times as it is taken.  Columns
+    travel in a struct, so that their names clash with nothing."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"),
+                       F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    if isinstance(weights, DataFrame):
+        weights = weights.withColumnRenamed(source_col, "source")
+    taken = decide(rows, weights, budget, max_repeat, seed, "id", "text", "source", keep=["doc"])
+    return taken.where("__copies > 0").select(F.explode(F.array_repeat("doc", F.col("__copies"))).alias("doc")).select("doc.*")

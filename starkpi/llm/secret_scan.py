@@ -155,27 +155,28 @@ def scan(docs: DataFrame, reach: int = 200, id_col: str = "doc_id", text_col: st
 def redact(docs: DataFrame, reach: int = 200, id_col: str = "doc_id", text_col: str = "text",
            length_col: str | None = "n_chars") -> DataFrame:
     """``docs`` with every reported span replaced by a placeholder and ``length_col`` (where
-    there is one) set to the new length; rows without secrets stay as they are."""
+    there is one) set to the new length; rows without secrets stay as they are.  Columns
+    travel in a struct, so that their names clash with nothing."""
     by_start = Window.partitionBy("key").orderBy("start", "rank", "stop")
     earlier = F.max("stop").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     apart = spans(docs, reach, id_col, text_col).select(
         "key", F.greatest("start", F.coalesce(earlier, F.lit(0))).alias("start"), "stop").where("start < stop")
-    cuts = materialize(apart.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("__cuts"))
-                       .withColumnRenamed("key", "__key"))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.withColumn("__row", row_key(F.col(id_col), text)).join(cuts, F.col("__row") == F.col("__key"), "left")
+    cuts = materialize(apart.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("cuts")))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.col(text_col).alias("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
+                       row_key(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).alias("row"))
+    rows = rows.join(cuts, F.col("row") == F.col("key"), "left")
 
     def before(cut: Column, i: Column) -> Column:
-        since = F.when(i > 0, F.get(F.col("__cuts"), i - 1)["stop"]).otherwise(0)
+        since = F.when(i > 0, F.get(F.col("cuts"), i - 1)["stop"]).otherwise(0)
         return F.concat(F.substring(text, since.cast("int") + 1, (cut["start"] - since).cast("int")), F.lit(PLACEHOLDER))
 
-    end = F.element_at("__cuts", -1)["stop"].cast("int")
-    clean = F.concat(F.array_join(F.transform("__cuts", before), ""), F.substring(text, end + 1, F.length(text)))
-    cols = {c: F.col(f"`{c}`") for c in docs.columns}
-    cols[text_col] = F.when(F.col("__cuts").isNull(), cols[text_col]).otherwise(clean)
-    rows = rows.withColumn("__clean", cols[text_col])
-    cols[text_col] = F.col("__clean")
+    end = F.element_at("cuts", -1)["stop"].cast("int")
+    clean = F.concat(F.array_join(F.transform("cuts", before), ""), F.substring(text, end + 1, F.length(text)))
+    rows = rows.select("doc", "cuts", F.when(F.col("cuts").isNull(), F.col("text")).otherwise(clean).alias("clean"))
+    cols = {c: F.col("doc")[c] for c in docs.columns}
+    cols[text_col] = F.col("clean")
     if length_col in cols:
-        cols[length_col] = F.when(F.col("__cuts").isNull(), cols[length_col]).otherwise(
-            F.length("__clean").cast(docs.schema[length_col].dataType))
+        cols[length_col] = F.when(F.col("cuts").isNull(), cols[length_col]).otherwise(
+            F.length("clean").cast(docs.schema[length_col].dataType))
     return rows.select(*[v.alias(c) for c, v in cols.items()])

@@ -31,7 +31,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -266,32 +266,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                shingle: int = 3, radius: int = 3) -> DataFrame:
-    """``docs``, all columns, with one row per component: that with the smallest id.  Of
-    rows that share this id, and of a component without any id, one row stays (any one: they
-    are copies by this operator's measure)."""
-    fp = materialize(fingerprints(docs, id_col, text_col, shingle))
-    label = _labels(fp, id_col, radius)
-    first = label.where(F.col("component_id").isNotNull()).select(F.col("component_id").alias("__id")).distinct()
-    kept = docs.join(first, F.col(id_col) == F.col("__id"), "left_semi")
-    twice = materialize(fp.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1")
-                        .select(F.col(id_col).alias("__id")))
+    """``docs``, all columns, with one row per component: that with the smallest id.  Rows that
+    share an id are told apart by their components: each keeps one row of the id where it is
+    its smallest.  Of several such rows in one component, and of the rows of a component
+    without any id, the one with the smallest text stays (NULL first, then by a hash of the
+    row).  Columns travel in a struct, so that their names clash with nothing."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
+                       F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    fp = materialize(fingerprints(rows, "id", "text", shingle))
+    label = _labels(fp, "id", radius)
+    first = label.where(F.col("component_id").isNotNull()).select(F.col("component_id").alias("id")).distinct()
+    twice = materialize(fp.where(F.col("id").isNotNull()).groupBy("id").count().where("count > 1").select("id"))
+    kept, again = rows.join(first, "id", "left_semi"), None
     if not twice.isEmpty():  # the texts move for these rows only
-        again = F.col(id_col) == F.col("__id")
-        kept = kept.join(twice, again, "left_anti").unionByName(
-            kept.join(twice, again, "left_semi").dropDuplicates([id_col]))
-    if not fp.where(F.col(id_col).isNull()).isEmpty():
-        bare = _with_fingerprint(docs.where(F.col(id_col).isNull()), text_col, shingle)
-        bare = bare.join(label.where(F.col("component_id").isNull()), F.col("__fp") == F.col("label_fp"))
-        kept = kept.unionByName(bare.dropDuplicates(["root"]).select(*[f"`{c}`" for c in docs.columns]))
-    return kept
-
-
-def _with_fingerprint(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
-    """``docs`` plus __fp."""
-    at = docs.columns.index(text_col)
-
+        kept, again = kept.join(twice, "id", "left_anti"), rows.join(twice, "id", "left_semi")
+    if not fp.where(F.col("id").isNull()).isEmpty():
+        bare = rows.where(F.col("id").isNull())
+        again = bare if again is None else again.unionByName(bare)
+    if again is not None:
+        again = _with_fingerprint(again, shingle).join(label, F.col("fp") == F.col("label_fp"))
+        one = Window.partitionBy("root", "id").orderBy(F.col("text").asc_nulls_first(), F.xxhash64("doc"))
+        again = again.where(F.col("id").eqNullSafe(F.col("component_id"))).withColumn("n", F.row_number().over(one)).where("n = 1")
+        kept = kept.select("doc").unionByName(again.select("doc"))
+    return kept.select("doc.*")
+
+
+def _with_fingerprint(rows: DataFrame, shingle: int) -> DataFrame:
+    """(id, text, doc) plus fp."""
     def run(batches):
         for b in batches:
-            fp = np.array([text_fingerprint(t.as_py(), shingle) for t in b.column(at)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp.view(np.int64))], names=[*b.schema.names, "__fp"])
-    return map_arrow(docs, run, StructType([*docs.schema.fields, StructField("__fp", LongType())]))
+            fp = np.array([text_fingerprint(t.as_py(), shingle) for t in b.column(1)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp.view(np.int64))], names=[*b.schema.names, "fp"])
+    return map_arrow(rows, run, StructType([*rows.schema.fields, StructField("fp", LongType())]))

@@ -209,3 +209,47 @@ def test_longer_licenses_headers_and_notices_behind_a_copyright(spark):
     assert {i: got[i].license for i, _ in docs[:len(docs) - len(lines) - 1]} == {i: i.split(" ")[0] for i, _ in docs[:len(docs) - len(lines) - 1]}
     assert {line: got[line].notices for line in lines} == lines
     assert all(got[line].n_notices == bool(n) for line, n in lines.items())
+
+
+NAMES = ["__id", "__fp", "fp", "id", "doc", "root", "label_fp", "component_id", "n", "__size", "__copies", "__copy", "__rate",
+         "__source", "__source_size", "__target", "__draw", "__own_source", "__row", "__key", "__cuts", "__clean", "key", "cuts",
+         "clean", "row", "with.dot", "rank", "start", "stop", "shard", "low", "weight", "cap"]
+
+
+def _clashing(spark, texts):
+    """(doc_id, text, source, n_chars) with a column of every name that the operators use."""
+    rows = [(i, t, s, len(t or ""), *(f"{n}-{at}" for n in NAMES)) for at, (i, t, s) in enumerate(texts)]
+    fields = ", ".join(f"`{n}` string" for n in NAMES)
+    return spark.createDataFrame(rows, f"doc_id long, text string, source string, n_chars long, {fields}")
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    texts = [(1, "some words of a text with password=abcdefgh in it", "a"), (2, None, "b"), (3, "", None), (None, "no id here", "a")]
+    docs = _clashing(spark, texts)
+    given = {tuple(r) for r in docs.collect()}
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns and {tuple(r) for r in kept.collect()} <= given and kept.count() == 3
+    mixed = mixing.mix(docs, [3, 1, 2])
+    assert mixed.columns == docs.columns and {tuple(r) for r in mixed.collect()} <= given
+    safe = secret_scan.redact(docs)
+    assert safe.columns == docs.columns and safe.dtypes == docs.dtypes
+    got = {r["doc_id"]: r for r in safe.collect()}
+    for at, (i, t, _) in enumerate(texts):
+        assert all(got[i][n] == f"{n}-{at}" for n in NAMES)
+        assert got[i]["text"] == (t.replace("password=abcdefgh", secret_scan.PLACEHOLDER) if i == 1 else t)
+        assert got[i]["n_chars"] == len(got[i]["text"] or "")
+    with pytest.raises(ValueError):
+        mixing.decide(docs, [1])
+
+
+def test_keep_first_tells_rows_of_one_id_apart(spark):
+    def kept(*rows):
+        df = spark.createDataFrame(list(rows), "doc_id long, text string")
+        return sorted(((r.doc_id, r.text) for r in simhash.keep_first(df).collect()), key=str)
+
+    a, b, c = ("alpha beta gamma delta epsilon", "one two three four five six", "nothing like the others at all")
+    assert kept((1, a), (1, b), (2, c)) == [(1, a), (1, b), (2, c)]
+    # the second row of id 2 is a copy of id 1's text: it goes, the first stays
+    assert kept((1, a), (2, b), (2, a)) == [(1, a), (2, b)]
+    assert kept((1, a), (1, a), (None, b), (None, b), (None, a)) == [(1, a), (None, b)]
+    assert kept((5, "X y z " + a.upper()), (5, "x y z " + a)) == [(5, "X y z " + a.upper())]  # one fingerprint: the smaller text
