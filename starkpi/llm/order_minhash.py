@@ -1,19 +1,21 @@
 """Document fingerprints: Order MinHash.
 
 A text's words form overlapping k-mers; each is numbered by its occurrence, so that repeats
-count.  A hash of (k-mer, number) deals them over ``bins`` and orders them within a bin
-(one permutation serves all bins, instead of one per bin).  Every bin selects its
-``tuple_size`` smallest, puts them back into text order and hashes the tuple: an entry of
-the fingerprint.  Texts agree on an entry only where they share the selected k-mers *in
-the same order*, which makes the share of equal entries sensitive to edit distance, where
-plain MinHash sees a bag of k-mers.  Bins that no k-mer falls into have no entry; likeness
-counts the bins in which either text has one.
+count.  A hash of (k-mer, number) places them on a circle.  Every entry of the fingerprint
+has a point of its own on it and selects, over the whole text, the ``tuple_size`` k-mers that
+are smallest when counted from there: its order is the hash order, rotated to begin at its
+point.  It puts them back into text order and hashes the tuple.  Texts agree on an entry only
+where they share the selected k-mers *in the same order*, which makes the share of equal
+entries sensitive to edit distance, where plain MinHash sees a bag of k-mers.  Entries whose
+points have no k-mer between them select the same tuple: one order serves all entries,
+instead of one hash of every k-mer for each.
 
 Everything per text is array functions in the JVM: hashes and positions are packed into
 one long, so that two sorts of an array of longs find the occurrence numbers and the
 selections; a repeated k-mer finds the start of its run by binary steps.  No text is
-exploded into rows.  Equal texts have equal fingerprints; NULL and empty texts have the
-fingerprint '' and are fully alike; a text with fewer than k words forms one k-mer.
+exploded into rows.  Equal texts have equal fingerprints; NULL and empty texts have no
+entries, the fingerprint '', and are fully alike; a text with fewer than k words forms one
+k-mer, and a tuple holds as many k-mers as there are.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ def _let(value: Column, body) -> Column:
 
 
 def entries(text: Column, k: int = 3, bins: int = 64, tuple_size: int = 2) -> Column:
-    """array<long> of ``bins`` (a power of two) entries, NULL where a bin is empty."""
+    """array<long> of ``bins`` (a power of two) entries, all NULL where there is no k-mer."""
     long_mask, pos_mask = F.lit(~_POSITION), F.lit(_POSITION)
 
     def words_to_entries(words: Column) -> Column:
@@ -63,41 +65,50 @@ def entries(text: Column, k: int = 3, bins: int = 64, tuple_size: int = 2) -> Co
         return _let(F.sort_array(F.transform(run, order)), lambda dealt: dealt_to_entries(grams, dealt))
 
     def bin_of(x: Column) -> Column:
-        # bins are ranges of the hash, so a bin's k-mers stand together, smallest first
+        # entry b's point is where bin b, a range of the hash, begins
         return F.shiftrightunsigned(x, 64 - (bins.bit_length() - 1)).cast("int")
 
     def dealt_to_entries(grams: Column, dealt: Column) -> Column:
+        size = F.size(dealt)
+
         def opens(i: Column) -> Column:
             return (i == 0) | (bin_of(F.get(dealt, i - 1)) != bin_of(F.get(dealt, i)))
 
         def entry(i: Column) -> Column:
-            own = bin_of(F.get(dealt, i))
-            places = [F.when(bin_of(F.get(dealt, i + j)) == own, F.get(dealt, i + j).bitwiseAND(pos_mask).cast("int"))
+            # longs sort as signed numbers, which on a circle is the same order
+            places = [F.when(F.lit(j) < size, F.get(dealt, F.pmod(i + j, size)).bitwiseAND(pos_mask).cast("int"))
                       for j in range(tuple_size)]
             in_text_order = F.array_sort(F.array(*places))
             picked = [F.get(grams, F.get(in_text_order, F.lit(j))) for j in range(tuple_size)]
-            return F.struct(own.alias("bin"), F.xxhash64(*picked).bitwiseAND(F.lit(0xFFFFFFFF)).alias("entry"))
+            return F.struct(bin_of(F.get(dealt, i)).alias("bin"), F.xxhash64(*picked).bitwiseAND(F.lit(0xFFFFFFFF)).alias("entry"))
+
+        places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
+        return F.array_sort(F.transform(F.filter(places, opens), entry))
+
+    def filled(found: Column) -> Column:
+        """Every point up to a bin with k-mers selects what that bin's does; those behind the
+        last go on at the first."""
+        def upto(f: Column, i: Column) -> Column:
+            return F.array_repeat(f["entry"], f["bin"] - F.coalesce(F.get(found, i - 1)["bin"], F.lit(-1)))
 
-        places = F.when(F.size(dealt) > 0, F.sequence(F.lit(0), F.size(dealt) - 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(F.filter(places, opens), entry)
+        behind = F.array_repeat(F.get(found, F.lit(0))["entry"], F.lit(bins - 1) - F.element_at(found, -1)["bin"])
+        return F.when(F.size(found) > 0, F.concat(F.flatten(F.transform(found, upto)), behind)).otherwise(
+            F.array_repeat(F.lit(None).cast("long"), bins))
 
     trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{SPACE}|{SPACE}$", "")
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE, -1))
-    found = _let(words, words_to_entries)
-    # one place per bin, NULL where it is empty
-    by_bin = F.map_from_entries(found)
-    return _let(by_bin, lambda m: F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.try_element_at(m, b)))
+    return _let(_let(words, words_to_entries), filled)
 
 
 def as_string(fingerprint: Column) -> Column:
-    """Entries as hex by bin, comma-joined, nothing where a bin is empty; '' for no entry."""
+    """Entries as hex, comma-joined; '' where there is none."""
     empty = F.forall(fingerprint, lambda e: e.isNull())
     hexed = F.transform(fingerprint, lambda e: F.coalesce(F.lpad(F.lower(F.hex(e)), 8, "0"), F.lit("")))
     return F.when(empty, F.lit("")).otherwise(F.array_join(hexed, ","))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal entries among the bins in which either has one; 1 where neither has any."""
+    """Share of equal entries; 1 where neither has any."""
     def tally(at: Column, e: Column) -> Column:
         x, y = e["x"], e["y"]
         return F.struct((at["same"] + F.when(x == y, 1).otherwise(0)).alias("same"),
