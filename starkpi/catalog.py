@@ -25,6 +25,9 @@ DASH_FILTER = SalesFilter("1996-01-01", "1998-12-31", ("ECONOMY", "PROMO"),
                           ("NATION_0", "NATION_1", "NATION_2", "NATION_3", "NATION_4"))
 BENCH_MONTH = ("1996-06-01", "1996-06-30")
 LOOKUP_PRODUCT_ID = 42
+LOOKUP_ORDER_ID = 7
+LOOKUP_CUSTOMER_ID = 10
+DEFAULT_FILTER_DATES = ("1996-01-01", "1998-12-31")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +86,9 @@ QUERIES: dict[str, Query] = {
     "bench_month_product": _on_star(lambda s: explorer.bench_month_product(s, *BENCH_MONTH)),
     # pick lists and lookups
     "product_lookup": _on_star(lambda s: explorer.product_lookup(s, LOOKUP_PRODUCT_ID)),
+    "bound_product_lookup": _on_star(lambda s: explorer.bound_product_lookup(s, LOOKUP_PRODUCT_ID)),
+    "order_lookup": _on_star(lambda s: explorer.order_lines(s, LOOKUP_ORDER_ID)),
+    "customer_lookup": _on_star(lambda s: explorer.customer_lines(s, LOOKUP_CUSTOMER_ID)),
     "distinct_categories": _on_star(explorer.distinct_categories),
     "distinct_countries": _on_star(explorer.distinct_countries),
     "pick_list_products": _on_star(explorer.pick_list_products),
@@ -101,6 +107,10 @@ QUERIES: dict[str, Query] = {
     "calendar": _on_star(lines.calendar_table),
     "line_pricing": _on_star(lines.line_pricing),
     "ship_lag": _on_star(lines.ship_lag),
+    "ship_dates": _on_star(lines.ship_dates),
+    "manual_order_ids": _on_star(lines.manual_order_ids),
+    "orders_by_period": _on_star(lines.orders_by_period),
+    "default_filter_countries": _on_star(lambda s: lines.default_filter_countries(s, *DEFAULT_FILTER_DATES)),
     "order_label": _on_star(lines.order_labels),
     "manual_sale_pricing": _on_star(lines.manual_sale_pricing),
     "monthly_series": _on_star(lines.monthly_series),

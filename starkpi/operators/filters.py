@@ -99,8 +99,8 @@ def default_filter(countries: list[str], today: _dt.date | None = None,
 
 
 def default_filter_for(countries_df, today: _dt.date | None = None,
-                       n_countries: int = DEFAULT_N_COUNTRIES) -> SalesFilter:
+                       n_countries: int = DEFAULT_N_COUNTRIES, default_start: _dt.date = DEFAULT_START) -> SalesFilter:
     """P11 over a country domain DataFrame (e.g. ``explorer.distinct_countries``):
     only the first ``n_countries`` sorted names reach the driver."""
     first = [r[0] for r in countries_df.orderBy(countries_df.columns[0]).limit(n_countries).collect()]
-    return default_filter(first, today=today, n_countries=n_countries)
+    return default_filter(first, today=today, default_start=default_start, n_countries=n_countries)

@@ -240,6 +240,14 @@ GROUP BY p.product_name, p.category ORDER BY revenue DESC"""),
     "product_lookup": with_star("""
 SELECT CAST(unit_cost AS DOUBLE) AS unit_cost, category FROM product WHERE product_id = 42"""),
 
+    "bound_product_lookup": with_star("""
+SELECT CAST(unit_cost AS DOUBLE) AS unit_cost, category FROM product WHERE product_id = 42"""),
+    "order_lookup": with_star(f"""
+SELECT order_id, line_number, CAST(order_date AS VARCHAR) AS order_date, customer_id, product_id, quantity,
+       {_m('sales_amount')} AS sales_amount, {_m('profit')} AS profit FROM fact WHERE order_id = 7"""),
+    "customer_lookup": with_star(f"""
+SELECT order_id, line_number, CAST(order_date AS VARCHAR) AS order_date, customer_id, product_id, quantity,
+       {_m('sales_amount')} AS sales_amount, {_m('profit')} AS profit FROM fact WHERE customer_id = 10"""),
     "distinct_categories": with_star("SELECT DISTINCT category FROM product ORDER BY category"),
     "distinct_countries": with_star("SELECT DISTINCT country FROM cust ORDER BY country"),
     "pick_list_products": with_star("SELECT product_id, product_name FROM product ORDER BY product_name"),
@@ -339,6 +347,21 @@ SELECT order_id, line_number, product_id, supplier_id, quantity, CAST(unit_price
 SELECT CAST(date_diff('day', order_date, ship_date) AS INTEGER) AS lag_days, COUNT(*) AS lines
 FROM fact GROUP BY 1 ORDER BY 1"""),
 
+    "ship_dates": with_star("""
+SELECT order_id, line_number, product_id, supplier_id, quantity,
+       CAST(order_date + CAST(quantity % 7 + 1 AS INTEGER) AS VARCHAR) AS ship_date FROM fact"""),
+    "manual_order_ids": with_star("""
+SELECT DISTINCT CAST(order_date AS VARCHAR) AS order_date,
+       'ORD' || CAST(epoch(order_date) AS BIGINT) AS order_id FROM fact"""),
+    "orders_by_period": with_star("""
+SELECT CAST(year(order_date) AS VARCHAR) AS period, COUNT(DISTINCT order_id) AS order_count FROM fact GROUP BY ALL
+UNION ALL SELECT 'all', COUNT(DISTINCT order_id) FROM fact"""),
+    "default_filter_countries": with_star(f"""
+SELECT c.country, {_m('SUM(f.sales_amount)')} AS revenue, COUNT(*) AS orders
+FROM fact f JOIN cust c ON f.customer_id = c.customer_id
+WHERE c.country IN (SELECT country FROM cust GROUP BY country ORDER BY country LIMIT 5)
+  AND f.order_date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'
+GROUP BY c.country ORDER BY revenue DESC"""),
     "order_label": with_star("""
 SELECT order_id, printf('ORD-%06d', order_id) AS order_label FROM (SELECT DISTINCT order_id FROM fact)"""),
 

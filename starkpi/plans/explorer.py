@@ -124,6 +124,32 @@ def product_lookup(star: Star, product_id: int) -> DataFrame:
         F.col("unit_cost").cast("double").alias("unit_cost"), "category")
 
 
+def _lines_by_id(star: Star, column: str, value) -> DataFrame:
+    """The fact's lines with one value of an id column, as given in the column's type, so
+    that the equality reaches the scan and its Bloom filters."""
+    key = F.lit(value).cast(star.fact.schema[column].dataType)
+    cols = [c for c in ("order_id", "line_number", "order_date", "customer_id", "product_id", "quantity") if c in star.fact.columns]
+    return star.fact.filter(F.col(column) == key).select(
+        *cols, money_out("sales_amount").alias("sales_amount"), money_out("profit").alias("profit"))
+
+
+def order_lines(star: Star, order_id) -> DataFrame:
+    """P7 on facts: the lines of one order."""
+    return _lines_by_id(star, "order_id", order_id)
+
+
+def customer_lines(star: Star, customer_id) -> DataFrame:
+    """P7 on facts: the lines of one customer."""
+    return _lines_by_id(star, "customer_id", customer_id)
+
+
+def bound_product_lookup(star: Star, product_id: int) -> DataFrame:
+    """The product lookup as SQL with a bound parameter."""
+    return star.product.sparkSession.sql(
+        "SELECT CAST(unit_cost AS DOUBLE) AS unit_cost, category FROM {product} WHERE product_id = :id",
+        args={"id": product_id}, product=star.product)
+
+
 def distinct_categories(star: Star) -> DataFrame:
     """Sorted category domain."""
     return star.product.select("category").distinct().orderBy("category")

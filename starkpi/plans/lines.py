@@ -5,6 +5,8 @@ plain star join.  Money leaves as double, as everywhere else.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -12,12 +14,14 @@ from pyspark.sql.types import DecimalType
 from starkpi.functions import formatting as fmt
 from starkpi.functions.calendar import month_label
 from starkpi.functions.numeric import money_out
-from starkpi.functions.pricing import (MANUAL_DEFAULT_MARGIN, line_profit, manual_profit,
+from starkpi.functions.pricing import (MANUAL_DEFAULT_MARGIN, line_profit, manual_order_id, manual_profit,
                                        manual_revenue, manual_unit_price, order_label,
-                                       sales_amount, ship_lag_days)
+                                       sales_amount, ship_date, ship_lag_days)
 from starkpi.operators import clean, quality
-from starkpi.operators.filters import SalesFilter
-from starkpi.plans.dashboard import dash_kpis, filtered_sales
+from starkpi.operators.bitmaps import distinct_counts, id_bitmaps
+from starkpi.operators.filters import SalesFilter, default_filter_for
+from starkpi.plans.dashboard import dash_countries, dash_kpis, filtered_sales
+from starkpi.plans.explorer import distinct_countries
 from starkpi.plans.kpis import monthly_revenue
 from starkpi.sources.star import Star
 
@@ -119,6 +123,32 @@ def ship_lag(star: Star) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("lines")).orderBy("lag_days"))
 
 
+def ship_dates(star: Star) -> DataFrame:
+    """per line, the ship date that a lag of one to seven days gives."""
+    return star.fact.select(*LINE_KEY, "product_id", "supplier_id", "quantity",
+                            ship_date("order_date", F.col("quantity") % 7 + 1).alias("ship_date"))
+
+
+def manual_order_ids(star: Star) -> DataFrame:
+    """the id that a manual sale entered at the start of each order date would get."""
+    entered = F.timestamp_seconds(F.unix_date("order_date") * 86400)
+    return star.fact.select("order_date").distinct().select("order_date", manual_order_id(entered).alias("order_id"))
+
+
+def orders_by_period(star: Star) -> DataFrame:
+    """A3: distinct orders of every year and in all, rolled up from one bitmap a month."""
+    month = F.trunc("order_date", "month")
+    monthly = id_bitmaps(star.fact.withColumn("order_month", month), "order_id", ["order_month"])
+    years = distinct_counts(monthly.withColumn("period", F.year("order_month").cast("string")), ["period"], "order_count")
+    return years.unionByName(distinct_counts(monthly.withColumn("period", F.lit("all")), ["period"], "order_count"))
+
+
+def default_filter_countries(star: Star, start: str, today: str) -> DataFrame:
+    """Revenue by country under the dashboard's initial filter."""
+    flt = default_filter_for(distinct_countries(star), today=_dt.date.fromisoformat(today), default_start=_dt.date.fromisoformat(start))
+    return dash_countries(star, flt)
+
+
 def order_labels(star: Star) -> DataFrame:
     """``ORD-000123`` label of every order."""
     return (star.fact.select("order_id").distinct()
