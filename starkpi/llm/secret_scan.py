@@ -162,8 +162,9 @@ def redact(docs: DataFrame, reach: int = 200, id_col: str = "doc_id", text_col:
     apart = spans(docs, reach, id_col, text_col).select(
         "key", F.greatest("start", F.coalesce(earlier, F.lit(0))).alias("start"), "stop").where("start < stop")
     cuts = materialize(apart.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("cuts")))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col(text_col).alias("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
+    given = F.col("doc")[text_col]
+    text = F.coalesce(given, F.lit(""))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
                        row_key(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).alias("row"))
     rows = rows.join(cuts, F.col("row") == F.col("key"), "left")
 
@@ -173,7 +174,7 @@ def redact(docs: DataFrame, reach: int = 200, id_col: str = "doc_id", text_col:
 
     end = F.element_at("cuts", -1)["stop"].cast("int")
     clean = F.concat(F.array_join(F.transform("cuts", before), ""), F.substring(text, end + 1, F.length(text)))
-    rows = rows.select("doc", "cuts", F.when(F.col("cuts").isNull(), F.col("text")).otherwise(clean).alias("clean"))
+    rows = rows.select("doc", "cuts", F.when(F.col("cuts").isNull(), given).otherwise(clean).alias("clean"))
     cols = {c: F.col("doc")[c] for c in docs.columns}
     cols[text_col] = F.col("clean")
     if length_col in cols:
