@@ -8,12 +8,16 @@ How likely that is depends on how crowded a vector's surroundings are, and is me
 window reaches all vectors that share more leading signs with a vector than those a window
 away do, and a pair at the threshold shares them with a known probability.  A vector is
 settled when its passes together miss such a pair with a probability below 1 - ``recall``
-(closer pairs far less often).  The vectors that are not go on by themselves, in further
-passes or, where that is less work, compared with each other block by block, which misses
-none.  ``pass_count`` plans the passes for evenly spread vectors; a round makes at most
-``PASSES_AT_A_TIME`` of them, which bounds its shuffled copies, not their number.  A pair with one
-settled end has its probability already, so settled vectors need not go on.  A crowd of m
-vectors that never settles costs m * m / 2 comparisons, made by matrix products.
+(closer pairs far less often).  A pair with one settled end has its probability already, so
+settled vectors need not go on.  Of those that are not, groups of near duplicates are taken
+out first (``crowds``): the members of a component that link with one of them, its pivot, are
+connected by that alone, however many they are, and are compared only with what the triangle
+inequality of angles lets them link with outside their component.  The others go on by
+themselves, in further passes or, where that is less work, compared with each other block by
+block, which misses none.  ``pass_count`` plans the passes for evenly spread vectors; a round
+makes at most ``PASSES_AT_A_TIME`` of them, which bounds its shuffled copies, not their number.
+A dense region of m vectors that are no near duplicates costs m * m / 2 comparisons, made by
+matrix products.
 
 The windows are bounded; what they leave out within a component is made up for exactly, so
 that link counts are whole.  Vectors within half the threshold's angle of a component's
@@ -29,6 +33,7 @@ vectors of their own, and each has its result.  An empty table gives an empty re
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -37,6 +42,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from starkpi.llm.common import components, map_arrow, materialize, smallest_of
 
@@ -284,6 +290,163 @@ def block_links(nodes: DataFrame, rows: int, threshold: float, block: int = 8192
     return dealt.groupBy("dim", "i", "j").applyInArrow(compare, "a long, b long")
 
 
+# ---- groups of near duplicates ----------------------------------------------
+
+
+def _angle(cosine: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cosine, -1.0, 1.0))
+
+
+def crowds(rest: DataFrame, links: DataFrame, threshold: float, least: int) -> DataFrame:
+    """``rest`` with (root, pivot, angle): the component that ``links`` put a vector in, and of
+    a group of ``least`` vectors or more that all link with one of them, that one's node and
+    the angle to it; NULL for the others.  A component may hold several groups: those that
+    do not link with its first pivot choose another, until two turns took in few of them."""
+    found = components(links)
+    left = rest.join(found.select(F.col("node").alias("__n"), "root"), F.col("node") == F.col("__n"), "left").drop("__n")
+    left, out = materialize(left), None
+    none = {"pivot": F.lit(None).cast("long"), "angle": F.lit(None).cast("double")}
+    count = left.count()
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, vec, pivot = (b.schema.get_field_index(c) for c in ("dim", "vec", "__vec"))
+            dims, cosine = b.column(at).to_numpy(), np.zeros(b.num_rows)
+            for dim in np.unique(dims):
+                own = np.flatnonzero(dims == dim)
+                x, y = (_unit(_matrix(b.column(c).take(pa.array(own)))) for c in (vec, pivot))
+                cosine[own] = np.einsum("nd,nd->n", x, y)
+            linked = (cosine >= threshold) | (b.column(b.schema.get_field_index("node")).to_numpy()
+                                              == b.column(b.schema.get_field_index("__pivot")).to_numpy())
+            # rounding must not narrow an angle
+            yield b.append_column("angle", pa.array(_angle(cosine - _MARGIN), mask=~linked))
+
+    turn, idle = 0, 0
+    while count and idle < 2:
+        rank = F.xxhash64("node", F.lit(turn))
+        first = left.where(F.col("root").isNotNull()).groupBy(F.col("root").alias("__root")).agg(
+            F.min(rank).alias("__rank"), F.count(F.lit(1)).alias("__size"))
+        first = first.where(F.col("__size") >= least)
+        chosen = materialize(left.join(first, (F.col("root") == F.col("__root")) & (rank == F.col("__rank"))).select(
+            "__root", F.col("node").alias("__pivot"), F.col("vec").alias("__vec")))
+        if chosen.isEmpty():
+            break
+        tried = left.join(chosen, F.col("root") == F.col("__root"))
+        placed = materialize(map_arrow(tried, place, StructType([*tried.schema, StructField("angle", DoubleType())])))
+        sizes = placed.where(F.col("angle").isNotNull()).groupBy(F.col("__pivot").alias("__p")).agg(F.count(F.lit(1)).alias("__size"))
+        sizes = sizes.where(F.col("__size") >= least)
+        taken = materialize(placed.where(F.col("angle").isNotNull()).join(sizes, F.col("__pivot") == F.col("__p")).select(
+            *left.columns, F.col("__pivot").alias("pivot"), "angle"))
+        out = taken if out is None else out.unionByName(taken)
+        left = materialize(left.join(taken.select(F.col("node").alias("__n")), F.col("node") == F.col("__n"), "left_anti"))
+        before, count, turn = count, left.count(), turn + 1
+        idle = idle + 1 if count > 0.9 * before else 0
+    left = left.withColumns(none)
+    return left if out is None else out.unionByName(left)
+
+
+def _stars(node: np.ndarray, a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Links between rows a and b as a spanning star of nodes: a row per node at most."""
+    empty = np.zeros(0, np.int64)
+    root = smallest_of(len(node), np.concatenate([empty, *a]), np.concatenate([empty, *b]))
+    hung = np.flatnonzero(root != np.arange(len(node)))
+    return node[hung], node[root[hung]]
+
+
+def crowd_links(placed: DataFrame, threshold: float, block: int = 4096) -> DataFrame:
+    """Links (a, b) that connect every vector of a group with its pivot, and groups with all of
+    ``placed`` that links with a member of theirs.
+
+    Pivots are compared with the pivots and the ungrouped vectors of other components, block
+    by block.  Where the angle exceeds the threshold's by no more than the groups' radii,
+    members may link all the same: those groups are compared member by member, in blocks."""
+    limit = math.acos(threshold)
+    inner = placed.where(F.col("pivot").isNotNull()).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    radii = placed.where(F.col("pivot").isNotNull()).groupBy(F.col("pivot").alias("__p")).agg(F.max("angle").alias("radius"))
+    heads = placed.join(radii, F.col("node") == F.col("__p")).select("node", "root", "dim", "vec", "radius")
+    alone = placed.where(F.col("pivot").isNull()).select("node", "root", "dim", "vec", F.lit(0.0).alias("radius"))
+    points = materialize(heads.withColumn("head", F.lit(True)).unionByName(alone.withColumn("head", F.lit(False))))
+    n, k = points.agg(F.count(F.lit(1)), F.count(F.when(F.col("head"), 1))).first()
+    point_blocks, head_blocks = -(-n // block), -(-k // block)
+    columns = ["node", "root", "dim", "vec", "radius", "head"]
+    asks = points.select(*columns, F.lit(True).alias("asks"), F.pmod(F.xxhash64("node"), F.lit(point_blocks)).alias("i"),
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(head_blocks - 1).cast("long"))).alias("j"))
+    told = points.where("head").select(
+        *columns, F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(point_blocks - 1).cast("long"))).alias("i"),
+        F.pmod(F.xxhash64("node"), F.lit(head_blocks)).alias("j"))
+
+    def near(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        side = table["asks"].to_numpy(zero_copy_only=False)
+        q, p = table.filter(pa.array(side)), table.filter(pa.array(~side))
+        parts = []
+        if q.num_rows and p.num_rows:
+            y, yn = _unit(_matrix(p["vec"].combine_chunks())), p["node"].to_numpy()
+            yr, reach = p["root"].to_numpy(), p["radius"].to_numpy()
+            for at in range(0, q.num_rows, 1024):
+                some = q.slice(at, 1024).combine_chunks()
+                x, xn, head = (_unit(_matrix(some["vec"].combine_chunks())), some["node"].to_numpy(),
+                               some["head"].to_numpy(zero_copy_only=False))
+                xr = some["root"].fill_null(0).to_numpy()
+                apart = (xr[:, None] != yr[None, :]) | some["root"].is_null().to_numpy()[:, None]
+                # two heads meet from both sides: the greater node asks
+                apart &= ~head[:, None] | (xn[:, None] > yn[None, :])
+                cosine = x @ y.T
+                i, j = np.nonzero(apart & (_angle(cosine + _MARGIN) <= limit + some["radius"].to_numpy()[:, None] + reach[None, :]))
+                parts.append(pa.table({"a": xn[i], "b": yn[j], "head": head[i], "linked": cosine[i, j] >= threshold}))
+        empty = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()),
+                          "head": pa.array([], pa.bool_()), "linked": pa.array([], pa.bool_())})
+        return pa.concat_tables([empty, *parts])
+
+    met = materialize(asks.unionByName(told).groupBy("dim", "i", "j").applyInArrow(near, "a long, b long, head boolean, linked boolean"))
+    links = inner.unionByName(met.where("linked").select("a", "b"))
+    open_pairs = met.where("not linked")
+    if open_pairs.isEmpty():
+        return links
+    # pairs of groups that the links so far connect need no comparison
+    roots = placed.where(F.col("root").isNotNull()).select("root", F.col("node"))
+    joined = materialize(components(links.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))))
+    for end in ("a", "b"):
+        one = joined.select(F.col("node").alias("__" + end), F.col("root").alias("root_" + end))
+        open_pairs = open_pairs.join(one, F.col(end) == F.col("__" + end), "left")
+    open_pairs = open_pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b", "head")
+    open_pairs = materialize(open_pairs)
+    members = placed.where(F.col("pivot").isNotNull()).select(F.col("pivot").alias("__m"), "node", "vec")
+    single = placed.where(F.col("pivot").isNull()).select(F.col("node").alias("__m"), "node", "vec")
+    # single vectors that meet one group are one side of one comparison: (group, group)
+    left = open_pairs.where("head").join(members, F.col("a") == F.col("__m")).select("a", "b", "node", "vec").unionByName(
+        open_pairs.where("not head").join(single, F.col("a") == F.col("__m")).select(F.col("b").alias("a"), "b", "node", "vec"))
+    right = open_pairs.select(F.when(F.col("head"), F.col("a")).otherwise(F.col("b")).alias("a"), "b").distinct().join(
+        members, F.col("b") == F.col("__m")).select("a", "b", "node", "vec")
+    dealt = materialize(left.withColumn("asks", F.lit(True)).unionByName(right.withColumn("asks", F.lit(False))))
+    sizes = dealt.groupBy(F.col("a").alias("__a"), F.col("b").alias("__b")).agg(
+        F.ceil(F.count(F.when(F.col("asks"), 1)) / block).alias("lefts"), F.ceil(F.count(F.when(~F.col("asks"), 1)) / block).alias("rights"))
+    dealt = dealt.join(sizes, (F.col("a") == F.col("__a")) & (F.col("b") == F.col("__b")))
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("asks"), F.col("lefts")).otherwise(F.col("rights")))
+    others = F.sequence(F.lit(0).cast("long"), F.when(F.col("asks"), F.col("rights")).otherwise(F.col("lefts")) - 1)
+    dealt = dealt.select("a", "b", "node", "vec", "asks", own.alias("own"), F.explode(others).alias("other")).select(
+        "a", "b", "node", "vec", "asks", F.when(F.col("asks"), F.col("own")).otherwise(F.col("other")).alias("i"),
+        F.when(F.col("asks"), F.col("other")).otherwise(F.col("own")).alias("j"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        side = table["asks"].to_numpy(zero_copy_only=False)
+        node, rows = table["node"].to_numpy(), np.flatnonzero(side)
+        right = np.flatnonzero(~side)
+        x, a, b = _unit(_matrix(table["vec"].combine_chunks())), [], []
+        for at in range(0, len(rows), 1024):
+            some = rows[at:at + 1024]
+            i, j = np.nonzero(x[some] @ x[right].T >= threshold)
+            # one partner and one group of partners connect as much as all pairs do
+            u, v = _stars(np.arange(len(node)), [some[i]], [right[j]])
+            a.append(u)
+            b.append(v)
+        u, v = _stars(node, a, b)
+        return pa.table({"a": u, "b": v})
+
+    return links.unionByName(dealt.groupBy("a", "b", "i", "j").applyInArrow(compare, "a long, b long").select("a", "b"))
+
+
 def all_links(nodes: DataFrame, rows: int, threshold: float, window: int, passes: int | None, seed: int,
               recall: float = 0.98) -> DataFrame:
     """Links (a, b) that connect ``nodes``, in rounds until each is settled; with ``passes`` in
@@ -291,6 +454,15 @@ def all_links(nodes: DataFrame, rows: int, threshold: float, window: int, passes
     rest, need = nodes.select("vec", "dim", "node", F.lit(0.0).alias("worth")), -math.log(1 - recall)
     m = rows
     n, rounds = passes or min(PASSES_AT_A_TIME, pass_count(rows, threshold, window)), []
+
+    def leave_crowds(rest: DataFrame, rounds: list[DataFrame]) -> tuple[DataFrame, int]:
+        placed = materialize(crowds(rest, functools.reduce(DataFrame.unionByName, rounds), threshold, window))
+        if placed.where(F.col("pivot").isNotNull()).isEmpty():
+            return rest, rest.count()
+        rounds.append(materialize(crowd_links(placed, threshold)))
+        rest = materialize(placed.where(F.col("pivot").isNull()).select(*rest.columns))
+        return rest, rest.count()
+
     while True:
         links, gains = pass_links(rest, m, threshold, window, n, seed + len(rounds))
         rounds.append(materialize(links))
@@ -301,6 +473,8 @@ def all_links(nodes: DataFrame, rows: int, threshold: float, window: int, passes
             F.greatest(F.coalesce("gained", F.lit(0.0)) / n, F.lit(1e-9)).alias("rate"))
         rest = materialize(left.where(F.col("worth") < need))
         m = rest.count()
+        if m and len(rounds) == 1:
+            rest, m = leave_crowds(rest, rounds)
         if not m:
             break
         # a vector that no pass helps counts as many as there are vectors left
@@ -310,10 +484,7 @@ def all_links(nodes: DataFrame, rows: int, threshold: float, window: int, passes
             break
         n = max(1, min(PASSES_AT_A_TIME, math.ceil(wanted / m)))
         rest = rest.drop("rate")
-    out = rounds[0]
-    for more in rounds[1:]:
-        out = out.unionByName(more)
-    return out
+    return functools.reduce(DataFrame.unionByName, rounds)
 
 
 # ---- whole link counts ------------------------------------------------------

@@ -63,6 +63,65 @@ def test_embeddings_chains_groups_and_odd_vectors(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).collect() == []
 
 
+def _beside(x, cosine, rng):
+    """For each unit vector one at the given cosine."""
+    side = rng.normal(size=x.shape)
+    side -= (side * x).sum(1, keepdims=True) * x
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    return cosine * x + np.sqrt(1 - cosine ** 2) * side
+
+
+def _unit(x):
+    return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+
+def test_embeddings_large_groups_are_not_compared_all_against_all(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    centre = _unit(rng.normal(size=64))
+    near = _unit(centre + rng.normal(scale=0.11 / 8, size=(2000, 64)))
+    vectors = np.concatenate([near, rng.normal(size=(2000, 64))]).tolist()
+    compared = []
+    whole = embedding_dedup.block_links
+    monkeypatch.setattr(embedding_dedup, "block_links", lambda nodes, rows, *a: compared.extend(
+        r.vec for r in nodes.select("vec").collect()) or whole(nodes, rows, *a))
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(df).collect()}
+    links, low = _cosine_truth(vectors, 0.9)
+    assert min(links[:2000]) > 1900 and not any(_unit(np.array(v)) @ centre > 0.9 for v in compared)
+    assert [(got[i].n_links, got[i].component_id) for i in range(len(vectors))] == list(zip(links, low))
+
+
+def test_embedding_groups_linked_by_members_and_by_single_vectors(spark):
+    """Pivots of groups too far apart to link, whose outermost members do; a vector that only
+    one member links with; a group that nothing links with."""
+    rng = np.random.default_rng(9)
+    first = _unit(rng.normal(size=(1, 32)))
+    other = _beside(first, np.cos(np.arccos(0.9) + 0.12), rng)
+    far = _beside(first, -0.5, rng)
+    groups = [_beside(np.repeat(c, 300, 0), np.cos(0.06), rng) for c in (first, other, far)]
+    # on the way from one group to the other: a member of each, at the threshold
+    step = _unit(other - (other @ first.T) * first)
+    reach = [np.cos(w) * first + np.sin(w) * step for w in (0.065, np.arccos(0.9) + 0.055, -np.arccos(0.9) + 0.01)]
+    alone = _beside(groups[2][:1], 0.901, rng)
+    vectors = np.concatenate([*groups, *reach, alone]).tolist()
+    links, low = _cosine_truth(vectors, 0.9)
+    schema = "vec array<double>, dim int, node long, worth double, rate double"
+    nodes = spark.createDataFrame([(v, 32, i, 0.0, 0.0) for i, v in enumerate(vectors)], schema)
+    within = spark.createDataFrame([(i, i // 300 * 300) for i in range(900)], "a long, b long")
+    placed = embedding_dedup.crowds(nodes, within, 0.9, 16)
+    assert placed.where("pivot is not null").count() == 900 and placed.count() == len(vectors)
+    pairs = [(r.a, r.b) for r in embedding_dedup.crowd_links(placed, 0.9, block=128).collect()]
+    truth = np.array(vectors) @ np.array(vectors).T
+    assert all(truth[a, b] >= 0.9 - 1e-9 for a, b in pairs)
+    # two single vectors are left to further passes
+    partners = [[] for _ in vectors]
+    pairs += [(a, b) for a in range(900, len(vectors)) for b in range(900, a) if truth[a, b] >= 0.9]
+    for a, b in pairs:
+        partners[a].append(b)
+        partners[b].append(a)
+    assert _components(len(vectors), partners.__getitem__) == low
+
+
 def test_embeddings_in_a_crowd_of_no_duplicates(spark):
     """Half of all vectors stand around one centre without being duplicates; of the pairs just
     above the threshold among them no more are missed than anywhere."""
