@@ -115,7 +115,7 @@ def keyed(nodes: DataFrame, passes: int, seed: int) -> DataFrame:
                 if dim not in planes:
                     planes[dim] = np.random.default_rng([seed, int(dim)]).normal(size=(int(dim), passes, 64))
                 signs = np.einsum("nd,dpk->npk", _matrix(some.column(0)), planes[dim], optimize=True) > 0
-                keys = np.packbits(signs, axis=2).view(">u8")[:, :, 0].astype(np.uint64)
+                keys = np.ascontiguousarray(np.packbits(signs, axis=2)).view(">u8")[:, :, 0].astype(np.uint64)
                 keys = (keys ^ np.uint64(1 << 63)).view(np.int64)  # signed order is unsigned order
                 for p in range(passes):
                     yield pa.RecordBatch.from_arrays(

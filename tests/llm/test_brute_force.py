@@ -107,15 +107,18 @@ def test_embedding_groups_linked_by_members_and_by_single_vectors(spark):
     links, low = _cosine_truth(vectors, 0.9)
     schema = "vec array<double>, dim int, node long, worth double, rate double"
     nodes = spark.createDataFrame([(v, 32, i, 0.0, 0.0) for i, v in enumerate(vectors)], schema)
-    within = spark.createDataFrame([(i, i // 300 * 300) for i in range(900)], "a long, b long")
+    within = spark.createDataFrame([(i, i // 300 * 300) for i in range(900)] + [(900, 0), (901, 300)], "a long, b long")
     placed = embedding_dedup.crowds(nodes, within, 0.9, 16)
-    assert placed.where("pivot is not null").count() == 900 and placed.count() == len(vectors)
+    assert placed.where("pivot is not null").count() == 902 and placed.count() == len(vectors)
     pairs = [(r.a, r.b) for r in embedding_dedup.crowd_links(placed, 0.9, block=128).collect()]
     truth = np.array(vectors) @ np.array(vectors).T
     assert all(truth[a, b] >= 0.9 - 1e-9 for a, b in pairs)
-    # two single vectors are left to further passes
+    # groups 0 and 300 meet by one pair of members; two single vectors are left to further passes
+    one, two = [*range(300), 900], [*range(300, 600), 901]
+    across = [(one[i], two[j]) for i, j in np.argwhere(truth[np.ix_(one, two)] >= 0.9)]
+    assert across and not any(truth[a, b] >= 0.9 for a, b in ((0, 300), (0, 301), (1, 300)))
     partners = [[] for _ in vectors]
-    pairs += [(a, b) for a in range(900, len(vectors)) for b in range(900, a) if truth[a, b] >= 0.9]
+    pairs += [(902, 903)] if truth[902, 903] >= 0.9 else []
     for a, b in pairs:
         partners[a].append(b)
         partners[b].append(a)
@@ -167,6 +170,16 @@ def test_recall_holds_over_rounds_of_few_passes(spark, monkeypatch):
     assert got >= 0.98 * sum(_cosine_truth(vectors, 0.9)[0])
 
 
+def test_keys_of_few_vectors_and_passes(spark):
+    """A vector's key in a pass does not depend on the vectors it comes with."""
+    x = np.random.default_rng(11).normal(size=(40, 24))
+    df = spark.createDataFrame([(v.tolist(), 24, i) for i, v in enumerate(x)], "vec array<double>, dim int, node long").coalesce(1)
+    for passes in (1, 2, 5):
+        whole = {(r["pass"], r.node): r.key for r in embedding_dedup.keyed(df, passes, 42).collect()}
+        some = {(r["pass"], r.node): r.key for i in (0, 39) for r in embedding_dedup.keyed(df.where(F.col("node") == i), passes, 42).collect()}
+        assert len(whole) == 40 * passes and some == {k: whole[k] for k in some}
+
+
 def test_windows_reach_over_more_partitions_than_rows(spark):
     rng = np.random.default_rng(7)
     x = rng.normal(size=(60, 16))
