@@ -298,15 +298,20 @@ def _angle(cosine: np.ndarray) -> np.ndarray:
 
 
 def crowds(rest: DataFrame, links: DataFrame, threshold: float, least: int) -> DataFrame:
-    """``rest`` with (root, pivot, angle): the component that ``links`` put a vector in, and of
-    a group of ``least`` vectors or more that all link with one of them, that one's node and
-    the angle to it; NULL for the others.  A component may hold several groups: those that
-    do not link with its first pivot choose another, until two turns took in few of them."""
-    found = components(links)
-    left = rest.join(found.select(F.col("node").alias("__n"), "root"), F.col("node") == F.col("__n"), "left").drop("__n")
-    left, out = materialize(left), None
+    """``rest`` with (root, pivot, angle): a vector that ``links`` connect it with, and of
+    a group of ``least`` vectors or more of one root that all link with one of them, that
+    one's node and the angle to it; NULL for the others.  The root is the smallest
+    vector two links away, and the one two links from that: few to a component, without all
+    its rounds.  A root may hold several groups: those that do not link with its first pivot choose
+    another, until two turns took in few of them."""
+    both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    low = both.groupBy(F.col("u").alias("__k")).agg(F.min("v").alias("__v")).select("__k", F.least("__k", "__v").alias("__low"))
+    low = materialize(both.join(low, F.col("v") == F.col("__k")).groupBy("u").agg(F.min("__low").alias("v")))
+    roots = low.join(low.select(F.col("u").alias("__u"), F.col("v").alias("root")), F.col("v") == F.col("__u")).select(
+        F.col("u").alias("__n"), "root")
+    left = materialize(rest.join(roots, F.col("node") == F.col("__n"), "left").drop("__n"))
+    out, count = None, left.count()
     none = {"pivot": F.lit(None).cast("long"), "angle": F.lit(None).cast("double")}
-    count = left.count()
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -353,12 +358,12 @@ def _stars(node: np.ndarray, a: list[np.ndarray], b: list[np.ndarray]) -> tuple[
     return node[hung], node[root[hung]]
 
 
-def crowd_links(placed: DataFrame, threshold: float, block: int = 4096) -> DataFrame:
+def crowd_links(placed: DataFrame, known: DataFrame, threshold: float, block: int = 4096) -> DataFrame:
     """Links (a, b) that connect every vector of a group with its pivot, and groups with all of
-    ``placed`` that links with a member of theirs.
+    ``placed`` that links with a member of theirs, but for what the ``known`` links connect.
 
-    Pivots are compared with the pivots and the ungrouped vectors of other components, block
-    by block.  Where the angle exceeds the threshold's by no more than the groups' radii,
+    Pivots are compared with the pivots and the ungrouped vectors of other roots, block by
+    block.  Where the angle exceeds the threshold's by no more than the groups' radii,
     members may link all the same: those groups are compared member by member, in blocks."""
     limit = math.acos(threshold)
     inner = placed.where(F.col("pivot").isNotNull()).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
@@ -404,8 +409,7 @@ def crowd_links(placed: DataFrame, threshold: float, block: int = 4096) -> DataF
     if open_pairs.isEmpty():
         return links
     # pairs of groups that the links so far connect need no comparison
-    roots = placed.where(F.col("root").isNotNull()).select("root", F.col("node"))
-    joined = materialize(components(links.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))))
+    joined = materialize(components(links.unionByName(known.select("a", "b"))))
     for end in ("a", "b"):
         one = joined.select(F.col("node").alias("__" + end), F.col("root").alias("root_" + end))
         open_pairs = open_pairs.join(one, F.col(end) == F.col("__" + end), "left")
@@ -456,10 +460,11 @@ def all_links(nodes: DataFrame, rows: int, threshold: float, window: int, passes
     n, rounds = passes or min(PASSES_AT_A_TIME, pass_count(rows, threshold, window)), []
 
     def leave_crowds(rest: DataFrame, rounds: list[DataFrame]) -> tuple[DataFrame, int]:
-        placed = materialize(crowds(rest, functools.reduce(DataFrame.unionByName, rounds), threshold, window))
+        known = functools.reduce(DataFrame.unionByName, rounds)
+        placed = materialize(crowds(rest, known, threshold, window))
         if placed.where(F.col("pivot").isNotNull()).isEmpty():
             return rest, rest.count()
-        rounds.append(materialize(crowd_links(placed, threshold)))
+        rounds.append(materialize(crowd_links(placed, known, threshold)))
         rest = materialize(placed.where(F.col("pivot").isNull()).select(*rest.columns))
         return rest, rest.count()
 
