@@ -70,6 +70,7 @@ QUERIES: dict[str, Query] = {
     # advertised trends
     "product_pareto": _on_star(trends.product_pareto),
     "monthly_growth": _on_star(trends.monthly_growth),
+    "weekend_revenue": _on_star(trends.weekend_revenue),
     "yearly_growth": _on_star(trends.yearly_growth),
     # dashboard
     "dash_kpis": _on_star(lambda s: dashboard.dash_kpis(s, DASH_FILTER)),

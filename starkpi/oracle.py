@@ -149,6 +149,12 @@ SELECT product_name, category, sub_category, {_m('rev')} AS total_revenue, reven
        {_m('run_rev')} AS running_revenue, {_pct('run_rev', '(SELECT SUM(rev) FROM ptot)')} AS cumulative_pct
 FROM run"""),
 
+    "weekend_revenue": with_star(f"""
+wk AS (SELECT EXTRACT(year FROM order_date) AS year, EXTRACT(month FROM order_date) AS month,
+              SUM(sales_amount) AS rev, COUNT(DISTINCT order_id) AS order_count
+       FROM fact WHERE EXTRACT(quarter FROM order_date) = 4 AND EXTRACT(isodow FROM order_date) >= 6 GROUP BY 1, 2)
+SELECT CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month, {_m('rev')} AS total_revenue, order_count FROM wk"""),
+
     "monthly_growth": with_star(MONTHLY + f""",
 m2 AS (SELECT year, month, rev, year * 12 + month AS idx FROM monthly)
 SELECT a.year, a.month, {_m('a.rev')} AS total_revenue, {_m('b.rev')} AS prev_revenue,

@@ -8,7 +8,7 @@ running total uses ``operators.ordered`` (no single-task window).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starkpi.functions.calendar import month_index
@@ -54,3 +54,16 @@ def yearly_growth(star: Star) -> DataFrame:
         "year", "month", money_out("_rev").alias("total_revenue"),
         money_out("_prev").alias("prev_year_revenue"),
         pct(F.col("_rev") - F.col("_prev"), F.col("_prev")).alias("yoy_growth_pct"))
+
+
+def calendar_revenue(star: Star, where: Column) -> DataFrame:
+    """Revenue and distinct orders per month, of the days that ``where`` selects by
+    calendar attributes (``year``, ``quarter``, ``month``, ``day``, ``is_weekend``)."""
+    return star.fact_calendar(where).groupBy("year", "month").agg(
+        money_out(F.sum("sales_amount")).alias("total_revenue"),
+        F.count_distinct("order_id").alias("order_count"))
+
+
+def weekend_revenue(star: Star, quarter: int = 4) -> DataFrame:
+    """``calendar_revenue`` of the weekends of one quarter in every year."""
+    return calendar_revenue(star, (F.col("quarter") == quarter) & (F.col("is_weekend") == 1))

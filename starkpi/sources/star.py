@@ -23,7 +23,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starkpi.functions.calendar import calendar_covering, calendar_fields
@@ -184,14 +184,22 @@ class Star:
         return replace(self, fact=fact, lines=None, calendar_spans_fact=False)
 
     # ---- standard joins -------------------------------------------------
-    def fact_calendar(self) -> DataFrame:
-        """Facts inner-joined to the calendar (facts outside it drop).
-        With a calendar spanning the facts the join reduces to deriving the
-        calendar attributes from the order date (NULL dates still drop)."""
+    def fact_calendar(self, where: Column | None = None) -> DataFrame:
+        """Facts inner-joined to the calendar (facts outside it drop), on the days
+        that ``where`` selects by the calendar's attributes.  With a calendar spanning the
+        facts the join reduces to deriving the attributes from the order date (NULL dates
+        still drop).  On a month-partitioned fact the selected days' months join the
+        partition column as well, so that Spark prunes directories while it runs."""
         if self.calendar_spans_fact:
-            return self.fact.filter(F.col("order_date").isNotNull()).select(
-                "*", *calendar_fields("order_date"))
-        return self.fact.join(self.date, F.col("order_date") == F.col("date_id"))
+            dated = self.fact.filter(F.col("order_date").isNotNull()).select("*", *calendar_fields("order_date"))
+            return dated if where is None else dated.filter(where)
+        if where is None:
+            return self.fact.join(self.date, F.col("order_date") == F.col("date_id"))
+        days, on = self.date.filter(where), F.col("order_date") == F.col("date_id")
+        if "order_month" not in self.fact.columns:
+            return self.fact.join(days, on)
+        days = days.withColumn("_month", F.trunc("date_id", "month"))
+        return self.fact.join(days, on & (F.col("order_month") == F.col("_month"))).drop("_month")
 
     def fact_products(self, fact: DataFrame | None = None) -> DataFrame:
         """Facts inner-joined to products (one product join; profit from

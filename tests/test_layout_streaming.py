@@ -79,6 +79,39 @@ def test_loaded_star_prunes_months_in_dashboard_queries(spark, star, tmp_out):
     assert q.first() == lazy
 
 
+def test_calendar_attributes_prune_months(spark, star, tmp_out):
+    from starkpi.plans import etl, trends
+    from starkpi.sources.star import Star
+    etl.load_star(etl.clean_star(star, etl.TESTDATA_LINE_KEY), tmp_out + "/star")
+    loaded = Star.from_layout(spark, tmp_out + "/star")
+    months = loaded.fact.select("order_month").distinct().count()
+    expected = _rows(trends.weekend_revenue(etl.clean_star(star, etl.TESTDATA_LINE_KEY)))
+    assert len(expected) > 3 and {r[1] for r in expected} == {10, 11, 12}
+    q = trends.weekend_revenue(loaded)
+    assert _rows(q) == expected
+    plan = benchmark.explain_text(q)
+    assert "dynamicpruning" in plan.lower()
+    # the partitions that the fact's scan read, from its own metrics
+    q.collect()
+    found, todo = [], [q._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif kind == "FileSourceScanExec" and node.metrics().contains("numPartitions"):
+            found.append(node.metrics().apply("numPartitions").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    assert len(found) == 1 and 0 < found[0] <= months / 3
+    # attributes that no partition column knows, and an unpartitioned fact
+    plain = Star(fact=loaded.fact.drop("order_month"), product=loaded.product, customer=loaded.customer, date=loaded.date)
+    assert _rows(trends.weekend_revenue(plain)) == expected
+    assert trends.calendar_revenue(loaded, F.col("year") == 1800).collect() == []
+
+
 def test_stream_csv_files(spark, star, tmp_out):
     from pyspark.sql import functions as F
     from starkpi.schema import FACT_SALES
