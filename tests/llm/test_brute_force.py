@@ -63,6 +63,18 @@ def test_embeddings_chains_groups_and_odd_vectors(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_embeddings_of_repeated_and_null_ids(spark):
+    """Rows that repeat an id are vectors of their own; columns may have any name."""
+    a, b, c = [1.0, 0.0, 0.0], [0.99, 0.01, 0.0], [0.0, 0.0, 1.0]
+    rows = [(7, a), (7, c), (7, a), (3, b), (None, c), (None, None), (5, None)]
+    df = spark.createDataFrame([(i, v, "x", "y", "z", 0) for i, v in rows],
+                               "vec_id long, embedding array<double>, root string, pivot string, vec string, id long")
+    got = sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in embedding_dedup.near_duplicates(df).collect())
+    # a, a and b are one component named 3, both c another, named 7
+    assert got == sorted([(7, 2, 3, False), (7, 1, 7, True), (7, 2, 3, False), (3, 2, 3, True), (0, 1, 7, False),
+                          (0, 0, 0, False), (5, 0, 5, True)])
+
+
 def _beside(x, cosine, rng):
     """For each unit vector one at the given cosine."""
     side = rng.normal(size=x.shape)
