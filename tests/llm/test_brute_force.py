@@ -9,7 +9,7 @@ import public_tokenizers
 import xxhash
 from pyspark.sql import functions as F
 
-from starkpi.llm import bpe, embedding_dedup, order_minhash, simhash, simple8b
+from starkpi.llm import bpe, embedding_dedup, order_minhash, simhash, simple8b, toxicity
 from starkpi.llm.queries import QUERIES
 from tests.conftest import SF_SMALL
 
@@ -425,3 +425,37 @@ def test_simple8b_words():
         words, offsets = simple8b.pack(ids)
         assert (simple8b.unpack(words, offsets, len(ids)) == ids).all()
     assert len(simple8b.pack(np.zeros(512, np.uint64))[0]) == 9
+
+
+# ---- op8 --------------------------------------------------------------------
+
+
+def _forward(model, text):
+    """The network's score of one text, a position and a filter width at a time."""
+    known = {int(k): i for i, k in enumerate(model.keys)}
+    words = toxicity.words_of(text)
+    emb = [sum((model.table[known[k]].astype(float) for k in toxicity.keys_of(w) if k in known),
+               np.zeros(model.settings.dim)) for w in words]
+    pooled = []
+    for width, conv, bias in zip(model.settings.widths, model.conv, model.bias):
+        best = np.zeros(model.settings.filters)
+        for at in range(len(words)):
+            seen = bias + sum(emb[at + j] @ conv[j] for j in range(width) if at + j < len(words))
+            best = np.maximum(best, seen)  # what is below zero counts as zero
+        pooled += list(best)
+    marks = [toxicity._LANGUAGE_OF[w] for w in words if w in toxicity._LANGUAGE_OF]
+    lang = max(range(len(toxicity.LANGUAGES)), key=lambda i: (marks.count(i), -i)) if marks else len(toxicity.LANGUAGES) - 1
+    z = float(np.dot(pooled, model.out) + model.out_bias - model.threshold[lang])
+    return 1 / (1 + np.exp(-min(max(z, -30), 30)))
+
+
+def test_toxicity_scores_are_the_networks(spark):
+    docs, labels = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    assert model.constant is None
+    got = {r.doc_id: r for r in QUERIES["op8_toxicity"](spark, SF_SMALL).collect()}
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    assert set(got) == set(texts)
+    for i, text in texts.items():
+        assert abs(got[i].score - _forward(model, text)) < 1e-3, i
+        assert got[i].predicted == int(got[i].score >= 0.5)
