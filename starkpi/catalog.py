@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
 from starkpi.operators.filters import SalesFilter
-from starkpi.plans import dashboard, explorer, kpis, lines, trends
+from starkpi.plans import dashboard, explorer, kpis, lines, rollups, trends
 from starkpi.plans.dirty import TEXT_COLUMNS, dirty_star
 from starkpi.sources import io
 from starkpi.sources.star import Star, raw_lines
@@ -138,6 +138,12 @@ _DIRTY = {
     "explore_products": lambda s: explorer.explore_products(s, DASH_FILTER),
 }
 
+# The views from monthly rollups, without their table: what a refresh writes, as one plan.
+_ROLLED = {f"rollup_{name}": lambda s, view=view: view(rollups.rolled(s)) for name, view in rollups.VIEWS.items()}
+QUERIES.update({name: _on_star(fn) for name, fn in _ROLLED.items()})
+_DIRTY.update(_ROLLED)
+
+
 def _on_dirty_star(name: str, fn) -> Query:
     def run(star: Star) -> DataFrame:
         df = fn(dirty_star(star))

@@ -472,8 +472,13 @@ fact AS (SELECT * FROM fact_changed UNION ALL
          SELECT * REPLACE (quantity + 1 AS quantity) FROM fact_changed WHERE {hit("order_id", dirty.SECOND_COPY)})"""
 
 
+# views from monthly rollups give the rows of the views
+_VIEWS = ("kpi_summary", "monthly_revenue", "product_performance", "category_performance", "regional_performance", "customer_rfm")
+ORACLE.update({f"rollup_{_name}": ORACLE[_name] for _name in _VIEWS})
+
 for _name in ("monthly_revenue", "clean_dedup", "clean_report", "clean_fact", "clean_dimension", "dq_not_null",
-              "dq_duplicate_keys", "dq_orphans", "explore_customers", "explore_products"):
+              "dq_duplicate_keys", "dq_orphans", "explore_customers", "explore_products",
+              *(f"rollup_{_view}" for _view in _VIEWS)):
     # orphans are looked for among the facts themselves
     ORACLE[f"dirty_{_name}"] = ORACLE[_name].replace(_RAW, _dirty_ctes()).replace("FROM lines l WHERE", "FROM fact l WHERE")
     if _name in dirty.TEXT_COLUMNS:

@@ -17,11 +17,11 @@ from pyspark.sql import Row, SparkSession
 from pyspark.sql import functions as F
 
 _MANIFEST = "_versions"
-_ROW = "version long, folder string, info map<string, long>"
+_ROW = "version long, folder string, info map<string, long>, state string"
 
 
 def current(spark: SparkSession, root: str) -> Row | None:
-    """(version, folder, info) published last below ``root``, or None."""
+    """(version, folder, info, state) published last below ``root``, or None."""
     try:
         return spark.read.schema(_ROW).json(os.path.join(root, _MANIFEST)).orderBy(
             F.col("version").desc(), F.col("folder").desc()).first()
@@ -38,9 +38,9 @@ def new_folder(spark: SparkSession, root: str) -> tuple[int, str]:
     return version, f"v{version:08d}-{uuid.uuid4().hex[:8]}"
 
 
-def publish(spark: SparkSession, root: str, version: int, folder: str, **info: int) -> None:
-    """Make ``folder`` what readers of ``root`` see."""
-    spark.createDataFrame([(version, folder, info)], _ROW).coalesce(1).write.mode("append").json(os.path.join(root, _MANIFEST))
+def publish(spark: SparkSession, root: str, version: int, folder: str, state: str | None = None, **info: int) -> None:
+    """Make ``folder`` what readers of ``root`` see; ``state`` is text of the writer's own."""
+    spark.createDataFrame([(version, folder, info, state)], _ROW).coalesce(1).write.mode("append").json(os.path.join(root, _MANIFEST))
 
 
 def resolve(spark: SparkSession, root: str) -> str:
