@@ -9,13 +9,16 @@ from __future__ import annotations
 
 import datetime as _dt
 import time
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starkpi.operators.clean import clean_dimension, clean_fact
 from starkpi.plans.layout import fact_writer
+from starkpi.schema import LOAD_ORDER
 from starkpi.sources import io, snapshots
 from starkpi.sources.star import FACT_COLUMNS, LINE_ORDER, Star
 
@@ -43,7 +46,7 @@ def clean_star(star: Star, line_key: list[str]) -> Star:
         return [c for c in df.columns if c not in key]
 
     def done(df):
-        return df.drop("_input_order")
+        return df.drop("_input_order", io.REJECTED)
 
     fact_cols = [c for c in (["line_id"] + FACT_COLUMNS + ["_input_order"]) if c in star.fact.columns]
     fact = star.fact.select(*fact_cols)
@@ -106,12 +109,29 @@ def load_star(star: Star, root: str, layout: str = "by_month") -> dict:
     return report
 
 
-def publish_star(spark: SparkSession, star: Star, root: str, layout: str = "by_month") -> dict:
+def _observed(star: Star) -> tuple[Star, dict[str, Observation]]:
+    """The star's tables, each counting the values that could not be read while it is loaded."""
+    seen: dict[str, Observation] = {}
+
+    def watched(df: DataFrame, name: str) -> DataFrame:
+        if io.REJECTED not in df.columns:
+            return df
+        seen[name] = Observation(f"rejected_{name}")
+        return io.observe_rejected(df, seen[name])
+
+    return replace(star, fact=watched(star.fact, "fact_sales"), product=watched(star.product, "dim_product"),
+                   customer=watched(star.customer, "dim_customer"), date=watched(star.date, "dim_date")), seen
+
+
+def publish_star(spark: SparkSession, star: Star, root: str, layout: str = "by_month",
+                 check: Callable[[], None] | None = None) -> dict:
     """``load_star`` into a version folder of its own below ``root``, which readers see as soon
     as all four tables are written, and not before: a load that dies leaves the star that was
-    there."""
+    there, and so does a ``check`` of the written tables that raises."""
     version, folder = snapshots.new_folder(spark, root)
     report = load_star(star, f"{root}/{folder}", layout)
+    if check is not None:
+        check()
     snapshots.publish(spark, root, version, folder, fact_rows=report["fact_sales"]["rows"])
     return report
 
@@ -127,18 +147,23 @@ def run_pipeline(spark: SparkSession, star: Star, root: str, layout: str = "by_m
     ``enforce`` the source system's constraints (required columns, primary
     keys, foreign keys) are checked on the cleaned star first and a breach
     raises before anything is written; it costs extra passes over the facts.  Values of
-    CSV sources that cannot be read as their column's type are reported under
-    ``cast_failures`` (at most a row per column), with ``enforce`` they raise too.  Lines
-    are identified by ``line_key_of``.  All views are lazy."""
+    CSV sources that cannot be read as their column's type are counted by the load itself and
+    reported under ``cast_failures`` (at most a row per column); with ``enforce`` they raise
+    too, before the load is published.  Lines are identified by ``line_key_of``.  All views
+    are lazy."""
     t0 = time.perf_counter()
     key = line_key_of(star, line_key)
-    failures = [r.asDict() for r in star.cast_failures.collect()] if star.cast_failures is not None else []
-    if enforce and failures:
-        raise ValueError(f"values that cannot be read as their column's type: {failures}")
-    cleaned = clean_star(star, key)
     if enforce:  # the source system's NOT NULL / PK / FK constraints, checked before any write
-        enforce_constraints(cleaned, key)
-    report = publish_star(spark, cleaned, root, layout)
+        enforce_constraints(clean_star(star, key), key)
+    watched, seen = _observed(star)
+    failures: list[dict] = []
+
+    def check():
+        failures.extend(row for name in LOAD_ORDER if name in seen for row in io.rejected_values(seen[name], name))
+        if enforce and failures:
+            raise ValueError(f"values that cannot be read as their column's type: {failures}")
+
+    report = publish_star(spark, clean_star(watched, key), root, layout, check)
     total = time.perf_counter() - t0
     t1 = time.perf_counter()
     loaded = Star.from_layout(spark, root)
@@ -150,17 +175,31 @@ def run_pipeline(spark: SparkSession, star: Star, root: str, layout: str = "by_m
             "cast_failures": failures}
 
 
-def load_star_tables(star: Star, prefix: str = "", layout: str = "by_month") -> dict:
+def load_star_tables(star: Star, prefix: str = "", layout: str = "by_month", customer_buckets: int | None = None) -> dict:
     """S3 with managed tables: the star as catalog tables ``<prefix>dim_product``,
     ``<prefix>dim_customer``, ``<prefix>dim_date``, ``<prefix>fact_sales``
     (dims first; the fact rebalanced, sorted and partitioned by month).
-    Returns rows per table, observed during the writes."""
+    Returns rows per table, observed during the writes.
+
+    With ``customer_buckets`` the facts and the customers are bucketed by customer instead,
+    ``customer_rfm`` and other joins and groups by customer then need no shuffle of the facts.
+    One task reads a bucket: where a single customer holds a large share of all lines, leave
+    the tables unbucketed, so that the shuffle can spread that customer's lines."""
+    if customer_buckets and layout != "plain":
+        raise ValueError("buckets replace the months: layout must be 'plain'")
+
+    def bucketed(writer):
+        return writer.bucketBy(customer_buckets, "customer_id").sortBy("customer_id") if customer_buckets else writer
+
     report = {}
     for name, df in [("dim_product", star.product), ("dim_customer", star.customer), ("dim_date", star.date)]:
         obs = Observation(f"rows_{name}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").saveAsTable(prefix + name)
+        writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        (bucketed(writer) if name == "dim_customer" else writer).saveAsTable(prefix + name)
         report[name] = obs.get["rows"]
     obs = Observation("rows_fact_sales")
-    fact_writer(star.fact, layout, observation=obs).saveAsTable(prefix + "fact_sales")
+    # as many parts as buckets, dealt alike: a task writes one bucket, a hot one's rows several tasks
+    fact = star.fact.hint("rebalance", customer_buckets, "customer_id") if customer_buckets else star.fact
+    bucketed(fact_writer(fact, layout, observation=obs)).saveAsTable(prefix + "fact_sales")
     report["fact_sales"] = obs.get["rows"]
     return report

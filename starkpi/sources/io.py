@@ -21,14 +21,18 @@ from starkpi.functions import formatting as fmt
 # ---- S1: CSV scan -------------------------------------------------------
 
 
-def read_csv(spark: SparkSession, path: str, struct: StructType, input_order: bool = False) -> DataFrame:
+REJECTED = "_rejected"
+
+
+def read_csv(spark: SparkSession, path: str, struct: StructType, input_order: bool = False, rejected: bool = False) -> DataFrame:
     """CSV with header, UTF-8.  Columns are matched to ``struct`` by header
     name (not position) and converted with ``try_cast``: an unparsable value
     becomes NULL, to be caught by cleaning and counted by ``cast_failures``.
     Columns the file lacks are NULL.  No inference pass: every field is read as
     text first.  With
     ``input_order`` an ``_input_order`` column records the file order, for
-    "keep the first copy" de-duplication."""
+    "keep the first copy" de-duplication; with ``rejected`` a ``_rejected`` column holds
+    each row's texts that became NULL, by column, for ``observe_rejected``."""
     from starkpi.operators.clean import with_input_order
     raw = _csv_text(spark, path)
     have = set(raw.columns)
@@ -36,6 +40,9 @@ def read_csv(spark: SparkSession, path: str, struct: StructType, input_order: bo
     if input_order:
         raw = with_input_order(raw)
         extra = [F.col("_input_order")]
+    typed = _typed(struct, have)
+    if rejected and typed:
+        extra.append(F.struct(*[_rejected_text(f).alias(f.name) for f in typed]).alias(REJECTED))
     return raw.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in have
                          else F.lit(None).cast(f.dataType)).alias(f.name) for f in struct.fields], *extra)
 
@@ -50,18 +57,42 @@ def _csv_text(spark: SparkSession, path: str) -> DataFrame:
     return reader.option("enforceSchema", False).schema(text).csv(path)
 
 
+def _typed(struct: StructType, have) -> list[StructField]:
+    return [f for f in struct.fields if f.name in have and not isinstance(f.dataType, StringType)]
+
+
+def _rejected_text(f: StructField):
+    """The field's text where it is one that cannot be read as the field's type."""
+    return F.when((F.trim(f.name) != "") & F.col(f.name).try_cast(f.dataType).isNull(), F.col(f.name))
+
+
+def observe_rejected(df: DataFrame, observation: Observation) -> DataFrame:
+    """``df`` of ``read_csv(..., rejected=True)`` without its ``_rejected`` column, whose texts
+    the first job over the result counts as it reads them (no scan of their own)."""
+    names = df.schema[REJECTED].dataType.names
+    metrics = [m for c in names for m in (F.count(f"{REJECTED}.{c}").alias(f"failed_{c}"), F.min(f"{REJECTED}.{c}").alias(f"example_{c}"))]
+    return df.observe(observation, *metrics).drop(REJECTED)
+
+
+def rejected_values(observation: Observation, table: str) -> list[dict]:
+    """What ``cast_failures`` reports, of an observed job that has ended.  Rows that were read
+    again after an executor was lost may count again."""
+    got = observation.get
+    names = [k.removeprefix("failed_") for k in got if k.startswith("failed_")]
+    return [{"table_name": table, "column_name": c, "failed": got[f"failed_{c}"], "example": got[f"example_{c}"]}
+            for c in names if got[f"failed_{c}"]]
+
+
 def cast_failures(spark: SparkSession, path: str, struct: StructType, table: str = "") -> DataFrame:
     """(table_name, column_name, failed, example): non-empty values that cannot be
     read as their column's type, one row per column that has any."""
     raw = _csv_text(spark, path)
-    typed = [f for f in struct.fields if f.name in raw.columns and not isinstance(f.dataType, StringType)]
+    typed = _typed(struct, raw.columns)
     if not typed:
         return spark.createDataFrame([], "table_name string, column_name string, failed long, example string")
 
-    def bad(f):
-        return F.when((F.trim(f.name) != "") & F.col(f.name).try_cast(f.dataType).isNull(), F.col(f.name))
-
-    wide = raw.agg(*[F.struct(F.count(bad(f)).alias("failed"), F.min(bad(f)).alias("example")).alias(f.name) for f in typed])
+    wide = raw.agg(*[F.struct(F.count(_rejected_text(f)).alias("failed"), F.min(_rejected_text(f)).alias("example")).alias(f.name)
+                     for f in typed])
     each = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.col(f"`{f.name}`").alias("r")) for f in typed])
     return wide.select(F.explode(each).alias("c")).select(
         F.lit(table).alias("table_name"), "c.column_name", "c.r.failed", "c.r.example").filter("failed > 0")
@@ -82,7 +113,7 @@ def read_star_csv(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataF
     for name in S.LOAD_ORDER:
         struct = S.FACT_SALES_INPUT if name == "fact_sales" else S.TABLES[name]
         struct = StructType([f.__class__(f.name, f.dataType, True) for f in struct.fields])
-        out[name] = read_csv(spark, paths[name], struct, input_order=True)
+        out[name] = read_csv(spark, paths[name], struct, input_order=True, rejected=True)
     return out
 
 

@@ -7,6 +7,7 @@ from dataclasses import replace
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from starkpi import schema as S
 from starkpi.sources import io, snapshots
@@ -247,6 +248,24 @@ def test_star_as_catalog_tables(spark, star):
     assert dashboard.dash_kpis(loaded, DASH_FILTER).first() == dashboard.dash_kpis(cleaned, DASH_FILTER).first()
 
 
+def test_customer_buckets_need_no_shuffle(spark, star):
+    from starkpi.plans import kpis
+    spark.sql("DROP TABLE IF EXISTS b_fact_sales")
+    etl.load_star_tables(star, prefix="b_", layout="plain", customer_buckets=4)
+    loaded, old = Star.from_catalog(spark, "b_"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        rfm = kpis.customer_rfm(loaded)
+        plan = rfm._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "hashpartitioning" not in plan, plan
+        got = sorted(map(str, rfm.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == sorted(map(str, kpis.customer_rfm(star).collect()))
+    with pytest.raises(ValueError, match="buckets"):
+        etl.load_star_tables(star, prefix="b_", customer_buckets=4)
+
+
 def test_create_empty_star_has_full_schemas(spark, tmp_out):
     io.create_empty_star(spark, tmp_out + "/empty")
     for name, struct in S.TABLES.items():
@@ -300,13 +319,19 @@ def test_three_lines_that_differ_only_by_line_id_all_load(spark, tmp_out):
         with open(paths[name], "w", encoding="utf-8") as f:
             f.write(text)
     star = Star.from_csv(spark, paths)
+    report = {(r["table_name"], r["column_name"], r["failed"], r["example"]) for r in star.cast_failures.collect()}
+    # the load counts them itself: the report's own scan, made to fail here, is not run
+    poison = spark.range(1).select(F.raise_error(F.lit("a second scan")).alias("x"))
+    star = replace(star, cast_failures=poison)
     rep = etl.run_pipeline(spark, star, tmp_out + "/star")
     assert rep["tables"]["fact_sales"]["rows"] == 3
+    assert {tuple(r.values()) for r in rep["cast_failures"]} == report
     assert {(r["column_name"], r["failed"], r["example"]) for r in rep["cast_failures"]} == {
         ("quantity", 1, "many"), ("unit_price", 1, "x")}
     import pytest
     with pytest.raises(ValueError, match="cannot be read"):
         etl.run_pipeline(spark, star, tmp_out + "/star2", enforce=True)
+    assert snapshots.current(spark, tmp_out + "/star2") is None  # nothing published
     bare = Star(fact=star.fact.drop("line_id"), product=star.product, customer=star.customer, date=star.date)
     with pytest.raises(ValueError, match="line_key"):
         etl.run_pipeline(spark, bare, tmp_out + "/star3")
