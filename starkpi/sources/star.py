@@ -66,11 +66,32 @@ def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_name").alias("region"))
 
 
+# Lines that one task joins to their orders, about, and those up to which Spark deals them.
+TASK_LINES, FEW_LINES = 500_000, 4_000_000
+
+
+def order_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, int]:
+    """Lineitem, orders and into how many parts their join is dealt by order: parts of about
+    ``TASK_LINES`` lines (by the count in the files' footers), or 0, as Spark sees fit, for few
+    lines.  What a task of the join and of aggregates by order behind it holds then stays the
+    same however large the tables are."""
+    li = read_table(spark, sf_dir, "lineitem")
+    od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    lines = li.count()
+    return li, od, -(-lines // TASK_LINES) if lines > FEW_LINES else 0
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineitem joined to its order, mapped to fact columns without pricing
     from the product table (no profit yet)."""
-    li = read_table(spark, sf_dir, "lineitem")
-    od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return lines_of(*order_parts(spark, sf_dir))
+
+
+def lines_of(li: DataFrame, od: DataFrame, parts: int, *more: str) -> DataFrame:
+    """Fact columns of lines joined to their orders in ``parts`` parts, and ``more`` columns of
+    the orders."""
+    if parts:
+        li, od = li.repartition(parts, "l_orderkey"), od.repartition(parts, "o_orderkey")
     discount = F.col("l_discount").cast(RATE)
     return li.join(od, li.l_orderkey == od.o_orderkey).select(
         F.col("l_orderkey").alias("order_id"),
@@ -85,7 +106,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .cast(MONEY).alias("unit_price"),
         discount.alias("discount"),
         F.round(F.col("l_extendedprice").cast("decimal(12,2)")
-                * (F.lit(1).cast("decimal(3,0)") - discount), 2).cast(MONEY).alias("sales_amount"))
+                * (F.lit(1).cast("decimal(3,0)") - discount), 2).cast(MONEY).alias("sales_amount"), *more)
 
 
 @dataclass(frozen=True)
@@ -108,6 +129,8 @@ class Star:
     date: DataFrame
     lines: DataFrame | None = None
     calendar_spans_fact: bool = False
+    # what ``order_parts`` gives, of which the lines are joined
+    parts: tuple[DataFrame, DataFrame, int] | None = None
     # columns that identify a fact line; None: line_id, the source's surrogate key
     line_key: tuple[str, ...] | None = None
     # values that could not be read as their column's type (CSV sources)
@@ -117,7 +140,8 @@ class Star:
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Star":
         product = product_dim(spark, sf_dir)
-        lines = raw_lines(spark, sf_dir)
+        parts = order_parts(spark, sf_dir)
+        lines = lines_of(*parts)
         cost = product.select(F.col("product_id").alias("cost_pid"), "unit_cost")
         fact = lines.join(cost, lines.product_id == cost.cost_pid).select(
             *[c for c in FACT_COLUMNS if c != "profit"],
@@ -125,7 +149,7 @@ class Star:
         orders = read_table(spark, sf_dir, "orders").select("o_orderdate")
         return cls(fact=fact, product=product, customer=customer_dim(spark, sf_dir),
                    date=calendar_covering(orders, "o_orderdate"), lines=lines,
-                   calendar_spans_fact=True, line_key=tuple(LINE_ORDER))
+                   calendar_spans_fact=True, parts=parts, line_key=tuple(LINE_ORDER))
 
     @classmethod
     def from_csv(cls, spark: SparkSession, paths: dict[str, str]) -> "Star":
@@ -173,7 +197,7 @@ class Star:
         lvl = level or StorageLevel.MEMORY_AND_DISK
         return replace(self, fact=self.fact.persist(lvl), product=self.product.persist(lvl),
                        customer=self.customer.persist(lvl), date=self.date.persist(lvl),
-                       lines=self.lines.persist(lvl) if self.lines is not None else None)
+                       lines=self.lines.persist(lvl) if self.lines is not None else None, parts=None)
 
     def unpersist(self) -> None:
         for df in (self.fact, self.product, self.customer, self.date, self.lines):
@@ -181,7 +205,7 @@ class Star:
                 df.unpersist()
 
     def with_fact(self, fact: DataFrame) -> "Star":
-        return replace(self, fact=fact, lines=None, calendar_spans_fact=False)
+        return replace(self, fact=fact, lines=None, parts=None, calendar_spans_fact=False)
 
     # ---- standard joins -------------------------------------------------
     def fact_calendar(self, where: Column | None = None) -> DataFrame:
@@ -214,8 +238,19 @@ class Star:
         return (fact if fact is not None else self.fact).join(self.customer, "customer_id")
 
     def sales(self) -> DataFrame:
-        """The three-way star join (fact, product, customer)."""
-        return self.fact_products().join(self.customer, "customer_id")
+        """The three-way star join (fact, product, customer).  Where the lines are still to
+        be joined to their orders, the orders take their customers along: customers then meet
+        a row per order, and no shuffle by customer moves every line with all its names."""
+        if self.parts is None:
+            return self.fact_products().join(self.customer, "customer_id")
+        li, od, parts = self.parts
+        buyers = od.join(self.customer, od.o_custkey == self.customer.customer_id).drop("customer_id")
+        named = [c for c in self.customer.columns if c != "customer_id"]
+        product = [c for c in self.product.columns if c != "product_id"]
+        j = lines_of(li, buyers, parts, *named).join(self.product, "product_id").withColumn(
+            "profit", line_profit("sales_amount", "quantity", "unit_cost"))
+        rest = [c for c in self.lines.columns if c not in ("customer_id", "product_id")]
+        return j.select("customer_id", "product_id", *rest, *product, "profit", *named)
 
     def product_sums(self, how: str = "inner", product: DataFrame | None = None) -> DataFrame:
         """Per product (all product columns): revenue ``_rev``, profit ``_pro``,
