@@ -4,7 +4,7 @@ A distinct count per month cannot be summed to a year's.  A bitmap of the number
 month holds can: bitmaps of months are or-ed to those of years, and their bits counted.
 Numbers fall into chunks of 32,768 bits (4 KB), and a group keeps a bitmap for each chunk it
 touches, so that neither a group's size nor the range of numbers is bounded, and chunks of
-one group are merged by different tasks.  Both aggregates combine before they shuffle.
+one group are made and merged by different tasks.
 
 Integer ids are numbers as they are.  Other ids are numbered once, by ``number_ids``: ids of
 one task get consecutive numbers, which fills chunks well, and later ids get numbers of a
@@ -19,11 +19,13 @@ _CHUNK, _BITS = "__chunk", "__bits"
 
 
 def id_bitmaps(rows: DataFrame, number: str | Column, groups: list[str]) -> DataFrame:
-    """(groups, __chunk, __bits): the numbers that each group holds; NULL is no number."""
+    """(groups, __chunk, __bits): the numbers that each group holds; NULL is no number.  The
+    numbers travel to their chunk's task, not bitmaps of them: those that a task makes of
+    scattered numbers hold a bit or two in 4 KB."""
     n = F.col(number) if isinstance(number, str) else number
-    return rows.withColumn("__n", n.cast("long")).where("__n IS NOT NULL").groupBy(
-        *groups, F.bitmap_bucket_number("__n").alias(_CHUNK)).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("__n")).alias(_BITS))
+    found = rows.select(*groups, n.cast("long").alias("__n")).where("__n IS NOT NULL")
+    return found.withColumn(_CHUNK, F.bitmap_bucket_number("__n")).repartition(*groups, _CHUNK).groupBy(
+        *groups, _CHUNK).agg(F.bitmap_construct_agg(F.bitmap_bit_position("__n")).alias(_BITS))
 
 
 def roll_up(bitmaps: DataFrame, groups: list[str]) -> DataFrame:

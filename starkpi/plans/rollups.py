@@ -78,18 +78,23 @@ def sum_rows(lines: DataFrame) -> DataFrame:
                    _rows(customer, "customer", key="customer_id")])
 
 
+def line_visits(lines: DataFrame, product: DataFrame) -> DataFrame:
+    """The visit that each line with an order id is part of, as often as it has lines."""
+    named = lines.where("order_id IS NOT NULL").join(product.select("product_id", "category"), "product_id", "left")
+    return named.select("order_month", F.col("order_date").alias("day"), F.col("customer_id").alias("key"), "category", "order_id")
+
+
 def visit_rows(lines: DataFrame, product: DataFrame, numbers: DataFrame | None = None) -> DataFrame:
     """The kind ``visit``.  ``numbers`` (order_id, number) numbers the orders; without it their
     ids are integers.  Lines without an order id visit nothing."""
-    named = lines.where("order_id IS NOT NULL").join(product.select("product_id", "category"), "product_id", "left")
-    visits = named.select("order_month", F.col("order_date").alias("day"), F.col("customer_id").alias("key"),
-                          "category", "order_id").distinct()
+    visits = line_visits(lines, product).distinct()
     visits = visits.withColumnRenamed("order_id", "number") if numbers is None else visits.join(numbers, "order_id")
     return _rows(visits, "visit")
 
 
 def bitmap_rows(visits: DataFrame, star: Star) -> DataFrame:
-    """The kinds ``order``, ``dated``, ``category`` and ``country``, from visits."""
+    """The kinds ``order``, ``dated``, ``category`` and ``country``, from visits (some of which
+    may come more often than once: a bit is set or not)."""
     v = visits.select(F.when(F.col("slot") != _NO_MONTH, F.col("slot")).alias("order_month"), "day", "key", "category", "number")
     days = star.date.select(F.col("date_id").alias("day"), "year", "month", "month_name")
     places = star.customer.select(F.col("customer_id").alias("key"), "region", "country")
@@ -103,8 +108,9 @@ def bitmap_rows(visits: DataFrame, star: Star) -> DataFrame:
 def rollup_rows(star: Star) -> DataFrame:
     """The whole rollup of a star as one lazy plan (order ids must be integers)."""
     lines = star.fact if "order_month" in star.fact.columns else with_order_month(star.fact)
-    visits = visit_rows(lines, star.product)
-    return _union([sum_rows(lines), visits, bitmap_rows(visits, star)])
+    # bitmaps need no different visits: those of lines spare a task the tables of them
+    repeated = _rows(line_visits(lines, star.product), "visit", number="order_id")
+    return _union([sum_rows(lines), visit_rows(lines, star.product), bitmap_rows(repeated, star)])
 
 
 # ---- the maintained table -------------------------------------------------

@@ -92,3 +92,8 @@ def test_bitmaps_of_days_outside_the_calendar(spark, star):
     _same(rollups.monthly_revenue(rollups.rolled(short)), kpis.monthly_revenue(short))
     total = bitmaps.distinct_counts(rollups.rolled(short).kind("order"), [], "n").first()["n"]
     assert total == star.fact.select("order_id").distinct().count()
+
+
+def test_bitmaps_are_made_without_a_table_of_visits(spark, star):
+    plan = rollups.kpi_summary(rollups.rolled(star))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [order_month" in plan and "category" not in plan  # no distinct visits, of which category is a column
