@@ -52,7 +52,7 @@ def dirty_star(star: Star) -> Star:
     copies = fact.where(_hit("order_id", SECOND_COPY)).withColumn("quantity", F.col("quantity") + 1)
     return Star(fact=fact.unionByName(copies), product=_dirty_dimension(star.product, "product_id", "product_name"),
                 customer=_dirty_dimension(star.customer, "customer_id", "customer_name"),
-                date=star.date.where(F.col("date_id") < F.lit(CALENDAR_END).cast("date")))
+                date=star.date.where(F.col("date_id") < F.lit(CALENDAR_END).cast("date")), tasks=star.tasks)
 
 
 def _dirty_dimension(df, key: str, name: str):

@@ -67,13 +67,16 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def sum_rows(lines: DataFrame) -> DataFrame:
-    """The kinds ``day``, ``product`` and ``customer`` of fact lines with ``order_month``."""
+def sum_rows(lines: DataFrame, tasks: int = 0) -> DataFrame:
+    """The kinds ``day``, ``product`` and ``customer`` of fact lines with ``order_month``.  Few
+    lines share a month and a product or customer: the tables of those sums grow with the
+    lines, which ``tasks`` (not 0) tasks then share."""
+    def by(key):
+        return (lines.repartition(tasks, "order_month", key) if tasks else lines).groupBy("order_month", key)
     money = [F.sum("sales_amount").alias("revenue"), F.sum("profit").alias("profit")]
     day = lines.groupBy("order_month", "order_date").agg(*money)
-    product = lines.groupBy("order_month", "product_id").agg(
-        *money, F.sum("quantity").alias("quantity"), F.count(F.lit(1)).alias("lines"))
-    customer = lines.groupBy("order_month", "customer_id").agg(money[0], F.max("order_date").alias("day"))
+    product = by("product_id").agg(*money, F.sum("quantity").alias("quantity"), F.count(F.lit(1)).alias("lines"))
+    customer = by("customer_id").agg(money[0], F.max("order_date").alias("day"))
     return _union([_rows(day, "day", day="order_date"), _rows(product, "product", key="product_id"),
                    _rows(customer, "customer", key="customer_id")])
 
@@ -110,7 +113,7 @@ def rollup_rows(star: Star) -> DataFrame:
     lines = star.fact if "order_month" in star.fact.columns else with_order_month(star.fact)
     # bitmaps need no different visits: those of lines spare a task the tables of them
     repeated = _rows(line_visits(lines, star.product), "visit", number="order_id")
-    return _union([sum_rows(lines), visit_rows(lines, star.product), bitmap_rows(repeated, star)])
+    return _union([sum_rows(lines, star.tasks), visit_rows(lines, star.product), bitmap_rows(repeated, star)])
 
 
 # ---- the maintained table -------------------------------------------------
@@ -277,10 +280,13 @@ def regional_performance(star: RolledStar) -> DataFrame:
 def customer_rfm(star: RolledStar) -> DataFrame:
     """V6 from the rollup: orders are counted over visits, since a bitmap per customer would
     hold a few bits each."""
-    rows = star.rollup.where(F.col("kind").isin("customer", "visit"))
-    # a visit's day is one of its customer's days, so the latest of all is the last order date
+    # lines that lie in parts by order meet all of an order's in one task: it becomes one row there
+    orders = star.kind("visit").select("key", "number").distinct()
+    rows = star.kind("customer").select("key", "day", "revenue").unionByName(orders, allowMissingColumns=True)
+    if star.tasks:
+        rows = rows.repartition(star.tasks, "key")
     per = rows.groupBy(F.col("key").alias("customer_id")).agg(
-        F.max("day").alias("last_order_date"), F.count_distinct("number").alias("frequency"), F.sum("revenue").alias("_rev"))
+        F.max("day").alias("last_order_date"), F.count("number").alias("frequency"), F.sum("revenue").alias("_rev"))
     return per.join(star.customer, "customer_id").select(
         "customer_id", "customer_name", "segment", "last_order_date", "frequency",
         money_out("_rev").alias("monetary_value")).orderBy(F.col("monetary_value").desc(), "customer_id")

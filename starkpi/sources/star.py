@@ -131,6 +131,8 @@ class Star:
     calendar_spans_fact: bool = False
     # what ``order_parts`` gives, of which the lines are joined
     parts: tuple[DataFrame, DataFrame, int] | None = None
+    # into how many parts to deal lines by other keys than their order; 0: as Spark sees fit
+    tasks: int = 0
     # columns that identify a fact line; None: line_id, the source's surrogate key
     line_key: tuple[str, ...] | None = None
     # values that could not be read as their column's type (CSV sources)
@@ -149,7 +151,7 @@ class Star:
         orders = read_table(spark, sf_dir, "orders").select("o_orderdate")
         return cls(fact=fact, product=product, customer=customer_dim(spark, sf_dir),
                    date=calendar_covering(orders, "o_orderdate"), lines=lines,
-                   calendar_spans_fact=True, parts=parts, line_key=tuple(LINE_ORDER))
+                   calendar_spans_fact=True, parts=parts, tasks=parts[2], line_key=tuple(LINE_ORDER))
 
     @classmethod
     def from_csv(cls, spark: SparkSession, paths: dict[str, str]) -> "Star":

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starkpi.plans import kpis, lines, rollups
+from starkpi.plans.dirty import dirty_star
 from starkpi.sources import star as source
 from starkpi.sources.star import Star
 from tests.conftest import SF_SMALL
@@ -43,3 +44,20 @@ def test_star_join_moves_no_line_by_customer(spark, parted, monkeypatch):
     by_customer = [row for row in plan.splitlines() if "Exchange hashpartitioning" in row and "cust" in row.split("hashpartitioning")[1]]
     assert by_customer and "customer_id#" in plan
     assert lines.star_join(parted).count() == parted.fact_products().join(parted.customer, "customer_id").count()
+
+
+@pytest.mark.parametrize("kind", ["customer", "product"])
+def test_rollup_sums_are_dealt_by_the_number_of_lines(parted, kind):
+    for star in (parted, dirty_star(parted)):
+        assert star.tasks == parted.parts[2] > 8  # more than the session's
+        sums = rollups.rolled(star).kind(kind)
+        held = sums.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+        assert held[0] < 2 * held[1] / star.tasks
+
+
+def test_rfm_meets_customers_in_parts_of_bounded_size(star, parted):
+    for a, b in ((star, parted), (dirty_star(star), dirty_star(parted))):
+        few, many = (rollups.customer_rfm(rollups.rolled(s)) for s in (a, b))
+        assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+        many.collect()
+        assert f"{parted.tasks}), REPARTITION_BY_NUM" in many._jdf.queryExecution().executedPlan().toString().split("Union")[0]
