@@ -3,8 +3,9 @@
 Encoding: a text is cut into pieces by the vocabulary's pattern; every piece not met lately
 becomes a word of token-position rows.  One recursive query per batch joins neighbouring
 tokens with the merge table, contracts each word's leftmost pair of minimum rank, and goes
-on until no pair of any word is left in the table.  Decoding: token-position rows join the
-vocabulary and an ordered aggregation per text puts their bytes together.
+on until no pair of any word is left in the table.  Decoding: a query per batch looks each
+text's ids up in the vocabulary, which is one list there, in their order, and puts their bytes
+together; ids that the vocabulary lacks are left out.
 
 Everything happens inside map tasks, without a shuffle: a task holds one Arrow batch, a
 slice of it being cut into pieces, and a cache of pieces bounded by ``cache_entries`` that
@@ -55,10 +56,9 @@ with recursive words(w, l) as (
     from words join best using (w)))
 select w, arg_min(l, len(l)) as l from words group by w order by w
 """
+# l holds places in the list, from 1; there is nothing at 0
 _DECODE = """
-select s, unhex(string_agg(hex, '' order by i)) as bytes
-from (select s, unnest(l) as id, unnest(range(len(l))) as i from fresh)
-join vocabulary using (id) group by s order by s
+select s, unhex(coalesce(array_to_string(list_select(hexes, l), ''), '')) as bytes from fresh, vocabulary order by s
 """
 
 
@@ -67,11 +67,11 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.splitlines() if line.strip())}
 
 
-def _lists(buffers: list[bytes]) -> pa.Array:
-    """Arrow lists of int32 from little-endian buffers."""
+def _lists(buffers: list[bytes], change=lambda values: values) -> pa.Array:
+    """Arrow lists of int32 from little-endian buffers, their values as ``change`` makes them."""
     ends = np.zeros(len(buffers) + 1, dtype=np.int32)
     np.cumsum([len(b) // 4 for b in buffers], out=ends[1:])
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(buffers), dtype="<i4")))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(change(np.frombuffer(b"".join(buffers), dtype="<i4"))))
 
 
 def _flat(lists: pa.ChunkedArray) -> list[bytes]:
@@ -117,9 +117,10 @@ class Codec:
                 if a is not None and b is not None:
                     pair.append((a << 32) | b)
                     rank.append(r)
+        spelled = sorted((r, token.hex()) for token, r in ranks.items())
+        self.known = np.array([r for r, _ in spelled], dtype=np.int32)
         tables = {"merges": pa.table({"pair": pa.array(pair, pa.int64()), "rank": pa.array(rank, pa.int32())}),
-                  "vocabulary": pa.table({"id": pa.array(list(ranks.values()), pa.int32()),
-                                          "hex": pa.array([t.hex() for t in ranks], pa.string())})}
+                  "vocabulary": pa.table({"hexes": pa.array([[h for _, h in spelled]], pa.list_(pa.string()))})}
         for name, table in tables.items():
             self.con.register("given", table)
             self.con.execute(f"create table {name} as select * from given")
@@ -178,6 +179,13 @@ class Codec:
         ids = iter(self._ids([part for parts in cut for part in parts]))
         return [b"".join(next(ids) for _ in parts) for parts in cut]
 
+    def _places(self, ids: np.ndarray) -> np.ndarray:
+        """Where each id is in the vocabulary's list, from 1; 0 for others."""
+        if not len(self.known):
+            return np.zeros(len(ids), np.int32)
+        at = np.minimum(np.searchsorted(self.known, ids), len(self.known) - 1)
+        return np.where(self.known[at] == ids, at + 1, 0).astype(np.int32)
+
     def decode(self, rows: list[bytes]) -> list[bytes]:
         """The bytes of each row of ids (little-endian int32); long rows go chunk by chunk."""
         chunks, owner = [], []
@@ -190,7 +198,7 @@ class Codec:
         at = 0
         while at < len(chunks):  # as many chunks at once as hold a bounded number of ids
             stop = max(at + 1, int(np.searchsorted(sizes, sizes[at] + 8 * _CHUNK, "right")) - 1)
-            found = self._query(_DECODE, "s", _lists(chunks[at:stop])).to_pylist()
+            found = self._query(_DECODE, "s", _lists(chunks[at:stop], self._places)).to_pylist()
             for i, part in zip(owner[at:stop], found, strict=True):
                 out[i].append(part)
             at = stop

@@ -313,6 +313,13 @@ def test_bpe_of_any_character_and_a_small_cache():
     assert codec.decode(ids) == [(t or "").encode() for t in texts]
 
 
+def test_bpe_decodes_sparse_and_unknown_ids():
+    codec = bpe.Codec({b"a": 3, b"b": 40, b"ab": 7_000_000, b"\xff\x00": 5})
+    rows = [[7_000_000, 3, 40, 5], [], [1, -1, 2**31 - 1, 3, -2**31], [4, 6], [40] * 3]
+    got = codec.decode([np.array(r, "<i4").tobytes() for r in rows])
+    assert got == [b"abab\xff\x00", b"", b"a", b"", b"bbb"]
+
+
 def test_bpe_slices_of_a_long_text(monkeypatch):
     monkeypatch.setattr(bpe, "_SLICE", 64)
     monkeypatch.setattr(bpe, "_TOGETHER", 256)
