@@ -30,8 +30,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType
 
 from starkpi.llm.common import map_arrow, materialize
+from starkpi.operators.bitmaps import id_bitmaps
 
 _WORD = re.compile(r"[^\W_]+")
 # Frequent function words, for the guess at a text's language.
@@ -324,6 +326,24 @@ def in_fold(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+_SIEVE = 1 << 26  # bits of the sieve of labelled ids, 8 MB
+
+
+def labelled_first(texts: DataFrame, lab: DataFrame, key: str = "__id") -> DataFrame:
+    """``texts`` without most rows whose ``key`` is not in ``lab``, so that they take no part in
+    the shuffle to their labels.  Each labelled key sets a bit by its hash; the bits, of bounded
+    size, are broadcast.  Rows that hit a bit by chance stay, for the join to drop."""
+    kind = texts.schema[key].dataType
+    if kind != lab.schema[key].dataType or not isinstance(kind, IntegralType | StringType):
+        return texts  # equal keys might hash differently
+    bit = F.pmod(F.xxhash64(key), F.lit(_SIEVE))
+    sieve = id_bitmaps(lab, bit, [])
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("__bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = texts.join(F.broadcast(sieve), F.bitmap_bucket_number(bit) == F.col("__chunk"))
+    return hit.where(F.getbit(byte, (at % 8).cast("int")) == 1).select(*texts.columns)
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id",
                   text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """(__id, __text, __y, __spare) of every labelled row outside the held-out fold.  An id
@@ -335,7 +355,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings = Setti
     lab = labels.where(F.col(label_col).isNotNull() & trains(id_col))
     lab = lab.groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("__y"))
     texts = docs.where(trains(id_col)).select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    rows = texts.join(lab, "__id").groupBy("__id").agg(F.min("__text").alias("__text"), F.first("__y").alias("__y"))
+    rows = labelled_first(texts, lab).join(lab, "__id").groupBy("__id").agg(F.min("__text").alias("__text"), F.first("__y").alias("__y"))
     return rows.sortWithinPartitions(F.xxhash64("__id"), "__id").withColumn(
         "__spare", F.pmod(F.xxhash64("__id", F.lit(settings.seed)), F.lit(100)) < 15)
 
