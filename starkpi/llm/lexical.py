@@ -18,9 +18,11 @@ ones are opened.  A task carries an item's best documents from shard to shard.
 
 Impacts need the number of documents and terms, so the texts are read twice; the index is
 written once under ``spark.checkpoint.dir``, one row a shard, and holds every term, whatever
-is searched for.  Items are taken in blocks of bounded size against all shards; a block's
-document frequencies come from the shards' dictionaries alone.  A task sends its best ``top``
-documents of each item; nothing grows with a term's frequency.
+is searched for.  A shard closes at a bounded number of cells and bytes of terms, and lies in a
+row group of its own, so that what a task holds does not grow with its range.  Items are taken
+in blocks of bounded size against all shards; a block's document frequencies come from the
+shards' dictionaries alone.  A task sends its best ``top`` documents of each item; nothing
+grows with a term's frequency.
 
 NULL and texts without a term match nothing, as documents and as items.  Every row is a
 document or an item of its own, whatever its id: repeated ids give repeated rows.  Among equal
@@ -50,6 +52,8 @@ _POPCOUNT = np.array([bin(i).count("1") for i in range(16)], np.int64)
 # Bits of a 16-bit number with a gap behind each.
 _SPREAD = np.array([sum(((i >> b) & 1) << (2 * b) for b in range(16)) for i in range(1 << 16)], np.int64)
 _LEVEL = struct.Struct("<QQ")
+# Rows of some MB, each in a row group of its own: readers and writers hold one at a time.
+_ONE_BY_ONE = {"compression": "zstd", "parquet.enable.dictionary": "false", "parquet.block.row.count.limit": "1"}
 
 
 # ---- the grid -----------------------------------------------------------------
@@ -193,10 +197,13 @@ class Best:
 
 
 class _Numbers(dict):
-    """Numbers words as they come."""
+    """Numbers words as they come; ``size`` counts their bytes."""
+
+    size = 0
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self)
+        self.size += len(word)
         return number
 
 
@@ -218,8 +225,10 @@ def _shard(ids: list[int | None], vocabulary: dict, terms: list, counts: list, l
             build_treap(place[term], cols, impacts, bits)]
 
 
-def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", postings: int = 1 << 21) -> str:
-    """Write the index of all texts, shards of about ``postings`` cells, and give its folder."""
+def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", postings: int = 1 << 19,
+          term_bytes: int = 8 << 20) -> str:
+    """Write the index of all texts, shards of about ``postings`` cells or ``term_bytes`` bytes
+    of terms, and give its folder."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
@@ -265,7 +274,7 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", posti
                 counts.append(tf)
                 lengths.append(n)
                 held += len(term)
-                if held >= postings or len(ids) == 1 << 16:
+                if held >= postings or vocabulary.size >= term_bytes or len(ids) == 1 << 16:
                     yield close()
         if ids:
             yield close()
@@ -273,7 +282,7 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", posti
     names = ["shard", "n_docs", "size", "ids", "terms", "df", "treap"]
     path = scratch_path(spark, f"lexical-{uuid.uuid4().hex}")
     map_arrow(rows, run, "shard long, n_docs long, size int, ids binary, terms binary, df binary, treap binary") \
-        .write.option("compression", "zstd").parquet(path)
+        .write.options(**_ONE_BY_ONE).parquet(path)
     return path
 
 

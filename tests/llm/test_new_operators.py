@@ -1,5 +1,6 @@
 """Operators 7, 11, 12 and 13 against brute force and on odd tables."""
 
+import glob
 import hashlib
 import math
 import re
@@ -9,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -269,6 +271,21 @@ def test_lexical_many_small_shards_and_blocks(spark, small_docs):
     assert _sorted(map(tuple, got.collect())) == _sorted(_lexical(small_docs, items, 5))
 
 
+def test_lexical_shards_are_small(spark):
+    """Of one task's 740,000 cells, and of its 18 MB of terms, no row of the index and no row group is large."""
+    cells = [(i, " ".join(f"w{(i * 17 + j * j) % 20_011}" for j in range(300))) for i in range(2500)]
+    long_terms = [(i, f"{i % 3} " + f"漢{i}" * 100_000) for i in range(40)]
+    for texts, asked, shards in ((cells, [cells[7][1][:90], cells[2400][1], "w5 w5 w20010 absent"], 2),
+                                 (long_terms, ["2 1 1", long_terms[39][1], "漢"], 3)):
+        path = lexical.build(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1))
+        files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{path}/*.parquet")]
+        groups = [m.row_group(g) for m in files for g in range(m.num_row_groups)]
+        assert [g.num_rows for g in groups] == [1] * shards and max(g.total_byte_size for g in groups) < 10 << 20
+        items = list(enumerate(asked))
+        got = lexical.search(spark, path, spark.createDataFrame(items, "item_id int, text string"))
+        assert _sorted(map(tuple, got.collect())) == _sorted(_lexical(texts, items))
+
+
 def test_lexical_odd_rows(spark, odd_docs, no_docs):
     docs = [(i, t) for i, t, _, _ in TEXTS]
     items = [(1, "The FOX dog; the wood"), (1, "word"), (2, None), (3, ""), (4, "absent"), (None, "one ½ 漢字 <|x")]
